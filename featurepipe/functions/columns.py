@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _c(col) -> Column:
@@ -18,12 +21,12 @@ def _c(col) -> Column:
 
 def epoch_micros(ts) -> Column:
     """Microseconds since 1970-01-01 of a zone-less time (independent of the session zone)."""
-    return F.timestamp_diff("MICROSECOND", EPOCH_NTZ, _c(ts).cast("timestamp_ntz"))
+    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts).cast("timestamp_ntz"))
 
 
 def ntz_from_micros(us) -> Column:
     """Inverse of :func:`epoch_micros`: a TIMESTAMP_NTZ from epoch microseconds."""
-    return F.timestamp_add("MICROSECOND", _c(us), EPOCH_NTZ)
+    return F.timestamp_add("MICROSECOND", _c(us), _epoch())
 
 
 def to_instant(ts) -> Column:

@@ -101,19 +101,19 @@ def distinct_counts(txn: DataFrame, key: str = "customer_id") -> DataFrame:
     """
     merchants_per_key = (
         txn.where(F.col("merchant_id").isNotNull())
-        .groupBy(key, "merchant_id")
-        .agg()
+        .select(key, "merchant_id")
+        .distinct()
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("unique_merchants"))
     )
     days_per_key = (
         txn.where(F.col("ts").isNotNull())
-        .groupBy(key, F.dayofyear("ts").alias("doy"))
-        .agg()
+        .select(key, F.dayofyear("ts").alias("doy"))
+        .distinct()
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("active_days"))
     )
-    keys = txn.groupBy(key).agg()
+    keys = txn.select(key).distinct()
     return (
         keys.join(merchants_per_key, key, "left")
         .join(days_per_key, key, "left")
@@ -139,8 +139,11 @@ def with_group_mean(txn: DataFrame, key: str = "customer_id", value: str = "amou
     return txn.join(group_mean(txn, key, value, name), key, "left")
 
 
-def transaction_context_view(r: Roles, broadcast_rows: int = 2_000_000) -> DataFrame:
-    """TRANSACTION_CONTEXT_FEATURES: txn ⟕ merchants ⟕ per-customer mean."""
+def transaction_context_view(r: Roles, broadcast_rows: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """TRANSACTION_CONTEXT_FEATURES: txn ⟕ merchants ⟕ per-customer mean.
+
+    ``keep`` passes extra transaction columns through (e.g. the label).
+    """
     txn = r.transactions
     merch = broadcast_if_small(r.merchants, broadcast_rows)
     hour = F.hour("ts")
@@ -160,6 +163,7 @@ def transaction_context_view(r: Roles, broadcast_rows: int = 2_000_000) -> DataF
             "device_type",
             F.col("category").alias("merchant_category"),
             F.col("ts").alias("feature_ts"),
+            *keep,
         )
     )
 

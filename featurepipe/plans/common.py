@@ -7,15 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 6  # doubles are rounded to this many places on both sides of an oracle check
+# Relative nudge applied before rounding. Means of 2-decimal amounts over 2^k
+# rows end exactly on a rounding tie, where summation order decides the side;
+# the nudge (far above summation error, far below 10^-DIGITS) moves exact ties
+# off the boundary the same way in Spark and in the SQL oracle.
+NUDGE = 1.000000000001
 
 
-def flat(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Normalise result types for the oracle compare: doubles rounded, ints as bigint."""
+def flat(df: DataFrame, digits: int = DIGITS, as_double: tuple[str, ...] = ()) -> DataFrame:
+    """Normalise result types for the oracle compare: doubles rounded, ints as bigint.
+
+    ``as_double`` names integer columns that can be null (e.g. features of an
+    unmatched as-of row); they are compared as doubles, as pandas would hold them.
+    """
     cols: list[Column] = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+        if f.name in as_double or isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            c = F.round(c.cast("double") * F.lit(NUDGE), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

@@ -1,23 +1,35 @@
 """Registered queries: one function (spark, sf_dir) -> DataFrame per key.
 
-Keys follow the operator inventory (see README). Every query reads the given
-tables (or frames Spark derives from them) in full.
+Keys follow the operator inventory (README maps them to operator ids). Every
+query reads the given tables (or frames Spark derives from them) in full.
+Keys ending in ``_lineitem`` run the same operator on lineitem ⋈ orders (ten
+times the rows of the events mapping); they are the scale benchmark.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.operators import views
+from featurepipe.operators import asof, dataset, drift, ledger, metrics, model, profile, scoring, views
 from featurepipe.plans.common import flat
+from featurepipe.session import work_dir
 from featurepipe.sources.roles import roles
+from featurepipe.sources.tables import read_table, text_to_ntz
+from featurepipe.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+BASELINE_END_EVENTS = "2024-01-15"  # drift baseline: events before this time
+BASELINE_END_LINEITEM = "1997-01-01"
+VERSION_AS_OF = "1997-01-01"  # time of the default-version lookup
+GATE_SEGMENT = "device_type"
+CHECK_MAX_ITER = 20  # GBT iterations in registered checks (200 is the operator default)
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -27,14 +39,462 @@ def register(name: str):
     return deco
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# ---------------------------------------------------------------- S3 loading
+
+
+@register("q01_load_time_fix")
+def q01(spark, sf):
+    """S3 + S9: times sent as text, parsed back to zone-less time, table overwritten, rows counted per day."""
+    base = _scratch(spark, "load")
+    ev = read_table(spark, sf, "events")
+    ev.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("string").alias("ts")).write.mode("overwrite").parquet(f"{base}/text")
+    loaded = text_to_ntz(spark.read.parquet(f"{base}/text"), "ts")
+    loaded.write.mode("overwrite").parquet(f"{base}/events")
+    t = spark.read.parquet(f"{base}/events")
+    out = t.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.sum("value").alias("sum_value")
+    )
+    return flat(out)
+
+
 # ---------------------------------------------------------------- feature views
 
 
+def _customer_view(spark, sf, mapping="events"):
+    return views.customer_risk_view(roles(spark, sf, mapping))
+
+
 @register("q02_customer_view")
-def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(views.customer_risk_view(roles(spark, sf_dir)))
+def q02(spark, sf):
+    return flat(_customer_view(spark, sf))
 
 
 @register("q02_customer_view_lineitem")
-def q02l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(views.customer_risk_view(roles(spark, sf_dir, "lineitem")))
+def q02l(spark, sf):
+    return flat(_customer_view(spark, sf, "lineitem"))
+
+
+@register("q03_distinct_counts")
+def q03(spark, sf):
+    return flat(views.distinct_counts(roles(spark, sf).transactions))
+
+
+@register("q04_running_features")
+def q04(spark, sf):
+    out = asof.running_features(roles(spark, sf).transactions)
+    return flat(out.select("txn_id", "customer_id", "prior_txn_count", "prior_avg_amount", "prior_stddev_amount",
+                           "prior_fraud_count", "prior_unique_merchants"))
+
+
+@register("q05_transaction_view")
+def q05(spark, sf):
+    return flat(views.transaction_context_view(roles(spark, sf)))
+
+
+@register("q05_transaction_view_lineitem")
+def q05l(spark, sf):
+    return flat(views.transaction_context_view(roles(spark, sf, "lineitem")))
+
+
+@register("q06_group_mean")
+def q06(spark, sf):
+    txn = roles(spark, sf).transactions.select("txn_id", "customer_id", "amount")
+    return flat(views.with_group_mean(txn).select("txn_id", "customer_id", "amount", "cust_avg_amount"))
+
+
+# ---------------------------------------------------------------- point in time
+
+
+def _spine(txn: DataFrame) -> DataFrame:
+    return txn.select("txn_id", "customer_id", "ts", "is_fraud")
+
+
+def _asof_snapshot(spark, sf):
+    r = roles(spark, sf)
+    return asof.asof_join(_spine(r.transactions), views.customer_risk_view(r), "customer_id", "ts", "feature_ts")
+
+
+@register("q07_asof_snapshot")
+def q07(spark, sf):
+    return flat(_asof_snapshot(spark, sf), as_double=tuple(dataset.FEATURE_COLUMNS))
+
+
+def _click_history(r):
+    tv = views.transaction_context_view(r, keep=("event_type",)).where(F.col("event_type") == "click")
+    return tv.select(
+        "customer_id",
+        "feature_ts",
+        F.col("amount").alias("last_click_amount"),
+        F.col("merchant_risk_score").alias("last_click_risk"),
+        F.col("hour_of_day").alias("last_click_hour"),
+    )
+
+
+@register("q08_asof_history")
+def q08(spark, sf):
+    r = roles(spark, sf)
+    spine = _spine(r.transactions.where(F.col("event_type") == "purchase"))
+    return flat(asof.asof_join(spine, _click_history(r), "customer_id", "ts", "feature_ts"), as_double=("last_click_hour",))
+
+
+@register("q08_asof_orders_lineitem")
+def q08l(spark, sf):
+    r = roles(spark, sf, "lineitem")
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("order_ts"), "o_orderkey", "o_totalprice", "o_orderpriority"
+    )
+    return flat(asof.asof_join(_spine(r.transactions), orders, "customer_id", "ts", "order_ts"), as_double=("o_orderkey",))
+
+
+@register("q09_training_set_versioned")
+def q09(spark, sf):
+    """The point-in-time training set written as FRAUD_TRAINING_DATA/V1 and read back."""
+    target = work_dir(spark)
+    dataset.write_versioned(_asof_snapshot(spark, sf), target, "FRAUD_TRAINING_DATA", "V1")
+    return flat(dataset.read_versioned(spark, target, "FRAUD_TRAINING_DATA", "V1"), as_double=tuple(dataset.FEATURE_COLUMNS))
+
+
+def _label_join(spark, sf, mapping="events"):
+    r = roles(spark, sf, mapping)
+    return dataset.label_join(spark, views.customer_risk_view(r), r.transactions)
+
+
+@register("q10_label_join")
+def q10(spark, sf):
+    return flat(_label_join(spark, sf))
+
+
+def _matrix(spark, sf):
+    return dataset.feature_matrix(_label_join(spark, sf))
+
+
+@register("q11_feature_matrix")
+def q11(spark, sf):
+    return flat(_matrix(spark, sf))
+
+
+def _split(spark, sf):
+    return dataset.stratified_split(_matrix(spark, sf))
+
+
+@register("q12_stratified_split")
+def q12(spark, sf):
+    return flat(_split(spark, sf).select("txn_id", "label", "split"))
+
+
+def _folds(spark, sf):
+    return dataset.kfold(_split(spark, sf).where(F.col("split") == "train"))
+
+
+@register("q13_kfold")
+def q13(spark, sf):
+    return flat(_folds(spark, sf).select("txn_id", "label", "fold"))
+
+
+# ---------------------------------------------------------------- metrics, gate, model
+
+
+def _scored_view(spark, sf, mapping="events"):
+    tv = views.transaction_context_view(roles(spark, sf, mapping), keep=("is_fraud",))
+    return scoring.score_scorecard(tv, keep=("txn_id", "device_type", "is_fraud"), prediction_ts=F.col("feature_ts"))
+
+
+def _segment_metrics(spark, sf, mapping="events"):
+    return metrics.binary_metrics(_scored_view(spark, sf, mapping), score="p1", label="is_fraud", segment_cols=[GATE_SEGMENT])
+
+
+@register("q14_metrics_by_segment")
+def q14(spark, sf):
+    return flat(_segment_metrics(spark, sf))
+
+
+@register("q14_metrics_by_segment_lineitem")
+def q14l(spark, sf):
+    return flat(_segment_metrics(spark, sf, "lineitem"))
+
+
+@register("q15_gbt_fit_score")
+def q15(spark, sf):
+    """M4 + M6 + M12: fit on the train split, save, load, score the test split (rows check)."""
+    split = _split(spark, sf)
+    fitted = model.fit_gbt(split.where(F.col("split") == "train"), max_iter=CHECK_MAX_ITER)
+    path = _scratch(spark, "models") + "/FRAUD_GBT/V1"
+    model.save_model(fitted, path)
+    return model.predict(model.load_model(path), split.where(F.col("split") == "test"), keep=("txn_id", "label"))
+
+
+@register("q16_cross_validation")
+def q16(spark, sf):
+    """M5: 5-fold CV AUC per fold (rows check)."""
+    folds = _folds(spark, sf)
+    return model.cross_validate(folds, k=5, max_iter=10)
+
+
+@register("q17_feature_importance")
+def q17(spark, sf):
+    """Features ranked by importance (rows check)."""
+    split = _split(spark, sf)
+    fitted = model.fit_gbt(split.where(F.col("split") == "train"), max_iter=CHECK_MAX_ITER)
+    return model.feature_importance(spark, fitted)
+
+
+@register("q18_quality_gate")
+def q18(spark, sf):
+    gated = metrics.quality_gate(_segment_metrics(spark, sf))
+    return flat(gated.select(GATE_SEGMENT, "auc", "precision", "recall", "passed", "failures"))
+
+
+# ---------------------------------------------------------------- exploration
+
+
+@register("q20_amount_summary")
+def q20(spark, sf):
+    return flat(profile.distribution_summary(roles(spark, sf).transactions, "is_fraud", "amount"))
+
+
+@register("q21_rate_by_device")
+def q21(spark, sf):
+    return flat(profile.rate_by(roles(spark, sf).transactions, "device_type", "is_fraud"))
+
+
+@register("q22_hour_label_pivot")
+def q22(spark, sf):
+    txn = roles(spark, sf).transactions.withColumn("hour_of_day", F.hour("ts"))
+    return flat(profile.pivot_counts(txn, "hour_of_day", "is_fraud"))
+
+
+@register("q23_class_balance")
+def q23(spark, sf):
+    return flat(profile.class_balance(roles(spark, sf).transactions, "is_fraud"))
+
+
+@register("q24_velocity")
+def q24(spark, sf):
+    out = asof.trailing_count(roles(spark, sf).transactions)
+    return flat(out.select("txn_id", "customer_id", "txn_count_last_hour"))
+
+
+@register("q25_amount_zscore")
+def q25(spark, sf):
+    out = asof.amount_zscore(asof.running_features(roles(spark, sf).transactions))
+    return flat(out.select("txn_id", "customer_id", "amount_zscore"))
+
+
+# ---------------------------------------------------------------- scoring
+
+
+def _score_table(spark, sf, mapping="events"):
+    tv = views.transaction_context_view(roles(spark, sf, mapping))
+    scores = scoring.score_scorecard(tv, keep=("txn_id",), prediction_ts=F.col("feature_ts"))
+    path = _scratch(spark, "scores") + "/FRAUD_SCORES"
+    scoring.write_scores(scores, path)
+    return spark.read.parquet(path)
+
+
+@register("q30_score_table")
+def q30(spark, sf):
+    return flat(_score_table(spark, sf))
+
+
+@register("q31_score_validation")
+def q31(spark, sf):
+    return flat(scoring.validate_scores(_score_table(spark, sf)))
+
+
+@register("q32_sql_scoring")
+def q32(spark, sf):
+    """M11 + P12: score inside SELECT (CTE, star plus score, first 5 rows)."""
+    tv = views.transaction_context_view(roles(spark, sf))
+    return flat(spark.sql(
+        f"""
+        WITH src AS (SELECT * FROM {{tv}})
+        SELECT *, {scorecard_sql()} AS fraud_probability
+        FROM src ORDER BY txn_id LIMIT 5
+        """,
+        tv=tv,
+    ))
+
+
+def scorecard_sql() -> str:
+    z = f"{scoring.SCORECARD_INTERCEPT!r}"
+    for c, w in scoring.SCORECARD_WEIGHTS.items():
+        v = f"CAST({c} AS DOUBLE)"
+        if c in scoring.SCORECARD_DEFAULTS:
+            v = f"coalesce({v}, {scoring.SCORECARD_DEFAULTS[c]!r})"
+        z = f"({z} + {w!r} * {v})"
+    return f"(1.0 / (1.0 + exp(-{z})))"
+
+
+# ---------------------------------------------------------------- drift
+
+
+@register("q33_window_summary")
+def q33(spark, sf):
+    return flat(drift.window_summary(_score_table(spark, sf)))
+
+
+@register("q34_score_psi")
+def q34(spark, sf):
+    return flat(drift.score_drift(_score_table(spark, sf), BASELINE_END_EVENTS))
+
+
+@register("q35_feature_psi")
+def q35(spark, sf):
+    return flat(drift.feature_drift(_label_join(spark, sf), dataset.FEATURE_COLUMNS, BASELINE_END_EVENTS))
+
+
+@register("q35_feature_psi_lineitem")
+def q35l(spark, sf):
+    return flat(drift.feature_drift(_label_join(spark, sf, "lineitem"), dataset.FEATURE_COLUMNS, BASELINE_END_LINEITEM))
+
+
+@register("q36_score_ks")
+def q36(spark, sf):
+    return flat(drift.ks_distance(_score_table(spark, sf), BASELINE_END_EVENTS))
+
+
+def _version_events(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return o.select(
+        F.col("o_custkey").alias("model"),
+        F.concat(F.lit("V"), F.col("o_orderkey").cast("string")).alias("version"),
+        F.col("o_orderdate").alias("set_at"),
+        F.col("o_orderkey").alias("event_id"),
+    )
+
+
+@register("q37_version_match")
+def q37(spark, sf):
+    """Each score row's model version against the model's default version at prediction time."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("model"),
+        F.concat(F.lit("V"), F.col("l_orderkey").cast("string")).alias("model_version"),
+        F.col("l_shipdate").alias("prediction_ts"),
+    )
+    ev = _version_events(spark, sf).select("model", "set_at", "event_id", F.col("version").alias("default_version"))
+    j = asof.asof_join(rows, ev, "model", "prediction_ts", "set_at", feature_cols=["event_id", "default_version"])
+    out = j.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(F.col("default_version").isNotNull() & (F.col("default_version") != F.col("model_version")), 1).otherwise(0)).cast("bigint").alias("n_mismatch"),
+        F.sum(F.when(F.col("default_version").isNull(), 1).otherwise(0)).cast("bigint").alias("n_no_default"),
+    )
+    return flat(out)
+
+
+# ---------------------------------------------------------------- result ledger
+
+
+def _results(spark, sf):
+    """Result/task ledger from orders: run = customer, step = priority, state from status."""
+    o = read_table(spark, sf, "orders")
+    state = F.when(F.col("o_orderstatus") == "F", F.lit(ledger.SUCCEEDED)).when(F.col("o_orderstatus") == "P", F.lit(ledger.FAILED)).otherwise(F.lit("RUNNING"))
+    return o.select(
+        F.col("o_custkey").alias("run"),
+        F.col("o_orderpriority").alias("step"),
+        state.alias("state"),
+        F.col("o_orderdate").alias("created_at"),
+        F.col("o_orderkey").alias("result_id"),
+        F.col("o_totalprice").alias("payload"),
+    )
+
+
+@register("q40_latest_success")
+def q40(spark, sf):
+    out = ledger.latest_success(_results(spark, sf), "step", "state", ledger.SUCCEEDED, "created_at", "result_id", ["payload"])
+    return flat(out)
+
+
+def _latest_states(spark, sf):
+    return ledger.latest_per_key(_results(spark, sf), ["run", "step"], ["created_at", "result_id"], ["state"])
+
+
+@register("q41_latest_task_state")
+def q41(spark, sf):
+    return flat(_latest_states(spark, sf))
+
+
+@register("q42_run_completeness")
+def q42(spark, sf):
+    return flat(ledger.run_completeness(_latest_states(spark, sf), "run", "step", "state", expected_tasks=5))
+
+
+@register("q43_top_durations")
+def q43(spark, sf):
+    """W4 + P8 + T1: longest order-to-ship durations of urgent steps, top 10."""
+    li = read_table(spark, sf, "lineitem")
+    o = read_table(spark, sf, "orders").where(F.col("o_orderpriority").like("1-%"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "o_orderpriority",
+        ledger.duration_seconds("o_orderdate", "l_shipdate").alias("duration_s"),
+    )
+    top = j.orderBy(F.desc("duration_s"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").limit(10)
+    return flat(top.drop("l_extendedprice"))
+
+
+@register("q44_run_log")
+def q44(spark, sf):
+    """M13 + S5/S6: one run per segment, params and numeric metrics appended to the run log, read back."""
+    m = _segment_metrics(spark, sf)
+    raw = F.create_map(
+        *[x for k in ("auc", "ap", "precision", "recall", "f1", "n", "positives") for x in (F.lit(k), F.col(k).cast("string"))],
+        F.lit("feature_view"), F.lit("CUSTOMER_RISK_FEATURES__V1"),
+    )
+    runs = m.select(
+        F.concat(F.lit("segment="), F.col(GATE_SEGMENT)).alias("run_id"),
+        F.create_map(F.lit("segment"), F.col(GATE_SEGMENT), F.lit("threshold"), F.lit("0.5")).alias("params"),
+        ledger.numeric_metrics(raw).alias("metrics"),
+    )
+    path = _scratch(spark, "runs")
+    ledger.append_results(runs, path)
+    back = spark.read.parquet(path)
+    return flat(back.select("run_id", F.explode("metrics").alias("metric", "value")))
+
+
+@register("q45_next_version")
+def q45(spark, sf):
+    models = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("model"))
+    return flat(ledger.next_version(models, _version_events(spark, sf), "model", "version"))
+
+
+@register("q46_default_version_as_of")
+def q46(spark, sf):
+    out = ledger.default_version_as_of(_version_events(spark, sf), "model", "version", "set_at", "event_id", VERSION_AS_OF)
+    return flat(out)
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _stage_files(df: DataFrame, path: str, n_files: int, order_col: str) -> None:
+    """Write a frame as ``n_files`` time-ordered files, the input of a file stream."""
+    df.repartitionByRange(n_files, order_col).write.mode("overwrite").parquet(path)
+
+
+@register("q50_incremental_view")
+def q50(spark, sf):
+    """Customer view refreshed micro-batch by micro-batch equals the batch view."""
+    state = refresh.new_state_dir(work_dir(spark), "custview")
+    ev = read_table(spark, sf, "events")
+    _stage_files(ev, f"{state}/input", 6, "ts")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{state}/input")
+    q, view_path = refresh.incremental_customer_view(spark, stream, sf, state, n_buckets=16)
+    q.awaitTermination()
+    return flat(spark.read.parquet(view_path).select(*views.CUSTOMER_VIEW_COLUMNS))
+
+
+@register("q51_streaming_window_summary")
+def q51(spark, sf):
+    """R2: the 7-day score summary as a watermarked streaming aggregation."""
+    state = refresh.new_state_dir(work_dir(spark), "monitor")
+    scores = _score_table(spark, sf)
+    _stage_files(scores, f"{state}/input", 4, "prediction_ts")
+    stream = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
+    q, out = refresh.streaming_window_summary(stream, state)
+    q.awaitTermination()
+    return flat(spark.read.parquet(out))

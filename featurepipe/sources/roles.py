@@ -45,7 +45,11 @@ def profiles(spark: SparkSession, source_dir: str) -> DataFrame:
 
 
 def event_transactions(spark: SparkSession, source_dir: str) -> DataFrame:
-    e = read_table(spark, source_dir, "events")
+    return events_to_transactions(read_table(spark, source_dir, "events"))
+
+
+def events_to_transactions(e: DataFrame) -> DataFrame:
+    """The E-map on any frame with the events schema (batch or streaming)."""
     device = F.element_at(F.array(*[F.lit(d) for d in DEVICE_TYPES]), (F.col("event_id") % 4 + 1).cast("int"))
     return e.select(
         F.col("event_id").alias("txn_id"),

@@ -16,12 +16,13 @@ def read_table(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{source_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_to_ntz(df: DataFrame, col: str, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> DataFrame:
+def text_to_ntz(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     """Replace a text time column by a zone-less time column of the same name.
 
     As in the reference loader, the converted column moves to the end of the
-    schema. Unparseable text becomes null (``try_to_timestamp``) instead of
-    failing the job.
+    schema. Without ``fmt`` the text is ISO ('yyyy-MM-dd HH:mm:ss[.ffffff]')
+    and unparseable text becomes null; with ``fmt`` it is parsed by that
+    pattern. Neither path depends on the session time zone.
     """
-    parsed = F.try_to_timestamp(F.col(col), F.lit(fmt)).cast("timestamp_ntz")
+    parsed = F.col(col).try_cast("timestamp_ntz") if fmt is None else F.to_timestamp_ntz(F.col(col), F.lit(fmt))
     return df.withColumn(f"__{col}", parsed).drop(col).withColumnRenamed(f"__{col}", col)
