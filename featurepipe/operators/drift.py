@@ -119,28 +119,30 @@ def feature_drift(
 ) -> DataFrame:
     """D3: PSI and JS per (feature, window) with equal-width bins over each feature's baseline range.
 
-    The baseline min/max (2 numbers per feature) are the only values brought to
-    the driver; rows are binned in wide form and then unpivoted to (feature,
-    bin) pairs that aggregate map-side, so the ×features fan-out never reaches
-    a shuffle.
+    The baseline min/max per feature form one broadcast row; rows are binned in
+    wide form and then unpivoted to (feature, bin) pairs that aggregate
+    map-side, so the ×features fan-out never reaches a shuffle.
     """
     cut = F.lit(baseline_end).cast("timestamp_ntz")
+    # Baseline range of every feature: a global aggregate, so exactly one row;
+    # broadcasting it is bounded, and the rows are binned in wide form.
     rng = rows.where(F.col(ts) < cut).agg(
-        *[F.min(F.col(f).cast("double")).alias(f"lo_{i}") for i, f in enumerate(features)],
-        *[F.max(F.col(f).cast("double")).alias(f"hi_{i}") for i, f in enumerate(features)],
-    ).first()
+        *[F.min(F.col(f).cast("double")).alias(f"_lo_{i}") for i, f in enumerate(features)],
+        *[F.max(F.col(f).cast("double")).alias(f"_hi_{i}") for i, f in enumerate(features)],
+    ).withColumn("_g", F.lit(1))
+    wide = rows.where(F.col(ts).isNotNull()).withColumn("_g", F.lit(1)).join(F.broadcast(rng), "_g")
     bins = []
     for i, f in enumerate(features):
-        lo, hi = rng[f"lo_{i}"], rng[f"hi_{i}"]
-        v = F.col(f).cast("double")
-        if lo is None:
-            b = F.when(v.isNull(), F.lit(-1)).otherwise(F.lit(0))
-        elif hi == lo:
-            b = F.when(v.isNull() | F.isnan(v), F.lit(-1)).otherwise(F.lit(0))
-        else:
-            b = fixed_bins(v, n_bins, float(lo), float(hi))
-        bins.append(F.struct(F.lit(f).alias("feature"), b.alias("_bin")))
-    long = rows.where(F.col(ts).isNotNull()).select(
+        lo, hi, v = F.col(f"_lo_{i}"), F.col(f"_hi_{i}"), F.col(f).cast("double")
+        missing = v.isNull() | F.isnan(v)
+        raw = F.floor((v - lo) / (hi - lo) * F.lit(n_bins))
+        b = (
+            F.when(missing, F.lit(-1))
+            .when(lo.isNull() | (hi == lo), F.lit(0))
+            .otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(n_bins - 1)).cast("int"))
+        )
+        bins.append(F.struct(F.lit(f).alias("feature"), b.cast("int").alias("_bin")))
+    long = wide.select(
         window_start(ts, width_us).alias("window_start"), F.col(ts), F.explode(F.array(*bins)).alias("_fb")
     ).select("window_start", ts, "_fb.feature", "_fb._bin")
     return binned_drift(long, ["feature"], "window_start", "_bin", F.col(ts) < cut)
