@@ -224,3 +224,29 @@ def amount_zscore(with_history: DataFrame, amount: str = "amount", name: str = "
     """(amount - prior mean) / prior sample std; null without two earlier rows or with zero spread."""
     std = F.col("prior_stddev_amount")
     return with_history.withColumn(name, F.when(std > 0, (F.col(amount) - F.col("prior_avg_amount")) / std))
+
+
+def location_jumps(df: DataFrame, key: str, ts: str, lat: str, lon: str, id_col: str, bucket_us: int = DAY_US) -> DataFrame:
+    """Distance (km) and speed (km/h) from each row's previous location of the same key.
+
+    The previous row is the latest strictly earlier row of the key, found with
+    the skew-safe as-of join (not ``lag`` over the whole key). Haversine on a
+    6371 km sphere. Rows without an earlier row get nulls.
+    """
+    prev = df.select(
+        F.col(key),
+        F.col(ts).alias("_prev_ts"),
+        F.col(lat).alias("_prev_lat"),
+        F.col(lon).alias("_prev_lon"),
+        F.col(id_col).alias("_prev_id"),
+    )
+    j = asof_join(df, prev, key, ts, "_prev_ts", feature_cols=["_prev_id", "_prev_lat", "_prev_lon"], strict=True, bucket_us=bucket_us)
+    rad = F.lit(3.141592653589793 / 180.0)
+    p1, p2 = F.col(lat) * rad, F.col("_prev_lat") * rad
+    dphi, dlmb = p1 - p2, (F.col(lon) - F.col("_prev_lon")) * rad
+    a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
+    km = F.lit(2 * 6371.0) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    hours = (epoch_micros(ts) - epoch_micros("_prev_ts")) / F.lit(HOUR_US)
+    return j.withColumn("jump_km", km).withColumn("jump_kmh", F.when(hours > 0, km / hours)).drop(
+        "_prev_id", "_prev_lat", "_prev_lon", "_prev_ts"
+    )

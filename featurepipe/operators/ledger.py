@@ -91,3 +91,39 @@ def result_row(spark: SparkSession, run_id: str, step: str, status: str, payload
     df = spark.createDataFrame([(run_id, step, status, json.dumps(payload))], "run_id string, step string, status string, result string")
     ts = created_at if created_at is not None else F.current_timestamp().cast("timestamp_ntz")
     return df.withColumn("created_at", ts)
+
+
+def recent_history(df: DataFrame, ts_col: str, as_of: str, lookback: str, order: Sequence[str], limit: int,
+                   name_col: str | None = None, name_prefix: str | None = None) -> DataFrame:
+    """T1 with a lookback: rows in (as_of - lookback, as_of], optional name prefix, newest first, first ``limit``.
+
+    ``lookback`` is an interval literal such as '24 hours' (the reference's
+    DATEADD('hour', -24, now)); ``as_of`` stands in for the current time so the
+    query is reproducible. The limit is the feature here (a top-k report):
+    Spark plans it as TakeOrderedAndProject, a bounded per-task heap.
+    """
+    now = F.lit(as_of).cast("timestamp_ntz")
+    start = now - F.expr(f"INTERVAL {lookback}")
+    rows = df.where((F.col(ts_col) > start) & (F.col(ts_col) <= now))
+    if name_prefix is not None:
+        rows = rows.where(F.col(name_col).startswith(name_prefix))
+    return rows.orderBy(*[F.desc(c) for c in order]).limit(limit)
+
+
+def payload_rows(df: DataFrame, run_col: str, step: str, status: str, metric_cols: Sequence[str], created_at: Column) -> DataFrame:
+    """Result rows (run, step, status, VARIANT payload, created time) built from metric columns."""
+    payload = F.to_json(F.struct(F.lit(status).alias("status"), F.lit(step).alias("step"),
+                                 F.struct(*[F.col(c) for c in metric_cols]).alias("metrics")))
+    return df.select(
+        F.col(run_col).alias("run_id"),
+        F.lit(step).alias("step"),
+        F.lit(status).alias("status"),
+        F.parse_json(payload).alias("result"),
+        created_at.alias("created_at"),
+    )
+
+
+def payload_metric(result: str, name: str, default: float | None = None) -> Column:
+    """Key lookup in a VARIANT payload, with a default for a missing key."""
+    v = F.try_variant_get(F.col(result), f"$.metrics.{name}", "double")
+    return F.coalesce(v, F.lit(default).cast("double")) if default is not None else v

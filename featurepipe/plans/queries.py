@@ -27,6 +27,7 @@ REGISTRY: dict[str, Query] = {}
 BASELINE_END_EVENTS = "2024-01-15"  # drift baseline: events before this time
 BASELINE_END_LINEITEM = "1997-01-01"
 VERSION_AS_OF = "1997-01-01"  # time of the default-version lookup
+HISTORY_AS_OF = "1998-06-30"  # stands in for CURRENT_TIMESTAMP in history queries
 GATE_SEGMENT = "device_type"
 CHECK_MAX_ITER = 20  # GBT iterations in registered checks (200 is the operator default)
 
@@ -468,6 +469,45 @@ def q46(spark, sf):
     return flat(out)
 
 
+@register("q47_recent_task_history")
+def q47(spark, sf):
+    """T1 + W4 + P8 with a lookback: urgent runs of the last 7 days before a fixed 'now', newest first."""
+    li = read_table(spark, sf, "lineitem")
+    o = read_table(spark, sf, "orders")
+    runs = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_orderpriority").alias("name"),
+        F.col("o_orderstatus").alias("state"),
+        F.col("o_orderdate").alias("scheduled_time"),
+        F.col("l_shipdate").alias("completed_time"),
+        ledger.duration_seconds("o_orderdate", "l_shipdate").alias("duration_s"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    )
+    top = ledger.recent_history(runs, "scheduled_time", HISTORY_AS_OF, "7 days",
+                                ["scheduled_time", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 20,
+                                name_col="name", name_prefix="1-")
+    return flat(top)
+
+
+@register("q48_result_payloads")
+def q48(spark, sf):
+    """S5 + JSON: training results appended with a VARIANT payload, latest per step read back by key."""
+    m = _segment_metrics(spark, sf)
+    rows = ledger.payload_rows(
+        m.withColumn("run", F.concat(F.lit("segment="), F.col(GATE_SEGMENT))),
+        "run", "training", "SUCCESS", ["auc", "ap", "precision", "recall", "f1"],
+        created_at=F.lit(HISTORY_AS_OF).cast("timestamp_ntz"),
+    )
+    path = _scratch(spark, "results")
+    ledger.append_results(rows, path)
+    back = spark.read.parquet(path)
+    return flat(back.select(
+        "run_id", "step", "status",
+        ledger.payload_metric("result", "auc").alias("auc"),
+        ledger.payload_metric("result", "recall").alias("recall"),
+        ledger.payload_metric("result", "cv_auc_mean", default=0.0).alias("cv_auc_mean"),
+    ))
+
+
 # ---------------------------------------------------------------- streaming
 
 

@@ -117,3 +117,18 @@ def test_hot_key_is_split_across_window_partitions(spark):
     plan = plan_text(out)
     assert "hashpartitioning(_k" in plan and "_b" in plan  # windows partitioned by (key, bucket)
     assert out.where(F.col("a") != F.col("sid").cast("double")).count() == 0
+
+
+def test_location_jumps(spark):
+    rows = [
+        (1, 1, ts("2024-01-01 00:00:00"), 0.0, 0.0),
+        (2, 1, ts("2024-01-01 01:00:00"), 0.0, 1.0),  # 1 degree of longitude on the equator in one hour
+        (3, 1, ts("2024-01-01 01:00:00"), 0.0, 5.0),  # same time as row 2: neither is the other's previous row
+        (4, 2, ts("2024-01-01 00:00:00"), 10.0, 10.0),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, k bigint, t timestamp_ntz, lat double, lon double")
+    out = rows_by(asof.location_jumps(df, "k", "t", "lat", "lon", "id"), "id")
+    assert out[1]["jump_km"] is None and out[4]["jump_km"] is None
+    assert abs(out[2]["jump_km"] - 111.19492664455873) < 1e-6
+    assert abs(out[2]["jump_kmh"] - 111.19492664455873) < 1e-6
+    assert abs(out[3]["jump_km"] - 5 * 111.19492664455873) < 1e-3
