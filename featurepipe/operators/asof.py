@@ -245,7 +245,8 @@ def location_jumps(df: DataFrame, key: str, ts: str, lat: str, lon: str, id_col:
     p1, p2 = F.col(lat) * rad, F.col("_prev_lat") * rad
     dphi, dlmb = p1 - p2, (F.col(lon) - F.col("_prev_lon")) * rad
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    km = F.lit(2 * 6371.0) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # ``least`` skips nulls, so guard the no-previous-row case explicitly.
+    km = F.when(a.isNotNull(), F.lit(2 * 6371.0) * F.asin(F.least(F.lit(1.0), F.sqrt(a))))
     hours = (epoch_micros(ts) - epoch_micros("_prev_ts")) / F.lit(HOUR_US)
     return j.withColumn("jump_km", km).withColumn("jump_kmh", F.when(hours > 0, km / hours)).drop(
         "_prev_id", "_prev_lat", "_prev_lon", "_prev_ts"
