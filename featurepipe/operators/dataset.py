@@ -2,15 +2,14 @@
 
 ``stratified_split`` and ``kfold`` give every row an exact rank within its
 label, ordered by a salted md5 of its id, without a window over a whole label:
-the rank is computed by ``bucketed_running_sum`` over hash buckets whose
-number grows with the data (about ``rows_per_bucket`` rows per window task).
+the rank is computed by ``bucketed_running_sum`` over 2^20 hash buckets, so a
+window task holds about n / 2^20 rows of one label.
 Test rows are the first round(fraction * n_label) of each label, so label
 shares are kept exactly; folds are (rank - 1) % k on the train rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +32,6 @@ FEATURE_COLUMNS = [
     "account_age_days",
     "annual_income",
 ]
-MAX_LABEL_VALUES = 1000
 
 
 def label_join(spark: SparkSession, customer_view: DataFrame, txn: DataFrame) -> DataFrame:
@@ -62,11 +60,7 @@ def feature_matrix(df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS, label:
     return out.na.fill(0.0, list(cols))
 
 
-def _label_counts(df: DataFrame, label: str) -> list[tuple]:
-    rows = df.groupBy(label).count().limit(MAX_LABEL_VALUES + 1).collect()
-    if len(rows) > MAX_LABEL_VALUES:
-        raise ValueError(f"more than {MAX_LABEL_VALUES} label values; not a classification label")
-    return [(r[0], r[1]) for r in rows]
+DEFAULT_HASH_BUCKETS = 1 << 20
 
 
 def salted_rank(
@@ -74,24 +68,20 @@ def salted_rank(
     id_col: str,
     label: str,
     salt: str = "",
-    rows_per_bucket: int = 1_000_000,
+    n_buckets: int = DEFAULT_HASH_BUCKETS,
     name: str = "_rank",
-) -> tuple[DataFrame, DataFrame]:
-    """Exact 1-based rank of each row within its label, ordered by (md5(id || salt), id).
+) -> DataFrame:
+    """Exact 1-based rank of each row within its label, ordered by (md5(id || salt), id); adds ``_n`` = label size.
 
-    Returns the ranked frame and the (label, n) counts frame. Only the label
-    counts (a bounded list) reach the driver, to size the buckets.
+    The hash prefix fixes the bucket (2^20 by default, so a window task sees
+    about n / 2^20 rows of a label); bucket totals, their running offsets and
+    the label sizes come from one small aggregate inside the same plan, so no
+    count reaches the driver.
     """
-    counts = _label_counts(df, label)
-    biggest = max((n for _, n in counts), default=0)
-    n_buckets = max(1, math.ceil(biggest / rows_per_bucket))
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(salt)))
     staged = df.withColumn("_h", h).withColumn("_hb", hash_bucket(F.col("_h"), n_buckets)).withColumn("_one", F.lit(1).cast("bigint"))
-    ranked = bucketed_running_sum(staged, [label], "_hb", [F.col("_h"), F.col(id_col)], ["_one"], prefix="_cum")
-    ranked = ranked.withColumnRenamed("_cum_one", name).drop("_h", "_hb", "_one")
-    spark = df.sparkSession
-    counts_df = F.broadcast(spark.createDataFrame(counts, f"{label} {df.schema[label].dataType.simpleString()}, _n bigint"))
-    return ranked, counts_df
+    ranked = bucketed_running_sum(staged, [label], "_hb", [F.col("_h"), F.col(id_col)], ["_one"], prefix="_cum", with_totals="_n")
+    return ranked.withColumnRenamed("_cum_one", name).drop("_h", "_hb", "_one")
 
 
 def stratified_split(
@@ -100,16 +90,12 @@ def stratified_split(
     label: str = "label",
     test_fraction: float = 0.2,
     salt: str = "",
-    rows_per_bucket: int = 1_000_000,
+    n_buckets: int = DEFAULT_HASH_BUCKETS,
 ) -> DataFrame:
     """M2: add ``split`` = 'test' for the first floor(test_fraction * n_label + 0.5) rows of each label."""
-    ranked, counts = salted_rank(df, id_col, label, salt, rows_per_bucket)
+    ranked = salted_rank(df, id_col, label, salt, n_buckets)
     n_test = F.floor(F.col("_n") * F.lit(test_fraction) + F.lit(0.5))
-    return (
-        ranked.join(counts, label, "inner")
-        .withColumn("split", F.when(F.col("_rank") <= n_test, F.lit("test")).otherwise(F.lit("train")))
-        .drop("_rank", "_n")
-    )
+    return ranked.withColumn("split", F.when(F.col("_rank") <= n_test, F.lit("test")).otherwise(F.lit("train"))).drop("_rank", "_n")
 
 
 def kfold(
@@ -118,11 +104,11 @@ def kfold(
     id_col: str = "txn_id",
     label: str = "label",
     salt: str = ":fold",
-    rows_per_bucket: int = 1_000_000,
+    n_buckets: int = DEFAULT_HASH_BUCKETS,
 ) -> DataFrame:
     """M3: stratified fold id in [0, k) for each train row: (rank - 1) % k under a second salt."""
-    ranked, _ = salted_rank(train, id_col, label, salt, rows_per_bucket)
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
+    ranked = salted_rank(train, id_col, label, salt, n_buckets)
+    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
 
 
 def write_versioned(df: DataFrame, target_dir: str, name: str, version: str) -> str:

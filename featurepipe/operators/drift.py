@@ -74,12 +74,16 @@ def binned_drift(binned: DataFrame, group_cols: Sequence[str], window_col: str,
     one distribution per group; every other row belongs to its window.
     """
     g = list(group_cols)
-    tagged = binned.withColumn("_base", is_baseline)
-    base = tagged.where("_base").groupBy(*g, bin_col).agg(F.count(F.lit(1)).alias("_bc"))
+    # One aggregation over the observations: counts per (group, window or baseline, bin).
+    counts = binned.groupBy(
+        *g, F.when(is_baseline, F.lit(None)).otherwise(F.col(window_col)).alias(window_col),
+        F.col(bin_col), is_baseline.alias("_base"),
+    ).agg(F.count(F.lit(1)).alias("_c"))
+    base = counts.where(F.col("_base")).select(*g, bin_col, F.col("_c").alias("_bc"))
     base = base.join(base.groupBy(*g).agg(F.sum("_bc").alias("_bn")), g, "inner").select(
         *g, bin_col, (F.col("_bc") / F.col("_bn")).alias("_bs")
     )
-    cur = tagged.where(~F.col("_base")).groupBy(*g, window_col, bin_col).agg(F.count(F.lit(1)).alias("_cc"))
+    cur = counts.where(~F.col("_base")).select(*g, window_col, bin_col, F.col("_c").alias("_cc"))
     cur = cur.join(cur.groupBy(*g, window_col).agg(F.sum("_cc").alias("_cn")), [*g, window_col], "inner").select(
         *g, window_col, bin_col, (F.col("_cc") / F.col("_cn")).alias("_cs")
     )
@@ -162,12 +166,15 @@ def ks_distance(
     """
     cut = F.lit(baseline_end).cast("timestamp_ntz")
     valid = scores.where(F.col(ts).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
-    base = valid.where(F.col(ts) < cut).groupBy(F.col(score).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_cb"))
-    cur = (
-        valid.where(F.col(ts) >= cut)
-        .groupBy(window_start(ts, width_us).alias("window_start"), F.col(score).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_cw"))
-    )
+    is_base = F.col(ts) < cut
+    # One aggregation over the rows: counts per (window or baseline, value).
+    counts = valid.groupBy(
+        F.when(is_base, F.lit(None)).otherwise(window_start(ts, width_us)).alias("window_start"),
+        F.col(score).cast("double").alias("_v"),
+        is_base.alias("_base"),
+    ).agg(F.count(F.lit(1)).alias("_c"))
+    base = counts.where(F.col("_base")).select("_v", F.col("_c").alias("_cb"))
+    cur = counts.where(~F.col("_base")).select("window_start", "_v", F.col("_c").alias("_cw"))
     nb = base.agg(F.sum("_cb").alias("_nb"))
     # Window CDF at each of its points.
     wtot = cur.groupBy("window_start").agg(F.sum("_cw").alias("_nw"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))

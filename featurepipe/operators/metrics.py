@@ -38,19 +38,20 @@ def binary_metrics(
     rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
         *seg, F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")
     )
-    pos = (F.col("_y") == 1).cast("bigint")
-    neg = (F.col("_y") == 0).cast("bigint")
+    # The only aggregation over raw rows: positives / negatives per distinct score.
+    per_score = rows.groupBy(*seg, "_s").agg(
+        F.sum((F.col("_y") == 1).cast("bigint")).alias("tp"), F.sum((F.col("_y") == 0).cast("bigint")).alias("fp")
+    )
     hit = F.col("_s") >= F.lit(threshold)
-    counts = rows.groupBy(*seg).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(pos).alias("positives"),
-        F.sum(neg).alias("negatives"),
-        F.sum(F.when(hit, pos).otherwise(0)).alias("_tp"),
-        F.sum(F.when(hit, neg).otherwise(0)).alias("_fp"),
+    counts = per_score.groupBy(*seg).agg(
+        F.sum(F.col("tp") + F.col("fp")).alias("n"),
+        F.sum("tp").alias("positives"),
+        F.sum("fp").alias("negatives"),
+        F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("_tp"),
+        F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
         F.min("_s").alias("_lo"),
         F.max("_s").alias("_hi"),
     )
-    per_score = rows.groupBy(*seg, "_s").agg(F.sum(pos).alias("tp"), F.sum(neg).alias("fp"))
     per_score = per_score.join(counts.select(*seg, "_lo", "_hi"), seg, "inner")
     per_score = per_score.withColumn("_sb", value_bucket(F.col("_s"), F.col("_lo"), F.col("_hi"), n_buckets))
     cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)

@@ -30,25 +30,31 @@ def bucketed_running_sum(
     sum_cols: Sequence[str],
     descending_buckets: bool = False,
     prefix: str = "cum_",
+    with_totals: str | None = None,
 ) -> DataFrame:
     """Add ``prefix + c`` = inclusive running sum of each ``c`` in ``sum_cols``.
 
     ``order`` must be a total order within ``partition_cols`` (ties aggregated
     beforehand) and ``bucket`` must be non-decreasing along it (non-increasing
-    when ``descending_buckets``).
+    when ``descending_buckets``). ``with_totals`` names an extra column holding
+    the partition's grand total of the first sum column.
     """
     p = list(partition_cols)
     b = F.col(bucket).desc() if descending_buckets else F.col(bucket).asc()
     totals = df.groupBy(*p, bucket).agg(*[F.sum(c).alias(c) for c in sum_cols])
     before = Window.partitionBy(*p).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    extra = []
+    if with_totals:
+        extra = [F.sum(sum_cols[0]).over(Window.partitionBy(*p)).alias(with_totals)]
     offsets = totals.select(
-        *p, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
+        *p, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *extra
     )
     upto = Window.partitionBy(*p, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = df.join(offsets, [*p, bucket], "inner")
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[(F.col(f"_off_{c}") + F.sum(c).over(upto)).alias(prefix + c) for c in sum_cols],
+        *([F.col(with_totals)] if with_totals else []),
     )
 
 

@@ -23,8 +23,8 @@ def _brute_rank(ids_labels, salt=""):
 def test_split_exact_shares_and_rank_with_many_buckets(spark):
     df = _frame(spark)
     want = _brute_rank([(i, int(i % 5 == 0)) for i in range(1000)])
-    for rows_per_bucket in (1_000_000, 37):  # one bucket / many buckets
-        got = {r.txn_id: r.split for r in dataset.stratified_split(df, rows_per_bucket=rows_per_bucket).collect()}
+    for n_buckets in (1, 3, 1 << 20):  # one bucket / many rows per bucket / about one row per bucket
+        got = {r.txn_id: r.split for r in dataset.stratified_split(df, n_buckets=n_buckets).collect()}
         for i, (y, rank, n) in want.items():
             assert got[i] == ("test" if rank <= int(n * 0.2 + 0.5) else "train")
     counts = dataset.stratified_split(df).groupBy("label", "split").count().collect()
@@ -34,7 +34,7 @@ def test_split_exact_shares_and_rank_with_many_buckets(spark):
 
 def test_kfold_disjoint_covering_balanced(spark):
     train = dataset.stratified_split(_frame(spark)).where("split = 'train'")
-    folds = dataset.kfold(train, k=5, rows_per_bucket=50)
+    folds = dataset.kfold(train, k=5, n_buckets=7)
     rows = folds.collect()
     assert len(rows) == train.count() and len({r.txn_id for r in rows}) == len(rows)
     per = {}
