@@ -18,6 +18,7 @@ one bucket, and the per-key carry windows see one row per bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,10 +30,65 @@ DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
 
 
+MINUTE_US = 60_000_000
+DEFAULT_MAX_BUCKET_ROWS = 5_000_000
+MAX_HOT_BUCKETS = 1_000_000
+
+
 def _bucket(us: Column, width_us: int) -> Column:
     return F.floor(us / F.lit(width_us)).cast("bigint")
 
 
+class TimeBuckets:
+    """Per-key time buckets, monotone in time, with hot buckets split finer.
+
+    A (key, coarse bucket) holding more than ``max_rows`` rows (over all given
+    frames) is cut into ``fine_us`` sub-buckets; every other one stays whole.
+    Bucket ids are ``coarse * SUB + sub`` (sub = 0 for whole buckets), so they
+    keep time order within a key and the carry logic of the callers does not
+    change. The hot list has at most (rows / max_rows) entries; it is
+    collected (bounded) and broadcast only when it is at most
+    ``MAX_HOT_BUCKETS`` long.
+    """
+
+    def __init__(self, frames: Sequence[DataFrame], coarse_us: int = DAY_US, fine_us: int = MINUTE_US,
+                 max_rows: int | None = DEFAULT_MAX_BUCKET_ROWS):
+        self.coarse_us, self.fine_us = coarse_us, fine_us
+        self.sub = 1 << max(0, math.ceil(math.log2(max(1, -(-coarse_us // fine_us)))))
+        self.hot = None
+        if max_rows is not None:
+            keys = None
+            for f in frames:
+                k = f.where(F.col("_us").isNotNull()).select("_k", _bucket(F.col("_us"), coarse_us).alias("_cb"))
+                keys = k if keys is None else keys.unionByName(k)
+            hot = keys.groupBy("_k", "_cb").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+            hot = hot.select("_k", "_cb", F.lit(True).alias("_hot"))
+            # One pass over (key, time); usually nothing is hot and the main plan
+            # is unchanged. The list holds at most rows / max_rows ids; above
+            # MAX_HOT_BUCKETS it stays a (shuffle) join instead of a broadcast.
+            found = hot.limit(MAX_HOT_BUCKETS + 1).collect()
+            if len(found) > MAX_HOT_BUCKETS:
+                self.hot = hot
+            elif found:
+                spark = hot.sparkSession
+                self.hot = F.broadcast(spark.createDataFrame(found, hot.schema))
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Add ``_b`` to a frame with ``_k`` and ``_us``."""
+        cb = _bucket(F.col("_us"), self.coarse_us)
+        df = df.withColumn("_cb", cb)
+        if self.hot is None:
+            return df.withColumn("_b", F.col("_cb") * F.lit(self.sub)).drop("_cb")
+        fine = F.floor((F.col("_us") - F.col("_cb") * F.lit(self.coarse_us)) / F.lit(self.fine_us)).cast("bigint")
+        df = df.join(self.hot, ["_k", "_cb"], "left")
+        b = F.col("_cb") * F.lit(self.sub) + F.when(F.col("_hot"), fine).otherwise(F.lit(0))
+        return df.withColumn("_b", b.cast("bigint")).drop("_cb", "_hot")
+
+    def start_us(self, b: Column) -> Column:
+        """First microsecond of bucket ``b``."""
+        return F.floor(b / F.lit(self.sub)) * F.lit(self.coarse_us) + F.pmod(b, F.lit(self.sub)) * F.lit(self.fine_us)
+
+
 def asof_join(
     spine: DataFrame,
     features: DataFrame,
@@ -43,6 +99,8 @@ def asof_join(
     strict: bool = False,
     bucket_us: int = DAY_US,
     feature_ts_alias: str | None = None,
+    fine_us: int = MINUTE_US,
+    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Left as-of join: each spine row gets the latest feature row of its key at or before its time.
 
@@ -63,17 +121,13 @@ def asof_join(
 
     spine_tag, feat_tag, carry_tag = (0, 1, -1) if strict else (1, 0, -1)
     f_struct = F.struct(F.col(feature_ts).alias("_fts"), *[F.col(f"`{c}`") for c in feature_cols])
-    feats = (
-        features.where(F.col(key).isNotNull() & F.col(feature_ts).isNotNull())
-        .select(F.col(key).alias("_k"), epoch_micros(feature_ts).alias("_us"), f_struct.alias("_f"))
-        .withColumn("_b", _bucket(F.col("_us"), bucket_us))
+    feats = features.where(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
+        F.col(key).alias("_k"), epoch_micros(feature_ts).alias("_us"), f_struct.alias("_f")
     )
     s_cols = [F.col(f"`{c}`") for c in spine.columns]
-    sp = spine.select(
-        F.col(key).alias("_k"),
-        epoch_micros(spine_ts).alias("_us"),
-        F.struct(*s_cols).alias("_s"),
-    ).withColumn("_b", _bucket(F.col("_us"), bucket_us))
+    sp = spine.select(F.col(key).alias("_k"), epoch_micros(spine_ts).alias("_us"), F.struct(*s_cols).alias("_s"))
+    buckets = TimeBuckets([sp, feats], bucket_us, fine_us, max_bucket_rows)
+    feats, sp = buckets.assign(feats), buckets.assign(sp)
 
     # Last feature row per (key, bucket): partial aggregation, skew-safe.
     last_in_bucket = feats.groupBy("_k", "_b").agg(F.max(F.struct("_us", "_f")).getField("_f").alias("_f"))
@@ -133,6 +187,8 @@ def running_features(
     label: str = "is_fraud",
     distinct_of: str = "merchant_id",
     bucket_us: int = DAY_US,
+    fine_us: int = MINUTE_US,
+    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Leak-safe history features of each transaction, from strictly earlier rows of its key.
 
@@ -141,7 +197,9 @@ def running_features(
     see each other. The running distinct count is the running sum of a
     first-seen flag per (key, merchant).
     """
-    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_b", _bucket(F.col("_us"), bucket_us))
+    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_k", F.col(key))
+    buckets = TimeBuckets([base], bucket_us, fine_us, max_bucket_rows)
+    base = buckets.assign(base).drop("_k")
     flaggable = F.col(distinct_of).isNotNull() & F.col("_us").isNotNull()
     base = first_seen_flag(base.where(flaggable), [key, distinct_of], "_us", id_col).unionByName(
         base.where(~flaggable | flaggable.isNull()).withColumn("_first", F.lit(0))
@@ -161,7 +219,7 @@ def running_features(
     carry = totals.select(
         "_k",
         "_b",
-        (F.col("_b") * F.lit(bucket_us) - 1).alias("_us"),
+        (buckets.start_us(F.col("_b")) - 1).cast("bigint").alias("_us"),
         *[F.sum(k).over(before).alias(k) for k in vals],
     ).where(F.col("_n").isNotNull())
     all_rows = rows.withColumn("_carry", F.lit(False)).unionByName(

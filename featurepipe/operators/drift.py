@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
-from featurepipe.operators.prefix import bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import VALUE_BUCKETS, bucketed_running_sum, value_bucket
 
 WEEK_US = 7 * 86_400_000_000
 EPS = 1e-6
@@ -153,7 +153,7 @@ def feature_drift(
 
 
 def ks_distance(
-    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US, n_buckets: int = 4096
+    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US, n_buckets: int = VALUE_BUCKETS
 ) -> DataFrame:
     """KS distance between each window's score sample and the baseline sample.
 

@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.operators.prefix import bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import VALUE_BUCKETS, bucketed_running_sum, value_bucket
 
 DEFAULT_THRESHOLDS = {"auc": 0.60, "precision": 0.03, "recall": 0.30}
 
@@ -29,7 +29,7 @@ def binary_metrics(
     label: str = "label",
     segment_cols: Sequence[str] = (),
     threshold: float = 0.5,
-    n_buckets: int = 4096,
+    n_buckets: int = VALUE_BUCKETS,
 ) -> DataFrame:
     seg = list(segment_cols)
     if not seg:  # one global segment, carried as a constant key (no cross joins)

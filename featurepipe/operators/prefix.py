@@ -21,6 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Default number of value buckets for ordered statistics (AUC/AP, quantiles,
+# KS). Bucket totals are one small row per bucket; a window task sees the
+# distinct values of one bucket, about distinct / 2^20 of them.
+VALUE_BUCKETS = 1 << 20
+
 
 def bucketed_running_sum(
     df: DataFrame,

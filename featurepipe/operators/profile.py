@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.operators.prefix import bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import VALUE_BUCKETS, bucketed_running_sum, value_bucket
 
 
 def _qname(q: float) -> str:
@@ -21,7 +21,7 @@ def _qname(q: float) -> str:
 
 
 def exact_quantiles(
-    df: DataFrame, group_cols: Sequence[str], value: str, qs: Sequence[float] = (0.25, 0.5, 0.75), n_buckets: int = 4096
+    df: DataFrame, group_cols: Sequence[str], value: str, qs: Sequence[float] = (0.25, 0.5, 0.75), n_buckets: int = VALUE_BUCKETS
 ) -> DataFrame:
     g = list(group_cols)
     if not g:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from helpers import plan_text, rows_by, timedelta, ts
 from pyspark.sql import functions as F
 
@@ -53,13 +54,16 @@ def _brute_asof(spine, feats, strict=False):
     return out
 
 
-def test_asof_matches_brute_force_across_buckets(spark):
+@pytest.mark.parametrize("max_rows", [None, 4])
+def test_asof_matches_brute_force_across_buckets(spark, max_rows):
+    """Coarse hour buckets; with max_rows=4 the busy (key, hour) buckets are split into 10-minute ones."""
     rnd = random.Random(7)
     base = ts("2024-01-01 00:00:00")
     spine = [(i, rnd.choice([1, 1, 1, 2, 3]), base + timedelta(minutes=rnd.randrange(0, 3000))) for i in range(300)]
     feats = [(rnd.choice([1, 1, 2, 3, 4]), base + timedelta(minutes=rnd.randrange(0, 3000)), float(rnd.randrange(5)), rnd.choice("xyz")) for _ in range(200)]
     for strict in (False, True):
-        got = rows_by(asof.asof_join(_spine(spark, spine), _feats(spark, feats), "k", "t", "ft", strict=strict, bucket_us=HOUR), "sid")
+        got = rows_by(asof.asof_join(_spine(spark, spine), _feats(spark, feats), "k", "t", "ft", strict=strict, bucket_us=HOUR,
+                                     fine_us=HOUR // 6, max_bucket_rows=max_rows), "sid")
         want = _brute_asof(spine, feats, strict)
         assert len(got) == len(spine)
         for sid, w in want.items():
@@ -67,7 +71,8 @@ def test_asof_matches_brute_force_across_buckets(spark):
             assert (None if g["ft"] is None else (g["ft"], g["a"], g["b"])) == w, (sid, g, w)
 
 
-def test_running_features_brute_force(spark):
+@pytest.mark.parametrize("max_rows", [None, 3])
+def test_running_features_brute_force(spark, max_rows):
     rnd = random.Random(3)
     base = ts("2024-01-01 00:00:00")
     rows = []
@@ -77,7 +82,7 @@ def test_running_features_brute_force(spark):
             t = rows[-1][4]  # ties
         rows.append((i, rnd.choice([1, 1, 1, 2]), rnd.choice([None, 1, 2, 3, 4]), float(rnd.randrange(1, 50)), t, rnd.choice([0, 1]), "m", "x"))
     df = spark.createDataFrame(rows, "txn_id bigint, customer_id bigint, merchant_id bigint, amount double, ts timestamp_ntz, is_fraud int, device_type string, event_type string")
-    got = rows_by(asof.running_features(df, bucket_us=HOUR), "txn_id")
+    got = rows_by(asof.running_features(df, bucket_us=HOUR, fine_us=HOUR // 4, max_bucket_rows=max_rows), "txn_id")
     vel = rows_by(asof.trailing_count(df, bucket_us=HOUR, window_us=HOUR), "txn_id")
     import statistics
 
