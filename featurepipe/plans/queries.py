@@ -523,9 +523,9 @@ def q50(spark, sf):
     ev = read_table(spark, sf, "events")
     _stage_files(ev, f"{state}/input", 6, "ts")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{state}/input")
-    q, view_path = refresh.incremental_customer_view(spark, stream, sf, state, n_buckets=16)
+    q, _ = refresh.incremental_customer_view(spark, stream, sf, state, n_buckets=16)
     q.awaitTermination()
-    return flat(spark.read.parquet(view_path).select(*views.CUSTOMER_VIEW_COLUMNS))
+    return flat(refresh.read_customer_view(spark, state, sf))
 
 
 @register("q51_streaming_window_summary")

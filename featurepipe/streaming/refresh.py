@@ -1,14 +1,21 @@
 """Incremental refresh with Structured Streaming.
 
-R1 keeps the customer view equal to a batch recompute. Exact distinct counts
-cannot be merged from old aggregates, so every micro-batch
-
-1. appends its rows to a raw store partitioned by (key bucket, batch id);
-   dynamic partition overwrite makes a replayed batch replace its own rows;
-2. finds the key buckets it touched (at most ``n_buckets`` values);
-3. recomputes every key of those buckets from the raw store (partition
-   pruning reads only those buckets);
-4. overwrites those bucket partitions of the view.
+R1 keeps the customer view equal to a batch recompute without rereading
+history. The state is three Parquet tables partitioned by a key bucket:
+
+* ``agg``: per customer, the additive parts of the view (row count, amount
+  count / mean / M2 for the sample deviation, max amount, fraud and late-night
+  counts, last time) plus the id of the last micro-batch merged into it;
+* ``merchants`` and ``days``: the distinct (customer, merchant) and
+  (customer, day-of-year) pairs, from which the exact distinct counts come.
+
+Every micro-batch reads only the partitions of the buckets it touches, merges
+its own partial aggregates (Chan's formula for mean/M2), unions its distinct
+pairs, and overwrites those partitions (dynamic partition overwrite; the merged
+frame is checkpointed first so the write never reads the files it replaces).
+Replays are idempotent: pair tables are set unions, and a customer whose
+``last_batch`` is already this batch keeps its state. Cost per batch grows with
+the batch and the touched state, not with history.
 
 R2 is the windowed score summary as a streaming aggregation with a watermark.
 Both use the session's checkpoint folder for their state, so a restarted query
@@ -22,46 +29,147 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.functions.columns import epoch_micros, ntz_from_micros, to_instant
-from featurepipe.operators.views import customer_risk_view
-from featurepipe.sources.roles import Roles, events_to_transactions, merchants, profiles
+from featurepipe.functions.columns import epoch_micros, is_late_night, ntz_from_micros, to_instant
+from featurepipe.sources.roles import events_to_transactions, profiles
 
 
 def _bucket_col(key: str, n_buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int")
 
 
+AGG_SCHEMA = (
+    "customer_id bigint, n_rows bigint, n_amt bigint, mean_amt double, m2_amt double, max_amt double, "
+    "fraud bigint, late bigint, max_ts timestamp_ntz, last_batch bigint, bucket int"
+)
+
+
+def _batch_parts(txn: DataFrame, batch_id: int) -> DataFrame:
+    """Partial state of one micro-batch, per customer."""
+    return txn.groupBy("customer_id", "bucket").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("amount").alias("n_amt"),
+        F.avg("amount").alias("mean_amt"),
+        (F.coalesce(F.var_pop("amount"), F.lit(0.0)) * F.count("amount")).alias("m2_amt"),
+        F.max("amount").alias("max_amt"),
+        F.sum(F.when(F.col("is_fraud") == 1, 1).otherwise(0)).cast("bigint").alias("fraud"),
+        F.sum(is_late_night("ts")).cast("bigint").alias("late"),
+        F.max("ts").alias("max_ts"),
+        F.lit(batch_id).cast("bigint").alias("last_batch"),
+    )
+
+
+def _merge(old: DataFrame, new: DataFrame, batch_id: int) -> DataFrame:
+    """Merge batch partials into the stored state (full outer join per customer)."""
+    o = old.select([F.col(c).alias(f"o_{c}") for c in old.columns])
+    j = o.join(new, (o.o_customer_id == new.customer_id), "full_outer")
+    applied = F.col("o_last_batch").isNotNull() & (F.col("o_last_batch") >= batch_id)
+    has_old, has_new = F.col("o_customer_id").isNotNull(), F.col("customer_id").isNotNull()
+    na, nb = F.coalesce(F.col("o_n_amt"), F.lit(0)), F.coalesce(F.col("n_amt"), F.lit(0))
+    n = na + nb
+    ma, mb = F.col("o_mean_amt"), F.col("mean_amt")
+    delta = mb - ma
+    mean = F.when(nb == 0, ma).when(na == 0, mb).otherwise(ma + delta * nb / n)
+    m2 = F.when(nb == 0, F.col("o_m2_amt")).when(na == 0, F.col("m2_amt")).otherwise(
+        F.col("o_m2_amt") + F.col("m2_amt") + delta * delta * na * nb / n
+    )
+
+    def pick(merged, name):
+        # keep the stored value when the batch was already applied or did not touch the customer
+        return F.when(~has_new | (has_old & applied), F.col(f"o_{name}")).when(~has_old, F.col(name)).otherwise(merged).alias(name)
+
+    def add(name):
+        return pick(F.col(f"o_{name}") + F.col(name), name)
+
+    return j.select(
+        F.coalesce("o_customer_id", "customer_id").alias("customer_id"),
+        add("n_rows"),
+        add("n_amt"),
+        pick(mean, "mean_amt"),
+        pick(m2, "m2_amt"),
+        pick(F.greatest("o_max_amt", "max_amt"), "max_amt"),
+        add("fraud"),
+        add("late"),
+        pick(F.greatest("o_max_ts", "max_ts"), "max_ts"),
+        F.greatest("o_last_batch", "last_batch").alias("last_batch"),
+        F.coalesce("o_bucket", "bucket").alias("bucket"),
+    )
+
+
+def _read_touched(spark: SparkSession, path: str, schema: str, touched: list[int]) -> DataFrame:
+    try:
+        df = spark.read.schema(schema).parquet(path)
+    except Exception:  # noqa: BLE001 - first batch: no state yet
+        return spark.createDataFrame([], schema)
+    return df.where(F.col("bucket").isin(touched))
+
+
+def _overwrite(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
 def incremental_customer_view(
     spark: SparkSession,
     events_stream: DataFrame,
     source_dir: str,
     state_dir: str,
-    n_buckets: int = 64,
+    n_buckets: int = 256,
     available_now: bool = True,
     processing_time: str = "1 hour",
 ):
-    """Start the R1 refresh; returns (query, view_path). ``events_stream`` has the events schema."""
-    raw_path = f"{state_dir}/raw"
-    view_path = f"{state_dir}/view"
-    prof = profiles(spark, source_dir)
-    merch = merchants(spark, source_dir)
+    """Start the R1 refresh; returns (query, state_dir). Read the view with :func:`read_customer_view`."""
+    agg_path, m_path, d_path = f"{state_dir}/agg", f"{state_dir}/merchants", f"{state_dir}/days"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        txn = events_to_transactions(batch).withColumn("bucket", _bucket_col("customer_id", n_buckets)).withColumn(
-            "batch_id", F.lit(batch_id)
-        )
-        (txn.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(raw_path))
-        touched = [r[0] for r in txn.select("bucket").distinct().collect()]  # at most n_buckets values
+        txn = events_to_transactions(batch).withColumn("bucket", _bucket_col("customer_id", n_buckets))
+        touched = [r[0] for r in txn.select("bucket").distinct().collect()]  # at most n_buckets ids
         if not touched:
             return
-        history = spark.read.parquet(raw_path).where(F.col("bucket").isin(touched)).drop("batch_id")
-        view = customer_risk_view(Roles(history.drop("bucket"), merch, prof))
-        view = view.withColumn("bucket", _bucket_col("customer_id", n_buckets))
-        (view.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(view_path))
+        # 1. distinct pairs: set union, idempotent under replay
+        for path, col, schema in (
+            (m_path, F.col("merchant_id"), "customer_id bigint, merchant_id bigint, bucket int"),
+            (d_path, F.dayofyear("ts"), "customer_id bigint, doy int, bucket int"),
+        ):
+            name = schema.split(", ")[1].split(" ")[0]
+            new = txn.where(col.isNotNull()).select("customer_id", col.cast(schema.split(", ")[1].split(" ")[1]).alias(name), "bucket")
+            merged = _read_touched(spark, path, schema, touched).unionByName(new).distinct()
+            _overwrite(merged.checkpoint(eager=True), path)
+        # 2. additive state, merged once per batch id
+        old = _read_touched(spark, agg_path, AGG_SCHEMA, touched)
+        merged = _merge(old, _batch_parts(txn, batch_id), batch_id)
+        _overwrite(merged.checkpoint(eager=True), agg_path)
 
     w = events_stream.writeStream.foreachBatch(refresh).option("checkpointLocation", f"{state_dir}/checkpoint")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start(), view_path
+    return w.start(), state_dir
+
+
+def read_customer_view(spark: SparkSession, state_dir: str, source_dir: str) -> DataFrame:
+    """The customer view from the incremental state: state ⋈ distinct counts ⋈ profile."""
+    agg = spark.read.parquet(f"{state_dir}/agg")
+    um = spark.read.parquet(f"{state_dir}/merchants").groupBy("customer_id").agg(F.count(F.lit(1)).alias("unique_merchants"))
+    ud = spark.read.parquet(f"{state_dir}/days").groupBy("customer_id").agg(F.count(F.lit(1)).alias("active_days"))
+    view = (
+        agg.join(um, "customer_id", "left")
+        .join(ud, "customer_id", "left")
+        .join(profiles(spark, source_dir), "customer_id", "inner")
+        .select(
+            "customer_id",
+            F.col("n_rows").alias("total_txn_count"),
+            F.col("mean_amt").alias("avg_txn_amount"),
+            F.col("max_amt").alias("max_txn_amount"),
+            F.when(F.col("n_amt") >= 2, F.sqrt(F.col("m2_amt") / (F.col("n_amt") - 1))).alias("stddev_txn_amount"),
+            F.coalesce("unique_merchants", F.lit(0)).alias("unique_merchants"),
+            F.col("fraud").alias("historical_fraud_count"),
+            (F.col("fraud") / F.col("n_rows")).alias("historical_fraud_rate"),
+            F.coalesce("active_days", F.lit(0)).alias("active_days"),
+            (F.col("late") / F.col("n_rows")).alias("late_night_txn_ratio"),
+            "credit_score",
+            "account_age_days",
+            "annual_income",
+            F.col("max_ts").alias("feature_ts"),
+        )
+    )
+    return view
 
 
 def streaming_window_summary(
@@ -107,4 +215,4 @@ def new_state_dir(work: str, name: str) -> str:
     return f"{work}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["incremental_customer_view", "streaming_window_summary", "new_state_dir", "epoch_micros"]
+__all__ = ["incremental_customer_view", "read_customer_view", "streaming_window_summary", "new_state_dir", "epoch_micros"]
