@@ -255,22 +255,33 @@ def trailing_count(
     window_us: int = HOUR_US,
     bucket_us: int = DAY_US,
     name: str = "txn_count_last_hour",
+    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """Number of earlier rows of the same key in the trailing window (row itself excluded).
 
-    Each row is a target in its own bucket and context in the next one; with
-    ``bucket_us >= window_us`` every earlier row within the window is in the
-    target's bucket or the one before.
+    Rows are windowed per (key, time bucket); buckets are days, and a hot
+    (key, day) is split into buckets one window long, so every bucket is at
+    least a window wide. A row at time t is needed by targets in (t, t + window],
+    which lie in its own bucket or in the bucket holding t + window; it is
+    copied into the latter only when that is a different bucket (rows in the
+    last window-length of a bucket), so the extra shuffle volume is about
+    window / bucket of the rows.
     """
     if bucket_us < window_us:
         raise ValueError("bucket_us must be at least window_us")
-    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_b", _bucket(F.col("_us"), bucket_us))
-    target = base.withColumn("_target", F.lit(True))
-    context = base.where(F.col("_us").isNotNull()).select(
-        F.col(key), "_us", (F.col("_b") + 1).alias("_b"), F.lit(False).alias("_target")
+    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_k", F.col(key))
+    buckets = TimeBuckets([base], bucket_us, window_us, max_bucket_rows)
+    target = buckets.assign(base).withColumn("_target", F.lit(True))
+    shifted = target.where(F.col("_us").isNotNull()).select(
+        "_k", F.col("_us").alias("_orig"), (F.col("_us") + F.lit(window_us)).alias("_us"), F.col("_b").alias("_own")
+    )
+    context = (
+        buckets.assign(shifted)
+        .where(F.col("_b") != F.col("_own"))
+        .select("_k", F.col("_orig").alias("_us"), "_b", F.lit(False).alias("_target"))
     )
     rows = target.unionByName(context, allowMissingColumns=True)
-    frame = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-window_us, -1)
+    frame = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-window_us, -1)
     return (
         rows.withColumn(name, F.when(F.col("_us").isNotNull(), F.count(F.lit(1)).over(frame)).otherwise(F.lit(0)))
         .where(F.col("_target"))

@@ -83,7 +83,7 @@ def test_running_features_brute_force(spark, max_rows):
         rows.append((i, rnd.choice([1, 1, 1, 2]), rnd.choice([None, 1, 2, 3, 4]), float(rnd.randrange(1, 50)), t, rnd.choice([0, 1]), "m", "x"))
     df = spark.createDataFrame(rows, "txn_id bigint, customer_id bigint, merchant_id bigint, amount double, ts timestamp_ntz, is_fraud int, device_type string, event_type string")
     got = rows_by(asof.running_features(df, bucket_us=HOUR, fine_us=HOUR // 4, max_bucket_rows=max_rows), "txn_id")
-    vel = rows_by(asof.trailing_count(df, bucket_us=HOUR, window_us=HOUR), "txn_id")
+    vel = rows_by(asof.trailing_count(df, bucket_us=4 * HOUR, window_us=HOUR, max_bucket_rows=max_rows), "txn_id")
     import statistics
 
     for r in rows:
