@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from featurepipe.operators.dataset import FEATURE_COLUMNS
 from featurepipe.operators.metrics import binary_metrics
+from featurepipe.session import work_dir
 
 # Hyper-parameters of the reference's training step (fixed values).
 DEFAULT_PARAMS = {"max_iter": 200, "step_size": 0.1, "max_depth": 6, "pos_weight": 33.0, "seed": 42}
@@ -51,6 +52,7 @@ def _weighted(df: DataFrame, label: str, pos_weight: float) -> DataFrame:
 def fit_gbt(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = 200,
             step_size: float = 0.1, max_depth: int = 6, pos_weight: float = 33.0, seed: int = 42) -> PipelineModel:
     """M4: fit assembler + GBT. Tree state is checkpointed every 10 iterations to the session's checkpoint dir."""
+    work_dir(train.sparkSession)  # GBT checkpoints its state into the shared folder
     pipe = build_pipeline(features, label, max_iter, step_size, max_depth, seed)
     return pipe.fit(_weighted(train, label, pos_weight))
 
@@ -67,15 +69,22 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id"
 def cross_validate(train_folds: DataFrame, k: int = 5, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label",
                    **fit_args) -> DataFrame:
     """M5: fit on k-1 folds, AUC on the held fold; one row per fold (AUC computed distributed)."""
+    work_dir(train_folds.sparkSession)
     train_folds = train_folds.persist()
-    scored = []
-    for f in range(k):
-        model = fit_gbt(train_folds.where(F.col("fold") != f), features, label, **fit_args)
-        held = train_folds.where(F.col("fold") == f)
-        scored.append(predict(model, held, keep=[label]).withColumn("fold", F.lit(f)))
-    allp = scored[0]
-    for s in scored[1:]:
-        allp = allp.unionByName(s)
+    try:
+        scored = []
+        for f in range(k):
+            model = fit_gbt(train_folds.where(F.col("fold") != f), features, label, **fit_args)
+            held = train_folds.where(F.col("fold") == f)
+            scored.append(predict(model, held, keep=[label]).withColumn("fold", F.lit(f)))
+        allp = scored[0]
+        for s in scored[1:]:
+            allp = allp.unionByName(s)
+        # Materialise the held-out predictions (reliable checkpoint) so the cached
+        # training frame can be released before returning a lazy result.
+        allp = allp.checkpoint(eager=True)
+    finally:
+        train_folds.unpersist()
     return binary_metrics(allp, score="p1", label=label, segment_cols=["fold"]).select("fold", "n", "auc")
 
 

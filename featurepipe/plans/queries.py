@@ -220,12 +220,15 @@ def q14l(spark, sf):
 
 @register("q15_gbt_fit_score")
 def q15(spark, sf):
-    """M4 + M6 + M12: fit on the train split, save, load, score the test split (rows check)."""
+    """M4 + M6 + M9 + M12: fit on the train split, save, load, score the test split table to table (rows check)."""
     split = _split(spark, sf)
     fitted = model.fit_gbt(split.where(F.col("split") == "train"), max_iter=CHECK_MAX_ITER)
-    path = _scratch(spark, "models") + "/FRAUD_GBT/V1"
-    model.save_model(fitted, path)
-    return model.predict(model.load_model(path), split.where(F.col("split") == "test"), keep=("txn_id", "label"))
+    base = _scratch(spark, "models")
+    model.save_model(fitted, f"{base}/FRAUD_GBT/V1")
+    out = f"{base}/FRAUD_SCORES"
+    model.score_table(model.load_model(f"{base}/FRAUD_GBT/V1"), split.where(F.col("split") == "test"), out,
+                      keep=("txn_id", "label"), prediction_ts=F.lit(HISTORY_AS_OF).cast("timestamp_ntz"))
+    return spark.read.parquet(out)
 
 
 @register("q16_cross_validation")
