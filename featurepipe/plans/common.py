@@ -24,7 +24,7 @@ def flat(df: DataFrame, digits: int = DIGITS, as_double: tuple[str, ...] = ()) -
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if f.name in as_double or isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") * F.lit(NUDGE), digits)
+            c = F.round(c.cast("double") * F.lit(NUDGE), digits) + F.lit(0.0)  # + 0.0 turns -0.0 into 0.0
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

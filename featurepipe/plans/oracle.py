@@ -70,7 +70,7 @@ def out(src: str, spec: str) -> str:
     for item in spec.split():
         name, kind = item.split(":")
         if kind == "d":
-            cols.append(f"round(CAST({name} AS DOUBLE) * CAST(1.000000000001 AS DOUBLE), {R}) AS {name}")
+            cols.append(f"round(CAST({name} AS DOUBLE) * CAST(1.000000000001 AS DOUBLE), {R}) + 0.0 AS {name}")
         elif kind == "i":
             cols.append(f"CAST({name} AS BIGINT) AS {name}")
         else:
@@ -385,12 +385,13 @@ SQL: dict[str, str] = {
 }
 SQL["q51_streaming_window_summary"] = SQL["q33_window_summary"]
 SQL["q47_recent_task_history"] = out("""(SELECT o_orderpriority AS name, o_orderstatus AS state, o_orderdate AS scheduled_time,
+        substr(concat_ws(': ', o_orderpriority, o_orderstatus), 1, 12) AS message,
         l_shipdate AS completed_time, datediff('second', o_orderdate, l_shipdate) AS duration_s,
         l_orderkey, l_linenumber, l_partkey, l_suppkey
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE o_orderdate > TIMESTAMP '1998-06-30' - INTERVAL 7 DAYS AND o_orderdate <= TIMESTAMP '1998-06-30'
           AND o_orderpriority LIKE '1-%'
         ORDER BY scheduled_time DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC LIMIT 20)""",
-    "name:s state:s scheduled_time:t completed_time:t duration_s:i l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i")
+    "name:s state:s scheduled_time:t completed_time:t duration_s:i l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i message:s")
 SQL["q48_result_payloads"] = out(f"""(SELECT 'segment=' || device_type AS run_id, 'training' AS step, 'SUCCESS' AS status,
         auc, recall, 0.0 AS cv_auc_mean FROM {seg_metrics(E_TXN)} m)""", "run_id:s step:s status:s auc:d recall:d cv_auc_mean:d")

@@ -488,7 +488,9 @@ def q47(spark, sf):
     top = ledger.recent_history(runs, "scheduled_time", HISTORY_AS_OF, "7 days",
                                 ["scheduled_time", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 20,
                                 name_col="name", name_prefix="1-")
-    return flat(top)
+    # The status line of the report: name and state, cut to 12 characters.
+    message = F.substring(F.concat_ws(": ", "name", "state"), 1, 12)
+    return flat(top.withColumn("message", message))
 
 
 @register("q48_result_payloads")
