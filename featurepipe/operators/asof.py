@@ -204,47 +204,89 @@ def running_features(
     base = first_seen_flag(base.where(flaggable), [key, distinct_of], "_us", id_col).unionByName(
         base.where(~flaggable | flaggable.isNull()).withColumn("_first", F.lit(0))
     )
-    vals = {
-        "_n": F.when(F.col("_us").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint"),
-        "_sum": F.col(amount).cast("double"),
-        "_sq": (F.col(amount) * F.col(amount)).cast("double"),
-        "_cnt": F.when(F.col(amount).isNotNull(), 1).otherwise(0).cast("bigint"),
-        "_fraud": F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint"),
-        "_uniq": F.col("_first").cast("bigint"),
-    }
-    rows = base.select(*[F.col(f"`{c}`") for c in txn.columns], F.col(key).alias("_k"), "_us", "_b", *[v.alias(k) for k, v in vals.items()])
-    # Totals per (key, bucket) and the running total of all earlier buckets.
-    totals = rows.where(F.col("_b").isNotNull()).groupBy("_k", "_b").agg(*[F.sum(k).alias(k) for k in vals])
-    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        "_k",
+    amt = F.col(amount).cast("double")
+    rows = base.select(
+        *[F.col(f"`{c}`") for c in txn.columns],
+        F.col(key).alias("_k"),
+        "_us",
         "_b",
-        (buckets.start_us(F.col("_b")) - 1).cast("bigint").alias("_us"),
-        *[F.sum(k).over(before).alias(k) for k in vals],
-    ).where(F.col("_n").isNotNull())
+        F.when(F.col("_us").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("_n"),
+        amt.alias("_amt"),
+        F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint").alias("_fraud"),
+        F.col("_first").cast("bigint").alias("_uniq"),
+    )
+    # Per (key, bucket): counts and the bucket's own mean / M2 (Welford inside Spark's aggregate).
+    totals = rows.where(F.col("_b").isNotNull()).groupBy("_k", "_b").agg(
+        F.sum("_n").alias("_n"),
+        F.count("_amt").alias("_cnt"),
+        F.avg("_amt").alias("_mean"),
+        (F.coalesce(F.var_pop("_amt"), F.lit(0.0)) * F.count("_amt")).alias("_m2"),
+        F.sum("_fraud").alias("_fraud"),
+        F.sum("_uniq").alias("_uniq"),
+    )
+    # Carry of all earlier buckets. Means are combined around a per-key shift
+    # (the key's first bucket mean), so no large sums of squares cancel.
+    per_key = Window.partitionBy("_k").orderBy("_b")
+    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.first("_mean", ignorenulls=True).over(per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    d = F.col("_mean") - F.col("_shift")
+    carry = (
+        totals.withColumn("_shift", shift)
+        .select(
+            "_k",
+            "_b",
+            (buckets.start_us(F.col("_b")) - 1).cast("bigint").alias("_us"),
+            F.sum("_n").over(before).alias("_c_n"),
+            F.sum("_cnt").over(before).alias("_c_cnt"),
+            F.sum(F.col("_cnt") * d).over(before).alias("_c_a"),
+            F.sum(F.col("_cnt") * d * d).over(before).alias("_c_b"),
+            F.sum("_m2").over(before).alias("_c_m2"),
+            F.sum("_fraud").over(before).alias("_c_fraud"),
+            F.sum("_uniq").over(before).alias("_c_uniq"),
+            "_shift",
+        )
+        .where(F.col("_c_n").isNotNull())
+        .select(
+            "_k", "_b", "_us", "_c_n", "_c_cnt", "_c_fraud", "_c_uniq",
+            F.when(F.col("_c_cnt") > 0, F.col("_shift") + F.col("_c_a") / F.col("_c_cnt")).alias("_c_mean"),
+            F.when(F.col("_c_cnt") > 0, F.col("_c_m2") + F.col("_c_b") - F.col("_c_a") * F.col("_c_a") / F.col("_c_cnt")).alias("_c_m2"),
+        )
+    )
     all_rows = rows.withColumn("_carry", F.lit(False)).unionByName(
         carry.withColumn("_carry", F.lit(True)), allowMissingColumns=True
     )
+    # Strictly earlier rows of the bucket (rows at the same time never see each other) + the carry row.
     prior = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
-    s = {k: F.coalesce(F.sum(k).over(prior), F.lit(0)) for k in vals}
-    n = s["_cnt"]
-    var = F.when(n >= 2, F.greatest((s["_sq"] - s["_sum"] * s["_sum"] / n) / (n - 1), F.lit(0.0)))
-    out = all_rows.select(
+    nw = F.count("_amt").over(prior)
+    mw = F.avg("_amt").over(prior)
+    m2w = F.coalesce(F.var_pop("_amt").over(prior), F.lit(0.0)) * nw
+    cc = F.coalesce(F.max("_c_cnt").over(prior), F.lit(0))
+    mc = F.max("_c_mean").over(prior)
+    m2c = F.coalesce(F.max("_c_m2").over(prior), F.lit(0.0))
+    staged = all_rows.select(
         "*",
-        s["_n"].alias("prior_txn_count"),
-        F.when(n > 0, s["_sum"] / n).alias("prior_avg_amount"),
-        F.sqrt(var).alias("prior_stddev_amount"),
-        s["_fraud"].alias("prior_fraud_count"),
-        s["_uniq"].alias("prior_unique_merchants"),
+        (F.coalesce(F.sum("_n").over(prior), F.lit(0)) + F.coalesce(F.max("_c_n").over(prior), F.lit(0))).alias("_pn"),
+        (F.coalesce(F.sum("_fraud").over(prior), F.lit(0)) + F.coalesce(F.max("_c_fraud").over(prior), F.lit(0))).alias("_pf"),
+        (F.coalesce(F.sum("_uniq").over(prior), F.lit(0)) + F.coalesce(F.max("_c_uniq").over(prior), F.lit(0))).alias("_pu"),
+        nw.alias("_nw"), mw.alias("_mw"), m2w.alias("_m2w"), cc.alias("_cc"), mc.alias("_mc"), m2c.alias("_m2c"),
     ).where(~F.col("_carry"))
-    # Rows without a time have no history.
+    # Chan's combination of the carry (earlier buckets) with this bucket's prefix.
+    n = F.col("_cc") + F.col("_nw")
+    delta = F.col("_mw") - F.col("_mc")
+    mean = F.when(F.col("_nw") == 0, F.col("_mc")).when(F.col("_cc") == 0, F.col("_mw")).otherwise(
+        F.col("_mc") + delta * F.col("_nw") / n
+    )
+    m2 = F.when(F.col("_nw") == 0, F.col("_m2c")).when(F.col("_cc") == 0, F.col("_m2w")).otherwise(
+        F.col("_m2c") + F.col("_m2w") + delta * delta * F.col("_cc") * F.col("_nw") / n
+    )
     no_time = F.col("_us").isNull()
-    return out.select(
+    return staged.select(
         *[F.col(f"`{c}`") for c in txn.columns],
-        *[
-            F.when(~no_time, F.col(c)).otherwise(F.lit(0) if c.endswith(("count", "merchants")) else F.lit(None)).alias(c)
-            for c in ["prior_txn_count", "prior_avg_amount", "prior_stddev_amount", "prior_fraud_count", "prior_unique_merchants"]
-        ],
+        F.when(no_time, F.lit(0)).otherwise(F.col("_pn")).cast("bigint").alias("prior_txn_count"),
+        F.when(~no_time & (n > 0), mean).alias("prior_avg_amount"),
+        F.when(~no_time & (n >= 2), F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias("prior_stddev_amount"),
+        F.when(no_time, F.lit(0)).otherwise(F.col("_pf")).cast("bigint").alias("prior_fraud_count"),
+        F.when(no_time, F.lit(0)).otherwise(F.col("_pu")).cast("bigint").alias("prior_unique_merchants"),
     )
 
 

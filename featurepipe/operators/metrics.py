@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.operators.prefix import VALUE_BUCKETS, bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
 
 DEFAULT_THRESHOLDS = {"auc": 0.60, "precision": 0.03, "recall": 0.30}
 
@@ -29,7 +29,7 @@ def binary_metrics(
     label: str = "label",
     segment_cols: Sequence[str] = (),
     threshold: float = 0.5,
-    n_buckets: int = VALUE_BUCKETS,
+    n_buckets: int | None = VALUE_BUCKETS,
 ) -> DataFrame:
     seg = list(segment_cols)
     if not seg:  # one global segment, carried as a constant key (no cross joins)
@@ -51,9 +51,11 @@ def binary_metrics(
         F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
         F.min("_s").alias("_lo"),
         F.max("_s").alias("_hi"),
+        F.count(F.lit(1)).alias("_nd"),
     )
-    per_score = per_score.join(counts.select(*seg, "_lo", "_hi"), seg, "inner")
-    per_score = per_score.withColumn("_sb", value_bucket(F.col("_s"), F.col("_lo"), F.col("_hi"), n_buckets))
+    per_score = per_score.join(counts.select(*seg, "_lo", "_hi", "_nd"), seg, "inner")
+    nb = bucket_count(n_buckets, F.col("_nd"))
+    per_score = per_score.withColumn("_sb", value_bucket(F.col("_s"), F.col("_lo"), F.col("_hi"), nb)).drop("_nd")
     cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)
     curve = cum.groupBy(*seg).agg(
         F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)).alias("_auc_num"),

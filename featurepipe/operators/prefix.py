@@ -21,10 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default number of value buckets for ordered statistics (AUC/AP, quantiles,
-# KS). Bucket totals are one small row per bucket; a window task sees the
-# distinct values of one bucket, about distinct / 2^20 of them.
-VALUE_BUCKETS = 1 << 20
+# Value buckets for ordered statistics (AUC/AP, quantiles, KS): None means
+# about sqrt(distinct values) buckets per partition, decided inside the plan.
+# Both levels of ``bucketed_running_sum`` then see about sqrt(n) rows: the
+# offsets window one row per bucket, each bucket window about sqrt(n) values.
+VALUE_BUCKETS = None
 
 
 def bucketed_running_sum(
@@ -69,8 +70,18 @@ def hash_bucket(key_hex: Column, n_buckets: int) -> Column:
     return ((prefix * F.lit(n_buckets)) / F.lit(4294967296)).cast("bigint")
 
 
-def value_bucket(value: Column, lo: Column, hi: Column, n_buckets: int) -> Column:
-    """Equal-width bucket of ``value`` over [lo, hi], monotone in ``value``."""
+def value_bucket(value: Column, lo: Column, hi: Column, n_buckets: int | Column) -> Column:
+    """Equal-width bucket of ``value`` over [lo, hi], monotone in ``value`` (``n_buckets`` may be a column)."""
+    nb = n_buckets if isinstance(n_buckets, Column) else F.lit(n_buckets)
     span = hi - lo
-    raw = F.floor(F.try_divide(value - lo, span) * n_buckets)
-    return F.least(F.greatest(F.coalesce(raw, F.lit(0)), F.lit(0)), F.lit(n_buckets - 1)).cast("bigint")
+    raw = F.floor(F.try_divide(value - lo, span) * nb)
+    return F.least(F.greatest(F.coalesce(raw, F.lit(0)), F.lit(0)), nb - 1).cast("bigint")
+
+
+def sqrt_buckets(n_distinct: Column) -> Column:
+    """About sqrt(n) buckets for n distinct values (at least 1)."""
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(n_distinct))).cast("bigint")
+
+
+def bucket_count(n_buckets: int | None, n_distinct: Column) -> Column:
+    return sqrt_buckets(n_distinct) if n_buckets is None else F.lit(n_buckets)

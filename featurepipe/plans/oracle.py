@@ -211,6 +211,22 @@ VELOCITY = f"""(
     ON a.customer_id = b.customer_id AND b.us >= a.us - 3600000000 AND b.us <= a.us - 1
   GROUP BY a.txn_id, a.customer_id)"""
 
+L_US = f"(SELECT *, epoch_us(ts) AS us FROM {L_TXN} t)"
+RUNNING_L = f"""(
+  SELECT a.txn_id, a.customer_id,
+         count(b.txn_id) AS prior_txn_count,
+         avg(b.amount) AS prior_avg_amount,
+         stddev_samp(b.amount) AS prior_stddev_amount,
+         coalesce(sum(CASE WHEN b.is_fraud = 1 THEN 1 ELSE 0 END), 0) AS prior_fraud_count,
+         count(DISTINCT b.merchant_id) AS prior_unique_merchants
+  FROM {L_US} a LEFT JOIN {L_US} b ON a.customer_id = b.customer_id AND b.us < a.us
+  GROUP BY a.txn_id, a.customer_id)"""
+VELOCITY_L = f"""(
+  SELECT a.txn_id, a.customer_id, count(b.txn_id) AS txn_count_last_2_days
+  FROM {L_US} a LEFT JOIN {L_US} b
+    ON a.customer_id = b.customer_id AND b.us >= a.us - 172800000000 AND b.us <= a.us - 1
+  GROUP BY a.txn_id, a.customer_id)"""
+
 WEEK = "time_bucket(INTERVAL '7 days', {c}, TIMESTAMP '1970-01-01')"
 SCORES_E = scores_table(E_TXN)
 CUT_E = "TIMESTAMP '2024-01-15'"
@@ -384,6 +400,8 @@ SQL: dict[str, str] = {
     "q50_incremental_view": cust_view_out(E_TXN),
 }
 SQL["q51_streaming_window_summary"] = SQL["q33_window_summary"]
+SQL["q04_running_features_lineitem"] = out(RUNNING_L, "txn_id:s customer_id:i prior_txn_count:i prior_avg_amount:d prior_stddev_amount:d prior_fraud_count:i prior_unique_merchants:i")
+SQL["q24_velocity_lineitem"] = out(VELOCITY_L, "txn_id:s customer_id:i txn_count_last_2_days:i")
 SQL["q47_recent_task_history"] = out("""(SELECT o_orderpriority AS name, o_orderstatus AS state, o_orderdate AS scheduled_time,
         substr(concat_ws(': ', o_orderpriority, o_orderstatus), 1, 12) AS message,
         l_shipdate AS completed_time, datediff('second', o_orderdate, l_shipdate) AS duration_s,

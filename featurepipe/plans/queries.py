@@ -91,6 +91,14 @@ def q04(spark, sf):
                            "prior_fraud_count", "prior_unique_merchants"))
 
 
+@register("q04_running_features_lineitem")
+def q04l(spark, sf):
+    """X1 on lineitem ⋈ orders: every time is midnight, so most rows tie with others of their day."""
+    out = asof.running_features(roles(spark, sf, "lineitem").transactions)
+    return flat(out.select("txn_id", "customer_id", "prior_txn_count", "prior_avg_amount", "prior_stddev_amount",
+                           "prior_fraud_count", "prior_unique_merchants"))
+
+
 @register("q05_transaction_view")
 def q05(spark, sf):
     return flat(views.transaction_context_view(roles(spark, sf)))
@@ -282,6 +290,14 @@ def q24(spark, sf):
     return flat(out.select("txn_id", "customer_id", "txn_count_last_hour"))
 
 
+@register("q24_velocity_lineitem")
+def q24l(spark, sf):
+    """X2 on lineitem ⋈ orders with a 2-day window (dates only): earlier rows within the window, same key."""
+    out = asof.trailing_count(roles(spark, sf, "lineitem").transactions, window_us=2 * asof.DAY_US,
+                              bucket_us=8 * asof.DAY_US, name="txn_count_last_2_days")
+    return flat(out.select("txn_id", "customer_id", "txn_count_last_2_days"))
+
+
 @register("q25_amount_zscore")
 def q25(spark, sf):
     out = asof.amount_zscore(asof.running_features(roles(spark, sf).transactions))

@@ -31,7 +31,7 @@ def _brute(rows):
     return auc, ap, precision, recall, f1
 
 
-@pytest.mark.parametrize("n_buckets", [4096, 3])
+@pytest.mark.parametrize("n_buckets", [None, 4096, 3])
 def test_metrics_match_brute_force_with_ties(spark, n_buckets):
     rnd = random.Random(11)
     rows = [(round(rnd.random(), 2), rnd.choice([0, 0, 1]), rnd.choice("ab")) for _ in range(400)]
