@@ -64,13 +64,20 @@ def cust_view(txn: str) -> str:
   JOIN {PROF} p ON a.customer_id = p.customer_id)"""
 
 
+def rounded(x: str) -> str:
+    """About 8 significant digits, decimals by magnitude (as plans.common.rounded)."""
+    v = f"({x} * CAST(1.000000000001 AS DOUBLE))"
+    return (f"(CASE WHEN abs({x}) < 100 THEN round({v}, 6) WHEN abs({x}) < 10000 THEN round({v}, 4) "
+            f"WHEN abs({x}) < 1000000 THEN round({v}, 2) ELSE round({v}, 0) END + 0.0)")
+
+
 def out(src: str, spec: str) -> str:
     """SELECT the columns of ``spec`` ('name:kind', kind d=double rounded, i=bigint, other=as is) from ``src``."""
     cols = []
     for item in spec.split():
         name, kind = item.split(":")
         if kind == "d":
-            cols.append(f"round(CAST({name} AS DOUBLE) * CAST(1.000000000001 AS DOUBLE), {R}) + 0.0 AS {name}")
+            cols.append(f"{rounded(f'CAST({name} AS DOUBLE)')} AS {name}")
         elif kind == "i":
             cols.append(f"CAST({name} AS BIGINT) AS {name}")
         else:
