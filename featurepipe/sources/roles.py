@@ -45,7 +45,7 @@ def profiles(spark: SparkSession, source_dir: str) -> DataFrame:
 
 
 def event_transactions(spark: SparkSession, source_dir: str) -> DataFrame:
-    return events_to_transactions(read_table(spark, source_dir, "events", spread=True))
+    return events_to_transactions(read_table(spark, source_dir, "events", spread_by="event_id"))
 
 
 def events_to_transactions(e: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def events_to_transactions(e: DataFrame) -> DataFrame:
 
 
 def lineitem_transactions(spark: SparkSession, source_dir: str) -> DataFrame:
-    li = read_table(spark, source_dir, "lineitem", spread=True)
+    li = read_table(spark, source_dir, "lineitem", spread_by="l_orderkey")
     o = read_table(spark, source_dir, "orders").select("o_orderkey", "o_custkey")
     # (orderkey, linenumber) is not unique in the fixture; these five columns are.
     txn_id = F.concat_ws(

@@ -11,21 +11,22 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, source_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, source_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
     """Scan one Parquet table. Column pruning and filter pushdown reach this scan.
 
-    ``spread=True`` (fact tables) guards against under-split input: a file
-    written as one row group is read by one task, so every map-side step after
-    the scan (join probe, Expand, partial aggregation) would run serially.
-    When the scan has fewer partitions than the session's default parallelism,
-    it is redistributed round-robin. On large inputs (thousands of splits)
-    this never triggers and adds no shuffle.
+    ``spread_by`` (fact tables: a high-cardinality key) guards against
+    under-split input: a file written as one row group is read by one task, so
+    every map-side step after the scan (join probe, Expand, partial
+    aggregation) would run serially. When the scan has fewer partitions than
+    the session's default parallelism, it is hash-partitioned on that key
+    (deterministic on retry, no pre-sort as round-robin needs). On large inputs
+    (thousands of splits) this never triggers and adds no shuffle.
     """
     df = spark.read.parquet(f"{source_dir.rstrip('/')}/{name}.parquet")
-    if spread:
+    if spread_by is not None:
         target = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
+            df = df.repartition(target, spread_by)
     return df
 
 
