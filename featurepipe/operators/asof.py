@@ -279,7 +279,8 @@ def running_features(
     m2 = F.when(F.col("_nw") == 0, F.col("_m2c")).when(F.col("_cc") == 0, F.col("_m2w")).otherwise(
         F.col("_m2c") + F.col("_m2w") + delta * delta * F.col("_cc") * F.col("_nw") / n
     )
-    no_time = F.col("_us").isNull()
+    # Rows without a time or without a key have no history (equi-join semantics: null keys match nothing).
+    no_time = F.col("_us").isNull() | F.col("_k").isNull()
     return staged.select(
         *[F.col(f"`{c}`") for c in txn.columns],
         F.when(no_time, F.lit(0)).otherwise(F.col("_pn")).cast("bigint").alias("prior_txn_count"),
@@ -324,8 +325,9 @@ def trailing_count(
     )
     rows = target.unionByName(context, allowMissingColumns=True)
     frame = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-window_us, -1)
+    has_history = F.col("_us").isNotNull() & F.col("_k").isNotNull()
     return (
-        rows.withColumn(name, F.when(F.col("_us").isNotNull(), F.count(F.lit(1)).over(frame)).otherwise(F.lit(0)))
+        rows.withColumn(name, F.when(has_history, F.count(F.lit(1)).over(frame)).otherwise(F.lit(0)))
         .where(F.col("_target"))
         .select(*[F.col(f"`{c}`") for c in txn.columns], F.col(name).cast("bigint").alias(name))
     )

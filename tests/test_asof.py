@@ -80,14 +80,14 @@ def test_running_features_brute_force(spark, max_rows):
         t = base + timedelta(minutes=rnd.randrange(0, 4000))
         if i % 17 == 0 and rows:
             t = rows[-1][4]  # ties
-        rows.append((i, rnd.choice([1, 1, 1, 2]), rnd.choice([None, 1, 2, 3, 4]), float(rnd.randrange(1, 50)), t, rnd.choice([0, 1]), "m", "x"))
+        rows.append((i, rnd.choice([1, 1, 1, 2, None]), rnd.choice([None, 1, 2, 3, 4]), float(rnd.randrange(1, 50)), t, rnd.choice([0, 1]), "m", "x"))
     df = spark.createDataFrame(rows, "txn_id bigint, customer_id bigint, merchant_id bigint, amount double, ts timestamp_ntz, is_fraud int, device_type string, event_type string")
     got = rows_by(asof.running_features(df, bucket_us=HOUR, fine_us=HOUR // 4, max_bucket_rows=max_rows), "txn_id")
     vel = rows_by(asof.trailing_count(df, bucket_us=4 * HOUR, window_us=HOUR, max_bucket_rows=max_rows), "txn_id")
     import statistics
 
     for r in rows:
-        prior = [p for p in rows if p[1] == r[1] and p[4] < r[4]]
+        prior = [p for p in rows if r[1] is not None and p[1] == r[1] and p[4] < r[4]]
         g = got[r[0]]
         assert g["prior_txn_count"] == len(prior)
         assert g["prior_fraud_count"] == sum(p[5] for p in prior)
@@ -98,7 +98,7 @@ def test_running_features_brute_force(spark, max_rows):
             assert abs(g["prior_stddev_amount"] - statistics.stdev(p[3] for p in prior)) < 1e-7
         else:
             assert g["prior_stddev_amount"] is None
-        hour_prior = [p for p in rows if p[1] == r[1] and r[4] - timedelta(hours=1) <= p[4] < r[4]]
+        hour_prior = [p for p in rows if r[1] is not None and p[1] == r[1] and r[4] - timedelta(hours=1) <= p[4] < r[4]]
         assert vel[r[0]]["txn_count_last_hour"] == len(hour_prior)
 
 
