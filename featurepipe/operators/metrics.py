@@ -9,6 +9,7 @@ are score ranges, so no task holds a whole segment.
 * AP  = Σ tp_i · cum_tp_i / (cum_tp_i + cum_fp_i) / P  (step sum, not trapezoid)
 * precision, recall, F1 at score >= threshold, 0 when undefined.
 A segment with one class only gets a null AUC (and a null AP without positives).
+Rows with a null or NaN score or a null label are left out.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def binary_metrics(
     if not seg:  # one global segment, carried as a constant key (no cross joins)
         out = binary_metrics(df.withColumn("_all", F.lit(1)), score, label, ["_all"], threshold, n_buckets)
         return out.drop("_all")
-    rows = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+    rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull()).select(
         *seg, F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")
     )
     # The only aggregation over raw rows: positives / negatives per distinct score.
@@ -57,9 +58,11 @@ def binary_metrics(
     nb = bucket_count(n_buckets, F.col("_nd"))
     per_score = per_score.withColumn("_sb", value_bucket(F.col("_s"), F.col("_lo"), F.col("_hi"), nb)).drop("_nd")
     cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)
+    # Products of counts in double: at 10^10+ rows per class a bigint product overflows (an error under ANSI).
+    tp, fp, ctp, cfp = (F.col(c).cast("double") for c in ("tp", "fp", "cum_tp", "cum_fp"))
     curve = cum.groupBy(*seg).agg(
-        F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)).alias("_auc_num"),
-        F.sum(F.col("tp") * F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("_ap_num"),
+        F.sum(fp * (ctp - tp / 2.0)).alias("_auc_num"),
+        F.sum(tp * ctp / (ctp + cfp)).alias("_ap_num"),
     )
     joined = counts.join(curve, seg, "left")
     p, n = F.col("positives"), F.col("negatives")
@@ -69,7 +72,7 @@ def binary_metrics(
         *seg,
         "n",
         "positives",
-        F.when((p > 0) & (n > 0), F.col("_auc_num") / (p * n)).alias("auc"),
+        F.when((p > 0) & (n > 0), F.col("_auc_num") / (p.cast("double") * n.cast("double"))).alias("auc"),
         F.when(p > 0, F.col("_ap_num") / p).alias("ap"),
         precision.cast("double").alias("precision"),
         recall.cast("double").alias("recall"),

@@ -50,6 +50,9 @@ def test_metric_edge_cases(spark):
     one_class = spark.createDataFrame([(0.9, 0), (0.1, 0)], "p1 double, label int")
     r = metrics.binary_metrics(one_class).first()
     assert r.auc is None and r.ap is None and r.precision == 0.0 and r.recall == 0.0
+    with_nan = spark.createDataFrame([(float("nan"), 0), (None, 1), (0.9, 1), (0.1, 0)], "p1 double, label int")
+    r = metrics.binary_metrics(with_nan).first()
+    assert r.n == 2 and r.auc == 1.0  # NaN and null scores are left out
     no_positive_prediction = spark.createDataFrame([(0.2, 1), (0.1, 0)], "p1 double, label int")
     r = metrics.binary_metrics(no_positive_prediction).first()
     assert r.precision == 0.0 and r.recall == 0.0 and r.f1 == 0.0 and r.auc == 1.0
