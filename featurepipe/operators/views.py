@@ -64,30 +64,37 @@ TRANSACTION_VIEW_COLUMNS = [
 ]
 
 
-def customer_aggregates(txn: DataFrame, key: str = "customer_id", day_of_year: bool = True) -> DataFrame:
+def customer_aggregates(txn: DataFrame, key: str = "customer_id", day_of_year: bool = True, approx_rsd: float | None = None) -> DataFrame:
     """Per-customer history aggregates over all of ``txn``.
 
     ``day_of_year=True`` keeps the reference's ACTIVE_DAYS, which merges the
     same day of different years; ``False`` counts calendar dates.
+    ``approx_rsd`` switches the two distinct counts to HyperLogLog++
+    (``approx_count_distinct`` with that relative error): no Expand, one
+    aggregate with bounded state per key.
     """
     day = F.dayofyear("ts") if day_of_year else F.to_date("ts")
+
+    def distinct(c):
+        return F.count_distinct(c) if approx_rsd is None else F.approx_count_distinct(c, approx_rsd)
+
     return txn.groupBy(key).agg(
         F.count(F.lit(1)).alias("total_txn_count"),
         F.avg("amount").alias("avg_txn_amount"),
         F.max("amount").alias("max_txn_amount"),
         F.stddev_samp("amount").alias("stddev_txn_amount"),
-        F.count_distinct("merchant_id").alias("unique_merchants"),
+        distinct(F.col("merchant_id")).alias("unique_merchants"),
         F.sum(F.when(F.col("is_fraud") == 1, 1).otherwise(0)).cast("bigint").alias("historical_fraud_count"),
         F.avg(F.col("is_fraud").cast("double")).alias("historical_fraud_rate"),
-        F.count_distinct(day).alias("active_days"),
+        distinct(day).alias("active_days"),
         F.avg(is_late_night("ts")).alias("late_night_txn_ratio"),
         F.max("ts").alias("feature_ts"),
     )
 
 
-def customer_risk_view(r: Roles, day_of_year: bool = True) -> DataFrame:
+def customer_risk_view(r: Roles, day_of_year: bool = True, approx_rsd: float | None = None) -> DataFrame:
     """CUSTOMER_RISK_FEATURES: aggregates ⋈ profile (inner: customers missing on either side drop)."""
-    agg = customer_aggregates(r.transactions, day_of_year=day_of_year)
+    agg = customer_aggregates(r.transactions, day_of_year=day_of_year, approx_rsd=approx_rsd)
     return agg.join(r.profiles, "customer_id", "inner").select(*CUSTOMER_VIEW_COLUMNS)
 
 

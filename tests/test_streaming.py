@@ -51,3 +51,28 @@ def test_streaming_window_summary_equals_batch(spark):
     q, out = refresh.streaming_window_summary(stream, state)
     q.awaitTermination()
     assert _rows(spark.read.parquet(out)) == _rows(drift.window_summary(ev))
+
+
+def test_append_mode_leaves_the_last_window_open(spark):
+    """Append mode emits a window once the watermark passes its end; the newest window stays open."""
+    from featurepipe.operators import drift
+
+    state = refresh.new_state_dir(work_dir(spark), "t-monitor-append")
+    ev = read_table(spark, SF, "events").select(F.col("ts").alias("prediction_ts"), (F.col("value") / 1000).alias("p1"))
+    # Files arrive in time order (one write after another), as a live feed would.
+    cuts = ["2024-01-08", "2024-01-16", "2024-01-24"]
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = ev
+        if lo:
+            part = part.where(F.col("prediction_ts") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            part = part.where(F.col("prediction_ts") < F.lit(hi).cast("timestamp_ntz"))
+        part.coalesce(1).write.mode("append").parquet(f"{state}/input")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
+    q, out = refresh.streaming_window_summary(stream, state, output_mode="append")
+    q.awaitTermination()
+    got = _rows(spark.read.parquet(out))
+    full = _rows(drift.window_summary(ev))
+    assert 0 < len(got) < len(full)
+    assert got == full[: len(got)]  # closed windows equal the batch summary

@@ -71,3 +71,14 @@ def test_feature_view_materialise(spark, tmp_path):
     back = views.CUSTOMER_RISK_FEATURES.materialise(spark, r, str(tmp_path))
     assert back.count() == 1 and views.CUSTOMER_RISK_FEATURES.address == "CUSTOMER_RISK_FEATURES__V1"
     assert back.columns == views.CUSTOMER_VIEW_COLUMNS
+
+
+def test_approx_distinct_option(spark):
+    rows = [(i, i % 3, i % 7, float(i), ts("2024-01-01 00:00:00").replace(day=1 + i % 20), 0, "m", "x") for i in range(200)]
+    r = roles_of(spark, rows)
+    exact = rows_by(views.customer_aggregates(r.transactions), "customer_id")
+    approx = rows_by(views.customer_aggregates(r.transactions, approx_rsd=0.01), "customer_id")
+    for k in exact:
+        assert abs(approx[k]["unique_merchants"] - exact[k]["unique_merchants"]) <= 1
+        assert abs(approx[k]["active_days"] - exact[k]["active_days"]) <= 1
+        assert approx[k]["total_txn_count"] == exact[k]["total_txn_count"]
