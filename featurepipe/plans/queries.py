@@ -250,7 +250,7 @@ def q15(spark, sf):
 def q16(spark, sf):
     """M5: 5-fold CV AUC per fold (rows check)."""
     folds = _folds(spark, sf)
-    return model.cross_validate(folds, k=5, max_iter=10)
+    return model.cross_validate(folds, k=5, parallelism=5, max_iter=10)
 
 
 @register("q17_feature_importance")
