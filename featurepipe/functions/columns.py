@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from featurepipe.fixed import LATE_NIGHT_AFTER_HOUR, LATE_NIGHT_BEFORE_HOUR, RATIO_DENOMINATOR_IF_MISSING
+
 
 
 def _epoch() -> Column:
@@ -40,15 +42,15 @@ def to_instant(ts) -> Column:
 def is_late_night(ts) -> Column:
     """1 when the hour is before 6 or after 22 (so 22:xx is day and 23:xx night)."""
     h = F.hour(_c(ts))
-    return F.when((h < 6) | (h > 22), F.lit(1)).otherwise(F.lit(0))
+    return F.when((h < LATE_NIGHT_BEFORE_HOUR) | (h > LATE_NIGHT_AFTER_HOUR), F.lit(1)).otherwise(F.lit(0))
 
 
 def is_weekend(ts) -> Column:
-    """1 on Saturday and Sunday. Spark numbers days 1 = Sunday .. 7 = Saturday."""
+    """1 on Saturday and Sunday (fixed.WEEKEND_DAYS). Spark numbers days 1 = Sunday .. 7 = Saturday."""
     return F.when(F.dayofweek(_c(ts)).isin(1, 7), F.lit(1)).otherwise(F.lit(0))
 
 
-def safe_ratio(num, den, default_den: float = 1.0) -> Column:
+def safe_ratio(num, den, default_den: float = RATIO_DENOMINATOR_IF_MISSING) -> Column:
     """num / coalesce(den, default); null (not an error) when the denominator is 0."""
     return F.try_divide(_c(num), F.coalesce(_c(den), F.lit(default_den)))
 

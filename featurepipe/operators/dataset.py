@@ -15,23 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe import fixed
 from featurepipe.operators.prefix import bucketed_running_sum, hash_bucket
 
-# Model input: the 12 customer-view features, in this order.
-FEATURE_COLUMNS = [
-    "total_txn_count",
-    "avg_txn_amount",
-    "max_txn_amount",
-    "stddev_txn_amount",
-    "unique_merchants",
-    "historical_fraud_count",
-    "historical_fraud_rate",
-    "active_days",
-    "late_night_txn_ratio",
-    "credit_score",
-    "account_age_days",
-    "annual_income",
-]
+# Model input: the 12 customer-view features, in this order (fixed values).
+FEATURE_COLUMNS = fixed.FEATURE_COLUMNS
 
 
 def label_join(spark: SparkSession, customer_view: DataFrame, txn: DataFrame) -> DataFrame:
@@ -88,7 +76,7 @@ def stratified_split(
     df: DataFrame,
     id_col: str = "txn_id",
     label: str = "label",
-    test_fraction: float = 0.2,
+    test_fraction: float = fixed.TEST_FRACTION,
     salt: str = "",
     n_buckets: int = DEFAULT_HASH_BUCKETS,
 ) -> DataFrame:
@@ -100,7 +88,7 @@ def stratified_split(
 
 def kfold(
     train: DataFrame,
-    k: int = 5,
+    k: int = fixed.CV_FOLDS,
     id_col: str = "txn_id",
     label: str = "label",
     salt: str = ":fold",

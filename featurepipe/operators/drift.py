@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
 from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
 
-WEEK_US = 7 * 86_400_000_000
+WEEK_US = 7 * 86_400_000_000  # fixed.MONITOR_WINDOW, "7 days"
 EPS = 1e-6
 
 

@@ -19,9 +19,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featurepipe.fixed import PREDICTION_THRESHOLD, QUALITY_THRESHOLDS
 from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
 
-DEFAULT_THRESHOLDS = {"auc": 0.60, "precision": 0.03, "recall": 0.30}
+DEFAULT_THRESHOLDS = QUALITY_THRESHOLDS
 
 
 def binary_metrics(
@@ -29,7 +30,7 @@ def binary_metrics(
     score: str = "p1",
     label: str = "label",
     segment_cols: Sequence[str] = (),
-    threshold: float = 0.5,
+    threshold: float = PREDICTION_THRESHOLD,
     n_buckets: int | None = VALUE_BUCKETS,
 ) -> DataFrame:
     seg = list(segment_cols)

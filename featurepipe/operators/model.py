@@ -17,16 +17,24 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe import fixed
 from featurepipe.operators.dataset import FEATURE_COLUMNS
 from featurepipe.operators.metrics import binary_metrics
 from featurepipe.session import work_dir
 
-# Hyper-parameters of the reference's training step (fixed values).
-DEFAULT_PARAMS = {"max_iter": 200, "step_size": 0.1, "max_depth": 6, "pos_weight": 33.0, "seed": 42}
+# Hyper-parameters of the training step (fixed values, see featurepipe.fixed).
+DEFAULT_PARAMS = {
+    "max_iter": fixed.GBT_ITERATIONS,
+    "step_size": fixed.GBT_STEP_SIZE,
+    "max_depth": fixed.GBT_MAX_DEPTH,
+    "pos_weight": fixed.POSITIVE_CLASS_WEIGHT,
+    "seed": fixed.RANDOM_SEED,
+}
 
 
-def build_pipeline(features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = 200, step_size: float = 0.1,
-                   max_depth: int = 6, seed: int = 42, checkpoint_interval: int = 10) -> Pipeline:
+def build_pipeline(features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = fixed.GBT_ITERATIONS,
+                   step_size: float = fixed.GBT_STEP_SIZE, max_depth: int = fixed.GBT_MAX_DEPTH, seed: int = fixed.RANDOM_SEED,
+                   checkpoint_interval: int = 10) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     gbt = GBTClassifier(
         featuresCol="_features",
@@ -49,15 +57,16 @@ def _weighted(df: DataFrame, label: str, pos_weight: float) -> DataFrame:
     )
 
 
-def fit_gbt(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = 200,
-            step_size: float = 0.1, max_depth: int = 6, pos_weight: float = 33.0, seed: int = 42) -> PipelineModel:
+def fit_gbt(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = fixed.GBT_ITERATIONS,
+            step_size: float = fixed.GBT_STEP_SIZE, max_depth: int = fixed.GBT_MAX_DEPTH,
+            pos_weight: float = fixed.POSITIVE_CLASS_WEIGHT, seed: int = fixed.RANDOM_SEED) -> PipelineModel:
     """M4: fit assembler + GBT. Tree state is checkpointed every 10 iterations to the session's checkpoint dir."""
     work_dir(train.sparkSession)  # GBT checkpoints its state into the shared folder
     pipe = build_pipeline(features, label, max_iter, step_size, max_depth, seed)
     return pipe.fit(_weighted(train, label, pos_weight))
 
 
-def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id",), threshold: float = 0.5) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id",), threshold: float = fixed.PREDICTION_THRESHOLD) -> DataFrame:
     """M6: p0, p1 and the class (p1 >= threshold) for every row."""
     out = model.transform(df)
     prob = vector_to_array("probability")
@@ -66,7 +75,7 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id"
     )
 
 
-def cross_validate(train_folds: DataFrame, k: int = 5, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label",
+def cross_validate(train_folds: DataFrame, k: int = fixed.CV_FOLDS, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label",
                    parallelism: int = 1, **fit_args) -> DataFrame:
     """M5: fit on k-1 folds, AUC on the held fold; one row per fold (AUC computed distributed).
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurepipe.fixed import PROBABILITY_SUM_TOLERANCE
 from featurepipe.functions.columns import sigmoid
 
 # Fixed scorecard weights over the transaction context view (fixed values; the
@@ -54,7 +55,7 @@ def write_scores(scores: DataFrame, path: str, mode: str = "overwrite", partitio
     w.parquet(path)
 
 
-def validate_scores(scores: DataFrame, p0: str = "p0", p1: str = "p1", tolerance: float = 0.01) -> DataFrame:
+def validate_scores(scores: DataFrame, p0: str = "p0", p1: str = "p1", tolerance: float = PROBABILITY_SUM_TOLERANCE) -> DataFrame:
     """A15 + M10: one global aggregate; only the summary row reaches the driver.
 
     ``passed`` needs no null probabilities and max |p0 + p1 - 1| < tolerance.

@@ -26,6 +26,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe.fixed import CUSTOMER_VIEW_NAME, FIRST_VERSION, HIGH_RISK_MERCHANT_ABOVE, TRANSACTION_VIEW_NAME, VIEW_REFRESH
 from featurepipe.functions.columns import is_late_night, is_weekend, safe_ratio
 from featurepipe.functions.joins import broadcast_if_small
 from featurepipe.sources.roles import Roles
@@ -162,7 +163,7 @@ def transaction_context_view(r: Roles, broadcast_rows: int = 2_000_000, keep: tu
             "customer_id",
             "amount",
             safe_ratio("amount", "cust_avg_amount").alias("amount_to_avg_ratio"),
-            F.when(F.col("risk_score") > 0.5, 1).otherwise(0).alias("is_high_risk_merchant"),
+            F.when(F.col("risk_score") > HIGH_RISK_MERCHANT_ABOVE, 1).otherwise(0).alias("is_high_risk_merchant"),
             F.col("risk_score").alias("merchant_risk_score"),
             hour.alias("hour_of_day"),
             is_weekend("ts").alias("is_weekend"),
@@ -182,9 +183,9 @@ class FeatureView:
     name: str
     keys: list[str]
     builder: Callable[[Roles], DataFrame]
-    version: str = "V1"
+    version: str = FIRST_VERSION
     timestamp_col: str = "feature_ts"
-    refresh: str = "1 hour"
+    refresh: str = VIEW_REFRESH
     description: str = ""
     extra: dict = field(default_factory=dict)
 
@@ -203,13 +204,13 @@ class FeatureView:
 
 
 CUSTOMER_RISK_FEATURES = FeatureView(
-    name="CUSTOMER_RISK_FEATURES",
+    name=CUSTOMER_VIEW_NAME,
     keys=["customer_id"],
     builder=customer_risk_view,
     description="Customer-level risk signals",
 )
 TRANSACTION_CONTEXT_FEATURES = FeatureView(
-    name="TRANSACTION_CONTEXT_FEATURES",
+    name=TRANSACTION_VIEW_NAME,
     keys=["txn_id"],
     builder=transaction_context_view,
     description="Per-transaction contextual signals",

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurepipe import fixed
 from featurepipe.functions.joins import broadcast_if_small
 from featurepipe.operators import asof, dataset, drift, ledger, metrics, model, profile, scoring, views
 from featurepipe.plans.common import flat
@@ -164,8 +165,9 @@ def q08l(spark, sf):
 def q09(spark, sf):
     """The point-in-time training set written as FRAUD_TRAINING_DATA/V1 and read back."""
     target = work_dir(spark)
-    dataset.write_versioned(_asof_snapshot(spark, sf), target, "FRAUD_TRAINING_DATA", "V1")
-    return flat(dataset.read_versioned(spark, target, "FRAUD_TRAINING_DATA", "V1"), as_double=tuple(dataset.FEATURE_COLUMNS))
+    dataset.write_versioned(_asof_snapshot(spark, sf), target, fixed.TRAINING_DATASET_NAME, fixed.FIRST_VERSION)
+    back = dataset.read_versioned(spark, target, fixed.TRAINING_DATASET_NAME, fixed.FIRST_VERSION)
+    return flat(back, as_double=tuple(dataset.FEATURE_COLUMNS))
 
 
 def _label_join(spark, sf, mapping="events"):
