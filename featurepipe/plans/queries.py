@@ -178,7 +178,8 @@ def _label_join(spark, sf, mapping="events"):
     """
     r = roles(spark, sf, mapping)
     cv = views.CUSTOMER_RISK_FEATURES.materialise(spark, r, _scratch(spark, "views"))
-    return dataset.label_join(spark, broadcast_if_small(cv), r.transactions)
+    # 14 columns per customer: at most 500k rows (about 60 MB) are broadcast.
+    return dataset.label_join(spark, broadcast_if_small(cv, 500_000), r.transactions)
 
 
 @register("q10_label_join")
