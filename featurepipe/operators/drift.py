@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
-from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
 
 WEEK_US = 7 * 86_400_000_000  # fixed.MONITOR_WINDOW, "7 days"
 EPS = 1e-6
@@ -153,7 +153,8 @@ def feature_drift(
 
 
 def ks_distance(
-    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US, n_buckets: int | None = VALUE_BUCKETS
+    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US,
+    n_buckets: int | None = VALUE_BUCKETS, max_bucket_values: int = MAX_BUCKET_VALUES,
 ) -> DataFrame:
     """KS distance between each window's score sample and the baseline sample.
 
@@ -177,25 +178,18 @@ def ks_distance(
     cur = counts.where(~F.col("_base")).select("window_start", "_v", F.col("_c").alias("_cw"))
     nb = base.agg(F.sum("_cb").alias("_nb"))
     # Window CDF at each of its points.
-    wtot = cur.groupBy("window_start").agg(
-        F.sum("_cw").alias("_nw"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd")
-    )
-    cw = cur.join(wtot, "window_start").withColumn(
-        "_vb", value_bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
-    )
+    wtot = cur.groupBy("window_start").agg(F.sum("_cw").alias("_nw"))
+    cw = ordered_buckets(cur, ["window_start"], "_v", n_buckets, max_bucket_values).join(wtot, "window_start")
     cw = bucketed_running_sum(cw, ["window_start"], "_vb", [F.col("_v")], ["_cw"], prefix="_cum")
     # Baseline CDF at every distinct value of either side: one global ordering.
     pts = base.select("_v", "_cb").unionByName(cur.select("_v", F.lit(0).cast("bigint").alias("_cb"))).groupBy("_v").agg(
         F.sum("_cb").alias("_cb")
     )
-    rng = pts.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd"))
-    # ``rng`` and ``nb`` are global aggregates: exactly one row, so broadcasting them is bounded.
-    pts = pts.withColumn("_g", F.lit(1)).join(F.broadcast(rng.withColumn("_g", F.lit(1))), "_g").withColumn(
-        "_vb", value_bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
-    )
+    pts = ordered_buckets(pts.withColumn("_g", F.lit(1)), ["_g"], "_v", n_buckets, max_bucket_values)
     fb = bucketed_running_sum(pts, ["_g"], "_vb", [F.col("_v")], ["_cb"], prefix="_cum").select(
         "_v", F.col("_cum_cb").alias("_le"), (F.col("_cum_cb") - F.col("_cb")).alias("_lt")
     )
+    # ``nb`` is a global aggregate: exactly one row, so broadcasting it is bounded.
     j = cw.join(fb, "_v", "inner").withColumn("_g", F.lit(1)).join(F.broadcast(nb.withColumn("_g", F.lit(1))), "_g")
     fw = F.col("_cum_cw") / F.col("_nw")
     fw_prev = (F.col("_cum_cw") - F.col("_cw")) / F.col("_nw")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.fixed import PREDICTION_THRESHOLD, QUALITY_THRESHOLDS
-from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
 
 DEFAULT_THRESHOLDS = QUALITY_THRESHOLDS
 
@@ -32,10 +32,11 @@ def binary_metrics(
     segment_cols: Sequence[str] = (),
     threshold: float = PREDICTION_THRESHOLD,
     n_buckets: int | None = VALUE_BUCKETS,
+    max_bucket_values: int = MAX_BUCKET_VALUES,
 ) -> DataFrame:
     seg = list(segment_cols)
     if not seg:  # one global segment, carried as a constant key (no cross joins)
-        out = binary_metrics(df.withColumn("_all", F.lit(1)), score, label, ["_all"], threshold, n_buckets)
+        out = binary_metrics(df.withColumn("_all", F.lit(1)), score, label, ["_all"], threshold, n_buckets, max_bucket_values)
         return out.drop("_all")
     rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull()).select(
         *seg, F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")
@@ -51,13 +52,8 @@ def binary_metrics(
         F.sum("fp").alias("negatives"),
         F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("_tp"),
         F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
-        F.min("_s").alias("_lo"),
-        F.max("_s").alias("_hi"),
-        F.count(F.lit(1)).alias("_nd"),
     )
-    per_score = per_score.join(counts.select(*seg, "_lo", "_hi", "_nd"), seg, "inner")
-    nb = bucket_count(n_buckets, F.col("_nd"))
-    per_score = per_score.withColumn("_sb", value_bucket(F.col("_s"), F.col("_lo"), F.col("_hi"), nb)).drop("_nd")
+    per_score = ordered_buckets(per_score, seg, "_s", n_buckets, max_bucket_values, name="_sb")
     cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)
     # Products of counts in double: at 10^10+ rows per class a bigint product overflows (an error under ANSI).
     tp, fp, ctp, cfp = (F.col(c).cast("double") for c in ("tp", "fp", "cum_tp", "cum_fp"))

@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 # Both levels of ``bucketed_running_sum`` then see about sqrt(n) rows: the
 # offsets window one row per bucket, each bucket window about sqrt(n) values.
 VALUE_BUCKETS = None
+# A value bucket holding more distinct values than this is cut again into
+# equal-width sub-buckets over its own range (values packed in a tiny range).
+MAX_BUCKET_VALUES = 1_000_000
+SUB_BUCKETS = 1 << 20
 
 
 def bucketed_running_sum(
@@ -85,3 +89,36 @@ def sqrt_buckets(n_distinct: Column) -> Column:
 
 def bucket_count(n_buckets: int | None, n_distinct: Column) -> Column:
     return sqrt_buckets(n_distinct) if n_buckets is None else F.lit(n_buckets)
+
+
+def ordered_buckets(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    value: str,
+    n_buckets: int | None = VALUE_BUCKETS,
+    max_values: int = MAX_BUCKET_VALUES,
+    name: str = "_vb",
+) -> DataFrame:
+    """Add ``name``: a bucket id monotone in ``value`` within each partition.
+
+    ``df`` holds one row per distinct value per partition. Level 1 is
+    equal-width over the partition's range with about sqrt(distinct) buckets;
+    a level-1 bucket with more than ``max_values`` values is cut into
+    ``SUB_BUCKETS`` equal-width sub-buckets over its own range. The list of
+    such buckets has at most distinct / max_values rows, so broadcasting it is
+    bounded. Ids are ``level1 * SUB_BUCKETS + sub``.
+    """
+    p = list(partition_cols)
+    v = F.col(value)
+    stats = df.groupBy(*p).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_nd"))
+    staged = df.join(stats, p, "inner").withColumn(
+        "_b1", value_bucket(v, F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
+    ).drop("_lo", "_hi", "_nd")
+    dense = (
+        staged.groupBy(*p, "_b1")
+        .agg(F.count(F.lit(1)).alias("_n1"), F.min(value).alias("_blo"), F.max(value).alias("_bhi"))
+        .where(F.col("_n1") > max_values)
+    )
+    staged = staged.join(F.broadcast(dense), [*p, "_b1"], "left")
+    sub = F.when(F.col("_n1").isNotNull(), value_bucket(v, F.col("_blo"), F.col("_bhi"), SUB_BUCKETS)).otherwise(F.lit(0))
+    return staged.withColumn(name, (F.col("_b1") * F.lit(SUB_BUCKETS) + sub).cast("bigint")).drop("_b1", "_n1", "_blo", "_bhi")

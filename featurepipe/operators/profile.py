@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.operators.prefix import VALUE_BUCKETS, bucket_count, bucketed_running_sum, value_bucket
+from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
 
 
 def _qname(q: float) -> str:
@@ -21,17 +21,15 @@ def _qname(q: float) -> str:
 
 
 def exact_quantiles(
-    df: DataFrame, group_cols: Sequence[str], value: str, qs: Sequence[float] = (0.25, 0.5, 0.75), n_buckets: int | None = VALUE_BUCKETS
+    df: DataFrame, group_cols: Sequence[str], value: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
+    n_buckets: int | None = VALUE_BUCKETS, max_bucket_values: int = MAX_BUCKET_VALUES,
 ) -> DataFrame:
     g = list(group_cols)
     if not g:
-        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, qs, n_buckets).drop("_all")
+        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, qs, n_buckets, max_bucket_values).drop("_all")
     vals = df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    stats = vals.groupBy(*g).agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd")
-    )
-    nb = bucket_count(n_buckets, F.col("_nd"))
-    staged = vals.join(stats, g, "inner").withColumn("_vb", value_bucket(F.col("_v"), F.col("_lo"), F.col("_hi"), nb))
+    stats = vals.groupBy(*g).agg(F.sum("_c").alias("_n"))
+    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values).join(stats, g, "inner")
     ranked = bucketed_running_sum(staged, g, "_vb", [F.col("_v")], ["_c"], prefix="_cum")
     first, last = F.col("_cum_c") - F.col("_c") + 1, F.col("_cum_c")
     aggs = []

@@ -43,6 +43,8 @@ def test_psi_js_and_ks_vs_brute_force(spark):
     base = [v for t, v in rows if t < cut]
     psi = {r.window_start: r for r in drift.score_drift(df, "2024-01-15").collect()}
     ks = {r.window_start: r for r in drift.ks_distance(df, "2024-01-15", n_buckets=5).collect()}
+    ks_refined = {r.window_start: r.ks for r in drift.ks_distance(df, "2024-01-15", n_buckets=2, max_bucket_values=3).collect()}
+    assert ks_refined == {w: r.ks for w, r in ks.items()}
     wins = {}
     for t, v in rows:
         if t >= cut:

@@ -55,3 +55,27 @@ def test_bucketed_running_sum_property(spark, rows, n_buckets, descending):
     for p, o, _ in rows:
         want = sum(x for q, oo, x in rows if q == p and (oo >= o if descending else oo <= o))
         assert got[(p, o)] == want
+
+
+@SETTINGS
+@given(
+    values=st.lists(st.one_of(st.none(), st.integers(-20, 20), st.floats(0, 1e-6)), min_size=1, max_size=40),
+    n_buckets=st.sampled_from([None, 1, 3]),
+    max_values=st.sampled_from([1, 2, 1_000_000]),
+)
+def test_exact_quantiles_property(spark, values, n_buckets, max_values):
+    """Equal to linear-interpolation quantiles, including values packed in a tiny range (refined buckets)."""
+    from featurepipe.operators import profile
+
+    df = spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "x double")
+    got = profile.exact_quantiles(df, [], "x", (0.0, 0.25, 0.5, 0.9, 1.0), n_buckets, max_values).first()
+    xs = sorted(float(v) for v in values if v is not None)
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        name = f"q{round(q * 100):02d}"
+        if not xs:  # no values: no quantile row (distribution_summary left-joins it to nulls)
+            assert got is None
+            continue
+        pos = q * (len(xs) - 1)
+        lo, hi = int(pos // 1), min(int(pos // 1) + 1, len(xs) - 1)
+        want = xs[lo] + (xs[hi] - xs[lo]) * (pos - lo)
+        assert abs(got[name] - want) < 1e-9, (q, got[name], want)
