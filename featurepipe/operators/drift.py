@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
@@ -79,13 +79,13 @@ def binned_drift(binned: DataFrame, group_cols: Sequence[str], window_col: str,
         *g, F.when(is_baseline, F.lit(None)).otherwise(F.col(window_col)).alias(window_col),
         F.col(bin_col), is_baseline.alias("_base"),
     ).agg(F.count(F.lit(1)).alias("_c"))
-    base = counts.where(F.col("_base")).select(*g, bin_col, F.col("_c").alias("_bc"))
-    base = base.join(base.groupBy(*g).agg(F.sum("_bc").alias("_bn")), g, "inner").select(
-        *g, bin_col, (F.col("_bc") / F.col("_bn")).alias("_bs")
+    # Shares within each distribution: window sums over the small count frame
+    # (one row per bin; a window partition holds the bins of one distribution).
+    base = counts.where(F.col("_base")).select(
+        *g, bin_col, (F.col("_c") / F.sum("_c").over(Window.partitionBy(*g))).alias("_bs")
     )
-    cur = counts.where(~F.col("_base")).select(*g, window_col, bin_col, F.col("_c").alias("_cc"))
-    cur = cur.join(cur.groupBy(*g, window_col).agg(F.sum("_cc").alias("_cn")), [*g, window_col], "inner").select(
-        *g, window_col, bin_col, (F.col("_cc") / F.col("_cn")).alias("_cs")
+    cur = counts.where(~F.col("_base")).select(
+        *g, window_col, bin_col, (F.col("_c") / F.sum("_c").over(Window.partitionBy(*g, window_col))).alias("_cs")
     )
     # Sum over baseline bins as if the window were empty there (one row per group) ...
     base_only = base.groupBy(*g).agg(
