@@ -39,8 +39,14 @@ def work_dir(spark: SparkSession) -> str:
     storage visible to every executor). Only when it is unset and the master is
     local (tests, the benchmark) do we create one of our own and register it.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on this client: the setting must be given
+        if path:
+            return path.rstrip("/")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running featurepipe jobs") from None
+    path = path or sc.getCheckpointDir()
     if path:
         return path.rstrip("/")
     if not sc.master.startswith("local"):
