@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, is_late_night, ntz_from_micros, to_instant
+from featurepipe.session import work_dir
 from featurepipe.sources.roles import events_to_transactions, profiles
 
 
@@ -117,6 +118,7 @@ def incremental_customer_view(
     processing_time: str = "1 hour",
 ):
     """Start the R1 refresh; returns (query, state_dir). Read the view with :func:`read_customer_view`."""
+    work_dir(spark)  # merged state frames are checkpointed (reliably) into the shared folder
     agg_path, m_path, d_path = f"{state_dir}/agg", f"{state_dir}/merchants", f"{state_dir}/days"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
