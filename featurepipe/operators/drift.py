@@ -177,20 +177,21 @@ def ks_distance(
     base = counts.where(F.col("_base")).select("_v", F.col("_c").alias("_cb"))
     cur = counts.where(~F.col("_base")).select("window_start", "_v", F.col("_c").alias("_cw"))
     nb = base.agg(F.sum("_cb").alias("_nb"))
-    # Window CDF at each of its points.
-    wtot = cur.groupBy("window_start").agg(F.sum("_cw").alias("_nw"))
-    cw = ordered_buckets(cur, ["window_start"], "_v", n_buckets, max_bucket_values).join(wtot, "window_start")
-    cw = bucketed_running_sum(cw, ["window_start"], "_vb", [F.col("_v")], ["_cw"], prefix="_cum")
     # Baseline CDF at every distinct value of either side: one global ordering.
     pts = base.select("_v", "_cb").unionByName(cur.select("_v", F.lit(0).cast("bigint").alias("_cb"))).groupBy("_v").agg(
         F.sum("_cb").alias("_cb")
     )
     pts = ordered_buckets(pts.withColumn("_g", F.lit(1)), ["_g"], "_v", n_buckets, max_bucket_values)
     fb = bucketed_running_sum(pts, ["_g"], "_vb", [F.col("_v")], ["_cb"], prefix="_cum").select(
-        "_v", F.col("_cum_cb").alias("_le"), (F.col("_cum_cb") - F.col("_cb")).alias("_lt")
+        "_v", "_vb", F.col("_cum_cb").alias("_le"), (F.col("_cum_cb") - F.col("_cb")).alias("_lt")
     )
+    # Window CDF at each of its points, bucketed by the same global value buckets
+    # (monotone in the value, so valid for every window's own order).
+    wtot = cur.groupBy("window_start").agg(F.sum("_cw").alias("_nw"))
+    cw = cur.join(fb, "_v", "inner").join(wtot, "window_start")
+    cw = bucketed_running_sum(cw, ["window_start"], "_vb", [F.col("_v")], ["_cw"], prefix="_cum")
     # ``nb`` is a global aggregate: exactly one row, so broadcasting it is bounded.
-    j = cw.join(fb, "_v", "inner").withColumn("_g", F.lit(1)).join(F.broadcast(nb.withColumn("_g", F.lit(1))), "_g")
+    j = cw.withColumn("_g", F.lit(1)).join(F.broadcast(nb.withColumn("_g", F.lit(1))), "_g")
     fw = F.col("_cum_cw") / F.col("_nw")
     fw_prev = (F.col("_cum_cw") - F.col("_cw")) / F.col("_nw")
     fb_le = F.coalesce(F.col("_le") / F.col("_nb"), F.lit(0.0))
