@@ -52,8 +52,12 @@ def binary_metrics(
         F.sum("fp").alias("negatives"),
         F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("_tp"),
         F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
+        F.min("_s").alias("_lo"),
+        F.max("_s").alias("_hi"),
+        F.count(F.lit(1)).alias("_nd"),
     )
-    per_score = ordered_buckets(per_score, seg, "_s", n_buckets, max_bucket_values, name="_sb")
+    per_score = ordered_buckets(per_score, seg, "_s", n_buckets, max_bucket_values, name="_sb",
+                                stats=counts.select(*seg, "_lo", "_hi", "_nd"))
     cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)
     # Products of counts in double: at 10^10+ rows per class a bigint product overflows (an error under ANSI).
     tp, fp, ctp, cfp = (F.col(c).cast("double") for c in ("tp", "fp", "cum_tp", "cum_fp"))

@@ -98,6 +98,7 @@ def ordered_buckets(
     n_buckets: int | None = VALUE_BUCKETS,
     max_values: int = MAX_BUCKET_VALUES,
     name: str = "_vb",
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: a bucket id monotone in ``value`` within each partition.
 
@@ -110,7 +111,8 @@ def ordered_buckets(
     """
     p = list(partition_cols)
     v = F.col(value)
-    stats = df.groupBy(*p).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_nd"))
+    if stats is None:  # callers that already aggregate per partition pass (p, _lo, _hi, _nd)
+        stats = df.groupBy(*p).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_nd"))
     staged = df.join(stats, p, "inner").withColumn(
         "_b1", value_bucket(v, F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
     ).drop("_lo", "_hi", "_nd")

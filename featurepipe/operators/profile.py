@@ -28,8 +28,12 @@ def exact_quantiles(
     if not g:
         return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, qs, n_buckets, max_bucket_values).drop("_all")
     vals = df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    stats = vals.groupBy(*g).agg(F.sum("_c").alias("_n"))
-    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values).join(stats, g, "inner")
+    stats = vals.groupBy(*g).agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd")
+    )
+    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values, stats=stats.drop("_n")).join(
+        stats.select(*g, "_n"), g, "inner"
+    )
     ranked = bucketed_running_sum(staged, g, "_vb", [F.col("_v")], ["_c"], prefix="_cum")
     first, last = F.col("_cum_c") - F.col("_c") + 1, F.col("_cum_c")
     aggs = []
