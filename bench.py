@@ -43,11 +43,15 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="featurepipe-bench")
     per_query: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        run_once(spark, name, sf_dir)  # warm-up
-        per_query[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+        try:
+            run_once(spark, name, sf_dir)  # warm-up
+            per_query[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+        except Exception as ex:  # noqa: BLE001 - report the failure, keep measuring the others
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({
+    out = {
         "metric": "headline_queries_total_median_sec",
         "value": round(sum(per_query.values()), 3),
         "unit": "sec",
@@ -55,7 +59,10 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": int(cpus),
         "config": {"spark.sql.shuffle.partitions": int(cpus) * 2, "aqe": True, "repeats": repeats},
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
