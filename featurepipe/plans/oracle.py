@@ -163,14 +163,21 @@ def label_join(txn: str) -> str:
     return f"(SELECT t.txn_id, c.customer_id, {feats}, t.ts, t.is_fraud FROM {cust_view(txn)} c JOIN {txn} t ON c.customer_id = t.customer_id)"
 
 
-MATRIX = f"""(SELECT txn_id, {', '.join(f'coalesce(CAST({f} AS DOUBLE), 0.0) AS {f}' for f in FEATURES)},
-  CAST(is_fraud AS INTEGER) AS label FROM {label_join(E_TXN)} lj)"""
+def matrix(txn: str) -> str:
+    return f"""(SELECT txn_id, {', '.join(f'coalesce(CAST({f} AS DOUBLE), 0.0) AS {f}' for f in FEATURES)},
+  CAST(is_fraud AS INTEGER) AS label FROM {label_join(txn)} lj)"""
 
-SPLIT = f"""(
+
+def split(txn: str) -> str:
+    return f"""(
   SELECT txn_id, label,
          CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(CAST(txn_id AS VARCHAR)), txn_id)
                    <= floor(count(*) OVER (PARTITION BY label) * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split
-  FROM {MATRIX} m)"""
+  FROM {matrix(txn)} m)"""
+
+
+MATRIX = matrix(E_TXN)
+SPLIT = split(E_TXN)
 
 FOLDS = f"""(
   SELECT txn_id, label,
@@ -281,10 +288,11 @@ def feature_bins(rows: str, cut: str) -> str:
   FROM l LEFT JOIN rng ON l.grp = rng.grp WHERE l.ts IS NOT NULL)"""
 
 
-KS = f"""(
-  WITH v AS (SELECT prediction_ts AS ts, p1 FROM {SCORES_E} s WHERE p1 IS NOT NULL AND NOT isnan(p1) AND prediction_ts IS NOT NULL),
-  base AS (SELECT p1 FROM v WHERE ts < {CUT_E}),
-  cur AS (SELECT {WEEK.format(c='ts')} AS w, p1 FROM v WHERE ts >= {CUT_E}),
+def ks(scores: str, cut: str) -> str:
+    return f"""(
+  WITH v AS (SELECT prediction_ts AS ts, p1 FROM {scores} s WHERE p1 IS NOT NULL AND NOT isnan(p1) AND prediction_ts IS NOT NULL),
+  base AS (SELECT p1 FROM v WHERE ts < {cut}),
+  cur AS (SELECT {WEEK.format(c='ts')} AS w, p1 FROM v WHERE ts >= {cut}),
   nb AS (SELECT count(*) AS n FROM base),
   nw AS (SELECT w, count(*) AS n FROM cur GROUP BY w),
   u AS (SELECT w, p1 AS x, 0 AS isb FROM cur UNION ALL SELECT nw.w, base.p1, 1 FROM nw CROSS JOIN base),
@@ -293,6 +301,9 @@ KS = f"""(
   SELECT c.w AS window_start, max(abs(c.cb * 1.0 / nb.n - c.cw * 1.0 / nw.n)) AS ks, any_value(nw.n) AS n
   FROM c JOIN nw ON c.w = nw.w CROSS JOIN nb GROUP BY c.w)"""
 
+
+KS = ks(SCORES_E, CUT_E)
+
 VERSION_MATCH = """(
   WITH r AS (SELECT row_number() OVER () AS rid, o_custkey AS model, 'V' || CAST(l_orderkey AS VARCHAR) AS model_version,
                     l_shipdate AS prediction_ts
@@ -407,6 +418,8 @@ SQL: dict[str, str] = {
     "q50_incremental_view": cust_view_out(E_TXN),
 }
 SQL["q51_streaming_window_summary"] = SQL["q33_window_summary"]
+SQL["q12_stratified_split_lineitem"] = out(split(L_TXN), "txn_id:s label:i split:s")
+SQL["q36_score_ks_lineitem"] = out(ks(scores_table(L_TXN), "TIMESTAMP '1997-01-01'"), "window_start:t ks:d n:i")
 SQL["q04_running_features_lineitem"] = out(RUNNING_L, "txn_id:s customer_id:i prior_txn_count:i prior_avg_amount:d prior_stddev_amount:d prior_fraud_count:i prior_unique_merchants:i")
 SQL["q24_velocity_lineitem"] = out(VELOCITY_L, "txn_id:s customer_id:i txn_count_last_2_days:i")
 SQL["q47_recent_task_history"] = out("""(SELECT o_orderpriority AS name, o_orderstatus AS state, o_orderdate AS scheduled_time,

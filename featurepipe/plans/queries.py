@@ -200,6 +200,13 @@ def _split(spark, sf):
     return dataset.stratified_split(_matrix(spark, sf))
 
 
+@register("q12_stratified_split_lineitem")
+def q12l(spark, sf):
+    """M2 on lineitem ⋈ orders: string ids, about a third positive."""
+    split = dataset.stratified_split(dataset.feature_matrix(_label_join(spark, sf, "lineitem")))
+    return flat(split.select("txn_id", "label", "split"))
+
+
 @register("q12_stratified_split")
 def q12(spark, sf):
     return flat(_split(spark, sf).select("txn_id", "label", "split"))
@@ -387,6 +394,12 @@ def q36(spark, sf):
     return flat(drift.ks_distance(_score_table(spark, sf), BASELINE_END_EVENTS))
 
 
+@register("q36_score_ks_lineitem")
+def q36l(spark, sf):
+    """D4 on lineitem ⋈ orders scores: about 200 weekly windows after the baseline."""
+    return flat(drift.ks_distance(_score_table(spark, sf, "lineitem"), BASELINE_END_LINEITEM))
+
+
 def _version_events(spark, sf):
     o = read_table(spark, sf, "orders")
     return o.select(

@@ -38,7 +38,7 @@ def _unpartitioned_windows(plan: str) -> list[str]:
 # (the <= 11 bin shares of one distribution, or the per-bucket totals of
 # ``bucketed_running_sum``, about sqrt(distinct values) rows), never raw rows.
 # Catalyst drops the constant partition key these frames carry.
-BOUNDED_GLOBAL_WINDOWS = {"q34_score_psi": 2, "q36_score_ks": 1}
+BOUNDED_GLOBAL_WINDOWS = {"q34_score_psi": 2, "q36_score_ks": 1, "q36_score_ks_lineitem": 1}
 
 
 @pytest.mark.parametrize("key", NO_UDF_KEYS)
