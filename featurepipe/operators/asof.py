@@ -9,8 +9,11 @@ buckets contribute through a small frame with one row per (key, bucket):
   the bucket as a synthetic first row;
 * ``running_features``: the running totals of earlier buckets are carried in
   the same way;
-* ``trailing_count``: each row is also copied into the next bucket as context
-  (the bucket is at least as wide as the trailing window).
+* ``trailing_count``: a row within one window of the next bucket's start is
+  also copied into that bucket as context (buckets are at least a window wide).
+
+Buckets are days; a (key, day) with more rows than a bound is split into finer
+buckets (``TimeBuckets``), so even one key's busiest day is spread out.
 
 Window partitions are therefore (key, bucket), bounded by the rate of one key in
 one bucket, and the per-key carry windows see one row per bucket.
