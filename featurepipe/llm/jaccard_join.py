@@ -210,8 +210,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if level and tested.isEmpty():
             break
         found = tested.filter("linked").select("x", "y")
-        edges = stored(edges.unionByName(found).distinct(), "links")
-        comp = stored(components(edges, "x", "y"), "components")
+        if not level or not found.isEmpty():
+            edges = stored(edges.unionByName(found).distinct(), "links")
+            comp = stored(components(edges, "x", "y"), "components")
         if members is None:
             break
     return sets.join(comp, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))

@@ -33,7 +33,7 @@ CORE = 0.75
 STEPS = 4
 CUT = 9.0  # Mahalanobis distance, in standard deviations of one dimension
 STATS = ("size", "word_length", "symbols", "dup_lines", "repeats", "capitals", "marks", "distinct")
-FLOOR = (0.30, 0.06, 0.05, 0.05, 0.05, 0.05, 0.05, 0.06)  # least standard deviation of each
+FLOOR = (0.30, 0.06, 0.05, 0.25, 0.25, 0.05, 0.05, 0.06)  # least standard deviation of each
 D = len(STATS)
 CHI_MEDIAN = D * (1 - 2 / (9 * D)) ** 3  # median of the chi-squared distribution (Wilson-Hilferty)
 
