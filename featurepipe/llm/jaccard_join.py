@@ -10,19 +10,21 @@ decide which pairs can be within ``1 - threshold``:
    shingle in one fixed order, and the triangle inequality bounds how many of its
    shingles a partner can lack: n - ceil(threshold * n). The set is replicated
    into the regions of that many further shingles, and partners meet in one at
-   least. Any order is correct; the order puts the shingles met most often last (at
-   most ``FREQUENT``, a proven bound for their broadcast), which leaves
-   shared passages out of nearly all windows.
-3. Inside a region a document is the pivot: its smallest id. Members are compared
-   with it first by L1 distance of count sketches (a contraction of the metric:
+   least. Any order is correct; shingles in buckets that are met far more often than
+   the mean bucket go last (counted over all sets in a table of fixed size), which
+   leaves shared passages out of nearly all windows.
+3. Inside a region a document is the pivot: the one that shares most regions. Where two
+   members first meet, their places in the order bound what they can share, so members
+   that are too late for any partner's size leave the region. The others are compared
+   with the pivot first by L1 distance of count sketches (a contraction of the metric:
    never more than the size of the symmetric difference, so it only rejects what
    cannot link), then exactly by their sets. Members within the radius are linked.
 4. Regions recurse: those that still hold two components drop their pivot and the
    part of its ball that no outside member's window reaches (lower bound of d to
    the pivot more than the radius away). Regions of at most ``LEAF`` members compare
    their remaining members in different components directly. What is still
-   larger after ``LEVELS`` rounds (equidistant members, where no window can
-   prune) is compared in blocks of LEAF, so that no task holds a large region.
+   larger after ``LEVELS`` rounds is compared in blocks of LEAF, so that no task holds a
+   large region.
 
 Pairs inside one component are not compared again, so a group of n near copies costs
 about n comparisons per level. Only ids, sketches of 128 bytes and the sets of
@@ -45,14 +47,17 @@ from pyspark.sql import functions as F
 
 from featurepipe.llm.components import components
 from featurepipe.llm.store import ship, stored
+from featurepipe.llm.url_filter import build_filter, may_contain
 from featurepipe.llm.words import shingle_sets
 
 LEAF = 32  # members of a region compared pair by pair
-LEVELS = 3  # rounds of document pivots before blocks
-FREQUENT = 100_000  # shingles put last in the order; 0.8 MB at most
-FREQUENT_FROM = 8  # sets a shingle must be met in to count as frequent
+LEVELS = 1  # rounds of document pivots before blocks
+BROADCAST_IDS = 500_000  # ids whose texts are fetched by a broadcast (8 MB); more are joined by a shuffle
+COUNTERS = 1 << 22  # buckets in which shingles are counted
+PART = 1 << 16  # counters of one row
 BUCKETS = 128  # counters of a sketch
 LATE = np.int64(1 << 62)  # added to the 62-bit hash of a frequent shingle
+FILTER_BLOCKS = 1 << 15  # 2 MB: shingles met twice
 
 
 def _lists(values: np.ndarray, off: np.ndarray) -> pa.Array:
@@ -69,30 +74,65 @@ def _heads(values: np.ndarray, off: np.ndarray, take: np.ndarray) -> tuple[np.nd
     return values[keep], np.concatenate(([0], np.cumsum(take)))
 
 
-def _set_rows(k: int, percent: int):
+def _set_rows(k: int):
+    """A row per text; then, per task, rows of counters (``part``, ``counts``) of its sets' shingles."""
+    names = ["id", "n", "key", "part", "counts"]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.uint32)
         for b in batches:
             for i, v, off in shingle_sets(b.column(1), k):
                 n = np.diff(off)
+                counts += np.bincount((v % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
                 keys = [hashlib.blake2b(v[s:e].tobytes(), digest_size=16).digest() for s, e in zip(off[:-1], off[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, len(n)), pa.array(n), pa.array(keys, pa.binary()), _lists(*_heads(v, off, _windows(n, percent)))],
-                    ["id", "n", "key", "head"])
+                    [b.column(0).slice(i, len(n)), pa.array(n), pa.array(keys, pa.binary()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)
+        for p in range(0, COUNTERS, PART):
+            part = counts[p : p + PART]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([p // PART], pa.int32()), pa.array([part.tobytes()], pa.binary())], names)
     return rows
 
 
+def _frequent_bits(level: float):
+    """mapInArrow: rows (part, counts) sorted by part to one row per part, a bit for each sum of at least ``level``."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def bits(part, total):
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(total >= level).tobytes()], pa.binary())], ["part", "bits"])
+
+        held, total = None, None
+        for b in batches:
+            for part, raw in zip(b.column("part").to_pylist(), b.column("counts")):
+                if part != held:
+                    if held is not None:
+                        yield bits(held, total)
+                    held, total = part, np.zeros(PART, np.uint64)
+                total += np.frombuffer(raw.as_buffer(), np.uint32)
+        if held is not None:
+            yield bits(held, total)
+    return rows
+
+
+def _frequent(counters: DataFrame, shingles: int) -> np.ndarray:
+    """Packed bits of the buckets met far more often than the mean bucket: ``COUNTERS`` / 8 bytes reach the driver."""
+    mean = shingles / COUNTERS
+    found = counters.repartition("part").sortWithinPartitions("part").mapInArrow(_frequent_bits(mean + 6 * mean**0.5 + 8), "part int, bits binary")
+    out = np.zeros(COUNTERS // 8, np.uint8)
+    for r in found.collect():
+        out[r.part * PART // 8 : (r.part + 1) * PART // 8] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
 def _ordered_rows(k: int, percent: int, late):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = late.value
+        last = np.unpackbits(late.value).astype(bool)
         for b in batches:
             for i, v, off in shingle_sets(b.column(1), k):
                 n = np.diff(off)
                 of = np.repeat(np.arange(len(n)), n)
                 sketch = np.minimum(np.bincount(of * BUCKETS + (v % np.uint64(BUCKETS)).astype(np.int64), minlength=len(n) * BUCKETS), 255).astype(np.uint8)
-                t = v.astype(np.int64)
-                if len(last):
-                    t = t + LATE * (last[np.minimum(np.searchsorted(last, t), len(last) - 1)] == t)
-                    t = t[np.lexsort((t, of))]
+                t = v.astype(np.int64) + LATE * last[(v % np.uint64(COUNTERS)).astype(np.int64)]
+                t = t[np.lexsort((t, of))]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, len(n)), pa.array(n), pa.FixedSizeBinaryArray.from_buffers(pa.binary(BUCKETS), len(n), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary()),
                      _lists(*_heads(t, off, _windows(n, percent)))],
@@ -153,7 +193,9 @@ class _Space:
         bound = stored(pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "sx", "sy")
                        .mapInArrow(_bound(self.percent), "x bigint, y bigint, low double, can boolean"), "bounds")
         can = bound.filter("can").select("x", "y").distinct()
-        ids = can.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+        ids = stored(can.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
         members = stored(self.docs.join(ids, "id", "left_semi").mapInArrow(_whole_sets(self.k), "id bigint, members binary"), "members").distinct()
         exact = (can.join(members.select(F.col("id").alias("x"), F.col("members").alias("mx")), "x")
                  .join(members.select(F.col("id").alias("y"), F.col("members").alias("my")), "y").select("x", "y", "mx", "my")
@@ -163,11 +205,39 @@ class _Space:
         return stored(low.join(exact, ["x", "y"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "compared")
 
 
-def _pairs(members: DataFrame, keys: list[str], extra: str = "true") -> DataFrame:
-    """Distinct pairs of members of one small cell that lie in different components."""
-    a = members.select(*keys, F.col("id").alias("x"), F.col("component").alias("cx"), F.col("block").alias("bx"))
-    b = members.select(*keys, F.col("id").alias("y"), F.col("component").alias("cy"), F.col("block").alias("by"))
-    return a.join(b, keys).filter("x < y AND cx <> cy").filter(extra).select("x", "y").distinct()
+def _fits(percent: int, x: str, y: str) -> str:
+    """Whether two sets can link that meet first at these places (n: size, pos: place) of the order."""
+    both = f"{percent} * (n{x} + n{y})"
+    return (f"{100 + percent} * (n{x} - pos{x}) >= {both} AND {100 + percent} * (n{y} - pos{y}) >= {both} "
+            f"AND 100 * least(n{x}, n{y}) >= {percent} * greatest(n{x}, n{y})")
+
+
+def _as(df: DataFrame, side: str, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c if c in ("t", "i", "j") else c + side) for c in cols])
+
+
+def _pairs(members: DataFrame, keys: list[str], percent: int, extra: str = "true") -> DataFrame:
+    """Distinct pairs of members of one small cell that lie in different components and can link."""
+    cols = ("id", "n", "pos", "component", "block")
+    a, b = _as(members, "x", *keys, *cols), _as(members, "y", *keys, *cols).withColumnsRenamed({k: f"{k}2" for k in keys})
+    on = " AND ".join(f"{k} = {k}2" for k in keys)
+    return (a.join(b, F.expr(f"{on} AND idx < idy AND componentx <> componenty AND {extra} AND {_fits(percent, 'x', 'y')}"))
+            .select(F.col("idx").alias("x"), F.col("idy").alias("y")).distinct())
+
+
+def _star(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct (x, y) of each member and its region's pivot, where they can link; ``members`` has npivot and pospivot."""
+    m = members.filter("id <> pivot").select("id", F.col("n").alias("nx"), F.col("pos").alias("posx"), "pivot", F.col("npivot").alias("ny"), F.col("pospivot").alias("posy"))
+    return m.filter(_fits(percent, "x", "y")).select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
+
+
+def _with_pivots(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` (t, id, n, pos, shared) that can have a partner in their region, with its pivot."""
+    cells = members.groupBy("t").agg(F.min("n").alias("least"))
+    m = members.join(cells, "t").filter(f"{percent} * least <= {100 + percent} * (n - pos) - {percent} * n").drop("least")
+    pivots = m.groupBy("t").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("shared", (-F.col("id")).alias("least"), "n", "pos")).alias("p")).filter("size > 1")
+    pivots = pivots.select("t", "size", (-F.col("p.least")).alias("pivot"), F.col("p.n").alias("npivot"), F.col("p.pos").alias("pospivot"))
+    return m.join(pivots, "t")
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
@@ -179,41 +249,43 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sets = stored(docs.mapInArrow(_set_rows(k, percent), "id bigint, n bigint, key binary, head array<bigint>"), "sets")
+    first = stored(docs.mapInArrow(_set_rows(k), "id bigint, n bigint, key binary, part int, counts binary"), "sets")
+    sets = first.filter("part IS NULL").select("id", "n", "key")
     known = sets.filter("id IS NOT NULL AND n > 0")
     classes = stored(known.groupBy("key").agg(F.min("id").alias("rep")), "classes")
-    one_each = known.join(classes.withColumnRenamed("key", "rkey"), (F.col("key") == F.col("rkey")) & (F.col("id") == F.col("rep")), "left_semi")
+    edges = known.join(classes, "key").select(F.col("id").alias("x"), F.col("rep").alias("y"))
+    edges = stored(edges.filter("x <> y").distinct(), "links")
 
-    # the order of the singleton pivots: frequent shingles last
-    often = (one_each.select(F.explode("head").alias("t")).groupBy("t").count().filter(F.col("count") >= FREQUENT_FROM)
-             .orderBy(F.desc("count"), "t").limit(FREQUENT).select("t"))
-    late = spark.sparkContext.broadcast(np.sort(np.array([r.t for r in often.collect()], np.int64)))
+    late = spark.sparkContext.broadcast(_frequent(first.filter("part IS NOT NULL").select("part", "counts"), known.agg(F.sum("n")).first()[0] or 0))
     reps = classes.select(F.col("rep").alias("id")).distinct()
     space_rows = stored(docs.filter("id IS NOT NULL").mapInArrow(_ordered_rows(k, percent, late), "id bigint, n bigint, sketch binary, window array<bigint>")
                         .filter("n > 0").join(reps, "id", "left_semi"), "space")
     space = _Space(docs, space_rows, k, percent)
 
-    # regions with at least two members
-    placed = space_rows.select(F.explode("window").alias("t"), "id").distinct()
-    regions = placed.groupBy("t").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("pivot")).filter("size > 1")
-    members = stored(placed.join(regions, "t"), "regions")
+    # regions of at least two sets; a filter keeps shingles met once out of the join
+    placed = space_rows.select("id", "n", F.posexplode("window").alias("pos", "t"))
+    met = stored(placed.groupBy("t").count().filter("count > 1").select("t"), "met")
+    twice = may_contain(build_filter(met, "t", FILTER_BLOCKS).scalar(), "t", FILTER_BLOCKS)
+    members = stored(placed.filter(twice).join(met, "t").select("t", "id", "n", "pos"), "regions")
+    shared = members.groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    members = stored(_with_pivots(members.join(shared, "id"), percent), "members")
 
-    edges = sets.filter("id IS NOT NULL AND n > 0").join(classes, "key").select(F.col("id").alias("x"), F.col("rep").alias("y"))
-    edges = stored(edges.filter("x <> y").distinct(), "links")
+    comp, tested = None, None
     for level in range(LEVELS + 1):
         last = level == LEVELS
         if level:
             members, pairs = _next_level(members, comp, tested, percent, last)
         else:
-            pairs = members.filter("id <> pivot").select(F.col("id").alias("x"), F.col("pivot").alias("y")).distinct()
-        tested = space.compare(pairs)
-        if level and tested.isEmpty():
+            pairs = _star(members, percent)
+        pairs = stored(pairs, "pairs")
+        if level and pairs.isEmpty():
             break
+        tested = space.compare(pairs)
         found = tested.filter("linked").select("x", "y")
         if not level or not found.isEmpty():
             edges = stored(edges.unionByName(found).distinct(), "links")
             comp = stored(components(edges, "x", "y"), "components")
-        if members is None:
+        if last:
             break
     return sets.join(comp, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
 
@@ -228,19 +300,18 @@ def _next_level(members: DataFrame, comp: DataFrame, tested: DataFrame, percent:
     m = m.join(of_pivot, "pivot", "left").withColumn("cp", F.coalesce("cp", "pivot"))
     two = m.groupBy("t").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("t")
     m = m.join(two, "t", "left_semi").filter("id <> pivot").join(t, ["id", "pivot"], "left")
+    # pairs that cannot link at their places were not compared: nothing is known of their distance
     reach = m.groupBy("t").agg(F.min(F.when(F.col("component") != F.col("cp"), F.coalesce("d", "low", F.lit(0.0)))).alias("outer"))
     # a ball member farther than the radius from every outside member's distance to the pivot is settled
-    m = m.join(reach, "t").filter(F.col("outer").isNotNull()).filter(~F.coalesce("linked", F.lit(False)) | (F.col("d") + radius >= F.col("outer")))
-    cells = m.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("p"), F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").drop("c0", "c1")
-    m = stored(m.select("t", "id", "component").join(cells, "t"), "level").withColumn("block", F.lit(0))
-    pairs = _pairs(m.filter(F.col("n") <= LEAF), ["t"])
-    large = m.filter(F.col("n") > LEAF)
+    m = m.join(reach, "t").filter(~F.coalesce("linked", F.lit(False)) | F.col("outer").isNull() | (F.col("d") + radius >= F.col("outer")))
+    m = _with_pivots(m.select("t", "id", "n", "pos", "shared", "component"), percent)
+    cells = m.groupBy("t").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("t")
+    m = stored(m.join(cells, "t", "left_semi").withColumn("block", F.lit(0)), "level")
+    pairs = _pairs(m.filter(F.col("size") <= LEAF), ["t"], percent)
+    large = m.filter(F.col("size") > LEAF)
     if last:
-        g = F.ceil(F.col("n") / LEAF).cast("int")
+        g = F.ceil(F.col("size") / LEAF).cast("int")
         large = large.withColumn("block", F.pmod(F.xxhash64("id"), g).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
         large = large.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-        return None, pairs.unionByName(_pairs(large, ["t", "i", "j"], "bx <> by OR i = j")).distinct()
-    star = large.filter("id <> p").join(comp.select(F.col("id").alias("p"), F.col("component").alias("cp")), "p", "left")
-    star = star.filter(F.col("component") != F.coalesce("cp", "p")).select(F.least("id", "p").alias("x"), F.greatest("id", "p").alias("y"))
-    rest = large.select("t", "id", F.col("n").alias("size"), F.col("p").alias("pivot"))
-    return rest, pairs.unionByName(star).distinct()
+        return large, pairs.unionByName(_pairs(large, ["t", "i", "j"], percent, "(blockx <> blocky OR i = j)")).distinct()
+    return large.drop("component", "block"), pairs.unionByName(_star(large, percent)).distinct()

@@ -81,7 +81,7 @@ def build_filter(listed: DataFrame, key: str = "canonical", blocks: int = BLOCKS
     return every.join(words, "at", "left").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("word", one * 0).alias("word")))), lambda s: s["word"]).alias("words"))
 
 
-def _may_contain(words: Column, key: str, blocks: int) -> Column:
+def may_contain(words: Column, key: str, blocks: int) -> Column:
     first, bits = _slots(key, blocks)
     test = F.lit(True)
     for w, b in bits:
@@ -115,7 +115,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, page: str = "p
     rows = with_host_path(pages.select(F.col(page).alias("page"), F.col(url).alias("url")), "url")
     rule, verdict = _rule(rules)
     rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("__words", words.scalar())
-    rows = rows.withColumn("possible", F.col("rule").isNull() & _may_contain(F.col("__words"), "canonical", blocks)).drop("__words")
+    rows = rows.withColumn("possible", F.col("rule").isNull() & may_contain(F.col("__words"), "canonical", blocks)).drop("__words")
     rows = stored(rows.select("page", "host", "path", "canonical", "rule", "verdict", "possible"), "judged")
     sure = rows.filter("NOT possible").withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
     hits = rows.filter("possible").join(listed.withColumn("is_listed", F.lit(True)), "canonical", "left")
