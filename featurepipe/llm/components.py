@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.store import stored
+from featurepipe.llm.store import stored, stored_with
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,9 +35,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
                .filter(F.col(a).isNotNull() & F.col(b).isNotNull()).filter("u <> v").distinct(), "edges")
     seen = None
     while True:
-        e = stored(_star(_star(e, True), False), "edges")
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen or not now[0]:
+        e, now = stored_with(_star(_star(e, True), False), "edges", mark=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")))
+        if now == seen or not now["n"]:
             break
         seen = now
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(

@@ -46,8 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.llm.components import components
-from featurepipe.llm.store import ship, stored
-from featurepipe.llm.url_filter import build_filter, may_contain
+from featurepipe.llm.store import ship, stored, stored_with
 from featurepipe.llm.words import shingle_sets
 
 LEAF = 32  # members of a region compared pair by pair
@@ -57,7 +56,6 @@ COUNTERS = 1 << 22  # buckets in which shingles are counted
 PART = 1 << 16  # counters of one row
 BUCKETS = 128  # counters of a sketch
 LATE = np.int64(1 << 62)  # added to the 62-bit hash of a frequent shingle
-FILTER_BLOCKS = 1 << 15  # 2 MB: shingles met twice
 
 
 def _lists(values: np.ndarray, off: np.ndarray) -> pa.Array:
@@ -186,15 +184,15 @@ class _Space:
     def __init__(self, docs: DataFrame, sets: DataFrame, k: int, percent: int):
         self.docs, self.sets, self.k, self.percent = docs, sets.select("id", "n", "sketch"), k, percent
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """(x, y, low, d, linked) of distinct pairs: lower bound of d, d where it had to be computed, the verdict."""
+    def compare(self, pairs: DataFrame) -> tuple[DataFrame, int]:
+        """(x, y, low, d, linked) of distinct pairs: lower bound of d, d where it had to be computed, the verdict; the number of links."""
         x = self.sets.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
         y = self.sets.select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("sketch").alias("sy"))
         bound = stored(pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "sx", "sy")
                        .mapInArrow(_bound(self.percent), "x bigint, y bigint, low double, can boolean"), "bounds")
         can = bound.filter("can").select("x", "y").distinct()
-        ids = stored(can.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
-        if ids.count() <= BROADCAST_IDS:
+        ids, seen = stored_with(can.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
+        if seen["n"] <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         members = stored(self.docs.join(ids, "id", "left_semi").mapInArrow(_whole_sets(self.k), "id bigint, members binary"), "members").distinct()
         exact = (can.join(members.select(F.col("id").alias("x"), F.col("members").alias("mx")), "x")
@@ -202,7 +200,8 @@ class _Space:
                  .mapInArrow(_exact(self.percent), "x bigint, y bigint, d double, linked boolean")
                  .groupBy("x", "y").agg(F.min("d").alias("d"), F.max("linked").alias("linked")))
         low = bound.groupBy("x", "y").agg(F.min("low").alias("low"))
-        return stored(low.join(exact, ["x", "y"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "compared")
+        tested, seen = stored_with(low.join(exact, ["x", "y"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "compared", links=F.count_if("linked"))
+        return tested, seen["links"]
 
 
 def _fits(percent: int, x: str, y: str) -> str:
@@ -262,31 +261,28 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         .filter("n > 0").join(reps, "id", "left_semi"), "space")
     space = _Space(docs, space_rows, k, percent)
 
-    # regions of at least two sets; a filter keeps shingles met once out of the join
+    # regions of at least two sets
     placed = space_rows.select("id", "n", F.posexplode("window").alias("pos", "t"))
     met = stored(placed.groupBy("t").count().filter("count > 1").select("t"), "met")
-    twice = may_contain(build_filter(met, "t", FILTER_BLOCKS).scalar(), "t", FILTER_BLOCKS)
-    members = stored(placed.filter(twice).join(met, "t").select("t", "id", "n", "pos"), "regions")
+    members = stored(placed.join(met, "t").select("t", "id", "n", "pos"), "regions")
     shared = members.groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
     members = stored(_with_pivots(members.join(shared, "id"), percent), "members")
 
-    comp, tested = None, None
-    for level in range(LEVELS + 1):
-        last = level == LEVELS
-        if level:
-            members, pairs = _next_level(members, comp, tested, percent, last)
-        else:
-            pairs = _star(members, percent)
-        pairs = stored(pairs, "pairs")
-        if level and pairs.isEmpty():
-            break
-        tested = space.compare(pairs)
-        found = tested.filter("linked").select("x", "y")
-        if not level or not found.isEmpty():
-            edges = stored(edges.unionByName(found).distinct(), "links")
-            comp = stored(components(edges, "x", "y"), "components")
-        if last:
+    tested, links = space.compare(stored(_star(members, percent), "pairs"))
+    comp = stored(components(edges.unionByName(tested.filter("linked").select("x", "y")), "x", "y"), "components")
+    for level in range(1, LEVELS + 1):
+        members, pairs = _next_level(members, comp, tested, percent, level == LEVELS)
+        pairs, seen = stored_with(pairs, "pairs")
+        if not seen["n"]:
             break
+        tested, links = space.compare(pairs)
+        if links:  # between components: few, whatever the sizes of these
+            of = comp.select(F.col("id").alias("x"), F.col("component").alias("cx"))
+            joined = tested.filter("linked").join(of, "x", "left").join(of.toDF("y", "cy"), "y", "left")
+            joined = stored(components(joined.select(F.coalesce("cx", "x").alias("u"), F.coalesce("cy", "y").alias("v")), "u", "v"), "joined")
+            more = comp.join(joined.toDF("component", "low"), "component", "left").select("id", F.coalesce("low", "component").alias("component"))
+            alone = joined.join(comp, "id", "left_anti")
+            comp = stored(more.unionByName(alone), "components")
     return sets.join(comp, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
 
 
@@ -296,10 +292,11 @@ def _next_level(members: DataFrame, comp: DataFrame, tested: DataFrame, percent:
     t = tested.select(F.col("x").alias("id"), F.col("y").alias("pivot"), "low", "d", "linked")
     t = t.unionByName(t.select(F.col("pivot").alias("id"), F.col("id").alias("pivot"), "low", "d", "linked"))
     of_pivot = comp.select(F.col("id").alias("pivot"), F.col("component").alias("cp"))
-    m = members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    m = m.join(of_pivot, "pivot", "left").withColumn("cp", F.coalesce("cp", "pivot"))
+    # a region of two has been compared
+    m = stored(members.filter("size > 2").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
     two = m.groupBy("t").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("t")
-    m = m.join(two, "t", "left_semi").filter("id <> pivot").join(t, ["id", "pivot"], "left")
+    m = m.join(two, "t", "left_semi").filter("id <> pivot").join(of_pivot, "pivot", "left").withColumn("cp", F.coalesce("cp", "pivot"))
+    m = stored(m.join(t, ["id", "pivot"], "left"), "around")
     # pairs that cannot link at their places were not compared: nothing is known of their distance
     reach = m.groupBy("t").agg(F.min(F.when(F.col("component") != F.col("cp"), F.coalesce("d", "low", F.lit(0.0)))).alias("outer"))
     # a ball member farther than the radius from every outside member's distance to the pivot is settled

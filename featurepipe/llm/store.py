@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from featurepipe.session import work_dir
 
@@ -29,3 +30,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_with(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows taken while they are written (``n`` is their number)."""
+    seen = Observation()
+    path = new_path(df.sparkSession, name)
+    df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in measures.items()]).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get

@@ -111,7 +111,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, page: str = "p
     ``listed``: canonical (distinct) and keeper (the page that stays, or null).
     """
     listed = stored(listed.select("canonical", "keeper"), "listed")
-    words = build_filter(listed, blocks=blocks)
+    words = stored(build_filter(listed, blocks=blocks), "filter")
     rows = with_host_path(pages.select(F.col(page).alias("page"), F.col(url).alias("url")), "url")
     rule, verdict = _rule(rules)
     rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("__words", words.scalar())
