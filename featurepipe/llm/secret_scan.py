@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from featurepipe.llm.store import new_path
@@ -52,7 +51,8 @@ MORE = [
 ]
 RULES = BASE + MORE
 RULE_VERSION = "2"
-LEDGER = T.StructType.fromDDL("blob string, rule_version string, spans array<struct<start:int,rank:int,kind:string,end:int>>")
+SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
+LEDGER = f"blob string, rule_version string, spans {SPANS}"
 MASK = "[SECRET]"
 
 
@@ -103,7 +103,7 @@ def update_ledger(versions: DataFrame, path: str, rules: list[Rule] = RULES, rul
     blobs.write.parquet(new)
     blobs = spark.read.schema("blob string, text string").parquet(new)
     rows = blobs.select("blob").join(scan(blobs, rules), "blob", "left")
-    rows.select("blob", F.lit(rule_version).alias("rule_version"), F.coalesce("spans", F.array().cast(LEDGER["spans"].dataType)).alias("spans")).write.parquet(f"{path}/run-{uuid.uuid4().hex[:12]}")
+    rows.select("blob", F.lit(rule_version).alias("rule_version"), F.coalesce("spans", F.array().cast(SPANS)).alias("spans")).write.parquet(f"{path}/run-{uuid.uuid4().hex[:12]}")
 
 
 def findings(versions: DataFrame, path: str, rule_version: str = RULE_VERSION, text: str = "text") -> DataFrame:
