@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurepipe.llm.store import ship, stored
+from featurepipe.llm.store import ship, stored, stored_with
 from featurepipe.llm.words import SPACE, U, chunks, mix, word_hashes
 
 LEAST = 60
 CORE = 0.75
 STEPS = 4
+SENT = 10_000  # groups whose estimates are broadcast (8 MB); more are joined by a shuffle
 CUT = 9.0  # Mahalanobis distance, in standard deviations of one dimension
 STATS = ("size", "word_length", "symbols", "dup_lines", "repeats", "capitals", "marks", "distinct")
 FLOOR = (0.30, 0.06, 0.05, 0.25, 0.25, 0.05, 0.05, 0.06)  # least standard deviation of each
@@ -141,23 +142,29 @@ def _sums(rows: DataFrame) -> DataFrame:
                                  F.array(*[F.sum(x[i] * x[j]) for i in range(D) for j in range(i, D)]).alias("q"))
 
 
+def _per_group(df: DataFrame, name: str) -> DataFrame:
+    """A stored table of one small row per group, to be broadcast while there are at most ``SENT`` groups."""
+    df, seen = stored_with(df, name)
+    return F.broadcast(df) if seen["n"] <= SENT else df
+
+
 def robust_groups(vectors: DataFrame) -> DataFrame:
     """``vectors`` (row, g, x) with ``d2``: squared robust distance within each group g, scaled to normal data."""
     x = [F.get("x", F.lit(i)) for i in range(D)]
-    mid = vectors.groupBy("g").agg(F.array(*[F.percentile_approx(v, 0.5, 1000) for v in x]).alias("mean"))
+    mid = _per_group(vectors.groupBy("g").agg(F.array(*[F.percentile_approx(v, 0.5, 1000) for v in x]).alias("mean")), "medians")
     dev = vectors.join(mid, "g").groupBy("g").agg(F.first("mean").alias("mean"), F.array(*[F.percentile_approx(F.abs(v - F.get("mean", F.lit(i))), 0.5, 1000) for i, v in enumerate(x)]).alias("dev"))
     scale = [F.greatest(F.lit(FLOOR[i]), F.get("dev", F.lit(i)) * 1.4826) for i in range(D)]
     zero = F.lit(0.0)
-    fit = stored(dev.select("g", "mean", F.array(*[1 / (scale[i] * scale[i]) if i == j else zero for i in range(D) for j in range(D)]).alias("prec")), "start")
+    fit = _per_group(dev.select("g", "mean", F.array(*[1 / (scale[i] * scale[i]) if i == j else zero for i in range(D) for j in range(D)]).alias("prec")), "start")
     cols = "row bigint, g string, x array<double>, d2 double"
     for _ in range(STEPS):
         d = vectors.join(fit, "g").select("row", "g", "x", "mean", "prec").mapInArrow(_distance, cols)
         d = stored(d, "distances")
-        cut = d.groupBy("g").agg(F.percentile_approx("d2", CORE, 1000).alias("cut"))
+        cut = _per_group(d.groupBy("g").agg(F.percentile_approx("d2", CORE, 1000).alias("cut")), "cuts")
         core = d.join(cut, "g").filter("d2 <= cut")
-        fit = stored(_sums(core).mapInArrow(_invert, "g string, mean array<double>, prec array<double>"), "fit")
+        fit = _per_group(_sums(core).mapInArrow(_invert, "g string, mean array<double>, prec array<double>"), "fit")
     d = stored(vectors.join(fit, "g").select("row", "g", "x", "mean", "prec").mapInArrow(_distance, cols), "distances")
-    mid = d.groupBy("g").agg(F.percentile_approx("d2", 0.5, 1000).alias("median"), F.count(F.lit(1)).alias("size"))
+    mid = _per_group(d.groupBy("g").agg(F.percentile_approx("d2", 0.5, 1000).alias("median"), F.count(F.lit(1)).alias("size")), "medians")
     return d.join(mid, "g").select("row", "g", "size", (F.col("d2") * F.least(F.lit(1.0), F.lit(CHI_MEDIAN) / F.greatest("median", F.lit(1e-9)))).alias("d2"))
 
 
