@@ -84,9 +84,9 @@ def binary_metrics(
 def quality_gate(metrics: DataFrame, thresholds: Mapping[str, float] = DEFAULT_THRESHOLDS) -> DataFrame:
     """M8: ``passed`` when every metric meets its floor; ``failures`` lists the others.
 
-    A missing (null) metric fails with its name, instead of raising.
+    A missing (null) or NaN metric fails with its name, instead of raising.
     """
-    ok = {m: F.coalesce(F.col(m) >= F.lit(t), F.lit(False)) for m, t in thresholds.items()}
+    ok = {m: F.coalesce((F.col(m) >= F.lit(t)) & ~F.isnan(m), F.lit(False)) for m, t in thresholds.items()}
     passed = F.lit(True)
     for c in ok.values():
         passed = passed & c

@@ -97,10 +97,11 @@ def _merge(old: DataFrame, new: DataFrame, batch_id: int) -> DataFrame:
 
 
 def _read_touched(spark: SparkSession, path: str, schema: str, touched: list[int]) -> DataFrame:
-    try:
-        df = spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - first batch: no state yet
+    """The touched buckets of the state; empty before the first batch. A state that cannot be read fails the batch."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(path)
     return df.where(F.col("bucket").isin(touched))
 
 

@@ -69,3 +69,11 @@ def test_gate(spark):
     assert not g["missing"].passed and g["missing"].failures == "auc"
     strict = {r.seg: r for r in metrics.quality_gate(m, {"auc": 0.85, "precision": 0.70, "recall": 0.60}).collect()}
     assert not strict["ok"].passed
+
+
+def test_gate_fails_on_nan(spark):
+    from featurepipe.operators.metrics import DEFAULT_THRESHOLDS, quality_gate
+
+    names = list(DEFAULT_THRESHOLDS)
+    row = quality_gate(spark.createDataFrame([(float("nan"), *[1.0] * (len(names) - 1))], ", ".join(f"{m} double" for m in names))).first()
+    assert not row.passed and row.failures == names[0]

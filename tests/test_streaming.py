@@ -76,3 +76,13 @@ def test_append_mode_leaves_the_last_window_open(spark):
     full = _rows(drift.window_summary(ev))
     assert 0 < len(got) < len(full)
     assert got == full[: len(got)]  # closed windows equal the batch summary
+
+
+def test_state_that_cannot_be_read_fails(spark, tmp_path):
+    import pytest
+
+    from featurepipe.streaming.refresh import _read_touched
+
+    assert _read_touched(spark, str(tmp_path / "none"), "bucket int", [0]).collect() == []
+    with pytest.raises(Exception):  # noqa: B017 - whatever the file system raises
+        _read_touched(spark, "nosuchfs://state/x", "bucket int", [0])
