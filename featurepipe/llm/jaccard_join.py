@@ -23,8 +23,8 @@ decide which pairs can be within ``1 - threshold``:
    part of its ball that no outside member's window reaches (lower bound of d to
    the pivot more than the radius away). Regions of at most ``LEAF`` members compare
    their remaining members in different components directly. What is still
-   larger after ``LEVELS`` rounds is compared in blocks of LEAF, so that no task holds a
-   large region.
+   larger after ``LEVELS`` rounds is dealt into blocks of LEAF, and the members outside the
+   region's largest component visit all of them, so that no task holds a large region.
 
 Pairs inside one component are not compared again, so a group of n near copies costs
 about n comparisons per level. Only ids, sketches of 128 bytes and the sets of
@@ -212,18 +212,35 @@ def _fits(percent: int, x: str, y: str) -> str:
 
 
 def _as(df: DataFrame, side: str, *cols: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(c if c in ("t", "i", "j") else c + side) for c in cols])
+    return df.select(*[F.col(c).alias(c if c in ("t", "j") else c + side) for c in cols])
 
 
-def _pairs(members: DataFrame, keys: list[str], percent: int, extra: str = "true") -> DataFrame:
-    """Distinct pairs of members of one small cell that lie in different components and can link."""
-    cols = ("id", "n", "pos", "component", "block")
-    a, b = _as(members, "x", *keys, *cols), _as(members, "y", *keys, *cols).withColumnsRenamed({k: f"{k}2" for k in keys})
-    on = " AND ".join(f"{k} = {k}2" for k in keys)
-    return (a.join(b, F.expr(f"{on} AND idx < idy AND componentx <> componenty AND {extra} AND {_fits(percent, 'x', 'y')}"))
+def _pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of members of one small region that lie in different components and can link."""
+    cols = ("id", "n", "pos", "component")
+    a, b = _as(members, "x", "t", *cols), _as(members, "y", "t", *cols).withColumnRenamed("t", "t2")
+    return (a.join(b, F.expr(f"t = t2 AND idx < idy AND componentx <> componenty AND {_fits(percent, 'x', 'y')}"))
             .select(F.col("idx").alias("x"), F.col("idy").alias("y")).distinct())
 
 
+def _visits(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of members of one large region that lie in different components and can link.
+
+    Members are dealt into blocks of about LEAF. Those outside the region's largest component
+    visit every block; the largest component stays at home, since its members are not compared
+    with each other. A group of n near copies with o other members costs n + o * (n + o) / LEAF rows.
+    """
+    sizes = members.groupBy("t", "component").agg(F.count(F.lit(1)).alias("held"))
+    homes = sizes.groupBy("t").agg(F.max(F.struct("held", "component")).getField("component").alias("home"))
+    blocks = F.ceil(F.col("size") / LEAF).cast("int")
+    m = stored(members.join(homes, "t").select("t", "id", "n", "pos", "component", "size", (F.col("component") == F.col("home")).alias("home")), "homes")
+    cols = ("id", "n", "pos", "component", "home")
+    guests = _as(m.filter("NOT home").withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1))), "x", "t", "j", *cols)
+    hosts = _as(m.withColumn("j", F.pmod(F.xxhash64("id"), blocks).cast("int")), "y", "t", "j", *cols).withColumnsRenamed({"t": "t2", "j": "j2"})
+    met = guests.join(hosts, F.expr(f"t = t2 AND j = j2 AND (homey OR idx < idy) AND componentx <> componenty AND {_fits(percent, 'x', 'y')}"))
+    return met.select(F.least("idx", "idy").alias("x"), F.greatest("idx", "idy").alias("y")).distinct()
+
+
 def _star(members: DataFrame, percent: int) -> DataFrame:
     """Distinct (x, y) of each member and its region's pivot, where they can link; ``members`` has npivot and pospivot."""
     m = members.filter("id <> pivot").select("id", F.col("n").alias("nx"), F.col("pos").alias("posx"), "pivot", F.col("npivot").alias("ny"), F.col("pospivot").alias("posy"))
@@ -303,12 +320,9 @@ def _next_level(members: DataFrame, comp: DataFrame, tested: DataFrame, percent:
     m = m.join(reach, "t").filter(~F.coalesce("linked", F.lit(False)) | F.col("outer").isNull() | (F.col("d") + radius >= F.col("outer")))
     m = _with_pivots(m.select("t", "id", "n", "pos", "shared", "component"), percent)
     cells = m.groupBy("t").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("t")
-    m = stored(m.join(cells, "t", "left_semi").withColumn("block", F.lit(0)), "level")
-    pairs = _pairs(m.filter(F.col("size") <= LEAF), ["t"], percent)
+    m = stored(m.join(cells, "t", "left_semi"), "level")
+    pairs = _pairs(m.filter(F.col("size") <= LEAF), percent)
     large = m.filter(F.col("size") > LEAF)
     if last:
-        g = F.ceil(F.col("size") / LEAF).cast("int")
-        large = large.withColumn("block", F.pmod(F.xxhash64("id"), g).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), g - 1)))
-        large = large.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-        return large, pairs.unionByName(_pairs(large, ["t", "i", "j"], percent, "(blockx <> blocky OR i = j)")).distinct()
-    return large.drop("component", "block"), pairs.unionByName(_star(large, percent)).distinct()
+        return large, pairs.unionByName(_visits(large, percent)).distinct()
+    return large.drop("component"), pairs.unionByName(_star(large, percent)).distinct()
