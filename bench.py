@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from featurepipe.plans.queries import REGISTRY  # noqa: E402
 from featurepipe.session import local_session  # noqa: E402
+from featurepipe.sources.tables import SPREAD_CONF  # noqa: E402
 
 HEADLINE = [
     "q02_customer_view_lineitem",
@@ -42,6 +43,7 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="featurepipe-bench")
+    spark.conf.set(SPREAD_CONF, cpus)
     per_query: dict[str, float] = {}
     errors: dict[str, str] = {}
     for name in names:

@@ -10,4 +10,4 @@ from featurepipe.functions.columns import (  # noqa: F401
     to_instant,
     version_number,
 )
-from featurepipe.functions.joins import broadcast_if_small  # noqa: F401
+from featurepipe.functions.joins import join_null_safe  # noqa: F401

@@ -1,23 +1,27 @@
-"""Join helpers."""
+"""Join helpers.
+
+Which side is broadcast is left to Spark: Catalyst decides from file sizes and AQE from
+the bytes a shuffle measured, both against ``spark.sql.autoBroadcastJoinThreshold``.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after its row count was checked against this
-# bound; above it the join stays a shuffle join (AQE may still convert it at
-# runtime from measured sizes, and splits skewed partitions).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, keys, how)`` where a null key equals a null key (inner or left joins).
 
-    The check is ``df.limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it costs at most ``max_rows + 1`` rows of a scan.
-    Use it for file-backed dimensions; for frames derived by a shuffle the
-    runtime check of AQE (adaptive broadcast conversion) is the cheaper one.
+    A key that cannot be null on either side is compared with ``=``, which lets the join
+    reuse the partitioning by that key.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    maybe_null = {f.name for df in (left, right) for f in df.schema.fields if f.nullable}
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        a, b = F.col(k), F.col(f"_r_{k}")
+        on = on & (a.eqNullSafe(b) if k in maybe_null else a == b)
+    return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])

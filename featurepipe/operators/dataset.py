@@ -99,10 +99,10 @@ def kfold(
     return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
 
 
-def write_versioned(df: DataFrame, target_dir: str, name: str, version: str) -> str:
-    """Materialise a named, versioned dataset; returns its path."""
+def write_versioned(df: DataFrame, target_dir: str, name: str, version: str, overwrite: bool = False) -> str:
+    """Materialise a named, versioned dataset; returns its path. An existing version fails unless ``overwrite``."""
     path = f"{target_dir.rstrip('/')}/datasets/{name}/{version}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
     return path
 
 

@@ -31,16 +31,21 @@ def latest_success(results: DataFrame, step_col: str, status_col: str, success:
     return latest_per_key(ok, [step_col], [created, tiebreak], payload)
 
 
-def run_completeness(latest_states: DataFrame, run_col: str, task_col: str, state_col: str, expected_tasks: int) -> DataFrame:
-    """FAILED if any task's latest state failed; DONE if all expected tasks succeeded; else WAITING."""
+def run_completeness(latest_states: DataFrame, run_col: str, task_col: str, state_col: str, expected_tasks: Sequence[str]) -> DataFrame:
+    """FAILED if the latest state of an expected task failed; DONE if all of them succeeded; else WAITING.
+
+    Only tasks named in ``expected_tasks`` count: a run with none of them is WAITING.
+    """
+    names = sorted(set(expected_tasks))
+    expected = F.col(task_col).isin(names)
     agg = latest_states.groupBy(run_col).agg(
-        F.count(F.lit(1)).alias("n_tasks"),
-        F.count_distinct(F.when(F.col(state_col) == SUCCEEDED, F.col(task_col))).alias("n_succeeded"),
-        F.max(F.when(F.col(state_col) == FAILED, 1).otherwise(0)).alias("_failed"),
+        F.count_distinct(F.when(expected, F.col(task_col))).alias("n_tasks"),
+        F.count_distinct(F.when(expected & (F.col(state_col) == SUCCEEDED), F.col(task_col))).alias("n_succeeded"),
+        F.max(F.when(expected & (F.col(state_col) == FAILED), 1).otherwise(0)).alias("_failed"),
     )
     status = (
         F.when(F.col("_failed") == 1, F.lit("FAILED"))
-        .when(F.col("n_succeeded") >= expected_tasks, F.lit("DONE"))
+        .when(F.col("n_succeeded") == len(names), F.lit("DONE"))
         .otherwise(F.lit("WAITING"))
     )
     return agg.select(run_col, "n_tasks", "n_succeeded", status.alias("run_status"))

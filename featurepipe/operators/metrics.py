@@ -9,7 +9,7 @@ are score ranges, so no task holds a whole segment.
 * AP  = Σ tp_i · cum_tp_i / (cum_tp_i + cum_fp_i) / P  (step sum, not trapezoid)
 * precision, recall, F1 at score >= threshold, 0 when undefined.
 A segment with one class only gets a null AUC (and a null AP without positives).
-Rows with a null or NaN score or a null label are left out.
+Rows with a null or NaN score or a null label are left out; a null segment is a segment.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.fixed import PREDICTION_THRESHOLD, QUALITY_THRESHOLDS
+from featurepipe.functions.joins import join_null_safe
 from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
 
 DEFAULT_THRESHOLDS = QUALITY_THRESHOLDS
@@ -35,7 +36,7 @@ def binary_metrics(
     max_bucket_values: int = MAX_BUCKET_VALUES,
 ) -> DataFrame:
     seg = list(segment_cols)
-    if not seg:  # one global segment, carried as a constant key (no cross joins)
+    if not seg:  # one global segment, carried as a constant key (its joins have one row on one side)
         out = binary_metrics(df.withColumn("_all", F.lit(1)), score, label, ["_all"], threshold, n_buckets, max_bucket_values)
         return out.drop("_all")
     rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull()).select(
@@ -65,7 +66,7 @@ def binary_metrics(
         F.sum(fp * (ctp - tp / 2.0)).alias("_auc_num"),
         F.sum(tp * ctp / (ctp + cfp)).alias("_ap_num"),
     )
-    joined = counts.join(curve, seg, "left")
+    joined = join_null_safe(counts, curve, seg, "left")
     p, n = F.col("positives"), F.col("negatives")
     precision = F.coalesce(F.try_divide(F.col("_tp"), F.col("_tp") + F.col("_fp")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("_tp"), p), F.lit(0.0))

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe import fixed
@@ -129,8 +129,9 @@ def load_model(path: str) -> PipelineModel:
 
 def score_table(model: PipelineModel, features: DataFrame, out_path: str, keep: Sequence[str] = ("txn_id",),
                 prediction_ts=None) -> int:
-    """M9: score a whole table, stamp the prediction time, overwrite the output; returns the input row count."""
-    n = features.count()
+    """M9: score a whole table, stamp the prediction time, overwrite the output; returns the row count, taken while writing."""
+    seen = Observation()
     ts = prediction_ts if prediction_ts is not None else F.current_timestamp().cast("timestamp_ntz")
-    predict(model, features, keep).withColumn("prediction_ts", ts).write.mode("overwrite").parquet(out_path)
-    return n
+    scored = predict(model, features, keep).withColumn("prediction_ts", ts).observe(seen, F.count(F.lit(1)).alias("n"))
+    scored.write.mode("overwrite").parquet(out_path)
+    return seen.get["n"]

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from featurepipe.functions.joins import join_null_safe
+
 # Value buckets for ordered statistics (AUC/AP, quantiles, KS): None means
 # about sqrt(distinct values) buckets per partition, decided inside the plan.
 # Both levels of ``bucketed_running_sum`` then see about sqrt(n) rows: the
@@ -60,7 +62,7 @@ def bucketed_running_sum(
         *p, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *extra
     )
     upto = Window.partitionBy(*p, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = df.join(offsets, [*p, bucket], "inner")
+    joined = join_null_safe(df, offsets, [*p, bucket])
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns],
         *[(F.col(f"_off_{c}") + F.sum(c).over(upto)).alias(prefix + c) for c in sum_cols],
@@ -106,14 +108,14 @@ def ordered_buckets(
     equal-width over the partition's range with about sqrt(distinct) buckets;
     a level-1 bucket with more than ``max_values`` values is cut into
     ``SUB_BUCKETS`` equal-width sub-buckets over its own range. The list of
-    such buckets has at most distinct / max_values rows, so broadcasting it is
-    bounded. Ids are ``level1 * SUB_BUCKETS + sub``.
+    such buckets has at most distinct / max_values rows; Spark broadcasts it when
+    its measured size allows. A null partition value is a partition. Ids are ``level1 * SUB_BUCKETS + sub``.
     """
     p = list(partition_cols)
     v = F.col(value)
     if stats is None:  # callers that already aggregate per partition pass (p, _lo, _hi, _nd)
         stats = df.groupBy(*p).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_nd"))
-    staged = df.join(stats, p, "inner").withColumn(
+    staged = join_null_safe(df, stats, p).withColumn(
         "_b1", value_bucket(v, F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
     ).drop("_lo", "_hi", "_nd")
     dense = (
@@ -121,6 +123,6 @@ def ordered_buckets(
         .agg(F.count(F.lit(1)).alias("_n1"), F.min(value).alias("_blo"), F.max(value).alias("_bhi"))
         .where(F.col("_n1") > max_values)
     )
-    staged = staged.join(F.broadcast(dense), [*p, "_b1"], "left")
+    staged = join_null_safe(staged, dense, [*p, "_b1"], "left")
     sub = F.when(F.col("_n1").isNotNull(), value_bucket(v, F.col("_blo"), F.col("_bhi"), SUB_BUCKETS)).otherwise(F.lit(0))
     return staged.withColumn(name, (F.col("_b1") * F.lit(SUB_BUCKETS) + sub).cast("bigint")).drop("_b1", "_n1", "_blo", "_bhi")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featurepipe.functions.joins import join_null_safe
 from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
 
 
@@ -31,9 +32,8 @@ def exact_quantiles(
     stats = vals.groupBy(*g).agg(
         F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd")
     )
-    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values, stats=stats.drop("_n")).join(
-        stats.select(*g, "_n"), g, "inner"
-    )
+    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values, stats=stats.drop("_n"))
+    staged = join_null_safe(staged, stats.select(*g, "_n"), g)
     ranked = bucketed_running_sum(staged, g, "_vb", [F.col("_v")], ["_c"], prefix="_cum")
     first, last = F.col("_cum_c") - F.col("_c") + 1, F.col("_cum_c")
     aggs = []
@@ -61,7 +61,7 @@ def distribution_summary(df: DataFrame, by: str, value: str) -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     )
-    return basic.join(exact_quantiles(df, [by], value), by, "left")
+    return join_null_safe(basic, exact_quantiles(df, [by], value), [by], "left")
 
 
 def rate_by(df: DataFrame, by: str, label: str, name: str = "fraud_rate") -> DataFrame:
@@ -71,8 +71,8 @@ def rate_by(df: DataFrame, by: str, label: str, name: str = "fraud_rate") -> Dat
     )
 
 
-def pivot_counts(df: DataFrame, row: str, label: str, values=(0, 1), first_n: int | None = 10) -> DataFrame:
-    """``row`` × label counts, missing cells 0, first ``first_n`` rows by ``row``."""
+def pivot_counts(df: DataFrame, row: str, label: str, values=(0, 1), first_n: int | None = None) -> DataFrame:
+    """``row`` × label counts, missing cells 0, sorted by ``row``; ``first_n`` cuts the report for display."""
     out = df.groupBy(row).pivot(label, list(values)).count().na.fill(0)
     out = out.select(row, *[F.col(f"`{v}`").cast("bigint").alias(f"{label}_{v}") for v in values]).orderBy(row)
     return out.limit(first_n) if first_n else out

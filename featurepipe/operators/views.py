@@ -13,9 +13,11 @@ Scale notes
   two aggregates keyed by (customer, merchant) and (customer, day): a two-stage
   pre-aggregation that shuffles distinct pairs, not raw rows.
   ``distinct_counts`` spells the same two-stage plan out by hand.
-* The merchant dimension is broadcast only after its row count is checked.
+* Whether the merchant dimension is broadcast is Spark's choice by its size in bytes.
 * The per-customer mean is an aggregate joined back (not a window), so a hot
-  customer never lands in one window task; AQE's skew join splits its rows.
+  customer never lands in one window task. The aggregate's side of the join is one
+  row per customer: while it is small it is broadcast. Beyond that AQE cannot split
+  the join's hot customer, since that side is an aggregate above its exchange.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 
 from featurepipe.fixed import CUSTOMER_VIEW_NAME, FIRST_VERSION, HIGH_RISK_MERCHANT_ABOVE, TRANSACTION_VIEW_NAME, VIEW_REFRESH
 from featurepipe.functions.columns import is_late_night, is_weekend, safe_ratio
-from featurepipe.functions.joins import broadcast_if_small
 from featurepipe.sources.roles import Roles
 
 # Column order of the customer view (fixed; the model input takes 12 of these).
@@ -141,22 +142,21 @@ def group_mean(txn: DataFrame, key: str = "customer_id", value: str = "amount",
 def with_group_mean(txn: DataFrame, key: str = "customer_id", value: str = "amount", name: str = "cust_avg_amount") -> DataFrame:
     """Every row with its group's mean, as aggregate + left join.
 
-    Equal to ``avg(value).over(partitionBy(key))`` but skew-safe: the aggregate
-    combines map-side and the join's hot key is split by AQE.
+    Equal to ``avg(value).over(partitionBy(key))`` but skew-safe: the aggregate combines
+    map-side, and its small result is broadcast where Spark measures it to fit.
     """
     return txn.join(group_mean(txn, key, value, name), key, "left")
 
 
-def transaction_context_view(r: Roles, broadcast_rows: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+def transaction_context_view(r: Roles, keep: tuple[str, ...] = ()) -> DataFrame:
     """TRANSACTION_CONTEXT_FEATURES: txn ⟕ merchants ⟕ per-customer mean.
 
     ``keep`` passes extra transaction columns through (e.g. the label).
     """
     txn = r.transactions
-    merch = broadcast_if_small(r.merchants, broadcast_rows)
     hour = F.hour("ts")
     return (
-        txn.join(merch, "merchant_id", "left")
+        txn.join(r.merchants, "merchant_id", "left")
         .join(group_mean(txn), "customer_id", "left")
         .select(
             "txn_id",

@@ -196,7 +196,7 @@ CLICKS = f"""(SELECT customer_id, feature_ts, amount AS last_click_amount, merch
   hour_of_day AS last_click_hour FROM {txn_view(E_TXN)} v WHERE event_type = 'click')"""
 ASOF_HISTORY = f"""(
   SELECT s.txn_id, s.customer_id, s.ts, s.is_fraud, c.last_click_amount, c.last_click_risk, c.last_click_hour, c.feature_ts
-  FROM (SELECT txn_id, customer_id, ts, is_fraud FROM {E_TXN} t WHERE event_type = 'purchase') s
+  FROM (SELECT txn_id, customer_id, ts, is_fraud FROM {E_TXN} t) s
   ASOF LEFT JOIN {CLICKS} c ON s.customer_id = c.customer_id AND s.ts >= c.feature_ts)"""
 
 ASOF_ORDERS = f"""(
@@ -368,7 +368,7 @@ SQL: dict[str, str] = {
     "q21_rate_by_device": out(f"(SELECT device_type, avg(CAST(is_fraud AS DOUBLE)) AS fraud_rate, count(*) AS n FROM {E_TXN} t GROUP BY device_type)",
                               "device_type:s fraud_rate:d n:i"),
     "q22_hour_label_pivot": out(f"""(SELECT hour(ts) AS hour_of_day, sum(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END) AS is_fraud_0,
-        sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS is_fraud_1 FROM {E_TXN} t GROUP BY 1 ORDER BY 1 LIMIT 10)""",
+        sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS is_fraud_1 FROM {E_TXN} t GROUP BY 1)""",
                                 "hour_of_day:i is_fraud_0:i is_fraud_1:i"),
     "q23_class_balance": out(f"(SELECT is_fraud, count(*) AS n, count(*) * 1.0 / sum(count(*)) OVER () AS share FROM {E_TXN} t GROUP BY is_fraud)",
                              "is_fraud:i n:i share:d"),
@@ -397,11 +397,14 @@ SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY step ORDER BY created_at DESC, result_id DESC) = 1)""",
                               "step:s created_at:t result_id:i payload:d"),
     "q41_latest_task_state": out(LATEST_STATES, "run:i step:s created_at:t result_id:i state:s"),
-    "q42_run_completeness": out(f"""(SELECT run, count(*) AS n_tasks,
-        count(DISTINCT CASE WHEN state = 'SUCCEEDED' THEN step END) AS n_succeeded,
-        CASE WHEN max(CASE WHEN state = 'FAILED' THEN 1 ELSE 0 END) = 1 THEN 'FAILED'
-             WHEN count(DISTINCT CASE WHEN state = 'SUCCEEDED' THEN step END) >= 5 THEN 'DONE' ELSE 'WAITING' END AS run_status
-        FROM {LATEST_STATES} l GROUP BY run)""", "run:i n_tasks:i n_succeeded:i run_status:s"),
+    "q42_run_completeness": out(f"""(
+        WITH want(step) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM')),
+        grid AS (SELECT run, want.step FROM (SELECT DISTINCT run FROM {RESULTS} r) x CROSS JOIN want),
+        st AS (SELECT grid.run, l.state FROM grid LEFT JOIN {LATEST_STATES} l ON l.run = grid.run AND l.step = grid.step)
+        SELECT run, count(state) AS n_tasks, count(*) FILTER (state = 'SUCCEEDED') AS n_succeeded,
+        CASE WHEN bool_or(coalesce(state = 'FAILED', false)) THEN 'FAILED'
+             WHEN bool_and(coalesce(state = 'SUCCEEDED', false)) THEN 'DONE' ELSE 'WAITING' END AS run_status
+        FROM st GROUP BY run)""", "run:i n_tasks:i n_succeeded:i run_status:s"),
     "q43_top_durations": out("""(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderpriority,
         datediff('second', o_orderdate, l_shipdate) AS duration_s
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority LIKE '1-%'

@@ -11,27 +11,20 @@ TABLES = (
 ).split()
 
 
+# Setting: fact scans are hash-partitioned into so many partitions on their key. Unset (the
+# default, and right for inputs of many splits) the scan stays as it is. The benchmark sets
+# it, since the test tables are files of one row group, which one task reads.
+SPREAD_CONF = "spark.featurepipe.factPartitions"
+
+
 def read_table(spark: SparkSession, source_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
     """Scan one Parquet table. Column pruning and filter pushdown reach this scan.
 
-    ``spread_by`` (fact tables: a high-cardinality key) guards against
-    under-split input: a file written as one row group is read by one task, so
-    every map-side step after the scan (join probe, Expand, partial
-    aggregation) would run serially. When the scan has fewer partitions than
-    the session's default parallelism, it is hash-partitioned on that key
-    (deterministic on retry, no pre-sort as round-robin needs). On large inputs
-    (thousands of splits) this never triggers and adds no shuffle.
+    ``spread_by`` names the key a fact table is partitioned on where the session sets ``SPREAD_CONF``.
     """
     df = spark.read.parquet(f"{source_dir.rstrip('/')}/{name}.parquet")
-    if spread_by is not None:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            under_split = df.rdd.getNumPartitions() < target
-        except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave the scan as is
-            under_split = False
-        if under_split:
-            df = df.repartition(target, spread_by)
-    return df
+    parts = spark.conf.get(SPREAD_CONF, None) if spread_by else None
+    return df.repartition(int(parts), spread_by) if parts else df
 
 
 def text_to_ntz(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:

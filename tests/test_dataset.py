@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from featurepipe.operators import dataset
@@ -65,3 +66,6 @@ def test_versioned_roundtrip(spark, tmp_path):
     path = dataset.write_versioned(df, str(tmp_path), "DS", "V1")
     assert path.endswith("datasets/DS/V1")
     assert dataset.read_versioned(spark, str(tmp_path), "DS", "V1").count() == 10
+    with pytest.raises(Exception, match="(?i)exist"):
+        dataset.write_versioned(df, str(tmp_path), "DS", "V1")
+    dataset.write_versioned(df, str(tmp_path), "DS", "V1", overwrite=True)

@@ -34,8 +34,12 @@ def test_latest_state_and_completeness(spark):
     latest = ledger.latest_per_key(df, ["run", "task"], ["created", "id"], ["state"])
     st = {(r.run, r.task): r.state for r in latest.collect()}
     assert st[("r1", "a")] == "SUCCEEDED" and st[("r3", "a")] == "RUNNING"  # tie on time broken by id
-    comp = {r.run: r.run_status for r in ledger.run_completeness(latest, "run", "task", "state", 2).collect()}
+    comp = {r.run: r.run_status for r in ledger.run_completeness(latest, "run", "task", "state", ["a", "b"]).collect()}
     assert comp == {"r1": "DONE", "r2": "FAILED", "r3": "WAITING"}
+    only_a = {r.run: r.run_status for r in ledger.run_completeness(latest, "run", "task", "state", ["a"]).collect()}
+    assert only_a == {"r1": "DONE", "r2": "DONE", "r3": "WAITING"}  # r2's unrelated failure does not count
+    other = {r.run: r.run_status for r in ledger.run_completeness(latest, "run", "task", "state", ["a", "x"]).collect()}
+    assert set(other.values()) == {"WAITING"}  # b does not stand in for x
     succ = {r.task: r.id for r in ledger.latest_success(df, "task", "state", "SUCCEEDED", "created", "id", []).collect()}
     assert succ == {"a": 6, "b": 3} or succ == {"a": 2, "b": 3}
     assert succ["a"] == 2  # 2024-01-02 is later than 2024-01-01

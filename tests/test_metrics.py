@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from featurepipe.operators import metrics
 
@@ -77,3 +78,21 @@ def test_gate_fails_on_nan(spark):
     names = list(DEFAULT_THRESHOLDS)
     row = quality_gate(spark.createDataFrame([(float("nan"), *[1.0] * (len(names) - 1))], ", ".join(f"{m} double" for m in names))).first()
     assert not row.passed and row.failures == names[0]
+
+
+def test_null_segments_labels_and_groups(spark):
+    from featurepipe.operators import dataset, profile
+
+    rows = [(i, None if i % 2 else "a", (i * 7 % 40) / 40.0, int(i % 3 == 0)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, seg string, p1 double, label int")
+    got = {r.seg: r for r in metrics.binary_metrics(df, segment_cols=["seg"]).collect()}
+    for seg in ("a", None):
+        pos = [r[2] for r in rows if r[1] == seg and r[3]]
+        neg = [r[2] for r in rows if r[1] == seg and not r[3]]
+        auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        assert abs(got[seg].auc - auc) < 1e-9 and got[seg].ap is not None
+    q = {r.seg: r for r in profile.distribution_summary(df, "seg", "p1").collect()}
+    assert set(q) == {"a", None} and all(r.q50 is not None for r in q.values())
+    nulls = df.withColumn("label", F.when(F.col("id") % 4 > 0, F.col("label")))
+    split = dataset.stratified_split(nulls.select("id", "label"), id_col="id", n_buckets=16).collect()
+    assert len(split) == 40 and sum(r.label is None and r.split == "test" for r in split) == 2  # floor(10 * 0.2 + 0.5)

@@ -3,7 +3,9 @@
 import pytest
 from helpers import plan_text
 
+from featurepipe.operators import views
 from featurepipe.plans.queries import REGISTRY
+from featurepipe.sources.roles import roles
 
 SF = "/root/testdata/sf0.001"
 # Keys whose plan can be built without running a model fit or a stream.
@@ -61,18 +63,16 @@ def test_merchant_dimension_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
 
 
-def test_broadcast_if_small_respects_bound(spark):
-    from featurepipe.functions.joins import broadcast_if_small
-
-    df = spark.range(100)
-    assert "BroadcastExchange" in plan_text(spark.range(10_000).join(broadcast_if_small(df, 1000), "id"))
-    big = broadcast_if_small(df, 10)
-    with_auto_off = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_no_job_runs_while_the_view_is_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
     try:
-        assert "BroadcastExchange" not in plan_text(spark.range(10_000).join(big, "id"))
+        r = roles(spark, SF)
+        before = len(tracker.getJobIdsForGroup("planning"))  # schema reads
+        views.transaction_context_view(r)
+        assert len(tracker.getJobIdsForGroup("planning")) == before
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_auto_off)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_latest_row_is_an_aggregate_not_a_window(spark):

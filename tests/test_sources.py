@@ -32,8 +32,12 @@ def test_role_mappings(spark):
     assert li.count() == li.select("txn_id").distinct().count()
 
 
-def test_spread_only_when_under_split(spark):
-    df = tables.read_table(spark, SF, "events", spread_by="event_id")
-    assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    plain = tables.read_table(spark, SF, "events")
-    assert plain.count() == df.count()
+def test_spread_only_where_set(spark):
+    plain = tables.read_table(spark, SF, "events", spread_by="event_id")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(tables.SPREAD_CONF, "7")
+    try:
+        df = tables.read_table(spark, SF, "events", spread_by="event_id")
+        assert df.rdd.getNumPartitions() == 7 and plain.count() == df.count()
+    finally:
+        spark.conf.unset(tables.SPREAD_CONF)
