@@ -51,7 +51,7 @@ from featurepipe.llm.words import shingle_sets
 
 LEAF = 32  # members of a region compared pair by pair
 LEVELS = 1  # rounds of document pivots before blocks
-BROADCAST_IDS = 500_000  # ids whose texts are fetched by a broadcast (8 MB); more are joined by a shuffle
+BROADCAST_IDS = 500_000  # ids that select texts by a broadcast (8 MB); more are joined by a shuffle
 COUNTERS = 1 << 22  # buckets in which shingles are counted
 PART = 1 << 16  # counters of one row
 BUCKETS = 128  # counters of a sketch
@@ -139,12 +139,19 @@ def _ordered_rows(k: int, percent: int, late):
 
 
 def _whole_sets(k: int):
+    """(id, set as bytes), once per task for repeated rows."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
             for i, v, off in shingle_sets(b.column(1), k):
-                n = np.diff(off)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, len(n)), pa.array([v[s:e].tobytes() for s, e in zip(off[:-1], off[1:])], pa.binary())], ["id", "members"])
+                out = []
+                for one, s, e in zip(b.column(0).slice(i, len(off) - 1).to_pylist(), off[:-1], off[1:]):
+                    raw = v[s:e].tobytes()
+                    mark = (one, hashlib.blake2b(raw, digest_size=16).digest())
+                    if mark not in seen:
+                        seen.add(mark)
+                        out.append((one, raw))
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.binary())], ["id", "members"])
     return rows
 
 
@@ -178,6 +185,12 @@ def _exact(percent: int):
     return rows
 
 
+def _few(ids: DataFrame, name: str) -> DataFrame:
+    """A stored table of ids, to be broadcast while there are at most ``BROADCAST_IDS``."""
+    ids, seen = stored_with(ids, name)
+    return F.broadcast(ids) if seen["n"] <= BROADCAST_IDS else ids
+
+
 class _Space:
     """The class representatives with what comparing them needs."""
 
@@ -191,10 +204,9 @@ class _Space:
         bound = stored(pairs.join(x, "x").join(y, "y").select("x", "y", "nx", "ny", "sx", "sy")
                        .mapInArrow(_bound(self.percent), "x bigint, y bigint, low double, can boolean"), "bounds")
         can = bound.filter("can").select("x", "y").distinct()
-        ids, seen = stored_with(can.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
-        if seen["n"] <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        members = stored(self.docs.join(ids, "id", "left_semi").mapInArrow(_whole_sets(self.k), "id bigint, members binary"), "members").distinct()
+        ids = _few(can.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
+        # sets are dealt by id once: the distinct and both joins keep that partitioning
+        members = self.docs.join(ids, "id", "left_semi").mapInArrow(_whole_sets(self.k), "id bigint, members binary").repartition("id").distinct()
         exact = (can.join(members.select(F.col("id").alias("x"), F.col("members").alias("mx")), "x")
                  .join(members.select(F.col("id").alias("y"), F.col("members").alias("my")), "y").select("x", "y", "mx", "my")
                  .mapInArrow(_exact(self.percent), "x bigint, y bigint, d double, linked boolean")
@@ -273,9 +285,10 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stored(edges.filter("x <> y").distinct(), "links")
 
     late = spark.sparkContext.broadcast(_frequent(first.filter("part IS NOT NULL").select("part", "counts"), known.agg(F.sum("n")).first()[0] or 0))
-    reps = classes.select(F.col("rep").alias("id")).distinct()
+    # ids that stand for no class; the others keep all their texts
+    copies = _few(edges.select(F.col("x").alias("id")).distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
     space_rows = stored(docs.filter("id IS NOT NULL").mapInArrow(_ordered_rows(k, percent, late), "id bigint, n bigint, sketch binary, window array<bigint>")
-                        .filter("n > 0").join(reps, "id", "left_semi"), "space")
+                        .filter("n > 0").join(copies, "id", "left_anti"), "space")
     space = _Space(docs, space_rows, k, percent)
 
     # regions of at least two sets
