@@ -128,6 +128,18 @@ def payload_rows(df: DataFrame, run_col: str, step: str, status: str, metric_col
     )
 
 
+def evaluation_row(results: DataFrame, created_at: Column, of_step: str = "training", success: str = "SUCCESS") -> DataFrame:
+    """The payload of the newest successful ``of_step`` row copied to a row of step ``evaluation``; no row without one.
+
+    Ties of time go to the largest run id. One aggregate with map-side partial results.
+    """
+    done = results.where((F.col("step") == of_step) & (F.col("status") == success))
+    newest = F.max_by(F.struct("run_id", "result"), F.struct("created_at", "run_id")).alias("_top")
+    return done.agg(newest).where(F.col("_top").isNotNull()).select(
+        F.concat(F.lit("evaluation of "), F.col("_top.run_id")).alias("run_id"),
+        F.lit("evaluation").alias("step"), F.lit(success).alias("status"), F.col("_top.result").alias("result"), created_at.alias("created_at"))
+
+
 def payload_metric(result: str, name: str, default: float | None = None) -> Column:
     """Key lookup in a VARIANT payload, with a default for a missing key."""
     v = F.try_variant_get(F.col(result), f"$.metrics.{name}", "double")

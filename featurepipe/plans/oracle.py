@@ -457,3 +457,5 @@ SQL["q38_prediction_time"] = out(f"(SELECT count(*) AS n, 1 AS stamps, true AS a
 SQL["q49_rerun_clears_results"] = out(f"""(SELECT step AS run_id, count(*) AS n, min(result_id) AS first_id,
         max(CASE WHEN step = '1-URGENT' THEN payload * 2 ELSE payload END) AS max_payload
         FROM {RESULTS} r WHERE step <> '1-URGENT' OR state = 'SUCCEEDED' GROUP BY step)""", "run_id:s n:i first_id:i max_payload:d")
+SQL["q48_evaluation_gate"] = f"""SELECT 'evaluation of segment=' || device_type AS run_id, * EXCLUDE (device_type)
+  FROM ({SQL["q18_quality_gate"]}) g WHERE device_type = 'pos_terminal'"""

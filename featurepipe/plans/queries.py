@@ -618,6 +618,23 @@ def q48(spark, sf):
     ))
 
 
+@register("q48_evaluation_gate")
+def q48e(spark, sf):
+    """Evaluate step: the newest successful training payload becomes an evaluation row, read back for the gate."""
+    m = _segment_metrics(spark, sf).withColumn("run", F.concat(F.lit("segment="), F.col(GATE_SEGMENT)))
+    now = F.lit(HISTORY_AS_OF).cast("timestamp_ntz")
+    names = ["auc", "ap", "precision", "recall", "f1"]
+    failed = F.col(GATE_SEGMENT) == "tablet"  # the last run does not succeed
+    rows = ledger.payload_rows(m.where(~failed), "run", "training", "SUCCESS", names, now).unionByName(
+        ledger.payload_rows(m.where(failed), "run", "training", "FAILED", names, now))
+    path = _scratch(spark, "results")
+    ledger.append_results(rows, path)
+    ledger.append_results(ledger.evaluation_row(spark.read.parquet(path), now), path)
+    back = spark.read.parquet(path).where(F.col("step") == "evaluation")
+    found = back.select("run_id", *[ledger.payload_metric("result", c).alias(c) for c in ("auc", "precision", "recall")])
+    return flat(metrics.quality_gate(found))
+
+
 @register("q49_rerun_clears_results")
 def q49(spark, sf):
     """All runs are logged, then one runs again: its earlier rows go, the others stay."""

@@ -14,8 +14,8 @@ its own partial aggregates (Chan's formula for mean/M2), unions its distinct
 pairs, and overwrites those partitions (dynamic partition overwrite; the merged
 frame is checkpointed first so the write never reads the files it replaces).
 Replays are idempotent: pair tables are set unions, and a customer whose
-``last_batch`` is already this batch keeps its state. Cost per batch grows with
-the batch and the touched state, not with history.
+``last_batch`` is already this batch keeps its state. A batch reads and rewrites the
+whole state of the buckets it touches; with hashed buckets a large batch touches all.
 
 R2 is the windowed score summary as a streaming aggregation with a watermark.
 Both use the session's checkpoint folder for their state, so a restarted query
@@ -188,7 +188,8 @@ def streaming_window_summary(
 
     Zone-less times are read as UTC instants (watermarks need TIMESTAMP). Rows
     later than the watermark are dropped in append mode; complete mode keeps
-    every window. Results are written per micro-batch to Parquet.
+    every window. Results are written per micro-batch to Parquet; read them with
+    :func:`read_window_summary`.
     """
     out_path = f"{state_dir}/summary"
     s = scores_stream.withColumn("_t", to_instant(ts)).withWatermark("_t", watermark)
@@ -201,8 +202,7 @@ def streaming_window_summary(
     agg = agg.select(ntz_from_micros(F.unix_micros(F.col("w.start"))).alias("window_start"), "n", "mean_score", "std_score", "null_scores")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        mode = "overwrite" if output_mode == "complete" else "append"
-        batch.write.mode(mode).parquet(out_path)
+        write_summary(batch, batch_id, out_path, output_mode)
 
     q = (
         agg.writeStream.outputMode(output_mode)
@@ -214,8 +214,18 @@ def streaming_window_summary(
     return q, out_path
 
 
+def write_summary(batch: DataFrame, batch_id: int, path: str, output_mode: str) -> None:
+    """Write one micro-batch. In append mode each batch has a folder of its own, which a replay replaces."""
+    target = path if output_mode == "complete" else f"{path}/batch_id={batch_id}"
+    batch.write.mode("overwrite").parquet(target)
+
+
+def read_window_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("batch_id")
+
+
 def new_state_dir(work: str, name: str) -> str:
     return f"{work}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["incremental_customer_view", "read_customer_view", "streaming_window_summary", "new_state_dir", "epoch_micros"]
+__all__ = ["incremental_customer_view", "read_customer_view", "streaming_window_summary", "read_window_summary", "new_state_dir", "epoch_micros"]

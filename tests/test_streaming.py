@@ -72,7 +72,7 @@ def test_append_mode_leaves_the_last_window_open(spark):
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
     q, out = refresh.streaming_window_summary(stream, state, output_mode="append")
     q.awaitTermination()
-    got = _rows(spark.read.parquet(out))
+    got = _rows(refresh.read_window_summary(spark, out))
     full = _rows(drift.window_summary(ev))
     assert 0 < len(got) < len(full)
     assert got == full[: len(got)]  # closed windows equal the batch summary
@@ -86,3 +86,11 @@ def test_state_that_cannot_be_read_fails(spark, tmp_path):
     assert _read_touched(spark, str(tmp_path / "none"), "bucket int", [0]).collect() == []
     with pytest.raises(Exception):  # noqa: B017 - whatever the file system raises
         _read_touched(spark, "nosuchfs://state/x", "bucket int", [0])
+
+
+def test_replayed_append_batch_replaces_itself(spark, tmp_path):
+    out = str(tmp_path / "summary")
+    rows = [spark.createDataFrame([(i, float(i))], "n int, mean_score double") for i in range(2)]
+    for i in (0, 1, 1):  # batch 1 runs twice, as after a crash before its commit
+        refresh.write_summary(rows[i], i, out, "append")
+    assert _rows(refresh.read_window_summary(spark, out)) == [(0, 0.0), (1, 1.0)]
