@@ -15,6 +15,7 @@ from featurepipe.llm.store import new_path, stored
 from featurepipe.sources.tables import read_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR = {"k": 5, "percent": 80}  # near-duplicates: shingles of five words, similarity 0.8 (op1's contract has 4 and 85)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked shingle sets, the one of the smallest id."""
-    stay = jaccard_join.link_components(docs).filter("id = component").select(F.col("id").alias("doc_id")).distinct()
+    """One document of each group linked at ``NEAR``, the one of the smallest id."""
+    stay = jaccard_join.link_components(docs, **NEAR).filter("id = component").select(F.col("id").alias("doc_id")).distinct()
     return docs.select(*COLUMNS).join(stay, "doc_id", "left_semi").select(*COLUMNS)
 
 

@@ -347,6 +347,23 @@ def test_pipeline(spark):
     assert not [1 for a, b in combinations(sets.values(), 2) if a and b and 100 * len(a & b) >= 85 * len(a | b) and "[SECRET]" not in str(a | b)]
 
 
+def test_near_duplicate_stage_at_five_words_and_80_percent(spark):
+    import corpus_pipeline
+
+    texts = []
+    for k in range(12):  # each base with ever more appended: the copies lie around both thresholds
+        base = words(60 + 10 * k, 300 + k)
+        texts += [" ".join(base + words(len(base) * add // 100, 400 + 10 * k + add)) for add in (0, 12, 19, 22, 24, 30)]
+    sets = [shingles(t, 5) for t in texts]
+    root = list(range(len(texts)))
+    for a, b in combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, texts), SF).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root))
+
+
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_queries_cover_their_table(spark, name):
     table = "pages" if name.split("_")[0] in ("op4", "op7") else "documents"
