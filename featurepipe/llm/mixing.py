@@ -1,6 +1,7 @@
 """Mixing sources by temperature: weights, then budgeted block permutations.
 
-Source shares p (of all words) become weights p^a / sum p^a. Lower exponents even the mix
+Source shares p (of all token ids, counted with the encoder and vocabulary that packing
+uses) become weights p^a / sum p^a. Lower exponents even the mix
 out. The exponent is bisected until the weights' entropy reaches its target (a part of
 the way from the entropy of p to the uniform mix), and raised again where a source
 would be repeated more than ``max_repeats`` times as often as the least repeated one.
@@ -14,7 +15,7 @@ block on the edge in hash order up to the budget. Running sums go over blocks (a
 most ``BLOCKS`` per source) and inside edge blocks, so a source that holds a third of
 all rows is spread over its blocks.
 
-Null sources are a source of their own. Null and empty texts weigh 0 words and appear in
+Null sources are a source of their own. Null and empty texts weigh 0 tokens and appear in
 whole epochs. Repeated rows and ids are each counted; an empty table gives an empty
 mix; all columns of the input are kept, clashing ones too.
 """
@@ -23,11 +24,14 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from featurepipe.llm.store import stored
+from featurepipe.llm.store import ship, stored
+from featurepipe.llm.token_orc import vocabulary_path
+from featurepipe.llm.tokens import DEFAULT_VOCABULARY, encoder
 
 BLOCKS = 1024
 STEPS = 30
@@ -36,13 +40,13 @@ MAX_REPEATS = 1.25
 
 
 def source_weights(totals: DataFrame, entropy: float = ENTROPY, max_repeats: float = MAX_REPEATS) -> DataFrame:
-    """``totals`` (source, words) with ``share``, ``weight`` and ``epochs`` (1 for the least repeated; 1 for sources without words)."""
-    live = totals.filter("words > 0")
+    """``totals`` (source, tokens) with ``share``, ``weight`` and ``epochs`` (1 for the least repeated; 1 for sources without tokens)."""
+    live = totals.filter("tokens > 0")
     p = stored(live, "totals")
-    total = p.agg(F.sum("words")).first()[0]
+    total = p.agg(F.sum("tokens")).first()[0]
     if not total:
-        return totals.select("source", "words", F.lit(0.0).alias("share"), F.lit(0.0).alias("weight"), F.lit(1.0).alias("epochs"))
-    share = F.col("words") / F.lit(float(total))
+        return totals.select("source", "tokens", F.lit(0.0).alias("share"), F.lit(0.0).alias("weight"), F.lit(1.0).alias("epochs"))
+    share = F.col("tokens") / F.lit(float(total))
 
     def at(a: float) -> tuple[float, float]:
         """Entropy of the weights, and the most against the least repeated source."""
@@ -59,41 +63,54 @@ def source_weights(totals: DataFrame, entropy: float = ENTROPY, max_repeats: flo
         low, high = (mid, high) if e >= goal or repeats > max_repeats else (low, mid)
     a = high if at(low)[1] > max_repeats else low
     z, least = p.agg(F.sum(F.pow(share, F.lit(a))), F.min(F.pow(share, F.lit(a)) / share)).first()
-    scored = totals.withColumn("share", share).withColumn("weight", F.when(F.col("words") > 0, F.pow(share, F.lit(a)) / F.lit(float(z))).otherwise(0.0))
-    epochs = F.when(F.col("words") > 0, F.round(F.col("weight") * F.lit(float(z)) / share / F.lit(float(least)), 9)).otherwise(1.0)
+    scored = totals.withColumn("share", share).withColumn("weight", F.when(F.col("tokens") > 0, F.pow(share, F.lit(a)) / F.lit(float(z))).otherwise(0.0))
+    epochs = F.when(F.col("tokens") > 0, F.round(F.col("weight") * F.lit(float(z)) / share / F.lit(float(least)), 9)).otherwise(1.0)
     return scored.withColumn("epochs", epochs)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy: float = ENTROPY, max_repeats: float = MAX_REPEATS, blocks: int = BLOCKS, seed: int = 17, keep: bool = True) -> DataFrame:
-    """The mix: rows of ``docs`` with ``mix_source``, ``mix_words``, ``mix_block``, ``mix_epoch`` (0, 1, ...), ``mix_weight``.
+def _tokens(vocabulary: str):
+    """Token ids of each text; as a column, it is not computed where nothing reads it."""
+    def count(text: pa.Array) -> pa.Array:
+        e = encoder(vocabulary_path(vocabulary))
+        return pa.array([len(e.encode(t.as_py())) // 4 for t in text], pa.int64())
 
-    With ``keep`` all columns stay, else only id and source come along (as ``mix_id``).
+    return F.arrow_udf(count, "bigint")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", entropy: float = ENTROPY, max_repeats: float = MAX_REPEATS, blocks: int = BLOCKS, seed: int = 17, keep: bool = True, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
+    """The mix: rows of ``docs`` with ``mix_source``, ``mix_words``, ``mix_tokens``, ``mix_block``, ``mix_epoch`` (0, 1, ...), ``mix_weight``.
+
+    With ``keep`` all columns stay, else only id and source come along (as ``mix_id``) and the
+    texts are read once.
     """
+    ship(docs.sparkSession)
     key = F.col(id_col).cast("string")
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
     own = [F.col(f"`{c}`") for c in docs.columns] if keep else []
     draw = F.xxhash64(F.lit(seed), F.coalesce(key, F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = docs.select(*own, F.col(id_col).alias("mix_id"), F.col(source_col).cast("string").alias("mix_source"), words.alias("mix_words"), draw.alias("mix_draw"))
+    rows = docs.select(*own, F.col(id_col).alias("mix_id"), F.col(source_col).cast("string").alias("mix_source"), words.alias("mix_words"), _tokens(vocabulary)(F.col(text_col).cast("string")).alias("mix_tokens"), draw.alias("mix_draw"))
     rows = rows.withColumn("mix_block", F.pmod("mix_draw", F.lit(blocks)).cast("int"))
-    small = stored(rows.select("mix_source", "mix_block", "mix_words", "mix_draw"), "drawn")
-    by_block = stored(small.groupBy("mix_source", "mix_block").agg(F.sum("mix_words").alias("block_words")), "blocks")
-    totals = by_block.groupBy(F.col("mix_source").alias("source")).agg(F.sum("block_words").alias("words"))
+    small = stored(rows.select(*([] if keep else ["mix_id", "mix_words"]), "mix_source", "mix_block", "mix_tokens", "mix_draw"), "drawn")
+    if not keep:
+        rows = small
+    by_block = stored(small.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("block_tokens")), "blocks")
+    totals = by_block.groupBy(F.col("mix_source").alias("source")).agg(F.sum("block_tokens").alias("tokens"))
     weights = stored(source_weights(totals, entropy, max_repeats), "weights")
 
     # the blocks' permuted order: how much of the budget beyond whole epochs is left where a block begins
     before = Window.partitionBy("mix_source").orderBy(F.xxhash64(F.lit(seed + 1), "mix_source", "mix_block"), "mix_block").rowsBetween(Window.unboundedPreceding, -1)
-    plan = by_block.withColumn("done", F.coalesce(F.sum("block_words").over(before), F.lit(0)))
+    plan = by_block.withColumn("done", F.coalesce(F.sum("block_tokens").over(before), F.lit(0)))
     plan = plan.join(weights, F.col("mix_source").eqNullSafe(F.col("source")))
-    over = (F.col("epochs") - F.floor("epochs")) * F.col("words")
+    over = (F.col("epochs") - F.floor("epochs")) * F.col("tokens")
     plan = plan.select(F.col("mix_source").alias("s"), F.col("mix_block").alias("b"), F.floor("epochs").cast("int").alias("full"), F.col("weight").alias("mix_weight"),
-                       (over - F.col("done")).alias("room"), "block_words")
+                       (over - F.col("done")).alias("room"), "block_tokens")
     plan = stored(plan, "plan")
     # documents of edge blocks, in hash order, while they fit
-    edge = small.join(plan.filter("room > 0 AND room < block_words"), (F.col("mix_block") == F.col("b")) & F.col("mix_source").eqNullSafe(F.col("s")))
+    edge = small.join(plan.filter("room > 0 AND room < block_tokens"), (F.col("mix_block") == F.col("b")) & F.col("mix_source").eqNullSafe(F.col("s")))
     upto = Window.partitionBy("mix_source", "mix_block").orderBy("mix_draw").rangeBetween(Window.unboundedPreceding, 0)
-    cut = edge.withColumn("sum", F.sum("mix_words").over(upto)).filter("sum <= room").groupBy("s", "b").agg(F.max("mix_draw").alias("last"))
+    cut = edge.withColumn("sum", F.sum("mix_tokens").over(upto)).filter("sum <= room").groupBy("s", "b").agg(F.max("mix_draw").alias("last"))
     plan = stored(plan.join(cut.select(F.col("s").alias("s2"), F.col("b").alias("b2"), "last"), (F.col("b") == F.col("b2")) & F.col("s").eqNullSafe(F.col("s2")), "left").drop("s2", "b2"), "plan")
     out = rows.join(plan, (F.col("mix_block") == F.col("b")) & F.col("mix_source").eqNullSafe(F.col("s")))
-    extra = (F.col("room") > 0) & ((F.col("room") >= F.col("block_words")) | (F.col("mix_draw") <= F.col("last")))
+    extra = (F.col("room") > 0) & ((F.col("room") >= F.col("block_tokens")) | (F.col("mix_draw") <= F.col("last")))
     copies = F.col("full") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
-    return out.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), copies - 1))).drop("s", "b", "full", "room", "block_words", "last", "mix_draw")
+    return out.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), copies - 1))).drop("s", "b", "full", "room", "block_tokens", "last", "mix_draw")

@@ -67,7 +67,7 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     out = mixing.mix(read_table(spark, sf, "documents"), keep=False)
-    return out.select(F.col("mix_id").alias("doc_id"), F.col("mix_source").alias("source"), F.col("mix_words").alias("n_words"),
+    return out.select(F.col("mix_id").alias("doc_id"), F.col("mix_source").alias("source"), F.col("mix_words").alias("n_words"), F.col("mix_tokens").alias("n_tokens"),
                       F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"), F.col("mix_weight").alias("weight"))
 
 

@@ -332,6 +332,24 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(empty).collect() == [] and not texts and not ids
 
 
+def test_mixing_deals_token_ids(spark):
+    """A source without spaces has its share, whatever the number of its words."""
+    r = np.random.default_rng(9)
+    texts = [" ".join(words(20, k)) for k in range(300)] + ["".join(chr(c) for c in r.integers(0x4E00, 0x4E80, 120)) for _ in range(300)]
+    docs = spark.createDataFrame([(k, t, "spaced" if k < 300 else "dense") for k, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    want = [len(i) for i in library_ids(texts)]
+    rows = mixing.mix(docs, keep=False).collect()
+    assert {r.mix_id: r.mix_tokens for r in rows} == dict(enumerate(want))
+    shares = np.array([sum(want[:300]), sum(want[300:])]) / sum(want)
+    assert shares.min() > 0.2  # of the words, the dense source has a twentieth
+    weight = {r.mix_source: r.mix_weight for r in rows}
+    for k, s in enumerate(("spaced", "dense")):
+        assert abs(sum(r.mix_tokens for r in rows if r.mix_source == s) / sum(r.mix_tokens for r in rows) - weight[s]) < 0.02
+        assert abs(weight[s] - shares[k]) <= abs(0.5 - shares[k]) + 1e-9
+    kept = mixing.mix(docs).select("doc_id", "mix_epoch", "mix_tokens").collect()
+    assert sorted(map(tuple, kept)) == sorted((r.mix_id, r.mix_epoch, r.mix_tokens) for r in rows)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
