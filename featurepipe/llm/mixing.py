@@ -4,7 +4,8 @@ Source shares p (of all token ids, counted with the encoder and vocabulary that
 uses) become weights p^a / sum p^a. Lower exponents even the mix
 out. The exponent is bisected until the weights' entropy reaches its target (a part of
 the way from the entropy of p to the uniform mix), and raised again where a source
-would be repeated more than ``max_repeats`` times as often as the least repeated one.
+would be repeated more than ``max_repeats`` times as often as the least repeated one (the
+entropy then stays below its target).
 Each step sums over the per-source table in Spark; the driver sees two numbers.
 
 A source's budget is its weight times the mix's size, chosen so that the least
@@ -36,7 +37,7 @@ from featurepipe.llm.tokens import DEFAULT_VOCABULARY, encoder
 BLOCKS = 1024
 STEPS = 30
 ENTROPY = 0.5
-MAX_REPEATS = 1.25
+MAX_REPEATS = 4.0  # a third of all tokens in one source and a thirtieth in each of 20 needs 1.64 to meet the entropy
 
 
 def source_weights(totals: DataFrame, entropy: float = ENTROPY, max_repeats: float = MAX_REPEATS) -> DataFrame:

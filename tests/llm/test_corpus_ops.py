@@ -350,6 +350,16 @@ def test_mixing_deals_token_ids(spark):
     assert sorted(map(tuple, kept)) == sorted((r.mix_id, r.mix_epoch, r.mix_tokens) for r in rows)
 
 
+def test_mixing_meets_its_entropy_with_a_hot_source(spark):
+    """Production defaults: one source of a third, 20 of a thirtieth."""
+    totals = spark.createDataFrame([("hot", 10**6)] + [(f"s{k}", 10**5) for k in range(20)], "source string, tokens bigint")
+    rows = mixing.source_weights(totals).collect()
+    w, p = np.array([r.weight for r in rows]), np.array([r.share for r in rows])
+    natural = -(p * np.log(p)).sum()
+    assert abs(-(w * np.log(w)).sum() - (natural + 0.5 * (np.log(21) - natural))) < 1e-4
+    assert 1 < max(r.epochs for r in rows) < mixing.MAX_REPEATS
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
