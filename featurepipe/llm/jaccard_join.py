@@ -30,9 +30,10 @@ Pairs inside one component are not compared again, so a group of n near copies c
 about n comparisons per level. Only ids, sketches of 128 bytes and the sets of
 candidate pairs are shuffled.
 
-Rows that share an id are one vertex. Null ids get no component, null or empty
-texts an empty set linked with nothing. Repeated rows give repeated output rows; an
-empty table gives an empty result. Only the id and text columns are read.
+Rows that share an id are one vertex. Ids that carry several different sets enter the join as
+one vertex per text, under numbers that no id has; links go back to the ids afterwards.
+Null ids get no component, null or empty texts an empty set linked with nothing. Repeated
+rows give repeated output rows; an empty table gives an empty result. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -56,6 +57,7 @@ COUNTERS = 1 << 22  # buckets in which shingles are counted
 PART = 1 << 16  # counters of one row
 BUCKETS = 128  # counters of a sketch
 LATE = np.int64(1 << 62)  # added to the 62-bit hash of a frequent shingle
+SETS = "id bigint, n bigint, key binary, part int, counts binary"
 
 
 def _lists(values: np.ndarray, off: np.ndarray) -> pa.Array:
@@ -274,10 +276,45 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component`` is the smallest id reachable over links, its own id without any. Two
     ids link when ``100 * |x & y| >= percent * |x | y|`` for their sets of k-word shingles.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    first = stored(docs.mapInArrow(_set_rows(k), "id bigint, n bigint, key binary, part int, counts binary"), "sets")
+    first = stored(docs.mapInArrow(_set_rows(k), SETS), "sets")
+    sets = first.filter("part IS NULL").select("id", "n", "key")
+    mark = F.xxhash64("key")
+    several = sets.filter("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).filter("low < high")
+    several, seen = stored_with(several.select("id"), "several")
+    if seen["n"]:
+        several = F.broadcast(several) if seen["n"] <= BROADCAST_IDS else several
+        vertices, owners = _vertices(docs, several, sets.select("id"))
+        comp = _components(vertices, stored(vertices.mapInArrow(_set_rows(k), SETS), "sets"), k, percent)
+        # an id's vertices and the vertices of their components, all by the ids that own them; loops hold nothing
+        u, v = owners.toDF("id", "u"), owners.toDF("component", "v")
+        owned = comp.join(u, "id", "left").join(v, "component", "left").select(F.coalesce("u", "id").alias("u"), F.coalesce("v", "component").alias("v"))
+        comp = stored(components(owned, "u", "v"), "components")
+    else:
+        comp = _components(docs, first, k, percent)
+    return sets.join(comp, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+
+
+def _vertices(docs: DataFrame, several: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a number for each text in place of the ids in ``several``, and the table (number, id).
+
+    Numbers are hashes, salted anew until they are distinct and none is an id.
+    """
+    text = F.coalesce("text", F.lit(""))
+    texts = stored(docs.join(several, "id", "left_semi").select("id", F.sha2(text, 256).alias("sha")).distinct(), "texts")
+    salt, clash = 0, True
+    while clash:
+        salt += 1
+        owners = stored(texts.select(F.xxhash64(F.lit(salt), "id", "sha").alias("vertex"), "id"), "owners")
+        clash = bool(owners.groupBy("vertex").count().filter("count > 1").limit(1).count() or owners.join(ids, owners["vertex"] == ids["id"], "left_semi").limit(1).count())
+    number = F.when(F.col("split"), F.xxhash64(F.lit(salt), "id", F.sha2(text, 256))).otherwise(F.col("id"))
+    return docs.join(several.withColumn("split", F.lit(True)), "id", "left").select(number.alias("id"), "text"), owners
+
+
+def _components(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) of linked ids; ``docs`` (id, text) has one set per id, ``first`` is its ``_set_rows``."""
+    spark = docs.sparkSession
     sets = first.filter("part IS NULL").select("id", "n", "key")
     known = sets.filter("id IS NOT NULL AND n > 0")
     classes = stored(known.groupBy("key").agg(F.min("id").alias("rep")), "classes")
@@ -285,7 +322,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = stored(edges.filter("x <> y").distinct(), "links")
 
     late = spark.sparkContext.broadcast(_frequent(first.filter("part IS NOT NULL").select("part", "counts"), known.agg(F.sum("n")).first()[0] or 0))
-    # ids that stand for no class; the others keep all their texts
+    # ids that stand for no class
     copies = _few(edges.select(F.col("x").alias("id")).distinct().join(classes.select(F.col("rep").alias("id")), "id", "left_anti"), "copies")
     space_rows = stored(docs.filter("id IS NOT NULL").mapInArrow(_ordered_rows(k, percent, late), "id bigint, n bigint, sketch binary, window array<bigint>")
                         .filter("n > 0").join(copies, "id", "left_anti"), "space")
@@ -313,7 +350,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             more = comp.join(joined.toDF("component", "low"), "component", "left").select("id", F.coalesce("low", "component").alias("component"))
             alone = joined.join(comp, "id", "left_anti")
             comp = stored(more.unionByName(alone), "components")
-    return sets.join(comp, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+    return comp
 
 
 def _next_level(members: DataFrame, comp: DataFrame, tested: DataFrame, percent: int, last: bool):

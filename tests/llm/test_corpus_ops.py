@@ -102,6 +102,18 @@ def test_join_on_families_that_recurse(spark, monkeypatch):
     check_components(list(enumerate(texts)), jaccard_join.link_components(frame(spark, texts)))
 
 
+def test_join_on_ids_with_several_versions(spark):
+    """An id carries a text and an excerpt of it; a near copy of the excerpt is under another id. Some ids chain two texts."""
+    rows = []
+    for k in range(16):
+        whole = words(203, 500 + k)
+        part = whole[:53]
+        rows += [(100 * k + 7, " ".join(whole)), (100 * k + 7, " ".join(part)), (100 * k + 3 + 9 * (k % 2), " ".join(part[:-1] + ["edit"]))]
+        if k % 4 == 0:  # the id also joins the next family's near copy to this one
+            rows += [(100 * k + 7, " ".join(words(203, 501 + k)[:53])), (100 * k + 7, None), (100 * k + 7, " ".join(part)), (None, " ".join(part))]
+    check_components(rows, jaccard_join.link_components(frame(spark, [t for _, t in rows], [i for i, _ in rows])))
+
+
 def test_components(spark):
     e = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (20, 21), (7, 7), (None, 1), (21, 20), (9, 5)], "a bigint, b bigint")
     assert {r.id: r.component for r in components(e, "a", "b").collect()} == {3: 3, 4: 3, 5: 3, 9: 3, 20: 20, 21: 20}
