@@ -18,16 +18,27 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = {"k": 5, "percent": 80}  # near-duplicates: shingles of five words, similarity 0.8 (op1's contract has 4 and 85)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a key of each row, written once: verdicts name rows, not ids."""
+    return stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "keyed", compression="zstd")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rows without an id go: no verdict can name them."""
-    kept = quality_rules.judge(docs).filter("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Rows that the quality rules keep, whatever their ids."""
+    docs = _keyed(docs)
+    kept = quality_rules.judge(docs, id_col="row").filter("kept").select(F.col("doc_id").alias("row"))
+    return docs.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at ``NEAR``, the one of the smallest id."""
-    stay = jaccard_join.link_components(docs, **NEAR).filter("id = component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.select(*COLUMNS).join(stay, "doc_id", "left_semi").select(*COLUMNS)
+    """One row of each group linked at ``NEAR``, the one of the smallest id; rows without an id come last.
+
+    Every row is a vertex: repeated rows are copies, different texts of one id are not.
+    """
+    docs = _keyed(docs)
+    groups = jaccard_join.link_components(docs, id_col="row", **NEAR).select(F.col("id").alias("row"), "component").join(docs.select("row", "doc_id"), "row")
+    stay = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("stay")).select("stay.row")
+    return docs.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

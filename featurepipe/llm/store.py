@@ -25,10 +25,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written as Parquet under ``spark.checkpoint.dir`` and read back; ``options`` are the writer's."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

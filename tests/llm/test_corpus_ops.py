@@ -404,6 +404,20 @@ def test_near_duplicate_stage_at_five_words_and_80_percent(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(root))
 
 
+def test_pipeline_verdicts_stay_on_the_row(spark):
+    """Null ids, an id with a clean and a junk text, repeated rows, an id with two unrelated texts."""
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(words(120, 600 + k)) for k in range(4))
+    rows = [(1, a), (1, a), (1, "junk " * 90), (2, b), (2, c), (None, d), (None, b), (5, "junk " * 90), (None, "junk " * 90)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    clean = [x for x in rows if not x[1].startswith("junk")]
+    kept = corpus_pipeline.quality(spark, docs, SF).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, clean))
+    stay = corpus_pipeline.near_duplicates(spark, docs.filter("text NOT LIKE 'junk%'"), SF).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, stay))) == sorted(map(str, [(1, a), (2, b), (2, c), (None, d)]))
+
+
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_queries_cover_their_table(spark, name):
     table = "pages" if name.split("_")[0] in ("op4", "op7") else "documents"
