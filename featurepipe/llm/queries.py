@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurepipe.llm import imatch, jaccard_join, mixing, packing, quality_rules, secret_scan, token_orc, toxicity, url_filter, warc
+from featurepipe.llm import align, decontaminate, hard_negatives, imatch, jaccard_join, mixing, packing, quality_rules, secret_scan, token_orc, toxicity, url_filter, warc
 from featurepipe.llm.store import new_path
 from featurepipe.sources.tables import read_table
 
@@ -71,6 +71,23 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
                       F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"), F.col("mix_weight").alias("weight"))
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    out = align.align(read_table(spark, sf, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    out = decontaminate.decontaminate(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1,
     "op2_toxicity": op2,
@@ -82,8 +99,12 @@ REGISTRY: dict[str, Query] = {
     "op8_token_ids": op8,
     "op9_best_fit_packing": op9,
     "op10_source_mixing": op10,
+    "op11_tokenizer_alignment": op11,
+    "op12_benchmark_decontamination": op12,
+    "op13_hard_negatives": op13,
 }
 
+_NORMAL = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _REST = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
 SQL: dict[str, str] = {
     "op4_url_filters": f"""
@@ -109,4 +130,24 @@ q AS (SELECT page_id, strlen(html)::bigint AS payload_bytes, sha256(html) AS pay
 r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM q)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id > first THEN first END AS refers_to FROM r""",
+    "op12_benchmark_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_NORMAL.format("text")}, []) AS w FROM documents),
+i AS (SELECT item_id::varchar AS item, coalesce({_NORMAL.format("text")}, []) AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') AS t
+       FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS t
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+m AS (SELECT r, s, n, item FROM dw JOIN iw USING (n, t)),
+h AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(s, s + n)) AS p FROM m)) GROUP BY r),
+f AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (r) LEFT JOIN f USING (r)""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, x -> floor(256 * x::double)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.e, b.e)::bigint AS score FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 3""",
 }
