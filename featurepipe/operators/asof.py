@@ -1,95 +1,33 @@
-"""Point-in-time operators.
+"""Point-in-time operators.
 
-All of them need rows of one key in time order. A window partitioned by the key
-alone would put a key that holds a third of the data into one task, so each
-operator splits a key's timeline into time buckets and carries what earlier
-buckets contribute through a small frame with one row per (key, bucket):
+All of them need rows of one key in time order. They range-partition the rows by (key, time, row)
+and scan the partitions (``operators.scan``): a key, a day or a single midnight that holds half of all
+rows is many partitions of about equal size, since ties in time are cut by a row number. What a partition must know of
+earlier ones comes from a frame with a few rows per partition:
 
-* ``asof_join``: the last feature row of each earlier bucket is carried into
-  the bucket as a synthetic first row;
-* ``running_features``: the running totals of earlier buckets are carried in
-  the same way;
-* ``trailing_count``: a row within one window of the next bucket's start is
-  also copied into that bucket as context (buckets are at least a window wide).
+* ``asof_join``: the last feature row of the key that the partition begins with;
+* ``running_features``, ``trailing_count``: the totals of that key's earlier rows, those of the
+  partition's first time apart, since rows of one time do not see each other.
 
-Buckets are days; a (key, day) with more rows than a bound is split into finer
-buckets (``TimeBuckets``), so even one key's busiest day is spread out.
-
-Window partitions are therefore (key, bucket), bounded by the rate of one key in
-one bucket, and the per-key carry windows see one row per bucket.
+Nothing depends on a time bucket, and no row reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros
+from featurepipe.operators.scan import PID, last_before, ranged, strictly_before
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
 
 
-MINUTE_US = 60_000_000
-DEFAULT_MAX_BUCKET_ROWS = 5_000_000
-MAX_HOT_BUCKETS = 1_000_000
-
-
-def _bucket(us: Column, width_us: int) -> Column:
-    return F.floor(us / F.lit(width_us)).cast("bigint")
-
-
-class TimeBuckets:
-    """Per-key time buckets, monotone in time, with hot buckets split finer.
-
-    A (key, coarse bucket) holding more than ``max_rows`` rows (over all given
-    frames) is cut into ``fine_us`` sub-buckets; every other one stays whole.
-    Bucket ids are ``coarse * SUB + sub`` (sub = 0 for whole buckets), so they
-    keep time order within a key and the carry logic of the callers does not
-    change. The hot list has at most (rows / max_rows) entries; it is
-    collected (bounded) and broadcast only when it is at most
-    ``MAX_HOT_BUCKETS`` long.
-    """
-
-    def __init__(self, frames: Sequence[DataFrame], coarse_us: int = DAY_US, fine_us: int = MINUTE_US,
-                 max_rows: int | None = DEFAULT_MAX_BUCKET_ROWS):
-        self.coarse_us, self.fine_us = coarse_us, fine_us
-        self.sub = 1 << max(0, math.ceil(math.log2(max(1, -(-coarse_us // fine_us)))))
-        self.hot = None
-        if max_rows is not None:
-            keys = None
-            for f in frames:
-                k = f.where(F.col("_us").isNotNull()).select("_k", _bucket(F.col("_us"), coarse_us).alias("_cb"))
-                keys = k if keys is None else keys.unionByName(k)
-            hot = keys.groupBy("_k", "_cb").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
-            hot = hot.select("_k", "_cb", F.lit(True).alias("_hot"))
-            # One pass over (key, time); usually nothing is hot and the main plan
-            # is unchanged. The list holds at most rows / max_rows ids; above
-            # MAX_HOT_BUCKETS it stays a (shuffle) join instead of a broadcast.
-            found = hot.limit(MAX_HOT_BUCKETS + 1).collect()
-            if len(found) > MAX_HOT_BUCKETS:
-                self.hot = hot
-            elif found:
-                spark = hot.sparkSession
-                self.hot = F.broadcast(spark.createDataFrame(found, hot.schema))
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add ``_b`` to a frame with ``_k`` and ``_us``."""
-        cb = _bucket(F.col("_us"), self.coarse_us)
-        df = df.withColumn("_cb", cb)
-        if self.hot is None:
-            return df.withColumn("_b", F.col("_cb") * F.lit(self.sub)).drop("_cb")
-        fine = F.floor((F.col("_us") - F.col("_cb") * F.lit(self.coarse_us)) / F.lit(self.fine_us)).cast("bigint")
-        df = df.join(self.hot, ["_k", "_cb"], "left")
-        b = F.col("_cb") * F.lit(self.sub) + F.when(F.col("_hot"), fine).otherwise(F.lit(0))
-        return df.withColumn("_b", b.cast("bigint")).drop("_cb", "_hot")
-
-    def start_us(self, b: Column) -> Column:
-        """First microsecond of bucket ``b``."""
-        return F.floor(b / F.lit(self.sub)) * F.lit(self.coarse_us) + F.pmod(b, F.lit(self.sub)) * F.lit(self.fine_us)
+def _columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def asof_join(
@@ -100,10 +38,8 @@ def asof_join(
     feature_ts: str,
     feature_cols: Sequence[str] | None = None,
     strict: bool = False,
-    bucket_us: int = DAY_US,
     feature_ts_alias: str | None = None,
-    fine_us: int = MINUTE_US,
-    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Left as-of join: each spine row gets the latest feature row of its key at or before its time.
 
@@ -111,7 +47,7 @@ def asof_join(
     * The feature row is carried as one struct, so a null field of the newest
       row stays null (it is never filled from an older row).
     * Ties between feature rows at the same time resolve to the largest row
-      (deterministic); spine rows without a match keep null features.
+      (deterministic); spine rows without a match, without a key or without a time keep null features.
     * Every spine row is kept exactly once.
     """
     if feature_cols is None:
@@ -122,49 +58,25 @@ def asof_join(
     if clash:
         raise ValueError(f"feature columns clash with spine columns: {sorted(clash)}")
 
-    spine_tag, feat_tag, carry_tag = (0, 1, -1) if strict else (1, 0, -1)
+    spine_tag, feat_tag = (0, 1) if strict else (1, 0)  # the order of rows of one time
     f_struct = F.struct(F.col(feature_ts).alias("_fts"), *[F.col(f"`{c}`") for c in feature_cols])
     feats = features.where(F.col(key).isNotNull() & F.col(feature_ts).isNotNull()).select(
-        F.col(key).alias("_k"), epoch_micros(feature_ts).alias("_us"), f_struct.alias("_f")
-    )
-    s_cols = [F.col(f"`{c}`") for c in spine.columns]
-    sp = spine.select(F.col(key).alias("_k"), epoch_micros(spine_ts).alias("_us"), F.struct(*s_cols).alias("_s"))
-    buckets = TimeBuckets([sp, feats], bucket_us, fine_us, max_bucket_rows)
-    feats, sp = buckets.assign(feats), buckets.assign(sp)
-
-    # Last feature row per (key, bucket): partial aggregation, skew-safe.
-    last_in_bucket = feats.groupBy("_k", "_b").agg(F.max(F.struct("_us", "_f")).getField("_f").alias("_f"))
-    # Buckets that hold spine rows, and the last feature row of any earlier bucket.
-    spine_buckets = sp.where(F.col("_b").isNotNull()).select("_k", "_b").distinct()
-    per_key = Window.partitionBy("_k").orderBy("_b", "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carry = (
-        spine_buckets.select("_k", "_b", F.lit(0).alias("_t"), F.lit(None).cast(last_in_bucket.schema["_f"].dataType).alias("_f"))
-        .unionByName(last_in_bucket.select("_k", "_b", F.lit(1).alias("_t"), "_f"))
-        .select("_k", "_b", "_t", F.last("_f", ignorenulls=True).over(per_key).alias("_f"))
-        .where((F.col("_t") == 0) & F.col("_f").isNotNull())
-        .select("_k", "_b", F.lit(None).cast("bigint").alias("_us"), F.lit(carry_tag).alias("_t"), "_f")
-    )
-    s_type = sp.schema["_s"].dataType
-    f_type = feats.schema["_f"].dataType
-    rows = (
-        sp.select("_k", "_b", "_us", F.lit(spine_tag).alias("_t"), F.lit(None).cast(f_type).alias("_f"), "_s")
-        .unionByName(feats.select("_k", "_b", "_us", F.lit(feat_tag).alias("_t"), "_f", F.lit(None).cast(s_type).alias("_s")))
-        .unionByName(carry.withColumn("_s", F.lit(None).cast(s_type)))
-    )
-    in_bucket = (
-        Window.partitionBy("_k", "_b")
-        .orderBy(F.col("_us").asc_nulls_first(), "_t", "_f")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    matched = rows.select("_t", "_s", F.last("_f", ignorenulls=True).over(in_bucket).alias("_f")).where(
-        F.col("_t") == spine_tag
-    )
-    # Spine rows with a null time match nothing (as in SQL's ASOF JOIN).
-    spine_null_time = F.col("_s").getField(spine_ts).isNull()
+        F.col(key).alias("_k"), epoch_micros(feature_ts).alias("_us"), F.lit(feat_tag).alias("_t"), f_struct.alias("_f")
+    )
+    sp = spine.select(F.col(key).alias("_k"), epoch_micros(spine_ts).alias("_us"), F.lit(spine_tag).alias("_t"), F.struct(*_columns(spine)).alias("_s"))
+    rows = sp.unionByName(feats, allowMissingColumns=True).withColumn("_u", F.monotonically_increasing_id())
+    rows = ranged(rows, ["_k", "_us", "_t", "_u"], partitions).drop("_u")
+
+    carried = last_before(rows, F.col("_t") == feat_tag, ["_us", "_f"])
+    rows = rows.unionByName(carried.withColumn("_t", F.lit(-1)), allowMissingColumns=True)
+    upto = Window.partitionBy(PID, "_k").orderBy("_us", "_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.max(F.when(F.col("_t") != spine_tag, F.struct("_us", "_f"))).over(upto)
+    matched = rows.select("_t", "_us", "_s", last.getField("_f").alias("_f")).where(F.col("_t") == spine_tag)
+    timed = F.col("_us").isNotNull()  # as in SQL's ASOF JOIN, a null time matches nothing
     return matched.select(
         *[F.col("_s").getField(c).alias(c) for c in spine.columns],
-        *[F.when(~spine_null_time, F.col("_f").getField(c)).alias(c) for c in feature_cols],
-        F.when(~spine_null_time, F.col("_f").getField("_fts")).alias(fts_out),
+        *[F.when(timed, F.col("_f").getField(c)).alias(c) for c in feature_cols],
+        F.when(timed, F.col("_f").getField("_fts")).alias(fts_out),
     )
 
 
@@ -179,129 +91,48 @@ def asof_join_all(spine: DataFrame, views: Sequence[tuple[DataFrame, str, str]],
     return out
 
 
-def first_seen_flag(df: DataFrame, group_cols: Sequence[str], us: str, tiebreak: str) -> DataFrame:
-    """Add ``_first`` = 1 on the earliest (us, tiebreak) row of each group, else 0.
-
-    Aggregate + join (not a window), so a hot group is combined map-side. AQE does not
-    split the join: its right side is an aggregate above its exchange.
-    """
-    g = list(group_cols)
-    first = df.groupBy(*g).agg(F.min(F.struct(us, tiebreak)).alias("_min"))
-    return df.join(first, g, "left").withColumn(
-        "_first", F.when(F.struct(us, tiebreak) == F.col("_min"), 1).otherwise(0)
-    ).drop("_min")
-
-
 def running_features(
     txn: DataFrame,
     key: str = "customer_id",
     ts: str = "ts",
-    id_col: str = "txn_id",
     amount: str = "amount",
     label: str = "is_fraud",
     distinct_of: str = "merchant_id",
-    bucket_us: int = DAY_US,
-    fine_us: int = MINUTE_US,
-    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Leak-safe history features of each transaction, from strictly earlier rows of its key.
 
     Adds prior_txn_count, prior_avg_amount, prior_stddev_amount (sample),
     prior_fraud_count and prior_unique_merchants. Rows at the same time never
-    see each other. The running distinct count is the running sum of a
-    first-seen flag per (key, merchant).
+    see each other. The running distinct count counts first meetings: the earliest time of
+    each (key, merchant), combined map-side, enters the scan as a row of its own, so no row is joined to a hot pair.
     """
-    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_k", F.col(key))
-    buckets = TimeBuckets([base], bucket_us, fine_us, max_bucket_rows)
-    base = buckets.assign(base).drop("_k")
-    flaggable = F.col(distinct_of).isNotNull() & F.col("_us").isNotNull()
-    base = first_seen_flag(base.where(flaggable), [key, distinct_of], "_us", id_col).unionByName(
-        base.where(~flaggable | flaggable.isNull()).withColumn("_first", F.lit(0))
-    )
-    amt = F.col(amount).cast("double")
-    rows = base.select(
-        *[F.col(f"`{c}`") for c in txn.columns],
+    us = epoch_micros(ts)
+    rows = txn.select(
         F.col(key).alias("_k"),
-        "_us",
-        "_b",
-        F.when(F.col("_us").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("_n"),
-        amt.alias("_amt"),
+        us.alias("_us"),
+        F.when(us.isNotNull(), 1).otherwise(0).cast("bigint").alias("_n"),
+        F.lit(0).cast("bigint").alias("_uniq"),
         F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint").alias("_fraud"),
-        F.col("_first").cast("bigint").alias("_uniq"),
-    )
-    # Per (key, bucket): counts and the bucket's own mean / M2 (Welford inside Spark's aggregate).
-    totals = rows.where(F.col("_b").isNotNull()).groupBy("_k", "_b").agg(
-        F.sum("_n").alias("_n"),
-        F.count("_amt").alias("_cnt"),
-        F.avg("_amt").alias("_mean"),
-        (F.coalesce(F.var_pop("_amt"), F.lit(0.0)) * F.count("_amt")).alias("_m2"),
-        F.sum("_fraud").alias("_fraud"),
-        F.sum("_uniq").alias("_uniq"),
-    )
-    # Carry of all earlier buckets. Means are combined around a per-key shift
-    # (the key's first bucket mean), so no large sums of squares cancel.
-    per_key = Window.partitionBy("_k").orderBy("_b")
-    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.first("_mean", ignorenulls=True).over(per_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    d = F.col("_mean") - F.col("_shift")
-    carry = (
-        totals.withColumn("_shift", shift)
-        .select(
-            "_k",
-            "_b",
-            (buckets.start_us(F.col("_b")) - 1).cast("bigint").alias("_us"),
-            F.sum("_n").over(before).alias("_c_n"),
-            F.sum("_cnt").over(before).alias("_c_cnt"),
-            F.sum(F.col("_cnt") * d).over(before).alias("_c_a"),
-            F.sum(F.col("_cnt") * d * d).over(before).alias("_c_b"),
-            F.sum("_m2").over(before).alias("_c_m2"),
-            F.sum("_fraud").over(before).alias("_c_fraud"),
-            F.sum("_uniq").over(before).alias("_c_uniq"),
-            "_shift",
-        )
-        .where(F.col("_c_n").isNotNull())
-        .select(
-            "_k", "_b", "_us", "_c_n", "_c_cnt", "_c_fraud", "_c_uniq",
-            F.when(F.col("_c_cnt") > 0, F.col("_shift") + F.col("_c_a") / F.col("_c_cnt")).alias("_c_mean"),
-            F.when(F.col("_c_cnt") > 0, F.col("_c_m2") + F.col("_c_b") - F.col("_c_a") * F.col("_c_a") / F.col("_c_cnt")).alias("_c_m2"),
-        )
-    )
-    all_rows = rows.withColumn("_carry", F.lit(False)).unionByName(
-        carry.withColumn("_carry", F.lit(True)), allowMissingColumns=True
-    )
-    # Strictly earlier rows of the bucket (rows at the same time never see each other) + the carry row.
-    prior = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
-    nw = F.count("_amt").over(prior)
-    mw = F.avg("_amt").over(prior)
-    m2w = F.coalesce(F.var_pop("_amt").over(prior), F.lit(0.0)) * nw
-    cc = F.coalesce(F.max("_c_cnt").over(prior), F.lit(0))
-    mc = F.max("_c_mean").over(prior)
-    m2c = F.coalesce(F.max("_c_m2").over(prior), F.lit(0.0))
-    staged = all_rows.select(
-        "*",
-        (F.coalesce(F.sum("_n").over(prior), F.lit(0)) + F.coalesce(F.max("_c_n").over(prior), F.lit(0))).alias("_pn"),
-        (F.coalesce(F.sum("_fraud").over(prior), F.lit(0)) + F.coalesce(F.max("_c_fraud").over(prior), F.lit(0))).alias("_pf"),
-        (F.coalesce(F.sum("_uniq").over(prior), F.lit(0)) + F.coalesce(F.max("_c_uniq").over(prior), F.lit(0))).alias("_pu"),
-        nw.alias("_nw"), mw.alias("_mw"), m2w.alias("_m2w"), cc.alias("_cc"), mc.alias("_mc"), m2c.alias("_m2c"),
-    ).where(~F.col("_carry"))
-    # Chan's combination of the carry (earlier buckets) with this bucket's prefix.
-    n = F.col("_cc") + F.col("_nw")
-    delta = F.col("_mw") - F.col("_mc")
-    mean = F.when(F.col("_nw") == 0, F.col("_mc")).when(F.col("_cc") == 0, F.col("_mw")).otherwise(
-        F.col("_mc") + delta * F.col("_nw") / n
-    )
-    m2 = F.when(F.col("_nw") == 0, F.col("_m2c")).when(F.col("_cc") == 0, F.col("_m2w")).otherwise(
-        F.col("_m2c") + F.col("_m2w") + delta * delta * F.col("_cc") * F.col("_nw") / n
-    )
+        F.col(amount).cast("double").alias("_amt"),
+        F.struct(*_columns(txn)).alias("_s"),
+    )
+    met = txn.where(F.col(key).isNotNull() & F.col(distinct_of).isNotNull() & us.isNotNull())
+    met = met.groupBy(F.col(key).alias("_k"), F.col(distinct_of)).agg(F.min(us).alias("_us"))
+    met = met.select("_k", "_us", *[F.lit(v).cast("bigint").alias(c) for c, v in (("_n", 0), ("_uniq", 1), ("_fraud", 0))])
+    rows = rows.unionByName(met, allowMissingColumns=True).withColumn("_u", F.monotonically_increasing_id())
+    rows = ranged(rows, ["_k", "_us", "_u"], partitions).drop("_u")
+    seen = strictly_before(rows, ["_n", "_uniq", "_fraud"], "_amt").where(F.col("_s").isNotNull())
     # Rows without a time or without a key have no history (equi-join semantics: null keys match nothing).
-    no_time = F.col("_us").isNull() | F.col("_k").isNull()
-    return staged.select(
-        *[F.col(f"`{c}`") for c in txn.columns],
-        F.when(no_time, F.lit(0)).otherwise(F.col("_pn")).cast("bigint").alias("prior_txn_count"),
-        F.when(~no_time & (n > 0), mean).alias("prior_avg_amount"),
-        F.when(~no_time & (n >= 2), F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias("prior_stddev_amount"),
-        F.when(no_time, F.lit(0)).otherwise(F.col("_pf")).cast("bigint").alias("prior_fraud_count"),
-        F.when(no_time, F.lit(0)).otherwise(F.col("_pu")).cast("bigint").alias("prior_unique_merchants"),
+    known = F.col("_us").isNotNull() & F.col("_k").isNotNull()
+    n = F.col("_before._cnt")
+    return seen.select(
+        *[F.col("_s").getField(c).alias(c) for c in txn.columns],
+        F.when(known, F.col("_before._n")).otherwise(0).cast("bigint").alias("prior_txn_count"),
+        F.when(known & (n > 0), F.col("_before._mean")).alias("prior_avg_amount"),
+        F.when(known & (n >= 2), F.sqrt(F.greatest(F.col("_before._m2"), F.lit(0.0)) / (n - 1))).alias("prior_stddev_amount"),
+        F.when(known, F.col("_before._fraud")).otherwise(0).cast("bigint").alias("prior_fraud_count"),
+        F.when(known, F.col("_before._uniq")).otherwise(0).cast("bigint").alias("prior_unique_merchants"),
     )
 
 
@@ -310,41 +141,27 @@ def trailing_count(
     key: str = "customer_id",
     ts: str = "ts",
     window_us: int = HOUR_US,
-    bucket_us: int = DAY_US,
     name: str = "txn_count_last_hour",
-    max_bucket_rows: int | None = DEFAULT_MAX_BUCKET_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number of earlier rows of the same key in the trailing window (row itself excluded).
 
-    Rows are windowed per (key, time bucket); buckets are days, and a hot
-    (key, day) is split into buckets one window long, so every bucket is at
-    least a window wide. A row at time t is needed by targets in (t, t + window],
-    which lie in its own bucket or in the bucket holding t + window; it is
-    copied into the latter only when that is a different bucket (rows in the
-    last window-length of a bucket), so the extra shuffle volume is about
-    window / bucket of the rows.
+    The rows before a time, less the rows before the window's start: each row asks for both counts in one
+    scan, as itself and as a row of no weight at the window's start, so a window of any width and any number of rows is
+    two running counts. The two answers meet by row number.
     """
-    if bucket_us < window_us:
-        raise ValueError("bucket_us must be at least window_us")
-    base = txn.withColumn("_us", epoch_micros(ts)).withColumn("_k", F.col(key))
-    buckets = TimeBuckets([base], bucket_us, window_us, max_bucket_rows)
-    target = buckets.assign(base).withColumn("_target", F.lit(True))
-    shifted = target.where(F.col("_us").isNotNull()).select(
-        "_k", F.col("_us").alias("_orig"), (F.col("_us") + F.lit(window_us)).alias("_us"), F.col("_b").alias("_own")
-    )
-    context = (
-        buckets.assign(shifted)
-        .where(F.col("_b") != F.col("_own"))
-        .select("_k", F.col("_orig").alias("_us"), "_b", F.lit(False).alias("_target"))
-    )
-    rows = target.unionByName(context, allowMissingColumns=True)
-    frame = Window.partitionBy("_k", "_b").orderBy("_us").rangeBetween(-window_us, -1)
-    has_history = F.col("_us").isNotNull() & F.col("_k").isNotNull()
-    return (
-        rows.withColumn(name, F.when(has_history, F.count(F.lit(1)).over(frame)).otherwise(F.lit(0)))
-        .where(F.col("_target"))
-        .select(*[F.col(f"`{c}`") for c in txn.columns], F.col(name).cast("bigint").alias(name))
+    us = epoch_micros(ts)
+    base = txn.select(F.col(key).alias("_k"), us.alias("_us"), F.monotonically_increasing_id().alias("_u"), F.struct(*_columns(txn)).alias("_s"))
+    both = F.array(
+        F.struct(F.col("_us"), F.lit(1).cast("bigint").alias("_n"), F.col("_s")),
+        F.struct((F.col("_us") - F.lit(window_us)).alias("_us"), F.lit(0).cast("bigint").alias("_n"), F.when(F.lit(False), F.col("_s")).alias("_s")),
     )
+    rows = ranged(base.select("_k", "_u", F.explode(both).alias("_x")).select("_k", "_u", "_x.*"), ["_k", "_us", "_u"], partitions)
+    seen = strictly_before(rows, ["_n"])
+    starts = seen.where("_s IS NULL").select("_u", F.col("_before._n").alias("_start"))
+    out = seen.where("_s IS NOT NULL").join(starts, "_u")
+    known = F.col("_us").isNotNull() & F.col("_k").isNotNull()
+    return out.select(*[F.col("_s").getField(c).alias(c) for c in txn.columns], F.when(known, F.col("_before._n") - F.col("_start")).otherwise(0).cast("bigint").alias(name))
 
 
 def amount_zscore(with_history: DataFrame, amount: str = "amount", name: str = "amount_zscore") -> DataFrame:
@@ -353,7 +170,7 @@ def amount_zscore(with_history: DataFrame, amount: str = "amount", name: str = "
     return with_history.withColumn(name, F.when(std > 0, (F.col(amount) - F.col("prior_avg_amount")) / std))
 
 
-def location_jumps(df: DataFrame, key: str, ts: str, lat: str, lon: str, id_col: str, bucket_us: int = DAY_US) -> DataFrame:
+def location_jumps(df: DataFrame, key: str, ts: str, lat: str, lon: str, id_col: str, partitions: int | None = None) -> DataFrame:
     """Distance (km) and speed (km/h) from each row's previous location of the same key.
 
     The previous row is the latest strictly earlier row of the key, found with
@@ -367,7 +184,7 @@ def location_jumps(df: DataFrame, key: str, ts: str, lat: str, lon: str, id_col:
         F.col(lon).alias("_prev_lon"),
         F.col(id_col).alias("_prev_id"),
     )
-    j = asof_join(df, prev, key, ts, "_prev_ts", feature_cols=["_prev_id", "_prev_lat", "_prev_lon"], strict=True, bucket_us=bucket_us)
+    j = asof_join(df, prev, key, ts, "_prev_ts", feature_cols=["_prev_id", "_prev_lat", "_prev_lon"], strict=True, partitions=partitions)
     rad = F.lit(3.141592653589793 / 180.0)
     p1, p2 = F.col(lat) * rad, F.col("_prev_lat") * rad
     dphi, dlmb = p1 - p2, (F.col(lon) - F.col("_prev_lon")) * rad

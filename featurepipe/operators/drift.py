@@ -12,7 +12,7 @@ micros, so they do not depend on the session time zone.
 
 No operator replicates the baseline per window: PSI/JS add, per window, only
 the bins the window has plus a baseline-only constant; KS evaluates both
-empirical CDFs at the window's own points using one global ordering.
+empirical CDFs at the window's own points in one scan along the values.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
-from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
+from featurepipe.operators.scan import PID, ranged
 
 WEEK_US = 7 * 86_400_000_000  # fixed.MONITOR_WINDOW, "7 days"
 EPS = 1e-6
@@ -78,15 +78,17 @@ def binned_drift(binned: DataFrame, group_cols: Sequence[str], window_col: str,
     counts = binned.groupBy(
         *g, F.when(is_baseline, F.lit(None)).otherwise(F.col(window_col)).alias(window_col),
         F.col(bin_col), is_baseline.alias("_base"),
-    ).agg(F.count(F.lit(1)).alias("_c"))
-    # Shares within each distribution: window sums over the small count frame
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return counts_drift(counts.where(F.col("_base")).select(*g, bin_col, "n"), counts.where(~F.col("_base")).drop("_base"), g, window_col, bin_col)
+
+
+def counts_drift(baseline: DataFrame, current: DataFrame, group_cols: Sequence[str], window_col: str, bin_col: str) -> DataFrame:
+    """PSI and JS per (group, window) from counts ``n`` per bin: ``baseline`` (group, bin), ``current`` (group, window, bin)."""
+    g = list(group_cols)
+    # Shares within each distribution: window sums over the small count frames
     # (one row per bin; a window partition holds the bins of one distribution).
-    base = counts.where(F.col("_base")).select(
-        *g, bin_col, (F.col("_c") / F.sum("_c").over(Window.partitionBy(*g))).alias("_bs")
-    )
-    cur = counts.where(~F.col("_base")).select(
-        *g, window_col, bin_col, (F.col("_c") / F.sum("_c").over(Window.partitionBy(*g, window_col))).alias("_cs")
-    )
+    base = baseline.select(*g, bin_col, F.coalesce(F.try_divide(F.col("n").cast("double"), F.sum("n").over(Window.partitionBy(*g))), F.lit(0.0)).alias("_bs"))
+    cur = current.select(*g, window_col, bin_col, (F.col("n") / F.sum("n").over(Window.partitionBy(*g, window_col))).alias("_cs"))
     # Sum over baseline bins as if the window were empty there (one row per group) ...
     base_only = base.groupBy(*g).agg(
         F.sum(_psi_term(F.lit(EPS), F.col("_bs") + EPS)).alias("_psi0"),
@@ -118,10 +120,98 @@ def score_drift(
     return binned_drift(binned, ["_g"], "window_start", "_bin", F.col(ts) < cut).drop("_g")
 
 
+SKETCH_K = 65_535  # of a quantile sketch: exact up to so many values, about 0.01 % of rank beyond
+SPREAD = 256  # sketches of tasks are merged in so many groups before the last merge
+
+
+def _number(feature: str) -> Column:
+    """The feature as a double, null where missing."""
+    v = F.col(f"`{feature}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def baseline_sketches(rows: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, n, sketch): a mergeable quantile sketch of each feature's values; ``n`` values, null sketch without any.
+
+    One pass over ``rows``; tasks' sketches (at most about a megabyte per feature) are merged in ``SPREAD`` groups, then
+    together. Sketches of several periods or tables merge with ``merge_sketches``.
+    """
+    named = rows.select(*[_number(f).alias(f"_{i}") for i, f in enumerate(features)], F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("_g"))
+    aggs = [x for i, _ in enumerate(features) for x in (F.count(f"_{i}").alias(f"_n{i}"), F.kll_sketch_agg_double(f"_{i}", F.lit(SKETCH_K)).alias(f"_s{i}"))]
+    wide = named.groupBy("_g").agg(*aggs)
+    long = wide.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_n{i}").alias("n"), F.col(f"_s{i}").alias("sketch")) for i, f in enumerate(features)])).alias("_x")).select("_x.*")
+    return merge_sketches(long.unionByName(_for_each(rows, features, "n bigint", 0), allowMissingColumns=True))
+
+
+def _for_each(rows: DataFrame, features: Sequence[str], more: str, value: int) -> DataFrame:
+    """One row per feature, for those that have no rows."""
+    return rows.sparkSession.createDataFrame([(f, value) for f in features], f"feature string, {more}")
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per feature from any number of them."""
+    live = F.when(F.col("n") > 0, F.col("sketch"))
+    merged = sketches.groupBy("feature").agg(F.sum("n").alias("n"), F.kll_merge_agg_double(live, F.lit(SKETCH_K)).alias("sketch"))
+    return merged.withColumn("sketch", F.when(F.col("n") > 0, F.col("sketch")))
+
+
+def cut_points(sketches: DataFrame, n_bins: int = 10) -> dict[str, list[float]]:
+    """The distinct inner quantiles of each feature's baseline: ``n_bins`` - 1 numbers per feature reach the driver."""
+    at = F.array(*[F.lit(i / n_bins) for i in range(1, n_bins)])
+    cuts = F.when(F.col("n") > 0, F.array_sort(F.array_distinct(F.kll_sketch_get_quantile_double("sketch", at))))
+    return {r.feature: r.cuts or [] for r in sketches.select("feature", cuts.alias("cuts")).collect()}
+
+
+def quantile_bin(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the cut points are below the value; -1 for a missing one."""
+    above = F.lit(0)
+    for c in cuts:
+        above = above + (value > F.lit(float(c))).cast("int")
+    return F.when(value.isNull(), F.lit(-1)).otherwise(above)
+
+
+def _binned(rows: DataFrame, cuts: dict[str, list[float]], *keep: Column) -> DataFrame:
+    """(``keep``, feature, bin) of every feature of every row; rows aggregate map-side before they are shuffled."""
+    bins = [F.struct(F.lit(f).alias("feature"), quantile_bin(_number(f), c).alias("bin")) for f, c in cuts.items()]
+    return rows.select(*keep, F.explode(F.array(*bins)).alias("_x")).select(*[F.col("_x.feature"), F.col("_x.bin")], *[c for c in rows.select(*keep).columns])
+
+
+def baseline_profile(rows: DataFrame, sketches: DataFrame, n_bins: int = 10) -> DataFrame:
+    """(feature, cuts, bin, n): the cut points of the baseline's quantile bins and how many baseline rows each bin holds.
+
+    The profile is a small table to keep: monitors compare new windows with it and do not read the baseline again.
+    """
+    cuts = cut_points(sketches, n_bins)
+    counts = _binned(rows, cuts).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    none = _for_each(rows, list(cuts), "bin int", 0).withColumn("n", F.lit(0).cast("bigint"))
+    counts = counts.unionByName(none).groupBy("feature", "bin").agg(F.sum("n").alias("n"))
+    kept = F.lit(None).cast("array<double>")
+    for f, c in cuts.items():
+        kept = F.when(F.col("feature") == f, F.array(*[F.lit(float(x)) for x in c]).cast("array<double>")).otherwise(kept)
+    return counts.select("feature", kept.alias("cuts"), "bin", "n")
+
+
+def profile_drift(profile: DataFrame, rows: DataFrame, ts: str = "ts", width_us: int = WEEK_US) -> DataFrame:
+    """D3: PSI and JS per (feature, window) of ``rows`` against a stored baseline profile, over its quantile bins."""
+    cuts = {r.feature: r.cuts or [] for r in profile.groupBy("feature").agg(F.first("cuts").alias("cuts")).orderBy("feature").collect()}  # one row per feature
+    seen = _binned(rows.where(F.col(ts).isNotNull()), cuts, window_start(ts, width_us).alias("window_start"))
+    seen = seen.groupBy("feature", "window_start", "bin").agg(F.count(F.lit(1)).alias("n"))
+    return counts_drift(profile.select("feature", "bin", "n"), seen, ["feature"], "window_start", "bin")
+
+
 def feature_drift(
     rows: DataFrame, features: Sequence[str], baseline_end: str, ts: str = "ts", n_bins: int = 10, width_us: int = WEEK_US
 ) -> DataFrame:
-    """D3: PSI and JS per (feature, window) with equal-width bins over each feature's baseline range.
+    """D3 in one call: the rows before ``baseline_end`` are profiled, the windows from then on compared with them."""
+    cut = F.lit(baseline_end).cast("timestamp_ntz")
+    base = rows.where(F.col(ts) < cut)
+    return profile_drift(baseline_profile(base, baseline_sketches(base, features), n_bins), rows.where(F.col(ts) >= cut), ts, width_us)
+
+
+def feature_drift_width(
+    rows: DataFrame, features: Sequence[str], baseline_end: str, ts: str = "ts", n_bins: int = 10, width_us: int = WEEK_US
+) -> DataFrame:
+    """D3 with equal-width bins over each feature's baseline range.
 
     The baseline min/max per feature form one broadcast row; rows are binned in
     wide form and then unpivoted to (feature, bin) pairs that aggregate
@@ -153,48 +243,48 @@ def feature_drift(
 
 
 def ks_distance(
-    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US,
-    n_buckets: int | None = VALUE_BUCKETS, max_bucket_values: int = MAX_BUCKET_VALUES,
+    scores: DataFrame, baseline_end: str, ts: str = "prediction_ts", score: str = "p1", width_us: int = WEEK_US, partitions: int | None = None,
 ) -> DataFrame:
     """KS distance between each window's score sample and the baseline sample.
 
     Both CDFs are step functions; the supremum of |F_b - F_w| is reached at a
     window point x_i, either at x_i itself or just before it. So for each
-    window point we need F_w(x_i), F_w(x_{i-1}), F_b(x_i) and F_b(x_i^-). One
-    global ordering of distinct values (baseline and every window, baseline
-    counted separately) gives F_b at every point with a single running sum;
-    F_w comes from a running sum per window.
+    window point we need F_w(x_i), F_w(x_{i-1}), F_b(x_i) and F_b(x_i^-).
+
+    Rows are aggregated once, to counts per (window or baseline, value), and these are range-partitioned by
+    value. A value is in one partition (one row per window at most), so running sums inside a partition, over all
+    baseline rows and per window, plus what earlier partitions hold (one row per partition
+    and window) give every figure; nothing is joined but these offsets.
     """
     cut = F.lit(baseline_end).cast("timestamp_ntz")
     valid = scores.where(F.col(ts).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
     is_base = F.col(ts) < cut
-    # One aggregation over the rows: counts per (window or baseline, value).
     counts = valid.groupBy(
         F.when(is_base, F.lit(None)).otherwise(window_start(ts, width_us)).alias("window_start"),
         F.col(score).cast("double").alias("_v"),
-        is_base.alias("_base"),
     ).agg(F.count(F.lit(1)).alias("_c"))
-    base = counts.where(F.col("_base")).select("_v", F.col("_c").alias("_cb"))
-    cur = counts.where(~F.col("_base")).select("window_start", "_v", F.col("_c").alias("_cw"))
-    nb = base.agg(F.sum("_cb").alias("_nb"))
-    # Baseline CDF at every distinct value of either side: one global ordering.
-    pts = base.select("_v", "_cb").unionByName(cur.select("_v", F.lit(0).cast("bigint").alias("_cb"))).groupBy("_v").agg(
-        F.sum("_cb").alias("_cb")
-    )
-    pts = ordered_buckets(pts.withColumn("_g", F.lit(1)), ["_g"], "_v", n_buckets, max_bucket_values)
-    fb = bucketed_running_sum(pts, ["_g"], "_vb", [F.col("_v")], ["_cb"], prefix="_cum").select(
-        "_v", "_vb", F.col("_cum_cb").alias("_le"), (F.col("_cum_cb") - F.col("_cb")).alias("_lt")
-    )
-    # Window CDF at each of its points, bucketed by the same global value buckets
-    # (monotone in the value, so valid for every window's own order).
-    wtot = cur.groupBy("window_start").agg(F.sum("_cw").alias("_nw"))
-    cw = cur.join(fb, "_v", "inner").join(wtot, "window_start")
-    cw = bucketed_running_sum(cw, ["window_start"], "_vb", [F.col("_v")], ["_cw"], prefix="_cum")
-    # ``nb`` is a global aggregate: exactly one row, so broadcasting it is bounded.
-    j = cw.withColumn("_g", F.lit(1)).join(F.broadcast(nb.withColumn("_g", F.lit(1))), "_g")
-    fw = F.col("_cum_cw") / F.col("_nw")
-    fw_prev = (F.col("_cum_cw") - F.col("_cw")) / F.col("_nw")
-    fb_le = F.coalesce(F.col("_le") / F.col("_nb"), F.lit(0.0))
-    fb_lt = F.coalesce(F.col("_lt") / F.col("_nb"), F.lit(0.0))
+    rows = ranged(counts, ["_v"], partitions)
+    base = F.col("window_start").isNull()  # every row that is not baseline has a window
+    rows = rows.withColumn("_cb", F.when(base, F.col("_c")).otherwise(0))
+
+    held = rows.groupBy(PID, "window_start").agg(F.sum("_c").alias("_c"))
+    earlier = Window.partitionBy("window_start").orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("window_start")
+    held = held.select(PID, "window_start", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_w0"), F.sum("_c").over(whole).alias("_nw"))
+    # baseline rows before each partition, and all: one row per partition
+    per_pid = rows.groupBy(PID).agg(F.sum("_cb").alias("_cb"))
+    first = Window.orderBy(PID)
+    per_pid = per_pid.select(F.col(PID).alias("_p"), F.coalesce(F.sum("_cb").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b0"),
+                             F.sum("_cb").over(first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_nb"))
+    upto = Window.partitionBy(PID).orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = Window.partitionBy(PID, "_v")
+    mine = Window.partitionBy(PID, "window_start").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.select(PID, "window_start", "_c", F.sum("_cb").over(upto).alias("_le"), F.sum("_cb").over(at).alias("_eq"), F.sum("_c").over(mine).alias("_w")).where(~base)
+    held = held.where(~base).withColumnsRenamed({PID: "_hp", "window_start": "_hw"})
+    j = seen.join(held, (F.col(PID) == F.col("_hp")) & (F.col("window_start") == F.col("_hw"))).join(per_pid, F.col(PID) == F.col("_p"))
+    fw = (F.col("_w0") + F.col("_w")) / F.col("_nw")
+    fw_prev = (F.col("_w0") + F.col("_w") - F.col("_c")) / F.col("_nw")
+    fb_le = F.coalesce(F.try_divide(F.col("_b0") + F.col("_le"), F.col("_nb")), F.lit(0.0))
+    fb_lt = F.coalesce(F.try_divide(F.col("_b0") + F.col("_le") - F.col("_eq"), F.col("_nb")), F.lit(0.0))
     d = F.greatest(F.abs(fb_le - fw), F.abs(fb_lt - fw_prev))
     return j.groupBy("window_start").agg(F.max(d).alias("ks"), F.first("_nw").alias("n"))

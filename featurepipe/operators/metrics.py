@@ -2,8 +2,9 @@
 
 ROC AUC and average precision are exact. Rows are first reduced to distinct
 scores per segment (tp, fp per score); the running sums over scores in
-descending order come from ``bucketed_running_sum``, whose window partitions
-are score ranges, so no task holds a whole segment.
+descending order come from ``ordered_running_sum``, whose window partitions
+are equi-depth score ranges, so no task holds a whole segment. Rows are aggregated once;
+all figures of a segment come from one aggregation of its curve.
 
 * AUC = Σ fp_i · (cum_tp_i − tp_i / 2) / (P · N)  (ties count half)
 * AP  = Σ tp_i · cum_tp_i / (cum_tp_i + cum_fp_i) / P  (step sum, not trapezoid)
@@ -20,8 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.fixed import PREDICTION_THRESHOLD, QUALITY_THRESHOLDS
-from featurepipe.functions.joins import join_null_safe
-from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
+from featurepipe.operators.prefix import ordered_running_sum
 
 DEFAULT_THRESHOLDS = QUALITY_THRESHOLDS
 
@@ -32,13 +32,9 @@ def binary_metrics(
     label: str = "label",
     segment_cols: Sequence[str] = (),
     threshold: float = PREDICTION_THRESHOLD,
-    n_buckets: int | None = VALUE_BUCKETS,
-    max_bucket_values: int = MAX_BUCKET_VALUES,
+    partitions: int | None = None,
 ) -> DataFrame:
     seg = list(segment_cols)
-    if not seg:  # one global segment, carried as a constant key (its joins have one row on one side)
-        out = binary_metrics(df.withColumn("_all", F.lit(1)), score, label, ["_all"], threshold, n_buckets, max_bucket_values)
-        return out.drop("_all")
     rows = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score)) & F.col(label).isNotNull()).select(
         *seg, F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y")
     )
@@ -46,31 +42,23 @@ def binary_metrics(
     per_score = rows.groupBy(*seg, "_s").agg(
         F.sum((F.col("_y") == 1).cast("bigint")).alias("tp"), F.sum((F.col("_y") == 0).cast("bigint")).alias("fp")
     )
+    cum = ordered_running_sum(per_score, seg, "_s", ["tp", "fp"], descending=True, partitions=partitions)
     hit = F.col("_s") >= F.lit(threshold)
-    counts = per_score.groupBy(*seg).agg(
-        F.sum(F.col("tp") + F.col("fp")).alias("n"),
-        F.sum("tp").alias("positives"),
-        F.sum("fp").alias("negatives"),
-        F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("_tp"),
-        F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
-        F.min("_s").alias("_lo"),
-        F.max("_s").alias("_hi"),
-        F.count(F.lit(1)).alias("_nd"),
-    )
-    per_score = ordered_buckets(per_score, seg, "_s", n_buckets, max_bucket_values, name="_sb",
-                                stats=counts.select(*seg, "_lo", "_hi", "_nd"))
-    cum = bucketed_running_sum(per_score, seg, "_sb", [F.col("_s").desc()], ["tp", "fp"], descending_buckets=True)
     # Products of counts in double: at 10^10+ rows per class a bigint product overflows (an error under ANSI).
     tp, fp, ctp, cfp = (F.col(c).cast("double") for c in ("tp", "fp", "cum_tp", "cum_fp"))
     curve = cum.groupBy(*seg).agg(
+        F.coalesce(F.sum(F.col("tp") + F.col("fp")), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("tp"), F.lit(0)).alias("positives"),
+        F.coalesce(F.sum("fp"), F.lit(0)).alias("negatives"),
+        F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("_tp"),
+        F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("_fp"),
         F.sum(fp * (ctp - tp / 2.0)).alias("_auc_num"),
-        F.sum(tp * ctp / (ctp + cfp)).alias("_ap_num"),
+        F.sum(F.try_divide(tp * ctp, ctp + cfp)).alias("_ap_num"),
     )
-    joined = join_null_safe(counts, curve, seg, "left")
     p, n = F.col("positives"), F.col("negatives")
     precision = F.coalesce(F.try_divide(F.col("_tp"), F.col("_tp") + F.col("_fp")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("_tp"), p), F.lit(0.0))
-    return joined.select(
+    return curve.select(
         *seg,
         "n",
         "positives",

@@ -22,16 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.joins import join_null_safe
-
-# Value buckets for ordered statistics (AUC/AP, quantiles, KS): None means
-# about sqrt(distinct values) buckets per partition, decided inside the plan.
-# Both levels of ``bucketed_running_sum`` then see about sqrt(n) rows: the
-# offsets window one row per bucket, each bucket window about sqrt(n) values.
-VALUE_BUCKETS = None
-# A value bucket holding more distinct values than this is cut again into
-# equal-width sub-buckets over its own range (values packed in a tiny range).
-MAX_BUCKET_VALUES = 1_000_000
-SUB_BUCKETS = 1 << 20
+from featurepipe.operators.scan import PID, ranged
 
 
 def bucketed_running_sum(
@@ -76,53 +67,22 @@ def hash_bucket(key_hex: Column, n_buckets: int) -> Column:
     return ((prefix * F.lit(n_buckets)) / F.lit(4294967296)).cast("bigint")
 
 
-def value_bucket(value: Column, lo: Column, hi: Column, n_buckets: int | Column) -> Column:
-    """Equal-width bucket of ``value`` over [lo, hi], monotone in ``value`` (``n_buckets`` may be a column)."""
-    nb = n_buckets if isinstance(n_buckets, Column) else F.lit(n_buckets)
-    span = hi - lo
-    raw = F.floor(F.try_divide(value - lo, span) * nb)
-    return F.least(F.greatest(F.coalesce(raw, F.lit(0)), F.lit(0)), nb - 1).cast("bigint")
-
-
-def sqrt_buckets(n_distinct: Column) -> Column:
-    """About sqrt(n) buckets for n distinct values (at least 1)."""
-    return F.greatest(F.lit(1), F.ceil(F.sqrt(n_distinct))).cast("bigint")
-
-
-def bucket_count(n_buckets: int | None, n_distinct: Column) -> Column:
-    return sqrt_buckets(n_distinct) if n_buckets is None else F.lit(n_buckets)
-
-
-def ordered_buckets(
+def ordered_running_sum(
     df: DataFrame,
     partition_cols: Sequence[str],
     value: str,
-    n_buckets: int | None = VALUE_BUCKETS,
-    max_values: int = MAX_BUCKET_VALUES,
-    name: str = "_vb",
-    stats: DataFrame | None = None,
+    sum_cols: Sequence[str],
+    descending: bool = False,
+    prefix: str = "cum_",
+    with_totals: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``name``: a bucket id monotone in ``value`` within each partition.
+    """``bucketed_running_sum`` along ``value``, with the range partitions of (partition, value) as buckets.
 
-    ``df`` holds one row per distinct value per partition. Level 1 is
-    equal-width over the partition's range with about sqrt(distinct) buckets;
-    a level-1 bucket with more than ``max_values`` values is cut into
-    ``SUB_BUCKETS`` equal-width sub-buckets over its own range. The list of
-    such buckets has at most distinct / max_values rows; Spark broadcasts it when
-    its measured size allows. A null partition value is a partition. Ids are ``level1 * SUB_BUCKETS + sub``.
+    ``df`` holds one row per distinct value per partition. Range partitions are equi-depth for any values: outliers,
+    values packed in a tiny range and partitions of any size. A null partition value is a partition. ``df`` is computed once.
     """
     p = list(partition_cols)
-    v = F.col(value)
-    if stats is None:  # callers that already aggregate per partition pass (p, _lo, _hi, _nd)
-        stats = df.groupBy(*p).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_nd"))
-    staged = join_null_safe(df, stats, p).withColumn(
-        "_b1", value_bucket(v, F.col("_lo"), F.col("_hi"), bucket_count(n_buckets, F.col("_nd")))
-    ).drop("_lo", "_hi", "_nd")
-    dense = (
-        staged.groupBy(*p, "_b1")
-        .agg(F.count(F.lit(1)).alias("_n1"), F.min(value).alias("_blo"), F.max(value).alias("_bhi"))
-        .where(F.col("_n1") > max_values)
-    )
-    staged = join_null_safe(staged, dense, [*p, "_b1"], "left")
-    sub = F.when(F.col("_n1").isNotNull(), value_bucket(v, F.col("_blo"), F.col("_bhi"), SUB_BUCKETS)).otherwise(F.lit(0))
-    return staged.withColumn(name, (F.col("_b1") * F.lit(SUB_BUCKETS) + sub).cast("bigint")).drop("_b1", "_n1", "_blo", "_bhi")
+    rows = ranged(df, [*p, value], partitions)
+    order = [F.col(value).desc() if descending else F.col(value).asc()]
+    return bucketed_running_sum(rows, p, PID, order, sum_cols, descending, prefix, with_totals).drop(PID)

@@ -2,8 +2,8 @@
 
 ``exact_quantiles`` equals linear-interpolation percentiles (``percentile`` in
 Spark, ``quantile_cont`` in SQL) but never gathers a group's values in one
-task: it counts distinct values, ranks them with ``bucketed_running_sum`` and
-picks the two values around each target position with a conditional max.
+task: it counts distinct values, ranks them with ``ordered_running_sum`` (equi-depth
+value ranges) and picks the two values around each target position with a conditional max.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurepipe.functions.joins import join_null_safe
-from featurepipe.operators.prefix import MAX_BUCKET_VALUES, VALUE_BUCKETS, bucketed_running_sum, ordered_buckets
+from featurepipe.operators.prefix import ordered_running_sum
 
 
 def _qname(q: float) -> str:
@@ -23,18 +23,11 @@ def _qname(q: float) -> str:
 
 def exact_quantiles(
     df: DataFrame, group_cols: Sequence[str], value: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
-    n_buckets: int | None = VALUE_BUCKETS, max_bucket_values: int = MAX_BUCKET_VALUES,
+    partitions: int | None = None,
 ) -> DataFrame:
     g = list(group_cols)
-    if not g:
-        return exact_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], value, qs, n_buckets, max_bucket_values).drop("_all")
     vals = df.where(F.col(value).isNotNull()).groupBy(*g, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    stats = vals.groupBy(*g).agg(
-        F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_nd")
-    )
-    staged = ordered_buckets(vals, g, "_v", n_buckets, max_bucket_values, stats=stats.drop("_n"))
-    staged = join_null_safe(staged, stats.select(*g, "_n"), g)
-    ranked = bucketed_running_sum(staged, g, "_vb", [F.col("_v")], ["_c"], prefix="_cum")
+    ranked = ordered_running_sum(vals, g, "_v", ["_c"], prefix="_cum", with_totals="_n", partitions=partitions)
     first, last = F.col("_cum_c") - F.col("_c") + 1, F.col("_cum_c")
     aggs = []
     for q in qs:
@@ -44,6 +37,8 @@ def exact_quantiles(
         aggs.append(F.max(F.when((hi >= first) & (hi <= last), F.col("_v"))).alias(f"_hi_{_qname(q)}"))
         aggs.append(F.first(pos - lo).alias(f"_fr_{_qname(q)}"))
     picked = ranked.groupBy(*g).agg(*aggs)
+    if not g:  # no values: no row
+        picked = picked.where(F.col(f"_lo_{_qname(qs[0])}").isNotNull())
     outs = []
     for q in qs:
         n = _qname(q)

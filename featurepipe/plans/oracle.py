@@ -288,6 +288,19 @@ def feature_bins(rows: str, cut: str) -> str:
   FROM l LEFT JOIN rng ON l.grp = rng.grp WHERE l.ts IS NOT NULL)"""
 
 
+def feature_quantile_bins(rows: str, cut: str) -> str:
+    """Bins between the baseline's distinct deciles (the least value whose rank reaches the share)."""
+    unp = " UNION ALL ".join(f"SELECT ts, '{f}' AS grp, CAST({f} AS DOUBLE) AS v FROM {rows} r" for f in FEATURES)
+    shares = ", ".join(f"(CAST({i} AS DOUBLE) / 10)" for i in range(1, 10))
+    return f"""(
+  WITH l AS ({unp}),
+  r AS (SELECT grp, v, row_number() OVER (PARTITION BY grp ORDER BY v) AS rn, count(*) OVER (PARTITION BY grp) AS n
+        FROM l WHERE ts < {cut} AND v IS NOT NULL AND NOT isnan(v)),
+  cuts AS (SELECT grp, list(DISTINCT v) AS c FROM r JOIN (VALUES {shares}) q(p) ON rn = greatest(1, CAST(ceil(p * n) AS BIGINT)) GROUP BY grp)
+  SELECT l.grp, l.ts, CASE WHEN l.v IS NULL OR isnan(l.v) THEN -1 ELSE coalesce(len(list_filter(cuts.c, lambda x: x < l.v)), 0) END AS bin
+  FROM l LEFT JOIN cuts ON l.grp = cuts.grp WHERE l.ts IS NOT NULL)"""
+
+
 def ks(scores: str, cut: str) -> str:
     return f"""(
   WITH v AS (SELECT prediction_ts AS ts, p1 FROM {scores} s WHERE p1 IS NOT NULL AND NOT isnan(p1) AND prediction_ts IS NOT NULL),
@@ -388,8 +401,9 @@ SQL: dict[str, str] = {
         stddev_samp(p1) AS std_score, sum(CASE WHEN p1 IS NULL OR isnan(p1) THEN 1 ELSE 0 END) AS null_scores
         FROM {SCORES_E} s GROUP BY 1)""", "window_start:t n:i mean_score:d std_score:d null_scores:i"),
     "q34_score_psi": out(psi_from_bins(SCORE_BINS, "grp", CUT_E), "window_start:t psi:d js:d"),
-    "q35_feature_psi": out(psi_from_bins(feature_bins(label_join(E_TXN), CUT_E), "feature", CUT_E), "feature:s window_start:t psi:d js:d"),
-    "q35_feature_psi_lineitem": out(psi_from_bins(feature_bins(label_join(L_TXN), "TIMESTAMP '1997-01-01'"), "feature", "TIMESTAMP '1997-01-01'"),
+    "q35_feature_psi": out(psi_from_bins(feature_quantile_bins(label_join(E_TXN), CUT_E), "feature", CUT_E), "feature:s window_start:t psi:d js:d"),
+    "q35_feature_psi_width": out(psi_from_bins(feature_bins(label_join(E_TXN), CUT_E), "feature", CUT_E), "feature:s window_start:t psi:d js:d"),
+    "q35_feature_psi_lineitem": out(psi_from_bins(feature_quantile_bins(label_join(L_TXN), "TIMESTAMP '1997-01-01'"), "feature", "TIMESTAMP '1997-01-01'"),
                                     "feature:s window_start:t psi:d js:d"),
     "q36_score_ks": out(KS, "window_start:t ks:d n:i"),
     "q37_version_match": out(VERSION_MATCH, "model:i n_rows:i n_mismatch:i n_no_default:i"),

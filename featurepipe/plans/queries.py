@@ -349,8 +349,7 @@ def q24(spark, sf):
 @register("q24_velocity_lineitem")
 def q24l(spark, sf):
     """X2 on lineitem ⋈ orders with a 2-day window (dates only): earlier rows within the window, same key."""
-    out = asof.trailing_count(roles(spark, sf, "lineitem").transactions, window_us=2 * asof.DAY_US,
-                              bucket_us=8 * asof.DAY_US, name="txn_count_last_2_days")
+    out = asof.trailing_count(roles(spark, sf, "lineitem").transactions, window_us=2 * asof.DAY_US, name="txn_count_last_2_days")
     return flat(out.select("txn_id", "customer_id", "txn_count_last_2_days"))
 
 
@@ -445,14 +444,31 @@ def q34(spark, sf):
     return flat(drift.score_drift(_score_table(spark, sf), BASELINE_END_EVENTS))
 
 
+def _profiled_drift(spark, sf, mapping, baseline_end):
+    """The baseline's sketches and profile are kept as tables; the windows after it are compared with what is read back."""
+    kept = _scratch(spark, "baseline")
+    rows = _label_join(spark, sf, mapping)
+    cut = F.lit(baseline_end).cast("timestamp_ntz")
+    base = rows.where(F.col("ts") < cut)
+    drift.baseline_sketches(base, dataset.FEATURE_COLUMNS).write.parquet(f"{kept}/sketches")
+    drift.baseline_profile(base, spark.read.parquet(f"{kept}/sketches")).write.parquet(f"{kept}/profile")
+    return drift.profile_drift(spark.read.parquet(f"{kept}/profile"), rows.where(F.col("ts") >= cut))
+
+
 @register("q35_feature_psi")
 def q35(spark, sf):
-    return flat(drift.feature_drift(_label_join(spark, sf), dataset.FEATURE_COLUMNS, BASELINE_END_EVENTS))
+    return flat(_profiled_drift(spark, sf, "events", BASELINE_END_EVENTS))
 
 
 @register("q35_feature_psi_lineitem")
 def q35l(spark, sf):
-    return flat(drift.feature_drift(_label_join(spark, sf, "lineitem"), dataset.FEATURE_COLUMNS, BASELINE_END_LINEITEM))
+    return flat(_profiled_drift(spark, sf, "lineitem", BASELINE_END_LINEITEM))
+
+
+@register("q35_feature_psi_width")
+def q35w(spark, sf):
+    """D3 over equal-width bins."""
+    return flat(drift.feature_drift_width(_label_join(spark, sf), dataset.FEATURE_COLUMNS, BASELINE_END_EVENTS))
 
 
 @register("q36_score_ks")

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import plan_text, rows_by, timedelta, ts
+from helpers import rows_by, timedelta, ts
 from pyspark.sql import functions as F
 
 from featurepipe.operators import asof
@@ -54,16 +54,14 @@ def _brute_asof(spine, feats, strict=False):
     return out
 
 
-@pytest.mark.parametrize("max_rows", [None, 4])
-def test_asof_matches_brute_force_across_buckets(spark, max_rows):
-    """Coarse hour buckets; with max_rows=4 the busy (key, hour) buckets are split into 10-minute ones."""
+@pytest.mark.parametrize("partitions", [None, 9])
+def test_asof_matches_brute_force_across_partitions(spark, partitions):
     rnd = random.Random(7)
     base = ts("2024-01-01 00:00:00")
     spine = [(i, rnd.choice([1, 1, 1, 2, 3]), base + timedelta(minutes=rnd.randrange(0, 3000))) for i in range(300)]
     feats = [(rnd.choice([1, 1, 2, 3, 4]), base + timedelta(minutes=rnd.randrange(0, 3000)), float(rnd.randrange(5)), rnd.choice("xyz")) for _ in range(200)]
     for strict in (False, True):
-        got = rows_by(asof.asof_join(_spine(spark, spine), _feats(spark, feats), "k", "t", "ft", strict=strict, bucket_us=HOUR,
-                                     fine_us=HOUR // 6, max_bucket_rows=max_rows), "sid")
+        got = rows_by(asof.asof_join(_spine(spark, spine), _feats(spark, feats), "k", "t", "ft", strict=strict, partitions=partitions), "sid")
         want = _brute_asof(spine, feats, strict)
         assert len(got) == len(spine)
         for sid, w in want.items():
@@ -71,8 +69,8 @@ def test_asof_matches_brute_force_across_buckets(spark, max_rows):
             assert (None if g["ft"] is None else (g["ft"], g["a"], g["b"])) == w, (sid, g, w)
 
 
-@pytest.mark.parametrize("max_rows", [None, 3])
-def test_running_features_brute_force(spark, max_rows):
+@pytest.mark.parametrize("partitions", [None, 11])
+def test_running_features_brute_force(spark, partitions):
     rnd = random.Random(3)
     base = ts("2024-01-01 00:00:00")
     rows = []
@@ -82,8 +80,8 @@ def test_running_features_brute_force(spark, max_rows):
             t = rows[-1][4]  # ties
         rows.append((i, rnd.choice([1, 1, 1, 2, None]), rnd.choice([None, 1, 2, 3, 4]), float(rnd.randrange(1, 50)), t, rnd.choice([0, 1]), "m", "x"))
     df = spark.createDataFrame(rows, "txn_id bigint, customer_id bigint, merchant_id bigint, amount double, ts timestamp_ntz, is_fraud int, device_type string, event_type string")
-    got = rows_by(asof.running_features(df, bucket_us=HOUR, fine_us=HOUR // 4, max_bucket_rows=max_rows), "txn_id")
-    vel = rows_by(asof.trailing_count(df, bucket_us=4 * HOUR, window_us=HOUR, max_bucket_rows=max_rows), "txn_id")
+    got = rows_by(asof.running_features(df, partitions=partitions), "txn_id")
+    vel = rows_by(asof.trailing_count(df, window_us=HOUR, partitions=partitions), "txn_id")
     import statistics
 
     for r in rows:
@@ -113,15 +111,80 @@ def test_zscore(spark):
     assert abs(z[3]["amount_zscore"] - (40 - statistics.mean([10, 10, 20])) / statistics.stdev([10, 10, 20])) < 1e-9
 
 
-def test_hot_key_is_split_across_window_partitions(spark):
-    """A key holding most rows is windowed per (key, bucket), never as one partition."""
-    spine = spark.range(2000).select(F.col("id").alias("sid"), F.lit(1).cast("bigint").alias("k"),
-                                     (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id"))).alias("t"))
-    feats = spine.select("k", F.col("t").alias("ft"), F.col("sid").cast("double").alias("a"), F.lit("z").alias("b"))
-    out = asof.asof_join(spine, feats, "k", "t", "ft", bucket_us=24 * HOUR)
-    plan = plan_text(out)
-    assert "hashpartitioning(_k" in plan and "_b" in plan  # windows partitioned by (key, bucket)
-    assert out.where(F.col("a") != F.col("sid").cast("double")).count() == 0
+def _hot(spark, n=4000):
+    """Half of the rows share one key and one midnight, a tenth has no key, the rest are a few rows per key."""
+    k = F.when(F.col("id") % 2 == 0, F.lit(1)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 500 + 2).cast("bigint")
+    t = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 40).cast("int"))
+    return spark.range(0, n, 1, 4).select(F.col("id").alias("txn_id"), k.alias("customer_id"), (F.col("id") % 7).alias("merchant_id"), (F.col("id") % 97).cast("double").alias("amount"),
+                                          t.alias("ts"), (F.col("id") % 3 == 0).cast("int").alias("is_fraud"))
+
+
+def _sizes(spark, monkeypatch, run):
+    """Rows per window partition (range partition, key) and per range partition of what ``run`` scans."""
+    made = []
+    real = asof.ranged
+
+    def spy(*args, **kw):
+        made.append(real(*args, **kw))
+        return made[-1]
+
+    monkeypatch.setattr(asof, "ranged", spy)
+    out = run()
+    rows = made[0]
+    return out, [r["count"] for r in rows.groupBy("_pid", "_k").count().collect()], [r["count"] for r in rows.groupBy("_pid").count().collect()]
+
+
+def test_one_key_at_one_time_is_split_into_balanced_tasks(spark, monkeypatch):
+    df = _hot(spark)
+    feats = df.select("customer_id", F.col("ts").alias("ft"), F.col("amount").alias("a"))
+    parts = 16
+    for run, rows in (
+        (lambda: asof.asof_join(df, feats, "customer_id", "ts", "ft", partitions=parts), 8000 - 400),
+        (lambda: asof.running_features(df, partitions=parts), 4000),
+        (lambda: asof.trailing_count(df, partitions=parts), 8000),
+    ):
+        out, groups, tasks = _sizes(spark, monkeypatch, run)
+        # one key at one time is half of all rows; no window holds more than a partition, no partition twice its share
+        assert len(tasks) == parts and max(tasks) < 2.0 * rows / parts
+        assert max(groups) <= max(tasks)
+        assert out.count() == 4000
+
+
+def test_rows_of_one_time_across_partitions_do_not_see_each_other(spark):
+    df = _hot(spark)
+    got = {r.txn_id: r for r in asof.running_features(df, partitions=16).collect()}
+    vel = {r.txn_id: r.n for r in asof.trailing_count(df, window_us=48 * 24 * HOUR, name="n", partitions=16).collect()}
+    rows = df.collect()
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.customer_id, []).append(r)
+    for r in rows:
+        prior = [p for p in by_key[r.customer_id] if r.customer_id is not None and p.ts < r.ts] if r.customer_id != 1 else []
+        g = got[r.txn_id]
+        assert (g.prior_txn_count, g.prior_fraud_count, g.prior_unique_merchants) == (len(prior), sum(p.is_fraud for p in prior), len({p.merchant_id for p in prior}))
+        assert vel[r.txn_id] == len(prior)
+        if prior:
+            assert abs(g.prior_avg_amount - sum(p.amount for p in prior) / len(prior)) < 1e-9
+
+
+def test_later_rows_see_all_of_a_time_that_spans_partitions(spark):
+    """3,000 rows at one time, then one row: it sees them all, in count, mean, deviation, frauds and as-of match."""
+    import statistics
+
+    tie = spark.range(3000).select(F.col("id").alias("txn_id"), F.lit(1).cast("bigint").alias("customer_id"), (F.col("id") % 7).alias("merchant_id"), (F.col("id") % 89).cast("double").alias("amount"),
+                                   F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), (F.col("id") % 2).cast("int").alias("is_fraud"))
+    late = tie.limit(1).withColumn("txn_id", F.lit(9999).cast("bigint")).withColumn("ts", F.lit("2024-01-01 00:30:00").cast("timestamp_ntz"))
+    df = tie.unionByName(late)
+    g = asof.running_features(df, partitions=9).where("txn_id = 9999").first()
+    amounts = [float(i % 89) for i in range(3000)]
+    assert (g.prior_txn_count, g.prior_fraud_count, g.prior_unique_merchants) == (3000, 1500, 7)
+    assert abs(g.prior_avg_amount - statistics.mean(amounts)) < 1e-9 and abs(g.prior_stddev_amount - statistics.stdev(amounts)) < 1e-9
+    assert asof.trailing_count(df, partitions=9).where("txn_id = 9999").first().txn_count_last_hour == 3000
+    feats = tie.select("customer_id", F.col("ts").alias("ft"), F.col("amount").alias("a"), F.col("txn_id").alias("b"))
+    hit = asof.asof_join(df, feats, "customer_id", "ts", "ft", partitions=9)
+    assert hit.where("a = 88.0 AND b = 2936").count() == 3001  # the largest of the tied feature rows, for every row of its time and later
+    strict = asof.asof_join(df, feats, "customer_id", "ts", "ft", strict=True, partitions=9)
+    assert strict.where("b = 2936").count() == 1 and strict.where("b IS NULL").count() == 3000
 
 
 def test_location_jumps(spark):

@@ -32,18 +32,18 @@ def _brute(rows):
     return auc, ap, precision, recall, f1
 
 
-@pytest.mark.parametrize("n_buckets,max_values", [(None, 1_000_000), (4096, 1_000_000), (3, 1_000_000), (3, 5), (None, 2)])
-def test_metrics_match_brute_force_with_ties(spark, n_buckets, max_values):
+@pytest.mark.parametrize("partitions", [None, 3, 13])
+def test_metrics_match_brute_force_with_ties(spark, partitions):
     rnd = random.Random(11)
     rows = [(round(rnd.random(), 2), rnd.choice([0, 0, 1]), rnd.choice("ab")) for _ in range(400)]
     df = spark.createDataFrame(rows, "p1 double, label int, seg string")
-    got = {r.seg: r for r in metrics.binary_metrics(df, segment_cols=["seg"], n_buckets=n_buckets, max_bucket_values=max_values).collect()}
+    got = {r.seg: r for r in metrics.binary_metrics(df, segment_cols=["seg"], partitions=partitions).collect()}
     for seg in "ab":
         want = _brute([(s, y) for s, y, g in rows if g == seg])
         g = got[seg]
         for name, w in zip(("auc", "ap", "precision", "recall", "f1"), want):
             assert abs(g[name] - w) < 1e-9, (name, g[name], w)
-    overall = metrics.binary_metrics(df, n_buckets=n_buckets, max_bucket_values=max_values).first()
+    overall = metrics.binary_metrics(df, partitions=partitions).first()
     assert abs(overall.auc - _brute([(s, y) for s, y, _ in rows])[0]) < 1e-9
 
 
