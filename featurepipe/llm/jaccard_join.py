@@ -83,7 +83,8 @@ def _set_rows(k: int):
         for b in batches:
             for i, v, off in shingle_sets(b.column(1), k):
                 n = np.diff(off)
-                counts += np.bincount((v % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                met, times = np.unique((v % np.uint64(COUNTERS)).astype(np.int64), return_counts=True)
+                counts[met] += times.astype(np.uint32)
                 keys = [hashlib.blake2b(v[s:e].tobytes(), digest_size=16).digest() for s, e in zip(off[:-1], off[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, len(n)), pa.array(n), pa.array(keys, pa.binary()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names)

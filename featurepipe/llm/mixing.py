@@ -18,7 +18,7 @@ all rows is spread over its blocks.
 
 Null sources are a source of their own. Null and empty texts weigh 0 tokens and appear in
 whole epochs. Repeated rows and ids are each counted; an empty table gives an empty
-mix; all columns of the input are kept, clashing ones too.
+mix; all columns of the input are kept, whatever their names, but for those that the mix adds (``ADDED``).
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from featurepipe.llm.tokens import DEFAULT_VOCABULARY, encoder
 BLOCKS = 1024
 STEPS = 30
 ENTROPY = 0.5
+ADDED = ["mix_id", "mix_source", "mix_words", "mix_tokens", "mix_block", "mix_epoch", "mix_weight"]
 MAX_REPEATS = 4.0  # a third of all tokens in one source and a thirtieth in each of 20 needs 1.64 to meet the entropy
 
 
@@ -87,7 +88,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ship(docs.sparkSession)
     key = F.col(id_col).cast("string")
     words = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
-    own = [F.col(f"`{c}`") for c in docs.columns] if keep else []
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")] if keep else []
     draw = F.xxhash64(F.lit(seed), F.coalesce(key, F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     rows = docs.select(*own, F.col(id_col).alias("mix_id"), F.col(source_col).cast("string").alias("mix_source"), words.alias("mix_words"), _tokens(vocabulary)(F.col(text_col).cast("string")).alias("mix_tokens"), draw.alias("mix_draw"))
     rows = rows.withColumn("mix_block", F.pmod("mix_draw", F.lit(blocks)).cast("int"))
@@ -111,7 +112,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     upto = Window.partitionBy("mix_source", "mix_block").orderBy("mix_draw").rangeBetween(Window.unboundedPreceding, 0)
     cut = edge.withColumn("sum", F.sum("mix_tokens").over(upto)).filter("sum <= room").groupBy("s", "b").agg(F.max("mix_draw").alias("last"))
     plan = stored(plan.join(cut.select(F.col("s").alias("s2"), F.col("b").alias("b2"), "last"), (F.col("b") == F.col("b2")) & F.col("s").eqNullSafe(F.col("s2")), "left").drop("s2", "b2"), "plan")
-    out = rows.join(plan, (F.col("mix_block") == F.col("b")) & F.col("mix_source").eqNullSafe(F.col("s")))
+    # what is joined has names of its own, and the input's columns travel as one struct
     extra = (F.col("room") > 0) & ((F.col("room") >= F.col("block_tokens")) | (F.col("mix_draw") <= F.col("last")))
     copies = F.col("full") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)
-    return out.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), copies - 1))).drop("s", "b", "full", "room", "block_tokens", "last", "mix_draw")
+    out = rows.join(plan, (F.col("mix_block") == F.col("b")) & F.col("mix_source").eqNullSafe(F.col("s"))).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), copies - 1)))
+    back = [F.col("own").getField(c).alias(c) for c in docs.columns if c not in ADDED] if keep else []
+    return out.select(*back, *ADDED)

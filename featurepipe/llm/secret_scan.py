@@ -5,14 +5,14 @@ Parquet table of (blob, rule version, spans), says what has been scanned: a
 run scans only blobs it lacks under the current rule version, once however
 many paths carry them, appends what it finds, and joins findings back to every path.
 Copies collapse before the shuffle (map-side), so a text that fills a third of all
-rows is moved once per task and scanned once.
+rows is moved once per task and scanned once. Texts are moved once and not stored again.
 
 Matches of a kind are leftmost and do not overlap. Positions come from the pieces
 between matches: ``split`` and ``regexp_extract_all`` see the same matches, so the
 running sum of their lengths places each one, in code points, end exclusive.
 
 A null text is empty. Null or repeated ids keep their rows; an empty table gives an
-empty result and scans nothing; other columns are not read.
+empty result and scans nothing; other columns are not read, and ``findings`` replaces columns named ``blob`` and ``spans``.
 """
 
 from __future__ import annotations
@@ -20,12 +20,11 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from featurepipe.llm.store import new_path
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -45,12 +44,13 @@ BASE = [
 ]
 MORE = [
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, hint="-----BEGIN "),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 24, hint="eyJ"),
+    # from the start of a run on and without going back, so a run is read once whatever it repeats
+    Rule("signed_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", 24, hint="eyJ"),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]+", 40, hint="gh"),
     Rule("url_password", r"[a-z][a-z0-9+.-]{0,15}://[^/\s:@]+:[^/\s:@]+@", 1, hint="://"),
 ]
 RULES = BASE + MORE
-RULE_VERSION = "2"
+RULE_VERSION = "3"
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 LEDGER = f"blob string, rule_version string, spans {SPANS}"
 MASK = "[SECRET]"
@@ -82,34 +82,37 @@ def scan(blobs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger's rows; a ledger that does not exist yet is empty, any other failure is raised."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
+        return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(path)
 
 
 def update_ledger(versions: DataFrame, path: str, rules: list[Rule] = RULES, rule_version: str = RULE_VERSION, text: str = "text") -> None:
     """Scan the blobs of ``versions`` that the ledger lacks under ``rule_version`` and append them.
 
-    Each run writes a folder of its own; a run that is repeated after a failure finds
-    what is complete and scans the rest.
+    Each run writes two folders of its own: the blobs with spans, then the unseen ones without. A run that is repeated after a
+    failure finds what is complete and scans the rest.
     """
     spark = versions.sparkSession
+    run = f"{path}/run-{uuid.uuid4().hex[:12]}"
     seen = read_ledger(spark, path).filter(F.col("rule_version") == rule_version).select("blob")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    blobs = versions.select(F.sha2(t, 256).alias("blob"), t.alias("text"))
-    blobs = blobs.join(seen, "blob", "left_anti").groupBy("blob").agg(F.first("text").alias("text"))
-    new = new_path(spark, "unseen")
-    blobs.write.parquet(new)
-    blobs = spark.read.schema("blob string, text string").parquet(new)
-    rows = blobs.select("blob").join(scan(blobs, rules), "blob", "left")
-    rows.select("blob", F.lit(rule_version).alias("rule_version"), F.coalesce("spans", F.array().cast(SPANS)).alias("spans")).write.parquet(f"{path}/run-{uuid.uuid4().hex[:12]}")
+    unseen = versions.select(F.sha2(t, 256).alias("blob"), t.alias("text")).join(seen, "blob", "left_anti")
+    blobs = unseen.groupBy("blob").agg(F.first("text").alias("text"))
+    found = scan(blobs, rules).select("blob", F.lit(rule_version).alias("rule_version"), "spans")
+    found.write.parquet(f"{run}-found")
+    known = spark.read.schema(LEDGER).parquet(f"{run}-found").select("blob")
+    clean = unseen.select("blob").distinct().join(known, "blob", "left_anti")
+    clean.select("blob", F.lit(rule_version).alias("rule_version"), F.array().cast(SPANS).alias("spans")).write.parquet(f"{run}-clean")
 
 
 def findings(versions: DataFrame, path: str, rule_version: str = RULE_VERSION, text: str = "text") -> DataFrame:
     """``versions`` with ``blob`` and ``spans``: the ledger joined back to every row."""
     known = read_ledger(versions.sparkSession, path).filter(F.col("rule_version") == rule_version).select("blob", "spans")
-    rows = versions.withColumn("blob", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
+    rows = versions.drop("spans").withColumn("blob", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
     return rows.join(known.dropDuplicates(["blob"]), "blob", "left")
 
 

@@ -1,9 +1,16 @@
-"""Tables written to the shared folder: they cut lineage and survive the loss of executors."""
+"""Tables written to the shared folder: they cut lineage and survive the loss of executors.
+
+Tables that a job needs no longer are emptied (``release``), so that a chain of jobs holds those of the
+current one only. Arrow batches are bounded by bytes as well as rows, so that a batch of long texts or large sets
+takes no more memory than one of short ones.
+"""
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +20,48 @@ from featurepipe.session import work_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from the driver's path, where the job has not set it up."""
+    """Let Python workers import this package from the driver's path, where the job has not set it up; bound Arrow batches."""
+    if int(str(spark.conf.get(BATCH_CONF)).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are made inside."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
+def release(spark: SparkSession, paths: list[str], but: DataFrame) -> list[str]:
+    """Empty the tables at ``paths`` that ``but`` does not read; the paths that it does."""
+    read = [f.replace("file:///", "/") for f in but.inputFiles()]
+    kept = [p for p in paths if any(p.removeprefix("file://") in f for f in read)]
+    for p in set(paths) - set(kept):
+        spark.createDataFrame([], "gone int").coalesce(1).write.mode("overwrite").parquet(p)
+    return kept
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
