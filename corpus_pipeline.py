@@ -7,13 +7,16 @@ shared folder and rereads it.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
-from featurepipe.llm.store import new_path, stored
+from featurepipe.llm.store import new_path, release, scope, stored
 from featurepipe.sources.tables import read_table
 
+MADE: list[str] = []  # tables of the stages before the current one
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = {"k": 5, "percent": 80}  # near-duplicates: shingles of five words, similarity 0.8 (op1's contract has 4 and 85)
 
@@ -60,13 +63,26 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs))
 
 
-STAGES = [
+def _staged(work):
+    """The stage ``work``, after the tables of earlier stages are emptied (their results have been written by then; what ``docs`` reads stays)."""
+    @wraps(work)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        MADE[:] = release(spark, MADE, docs)
+        with scope() as made:
+            out = work(spark, docs, sf_dir)
+        MADE.extend(made)
+        return out
+
+    return stage
+
+
+STAGES = [(name, _staged(work)) for name, work in (
     ("quality_rules", quality),
     ("ngram_jaccard_join", near_duplicates),
     ("secret_scans", secrets),
     ("source_mixing", mixing_weights),
     ("best_fit_packing", pack),
-]
+)]
 ORACLE_SQL = None
 
 
