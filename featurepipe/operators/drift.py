@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
+from featurepipe.operators.asof import asof_join
 from featurepipe.operators.scan import PID, ranged
 
 WEEK_US = 7 * 86_400_000_000  # fixed.MONITOR_WINDOW, "7 days"
@@ -288,3 +289,19 @@ def ks_distance(
     fb_lt = F.coalesce(F.try_divide(F.col("_b0") + F.col("_le") - F.col("_eq"), F.col("_nb")), F.lit(0.0))
     d = F.greatest(F.abs(fb_le - fw), F.abs(fb_lt - fw_prev))
     return j.groupBy("window_start").agg(F.max(d).alias("ks"), F.first("_nw").alias("n"))
+
+
+def version_match(scores: DataFrame, pointers: DataFrame, keep: Sequence[str] = (), model: str = "model", version: str = "model_version", ts: str = "prediction_ts",
+                  default: str = "version", set_at: str = "set_at", event_id: str = "event_id") -> DataFrame:
+    """Scored rows per model (and ``keep``) whose version was not the model's default at prediction time.
+
+    The default is the last pointer set at or before the row's time (ties: the greatest event id), by the as-of join.
+    """
+    events = pointers.select(F.col(model), F.col(set_at).alias("_set_at"), F.col(event_id).alias("_event"), F.col(default).alias("_default"))
+    j = asof_join(scores.select(*dict.fromkeys([model, *keep, version, ts])), events, model, ts, "_set_at", feature_cols=["_event", "_default"])
+    known = F.col("_default").isNotNull()
+    return j.groupBy(model, *keep).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(known & (F.col("_default") != F.col(version)), 1).otherwise(0)).cast("bigint").alias("n_mismatch"),
+        F.sum(F.when(~known, 1).otherwise(0)).cast("bigint").alias("n_no_default"),
+    )

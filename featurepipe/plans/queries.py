@@ -8,6 +8,7 @@ times the rows of the events mapping); they are the scale benchmark.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe import fixed
-from featurepipe.operators import asof, dataset, drift, ledger, metrics, model, profile, scoring, views
+from featurepipe.operators import asof, dataset, drift, ledger, metrics, model, profile, registry, scoring, views
 from featurepipe.plans.common import flat
 from featurepipe.session import work_dir
 from featurepipe.sources.roles import roles
@@ -254,40 +255,75 @@ def q14l(spark, sf):
     return flat(_segment_metrics(spark, sf, "lineitem"))
 
 
-MODELS: dict[tuple[str, str], str] = {}  # (application, data folder) -> saved model
+MODEL = "FRAUD_GBT"
+CV_SCORES = "FRAUD_GBT_CV"
+
+
+def _registry(spark, sf) -> str:
+    """The model registry of a data folder, in the shared folder: what is registered there is not fitted again."""
+    return f"{work_dir(spark)}/registry-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
+
+
+def _registered(spark, sf, name: str, make: Callable[[str], None]) -> str:
+    """The path of the artefact's first version; made, written and registered where there is none."""
+    root = _registry(spark, sf)
+    if registry.versions(spark, root).where(F.col("model") == name).isEmpty():
+        path = f"{root}/{name}/{uuid.uuid4().hex[:12]}"
+        make(path)
+        registry.set_default(spark, root, name, registry.register(spark, root, name, path))
+    return registry.resolve(spark, root, name)[1]
 
 
 def _saved_model(spark, sf) -> str:
-    """M4 + M12: the model fitted on the train split and saved, once per application and data folder."""
-    key = (spark.conf.get("spark.app.id", ""), sf)
-    if key not in MODELS:
-        fitted = model.fit_gbt(_split(spark, sf).where(F.col("split") == "train"))
-        path = _scratch(spark, "models") + "/FRAUD_GBT/V1"
+    """M4 + M12: the model fitted on the train split, saved and registered."""
+    def make(path: str) -> None:
+        fitted = model.fit_gbt(model.training_table(_split(spark, sf).where(F.col("split") == "train")))
         model.save_model(fitted, path)
         # scores of the model as fitted, to compare with the saved one's
         model.predict(fitted, _split(spark, sf).where(F.col("split") == "test")).write.parquet(_fitted_scores(path))
-        MODELS[key] = path
-    return MODELS[key]
+
+    return _registered(spark, sf, MODEL, make)
 
 
 def _fitted_scores(path: str) -> str:
     return path + "_FITTED_SCORES"
 
 
+def _cv_scores(spark, sf) -> DataFrame:
+    """M5: held-out scores of the train rows, computed once per data folder."""
+    def make(path: str) -> None:
+        model.cross_validate(_folds(spark, sf), k=5, parallelism=5, keep=("txn_id",)).write.parquet(path)
+
+    return spark.read.parquet(_registered(spark, sf, CV_SCORES, make))
+
+
 @register("q15_gbt_fit_score")
 def q15(spark, sf):
-    """M4 + M6 + M9 + M12: fit on the train split, save, load, score the test split table to table (rows check)."""
+    """M4 + M6 + M9 + M12: fit on the train split, save, register, score the test split table to table by the default version (rows check)."""
     out = _scratch(spark, "scores") + "/FRAUD_SCORES"
-    model.score_table(model.load_model(_saved_model(spark, sf)), _split(spark, sf).where(F.col("split") == "test"), out,
-                      keep=("txn_id", "label"), prediction_ts=F.lit(HISTORY_AS_OF).cast("timestamp_ntz"))
-    return spark.read.parquet(out)
+    _saved_model(spark, sf)
+    registry.score_resolved(spark, _registry(spark, sf), MODEL, _split(spark, sf).where(F.col("split") == "test"), out, "batch", model.scorer(("txn_id", "label")),
+                            prediction_ts=F.lit(HISTORY_AS_OF).cast("timestamp_ntz"))
+    return spark.read.parquet(out).drop("run_id")
 
 
 @register("q16_cross_validation")
 def q16(spark, sf):
     """M5: 5-fold CV AUC per fold (rows check)."""
-    folds = _folds(spark, sf)
-    return model.cross_validate(folds, k=5, parallelism=5)
+    return model.fold_metrics(_cv_scores(spark, sf))
+
+
+@register("q16_cv_summary")
+def q16s(spark, sf):
+    """M5: mean and deviation of the fold AUCs (rows check)."""
+    return model.cv_summary(model.fold_metrics(_cv_scores(spark, sf)))
+
+
+@register("q16_fold_check")
+def q16f(spark, sf):
+    """M5 per train row: scored by the model of its own fold, which did not see it, with probabilities that add up."""
+    rows = _cv_scores(spark, sf)
+    return flat(rows.select("txn_id", "label", "fold", (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9).alias("adds_up")))
 
 
 @register("q17_feature_importance")
@@ -296,6 +332,31 @@ def q17(spark, sf):
     return model.feature_importance(spark, model.load_model(_saved_model(spark, sf)))
 
 
+@register("q17_model_gate")
+def q17g(spark, sf):
+    """The fitted model's hold-out and CV metrics become its training payload; the evaluation row made of it is read back for the gate.
+
+    The learner's figures have no SQL form; the run, the hold-out size and that the gate follows the figures have.
+    """
+    path = _saved_model(spark, sf)
+    test = model.predict(model.load_model(path), _split(spark, sf).where(F.col("split") == "test"), keep=("txn_id", "label"))
+    held = metrics.binary_metrics(test, score="p1", label="label")
+    cv = model.cv_summary(model.fold_metrics(_cv_scores(spark, sf))).first()
+    held = held.withColumn("cv_auc_mean", F.lit(cv.cv_auc_mean)).withColumn("cv_auc_std", F.lit(cv.cv_auc_std))
+    names = ["auc", "ap", "precision", "recall", "f1", "n", "positives", "cv_auc_mean", "cv_auc_std"]
+    now = F.lit(HISTORY_AS_OF).cast("timestamp_ntz")
+    log = _scratch(spark, "results")
+    ledger.append_results(ledger.payload_rows(held.withColumn("run", F.lit(f"{MODEL}-{fixed.FIRST_VERSION}")), "run", "training", "SUCCESS", names, now), log)
+    ledger.append_results(ledger.evaluation_row(spark.read.parquet(log), now), log)
+    back = spark.read.parquet(log).where(F.col("step") == "evaluation")
+    found = metrics.quality_gate(back.select("run_id", *[ledger.payload_metric("result", c).alias(c) for c in names]))
+    meets = F.lit(True)
+    for m, least in fixed.QUALITY_THRESHOLDS.items():
+        meets = meets & (F.col(m) >= least)
+    return flat(found.select("run_id", F.col("n").cast("bigint").alias("n"), F.col("positives").cast("bigint").alias("positives"),
+                             (F.col("passed") == meets).alias("gate_follows"), F.col("cv_auc_mean").between(0, 1).alias("cv_mean_known"), (F.col("cv_auc_std") >= 0).alias("cv_std_known")))
+
+
 @register("q18_quality_gate")
 def q18(spark, sf):
     gated = metrics.quality_gate(_segment_metrics(spark, sf))
@@ -503,13 +564,31 @@ def q37(spark, sf):
         F.col("l_shipdate").alias("prediction_ts"),
     )
     ev = _version_events(spark, sf).select("model", "set_at", "event_id", F.col("version").alias("default_version"))
-    j = asof.asof_join(rows, ev, "model", "prediction_ts", "set_at", feature_cols=["event_id", "default_version"])
-    out = j.groupBy("model").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(F.when(F.col("default_version").isNotNull() & (F.col("default_version") != F.col("model_version")), 1).otherwise(0)).cast("bigint").alias("n_mismatch"),
-        F.sum(F.when(F.col("default_version").isNull(), 1).otherwise(0)).cast("bigint").alias("n_no_default"),
-    )
-    return flat(out)
+    return flat(drift.version_match(rows, ev, default="default_version"))
+
+
+@register("q39_version_scoring")
+def q39(spark, sf):
+    """M9 + M15 + D5: two scorecards are registered; batches score with a given version and with the default of two times.
+
+    Every row carries the version that scored it, and is matched with the default at its prediction time.
+    """
+    root, out = _scratch(spark, "registry"), _scratch(spark, "scores")
+    features = views.transaction_context_view(roles(spark, sf))
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    for k, (card, when) in enumerate(((scoring.Scorecard(), "2024-01-05"), (scoring.Scorecard(intercept=-1.0), BASELINE_END_EVENTS))):
+        card.save(spark, f"{root}/cards/{k}")
+        registry.set_default(spark, root, "SCORECARD", registry.register(spark, root, "SCORECARD", f"{root}/cards/{k}", at(when)), at(when))
+
+    def scorer(path, rows):
+        return scoring.score_scorecard(rows, keep=("txn_id", "__ts"), card=scoring.Scorecard.load(spark, path)).drop("prediction_ts")
+
+    for run, resolve in (("given", {"version": "V1"}), ("early", {"as_of": "2024-01-10"}), ("late", {"as_of": "2024-01-20"})):
+        registry.score_resolved(spark, root, "SCORECARD", features, out, run, scorer, prediction_ts=F.col("feature_ts"), **resolve)
+    rows = spark.read.parquet(out)
+    match = drift.version_match(rows, registry.pointers(spark, root), ["run_id", "model_version"])
+    means = rows.groupBy("run_id").agg(F.avg("p1").alias("mean_p1"))
+    return flat(match.join(means, "run_id").drop("model"))
 
 
 # ---------------------------------------------------------------- result ledger
@@ -678,11 +757,86 @@ def q50(spark, sf):
     ev = read_table(spark, sf, "events")
     _stage_files(ev, f"{state}/input", 6, "ts")
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{state}/input")
-    q, _ = refresh.incremental_customer_view(spark, stream, sf, state, n_buckets=16)
+    q, _ = refresh.incremental_customer_view(spark, stream, sf, state)
     q.awaitTermination()
     return flat(refresh.read_customer_view(spark, state, sf))
 
 
+@register("q50_incremental_view_compacted")
+def q50c(spark, sf):
+    """R1 with a compaction amid the stream: half of the input, compaction, the other half by the same checkpoint."""
+    state = refresh.new_state_dir(work_dir(spark), "custview")
+    ev = read_table(spark, sf, "events")
+    for late in (False, True):
+        ev.where((F.col("event_id") % 2 == 0) == F.lit(late)).coalesce(2).write.mode("append").parquet(f"{state}/input")
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
+        q, _ = refresh.incremental_customer_view(spark, stream, sf, state)
+        q.awaitTermination()
+        if not late:
+            refresh.compact_customers(spark, state)
+    return flat(refresh.read_customer_view(spark, state, sf))
+
+
+@register("q05_transaction_view_refreshed")
+def q05r(spark, sf):
+    """The transaction view kept up to date over three batches equals its recompute."""
+    state = refresh.new_state_dir(work_dir(spark), "txnview")
+    ev = read_table(spark, sf, "events")
+    _stage_files(ev, f"{state}/input", 3, "ts")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
+    r = roles(spark, sf)
+    refresh.incremental_transaction_view(spark, stream, r, state).awaitTermination()
+    return flat(refresh.read_transaction_view(spark, state, r))
+
+
+LATE_EVERY = 8  # in the late-row query, transactions whose id is a multiple of it arrive last
+ARRIVALS = ("2024-01-08", "2024-01-16", "2024-01-24")  # the others arrive in four batches, cut at these times
+
+
+def _arrivals(spark, sf, path: str) -> DataFrame:
+    """Scores as they arrive: one file per batch, written one after the other; returns the rows with their batch."""
+    scores = _score_table(spark, sf)
+    number = F.lit(0)
+    for t in ARRIVALS:
+        number = number + (F.col("prediction_ts") >= F.lit(t).cast("timestamp_ntz")).cast("int")
+    rows = scores.withColumn("batch", F.when(F.col("txn_id") % LATE_EVERY == 0, F.lit(len(ARRIVALS) + 1)).otherwise(number))
+    for k in range(len(ARRIVALS) + 2):
+        rows.where(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(path)
+    return rows
+
+
+def _monitored(spark, sf, **options):
+    state = refresh.new_state_dir(work_dir(spark), "monitor")
+    rows = _arrivals(spark, sf, f"{state}/input")
+    stream = spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(f"{state}/input")
+    monitor = refresh.ScoreMonitor(spark, state, **options)
+    monitor.start(stream).awaitTermination()
+    return monitor
+
+
+@register("q51_late_rows")
+def q51l(spark, sf):
+    """R2 in append mode: closed windows of the rows in time, and how many rows of each window came after it was closed."""
+    monitor = _monitored(spark, sf)
+    late = monitor.late_rows().groupBy("window_start").agg(F.count(F.lit(1)).alias("n_late"))
+    out = monitor.summary(closed_only=True).join(late, "window_start", "left")
+    return flat(out.withColumn("n_late", F.coalesce("n_late", F.lit(0))))
+
+
+@register("q33_incremental_summary")
+def q33i(spark, sf):
+    """D1 from the monitor's merged moments, after five batches and a compaction."""
+    monitor = _monitored(spark, sf, delay_us=None)
+    monitor.compact()
+    return flat(monitor.summary())
+
+
+@register("q34_incremental_psi")
+def q34i(spark, sf):
+    """D2 from the monitor's merged histograms, without a rescan of the scores."""
+    return flat(_monitored(spark, sf, delay_us=None, baseline_end=BASELINE_END_EVENTS).drift())
+
+
 @register("q51_streaming_window_summary")
 def q51(spark, sf):
     """R2: the 7-day score summary as a watermarked streaming aggregation."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,16 @@ def read_table(spark: SparkSession, source_dir: str, name: str, spread_by: str |
     return df.repartition(int(parts), spread_by) if parts else df
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet table at ``path``; one that does not exist yet is empty, any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def text_to_ntz(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     """Replace a text time column by a zone-less time column of the same name.
 

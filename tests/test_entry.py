@@ -9,7 +9,7 @@ from featurepipe.plans.queries import REGISTRY
 from featurepipe.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"q15_gbt_fit_score", "q16_cross_validation", "q17_feature_importance"}
+ROWS_ONLY = {"q15_gbt_fit_score", "q16_cross_validation", "q16_cv_summary", "q17_feature_importance"}
 
 
 def test_entry_runs(spark):
@@ -65,5 +65,7 @@ def test_rows_only_queries(spark, key):
         assert all(abs(r.p0 + r.p1 - 1) < 1e-9 and 0 <= r.p1 <= 1 and r.prediction in (0, 1) for r in rows)
     if key == "q16_cross_validation":
         assert sorted(r.fold for r in rows) == [0, 1, 2, 3, 4]
+    if key == "q16_cv_summary":
+        assert rows[0].folds == 5 and 0 <= rows[0].cv_auc_mean <= 1 and rows[0].cv_auc_std >= 0
     if key == "q17_feature_importance":
         assert len(rows) == 12 and abs(sum(r.importance for r in rows) - 1) < 1e-6

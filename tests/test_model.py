@@ -32,8 +32,30 @@ def test_fit_predict_save_load_and_score_table(spark, tmp_path):
 
 def test_cv_summary(spark):
     folds = dataset.kfold(_train(spark), k=3)
-    per_fold = model.cross_validate(folds, k=3, parallelism=3, max_iter=2, max_depth=2)
+    scored = model.cross_validate(folds, k=3, parallelism=3, keep=["txn_id"], max_iter=2, max_depth=2)
+    held = {r.txn_id: r.fold for r in scored.collect()}
+    assert held == {r.txn_id: r.fold for r in folds.collect()} and scored.count() == 200  # every row is scored once, by the model of its fold
+    per_fold = model.fold_metrics(scored)
     rows = per_fold.collect()
     assert sorted(r.fold for r in rows) == [0, 1, 2]
     s = model.cv_summary(per_fold).first()
     assert s.folds == 3 and s.cv_auc_mean is not None
+
+
+def test_a_planted_signal_ranks_first_and_risky_rows_score_higher(spark):
+    """Only ``historical_fraud_rate`` carries the label; the others are noise."""
+    df = _train(spark, 600).withColumn("label", (F.xxhash64("txn_id") % 10 == 0).cast("int"))
+    df = df.withColumn("historical_fraud_rate", F.col("label") * 0.5 + F.abs(F.xxhash64("txn_id", F.lit(1)) % 10) / 100.0)
+    fitted = model.fit_gbt(df, max_iter=5, max_depth=3)
+    imp = model.feature_importance(spark, fitted).collect()
+    assert imp[0].feature == "historical_fraud_rate" and imp[0].importance > 0.9
+    scores = {r.label: r.p for r in model.predict(fitted, df, keep=("label",)).groupBy("label").agg(F.min(F.when(F.col("label") == 1, F.col("p1"))).alias("low"), F.max(F.when(F.col("label") == 0, F.col("p1"))).alias("high"))
+              .select("label", F.coalesce("low", "high").alias("p")).collect()}
+    assert scores[1] > 0.5 > scores[0]
+
+
+def test_training_table_partitions_follow_the_rows(spark, monkeypatch):
+    df = _train(spark, 200).repartition(40)
+    assert model.training_table(df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(model, "TRAIN_ROWS", 60)
+    assert model.training_table(df).rdd.getNumPartitions() == 4
