@@ -97,3 +97,29 @@ def validate_scores(scores: DataFrame, p0: str = "p0", p1: str = "p1", tolerance
     )
     passed = F.coalesce((F.col("null_rows") == 0) & (F.col("max_deviation") < tolerance), F.lit(False))
     return agg.withColumn("passed", passed)
+
+
+def table_function(card: Scorecard, key: str = "txn_id"):
+    """A model outside Spark ML as a SQL table function: ``name(TABLE(...) PARTITION BY ...)`` gives (key, p0, p1) per row.
+
+    Arrow batches of a partition come in, numpy scores them, Arrow comes out; the weights travel with the
+    function. Rows come with the key and the card's features, by name; further columns are not read.
+    """
+    intercept, terms = card.intercept, [(c, w, card.defaults.get(c)) for c, w in card.weights.items()]
+
+    @F.arrow_udtf(returnType=f"{key} bigint, p0 double, p1 double")
+    class Score:
+        def eval(self, rows):
+            import numpy as np
+            import pyarrow as pa
+
+            z = np.full(rows.num_rows, intercept)
+            for c, w, missing in terms:
+                v = rows.column(c).cast(pa.float64())
+                z = z + w * (v if missing is None else v.fill_null(missing)).to_numpy(zero_copy_only=False)  # a null without a default is NaN
+            with np.errstate(over="ignore"):
+                p = 1.0 / (1.0 + np.exp(-z))
+            p = pa.array(p, from_pandas=True)  # NaN: no score
+            yield pa.table({key: rows.column(key).cast(pa.int64()), "p0": pa.compute.subtract(1.0, p), "p1": p})
+
+    return Score

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from featurepipe.fixed import CUSTOMER_VIEW_NAME, FIRST_VERSION, HIGH_RISK_MERCHANT_ABOVE, TRANSACTION_VIEW_NAME, VIEW_REFRESH
 from featurepipe.functions.columns import is_late_night, is_weekend, safe_ratio
+from featurepipe.functions.joins import join_hot
 from featurepipe.sources.roles import Roles
 
 # Column order of the customer view (fixed; the model input takes 12 of these).
@@ -143,9 +144,9 @@ def with_group_mean(txn: DataFrame, key: str = "customer_id", value: str = "amou
     """Every row with its group's mean, as aggregate + left join.
 
     Equal to ``avg(value).over(partitionBy(key))`` but skew-safe: the aggregate combines
-    map-side, and its small result is broadcast where Spark measures it to fit.
+    map-side, and a key that holds a large share of the rows is joined in salted parts.
     """
-    return txn.join(group_mean(txn, key, value, name), key, "left")
+    return join_hot(txn, group_mean(txn, key, value, name), key)
 
 
 def transaction_context_view(r: Roles, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -157,7 +158,7 @@ def transaction_context_view(r: Roles, keep: tuple[str, ...] = ()) -> DataFrame:
     hour = F.hour("ts")
     return (
         txn.join(r.merchants, "merchant_id", "left")
-        .join(group_mean(txn), "customer_id", "left")
+        .transform(lambda df: join_hot(df, group_mean(txn), "customer_id", rows=txn))
         .select(
             "txn_id",
             "customer_id",

@@ -506,3 +506,4 @@ SQL["q51_late_rows"] = out(f"""(
          count(*) FILTER (NOT late AND (p1 IS NULL OR isnan(p1))) AS null_scores, count(*) FILTER (late) AS n_late
   FROM j WHERE w + INTERVAL 7 DAYS <= (SELECT mark FROM m WHERE b = 5) GROUP BY w HAVING count(*) FILTER (NOT late) > 0)""",
     "window_start:t n:i mean_score:d std_score:d null_scores:i n_late:i")
+SQL["q32_table_function"] = out(f"(SELECT txn_id, p0, p1 FROM {SCORES_E} s)", "txn_id:i p0:d p1:d")

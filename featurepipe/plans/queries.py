@@ -471,6 +471,20 @@ def q32(spark, sf):
     ))
 
 
+@register("q32_table_function")
+def q32t(spark, sf):
+    """2.12: a model outside Spark ML called as a SQL table function over a partitioned TABLE argument."""
+    spark.udtf.register("score_transactions", scoring.table_function(scoring.Scorecard()))
+    terms = ", ".join(scoring.SCORECARD_WEIGHTS)
+    return flat(spark.sql(
+        f"""
+        SELECT txn_id, p0, p1
+        FROM score_transactions(TABLE(SELECT txn_id, {terms}, pmod(xxhash64(txn_id), 64) AS part FROM {{tv}}) PARTITION BY part)
+        """,
+        tv=views.transaction_context_view(roles(spark, sf)),
+    ))
+
+
 def scorecard_sql() -> str:
     z = f"{scoring.SCORECARD_INTERCEPT!r}"
     for c, w in scoring.SCORECARD_WEIGHTS.items():

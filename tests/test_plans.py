@@ -8,8 +8,8 @@ from featurepipe.plans.queries import REGISTRY
 from featurepipe.sources.roles import roles
 
 SF = "/root/testdata/sf0.001"
-# Keys whose plan can be built without running a model fit or a stream.
-NO_UDF_KEYS = [k for k in REGISTRY if not k.startswith(("q15", "q16", "q17", "q50", "q51"))]
+# Keys whose plan can be built without running a model fit or a stream, but for the Python table function.
+NO_UDF_KEYS = [k for k in REGISTRY if not k.startswith(("q15", "q16", "q17", "q32_table", "q33_incr", "q34_incr", "q50", "q51", "q05_transaction_view_refreshed"))]
 
 
 def _unpartitioned_windows(plan: str) -> list[str]:
