@@ -1,8 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Each step groups with a map-side combinable ``min`` and joins the minimum back,
-so a hub's edges are never gathered in one group; AQE can split the join. Edge
-tables are written after each round, which cuts lineage.
+Each step groups with a map-side combinable ``min`` and joins the minimum back. The
+aggregate never gathers a hub's edges, but the join deals them by the hub's id: the edges of
+one hub meet in one task there. Edge tables are written after each round, which cuts lineage.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ descending are cut into ranges at quantiles, each range gets its successor (the
 row of the range below) as one extra row, and tasks stream their sorted range.
 
 Terms are words (no space, 0x09-0x0D) with A-Z lower-cased. Null texts are empty. A null
-id comes last in descending order; equal ids are ordered by text; an empty table gives an
+id comes last in descending order; equal ids are ordered by a hash of their text; an empty table gives an
 empty result; other columns are not read.
 """
 

@@ -8,6 +8,7 @@ takes no more memory than one of short ones.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,7 +27,9 @@ BATCH_BYTES = 8 << 20
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from the driver's path, where the job has not set it up; bound Arrow batches."""
-    if int(str(spark.conf.get(BATCH_CONF)).rstrip("bB")) > BATCH_BYTES:
+    number, unit = re.fullmatch(r"(-?\d+)([a-z]*)", str(spark.conf.get(BATCH_CONF)).lower()).groups()
+    size = int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit[:1]]
+    if size <= 0 or size > BATCH_BYTES:
         spark.conf.set(BATCH_CONF, f"{BATCH_BYTES}b")
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)

@@ -418,7 +418,7 @@ def test_pipeline_verdicts_stay_on_the_row(spark):
     assert sorted(map(str, map(tuple, stay))) == sorted(map(str, [(1, a), (2, b), (2, c), (None, d)]))
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+@pytest.mark.parametrize("name", sorted(k for k in REGISTRY if not k.startswith("op13")))  # op13 returns triples of vectors
 def test_queries_cover_their_table(spark, name):
     table = "pages" if name.split("_")[0] in ("op4", "op7") else "documents"
     key = "page_id" if table == "pages" else "doc_id"
