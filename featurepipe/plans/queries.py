@@ -522,7 +522,8 @@ def q34(spark, sf):
 def _profiled_drift(spark, sf, mapping, baseline_end):
     """The baseline's sketches and profile are kept as tables; the windows after it are compared with what is read back."""
     kept = _scratch(spark, "baseline")
-    rows = _label_join(spark, sf, mapping)
+    _label_join(spark, sf, mapping).select("ts", *dataset.FEATURE_COLUMNS).write.parquet(f"{kept}/rows")  # joined once, read per step
+    rows = spark.read.parquet(f"{kept}/rows")
     cut = F.lit(baseline_end).cast("timestamp_ntz")
     base = rows.where(F.col("ts") < cut)
     drift.baseline_sketches(base, dataset.FEATURE_COLUMNS).write.parquet(f"{kept}/sketches")
@@ -709,7 +710,7 @@ def q47(spark, sf):
 
 @register("q48_result_payloads")
 def q48(spark, sf):
-    """S5 + JSON: training results appended with a VARIANT payload, latest per step read back by key."""
+    """S5 + JSON: training results appended with a VARIANT payload, every run's row read back by key."""
     m = _segment_metrics(spark, sf)
     rows = ledger.payload_rows(
         m.withColumn("run", F.concat(F.lit("segment="), F.col(GATE_SEGMENT))),
