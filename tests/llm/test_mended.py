@@ -71,7 +71,7 @@ def test_the_word_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_BYTES", 5000)
     e = tokens.Encoder(vocabulary_path(tokens.DEFAULT_VOCABULARY))
     text = " ".join(f"word{i}" for i in range(2000))
-    assert e.encode(text) == e._spells(text) and len(e.known) < 40 and e.encode(text) == e._spells(text)
+    assert e.encode(text) == e._spells(text) and len(e.words) < 40 and len(e.pieces) < 40 and e.encode(text) == e._spells(text)
 
 
 def test_orc_readers_skip_row_groups_by_id(spark):
