@@ -17,6 +17,7 @@ empirical CDFs at the window's own points in one scan along the values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from featurepipe.functions.columns import epoch_micros, ntz_from_micros
 from featurepipe.operators.asof import asof_join
 from featurepipe.operators.scan import PID, ranged
+from featurepipe.session import work_dir
 
 WEEK_US = 7 * 86_400_000_000  # fixed.MONITOR_WINDOW, "7 days"
 EPS = 1e-6
@@ -165,16 +167,21 @@ def cut_points(sketches: DataFrame, n_bins: int = 10) -> dict[str, list[float]]:
 
 def quantile_bin(value: Column, cuts: Sequence[float]) -> Column:
     """How many of the cut points are below the value; -1 for a missing one."""
-    above = F.lit(0)
-    for c in cuts:
-        above = above + (value > F.lit(float(c))).cast("int")
-    return F.when(value.isNull(), F.lit(-1)).otherwise(above)
+    points = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>")
+    return F.when(value.isNull(), F.lit(-1)).otherwise(F.size(F.filter(points, lambda c: c < value)))
 
 
 def _binned(rows: DataFrame, cuts: dict[str, list[float]], *keep: Column) -> DataFrame:
-    """(``keep``, feature, bin) of every feature of every row; rows aggregate map-side before they are shuffled."""
-    bins = [F.struct(F.lit(f).alias("feature"), quantile_bin(_number(f), c).alias("bin")) for f, c in cuts.items()]
-    return rows.select(*keep, F.explode(F.array(*bins)).alias("_x")).select(*[F.col("_x.feature"), F.col("_x.bin")], *[c for c in rows.select(*keep).columns])
+    """(feature, bin, ``keep``) of every feature of every row; rows aggregate map-side before they are shuffled.
+
+    A branch per feature reads that column only, and its few comparisons stay compiled; comparisons of all features in one
+    projection outgrow what the JVM compiles. ``rows`` is read once per feature: a table, not a costly plan.
+    """
+    out = None
+    for f, c in cuts.items():
+        one = rows.select(F.lit(f).alias("feature"), quantile_bin(_number(f), c).alias("bin"), *keep)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def baseline_profile(rows: DataFrame, sketches: DataFrame, n_bins: int = 10) -> DataFrame:
@@ -203,7 +210,13 @@ def profile_drift(profile: DataFrame, rows: DataFrame, ts: str = "ts", width_us:
 def feature_drift(
     rows: DataFrame, features: Sequence[str], baseline_end: str, ts: str = "ts", n_bins: int = 10, width_us: int = WEEK_US
 ) -> DataFrame:
-    """D3 in one call: the rows before ``baseline_end`` are profiled, the windows from then on compared with them."""
+    """D3 in one call: the rows before ``baseline_end`` are profiled, the windows from then on compared with them.
+
+    The features are written once to the shared folder, since each step reads them.
+    """
+    path = f"{work_dir(rows.sparkSession)}/drift-{uuid.uuid4().hex[:12]}"
+    rows.select(ts, *features).write.parquet(path)
+    rows = rows.sparkSession.read.parquet(path)
     cut = F.lit(baseline_end).cast("timestamp_ntz")
     base = rows.where(F.col(ts) < cut)
     return profile_drift(baseline_profile(base, baseline_sketches(base, features), n_bins), rows.where(F.col(ts) >= cut), ts, width_us)

@@ -20,7 +20,7 @@ from featurepipe.operators import asof, dataset, drift, ledger, metrics, model,
 from featurepipe.plans.common import flat
 from featurepipe.session import work_dir
 from featurepipe.sources.roles import roles
-from featurepipe.sources.tables import read_table, text_to_ntz
+from featurepipe.sources.tables import read_table, spread, text_to_ntz
 from featurepipe.streaming import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -522,7 +522,7 @@ def q34(spark, sf):
 def _profiled_drift(spark, sf, mapping, baseline_end):
     """The baseline's sketches and profile are kept as tables; the windows after it are compared with what is read back."""
     kept = _scratch(spark, "baseline")
-    _label_join(spark, sf, mapping).select("ts", *dataset.FEATURE_COLUMNS).write.parquet(f"{kept}/rows")  # joined once, read per step
+    spread(_label_join(spark, sf, mapping).select("ts", *dataset.FEATURE_COLUMNS)).write.parquet(f"{kept}/rows")  # joined once, read per step
     rows = spark.read.parquet(f"{kept}/rows")
     cut = F.lit(baseline_end).cast("timestamp_ntz")
     base = rows.where(F.col("ts") < cut)

@@ -28,6 +28,12 @@ def read_table(spark: SparkSession, source_dir: str, name: str, spread_by: str |
     return df.repartition(int(parts), spread_by) if parts else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in the number of partitions that the session sets for facts, if it does: small results are merged into few files otherwise."""
+    parts = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(parts)) if parts else df
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at ``path``; one that does not exist yet is empty, any other failure is raised."""
     try:
