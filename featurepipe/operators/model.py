@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from featurepipe import fixed
@@ -47,24 +47,30 @@ def build_pipeline(features: Sequence[str] = FEATURE_COLUMNS, label: str = "labe
         seed=seed,
         lossType="logistic",
         checkpointInterval=checkpoint_interval,
-        cacheNodeIds=True,
+        cacheNodeIds=False,  # a tree of a few levels is walked faster than ids are kept from level to level
     )
     return Pipeline(stages=[assembler, gbt])
 
 
-def _weighted(df: DataFrame, label: str, pos_weight: float) -> DataFrame:
+def _weighted(df: DataFrame, label: str, pos_weight: float, count: str | None = None) -> DataFrame:
+    n = F.col(count).cast("double") if count else F.lit(1.0)
     return df.withColumn(label, F.col(label).cast("double")).withColumn(
-        "_weight", F.when(F.col(label) == 1.0, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
+        "_weight", F.when(F.col(label) == 1.0, F.lit(float(pos_weight))).otherwise(F.lit(1.0)) * n
     )
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", max_iter: int = fixed.GBT_ITERATIONS,
             step_size: float = fixed.GBT_STEP_SIZE, max_depth: int = fixed.GBT_MAX_DEPTH,
-            pos_weight: float = fixed.POSITIVE_CLASS_WEIGHT, seed: int = fixed.RANDOM_SEED) -> PipelineModel:
-    """M4: fit assembler + GBT. Tree state is checkpointed every 10 iterations to the session's checkpoint dir."""
+            pos_weight: float = fixed.POSITIVE_CLASS_WEIGHT, seed: int = fixed.RANDOM_SEED, count: str | None = None) -> PipelineModel:
+    """M4: fit assembler + GBT. Tree state is checkpointed every 10 iterations to the session's checkpoint dir.
+
+    ``count`` names a column that says how many equal rows a row stands for (``equal_rows``); without it each is one.
+    """
     work_dir(train.sparkSession)  # GBT checkpoints its state into the shared folder
-    pipe = build_pipeline(features, label, max_iter, step_size, max_depth, seed)
-    return pipe.fit(_weighted(train, label, pos_weight))
+    assembler, gbt = build_pipeline(features, label, max_iter, step_size, max_depth, seed).getStages()
+    # every level of every tree is a job, and each ships its plan to the tasks: one that reads a checkpoint is short
+    rows = assembler.transform(_weighted(train, label, pos_weight, count)).select("_features", label, "_weight").checkpoint()
+    return PipelineModel(stages=[assembler, gbt.fit(rows)])
 
 
 def scorer(keep: Sequence[str]):
@@ -84,6 +90,17 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("txn_id"
 TRAIN_ROWS = 50_000  # rows of a training partition: boosting runs thousands of short passes over them
 
 
+def equal_rows(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "label", counts: dict[str, Column] | None = None) -> DataFrame:
+    """The distinct (features, label) of the training rows, and how many rows are equal to each: ``_n``.
+
+    The label join repeats a customer's features for each of its transactions. Boosting sees a row only through
+    its features, label and weight, and all its statistics are sums of weights, so n equal rows are one row of n times the
+    weight. ``counts`` names other counts: how many of the rows fulfil each condition. Where all rows differ, none is merged.
+    """
+    more = [F.count(F.when(c, 1)).alias(name) for name, c in (counts or {}).items()]
+    return train.groupBy(*features, label).agg(F.count(F.lit(1)).alias("_n"), *more)
+
+
 def training_table(train: DataFrame) -> DataFrame:
     """The training frame written once, in partitions of about ``TRAIN_ROWS``, and read back.
 
@@ -102,7 +119,7 @@ def cross_validate(train_folds: DataFrame, k: int = fixed.CV_FOLDS, features: Se
                    parallelism: int = 1, keep: Sequence[str] = (), **fit_args) -> DataFrame:
     """M5: the held-out scores of every row (``keep``, label, fold, p0, p1, prediction): fit on k-1 folds, score the other.
 
-    All folds share one persisted training table. ``parallelism`` fits that many folds at once (concurrent Spark jobs from
+    All folds share one persisted training table of distinct rows, with a count for each fold's model. ``parallelism`` fits that many folds at once (concurrent Spark jobs from
     driver threads, as Spark ML's CrossValidator does); each fit is itself
     distributed, so 1 suits a busy cluster and k suits small folds.
     """
@@ -110,17 +127,20 @@ def cross_validate(train_folds: DataFrame, k: int = fixed.CV_FOLDS, features: Se
 
     spark = train_folds.sparkSession
     out = f"{work_dir(spark)}/cv-{uuid.uuid4().hex[:12]}"
-    table = training_table(train_folds).persist()
+    train_folds.write.parquet(f"{out}/rows")  # read by the grouping and by the scoring of each fold
+    rows = spark.read.schema(train_folds.schema).parquet(f"{out}/rows")
+    others = {f"_n{f}": F.col("fold") != f for f in range(k)}
+    table = training_table(equal_rows(rows, features, label, others)).persist()
     try:
         def fit_fold(f: int) -> None:
-            fitted = fit_gbt(table.where(F.col("fold") != f), features, label, **fit_args)
-            predict(fitted, table.where(F.col("fold") == f), keep=[*keep, label]).write.parquet(f"{out}/fold={f}")
+            fitted = fit_gbt(table.where(F.col(f"_n{f}") > 0), features, label, count=f"_n{f}", **fit_args)
+            predict(fitted, rows.where(F.col("fold") == f), keep=[*keep, label]).write.parquet(f"{out}/scores/fold={f}")
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             list(pool.map(fit_fold, range(k)))
     finally:
         table.unpersist()
-    return spark.read.parquet(out)
+    return spark.read.parquet(f"{out}/scores")
 
 
 def fold_metrics(scored: DataFrame, label: str = "label") -> DataFrame:

@@ -277,7 +277,7 @@ def _registered(spark, sf, name: str, make: Callable[[str], None]) -> str:
 def _saved_model(spark, sf) -> str:
     """M4 + M12: the model fitted on the train split, saved and registered."""
     def make(path: str) -> None:
-        fitted = model.fit_gbt(model.training_table(_split(spark, sf).where(F.col("split") == "train")))
+        fitted = model.fit_gbt(model.training_table(model.equal_rows(_split(spark, sf).where(F.col("split") == "train"))), count="_n")
         model.save_model(fitted, path)
         # scores of the model as fitted, to compare with the saved one's
         model.predict(fitted, _split(spark, sf).where(F.col("split") == "test")).write.parquet(_fitted_scores(path))

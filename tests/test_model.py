@@ -59,3 +59,31 @@ def test_training_table_partitions_follow_the_rows(spark, monkeypatch):
     assert model.training_table(df).rdd.getNumPartitions() == 1
     monkeypatch.setattr(model, "TRAIN_ROWS", 60)
     assert model.training_table(df).rdd.getNumPartitions() == 4
+
+
+def test_equal_rows_are_fitted_once_with_their_count(spark):
+    cols = dataset.FEATURE_COLUMNS
+    df = _train(spark, 60).unionByName(_train(spark, 40))
+    groups = model.equal_rows(df, counts={"_even": F.col("txn_id") % 2 == 0}).collect()
+    want = {}
+    for r in df.collect():
+        n = want.setdefault((*[r[c] for c in cols], r.label), [0, 0])
+        n[0] += 1
+        n[1] += r.txn_id % 2 == 0
+    assert {(*[r[c] for c in cols], r.label): [r._n, r._even] for r in groups} == want and len(groups) < 60
+    rows = model.predict(model.fit_gbt(df, max_iter=4, max_depth=3), df).collect()
+    few = model.predict(model.fit_gbt(model.equal_rows(df), max_iter=4, max_depth=3, count="_n"), df).collect()
+    assert [r.txn_id for r in rows] == [r.txn_id for r in few] and all(abs(a.p1 - b.p1) < 1e-9 for a, b in zip(rows, few))
+
+
+def test_folds_are_fitted_on_the_distinct_rows_of_the_others(spark, monkeypatch):
+    folds = dataset.kfold(_train(spark), k=2)
+    seen = []
+    fit = model.fit_gbt
+    monkeypatch.setattr(model, "fit_gbt", lambda train, *args, **more: seen.append([(r.label, r[more["count"]]) for r in train.collect()]) or fit(train, *args, **more))
+    scored = {r.txn_id: r.p1 for r in model.cross_validate(folds, k=2, keep=["txn_id"], max_iter=2, max_depth=2).collect()}
+    sizes = [folds.where(F.col("fold") != f).count() for f in range(2)]
+    assert [sum(n for _, n in rows) for rows in seen] == sizes and all(len(rows) < n for rows, n in zip(seen, sizes))
+    for f in range(2):
+        alone = model.predict(fit(folds.where(F.col("fold") != f), max_iter=2, max_depth=2), folds.where(F.col("fold") == f)).collect()
+        assert all(abs(scored[r.txn_id] - r.p1) < 1e-9 for r in alone)
