@@ -1,6 +1,9 @@
 """Point-in-time operators.
 
-All of them need rows of one key in time order. They range-partition the rows by (key, time, row)
+All of them need rows of one key in time order. ``running_features`` and ``trailing_count`` deal the rows by key, once, and
+take windows over each key; what follows holds for keys of more than ``HOT_ROWS`` rows, and for all rows of ``asof_join``.
+
+They range-partition the rows by (key, time, row)
 and scan the partitions (``operators.scan``): a key, a day or a single midnight that holds half of all
 rows is many partitions of about equal size, since ties in time are cut by a row number. What a partition must know of
 earlier ones comes from a frame with a few rows per partition:
@@ -14,16 +17,19 @@ Nothing depends on a time bucket, and no row reaches the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurepipe.functions.columns import epoch_micros
 from featurepipe.operators.scan import PID, last_before, ranged, strictly_before
+from featurepipe.session import work_dir
 
 DAY_US = 86_400_000_000
 HOUR_US = 3_600_000_000
+HOT_ROWS = 1 << 19  # rows of a key that one window task may hold
 
 
 def _columns(df: DataFrame) -> list[Column]:
@@ -91,6 +97,30 @@ def asof_join_all(spine: DataFrame, views: Sequence[tuple[DataFrame, str, str]],
     return out
 
 
+def _per_key(txn: DataFrame, key: str, partitions: int | None, scan: Callable[[DataFrame], DataFrame], window: Callable[[DataFrame], DataFrame], none: dict[str, Column]) -> DataFrame:
+    """``window`` over the rows of most keys, ``scan`` over those of keys with more than ``HOT_ROWS`` rows; ``none`` for rows without a key.
+
+    The rows are written once to the shared folder, since each part reads them. The heavy keys are at most rows / ``HOT_ROWS``. With
+    ``partitions`` all rows are scanned, in so many range partitions.
+    """
+    if partitions:
+        return scan(txn)
+    spark = txn.sparkSession
+    path = f"{work_dir(spark)}/history-{uuid.uuid4().hex[:12]}"
+    txn.write.option("compression", "zstd").parquet(f"{path}/rows")
+    rows = spark.read.schema(txn.schema).parquet(f"{path}/rows")
+    known = F.col(key).isNotNull()
+    rows.where(known).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_ROWS).select("_hot").write.parquet(f"{path}/hot")
+    hot = spark.read.parquet(f"{path}/hot")
+    rest = rows.where(~known).select("*", *[v.alias(c) for c, v in none.items()])
+    if hot.isEmpty():
+        return window(rows.where(known)).unionByName(rest)
+    hot = F.broadcast(hot)
+    light = rows.where(known).join(hot, F.col(key) == F.col("_hot"), "left_anti")
+    heavy = rows.where(known).join(hot, F.col(key) == F.col("_hot"), "left_semi")
+    return window(light).unionByName(scan(heavy)).unionByName(rest)
+
+
 def running_features(
     txn: DataFrame,
     key: str = "customer_id",
@@ -105,8 +135,36 @@ def running_features(
     Adds prior_txn_count, prior_avg_amount, prior_stddev_amount (sample),
     prior_fraud_count and prior_unique_merchants. Rows at the same time never
     see each other. The running distinct count counts first meetings: the earliest time of
-    each (key, merchant), combined map-side, enters the scan as a row of its own, so no row is joined to a hot pair.
+    each (key, merchant). In a scan it enters as a row of its own, combined map-side, so no row is joined to a hot pair.
     """
+    def scan(rows: DataFrame) -> DataFrame:
+        return _scanned_features(rows, key, ts, amount, label, distinct_of, partitions)
+
+    def window(rows: DataFrame) -> DataFrame:
+        names = {"_k": F.col(key), "_us": epoch_micros(ts), "_m": F.col(distinct_of), "_fraud": F.when(F.col(label) == 1, 1).otherwise(0).cast("bigint"), "_amt": F.col(amount).cast("double")}
+        dealt = rows.repartition(F.col(key)).withColumns(names)
+        timed = F.col("_us").isNotNull()
+        met = F.row_number().over(Window.partitionBy(key, "_m").orderBy(F.col("_us").asc_nulls_last())) == 1
+        dealt = dealt.withColumn("_met", F.when(F.col("_m").isNotNull() & timed & met, 1).otherwise(0).cast("bigint"))
+        before = Window.partitionBy(key).orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+        n = F.col("_cnt")
+        seen = dealt.select("*", F.count("_us").over(before).alias("_n"), F.count("_amt").over(before).alias("_cnt"), F.avg("_amt").over(before).alias("_mean"), F.var_pop("_amt").over(before).alias("_var"),
+                            F.sum("_fraud").over(before).alias("_frauds"), F.sum("_met").over(before).alias("_uniq"))
+        return seen.select(
+            *_columns(rows),
+            F.when(timed, F.col("_n")).otherwise(0).cast("bigint").alias("prior_txn_count"),
+            F.when(timed & (n > 0), F.col("_mean")).alias("prior_avg_amount"),
+            F.when(timed & (n >= 2), F.sqrt(F.greatest(F.col("_var") * n, F.lit(0.0)) / (n - 1))).alias("prior_stddev_amount"),
+            F.when(timed, F.coalesce("_frauds", F.lit(0))).otherwise(0).cast("bigint").alias("prior_fraud_count"),
+            F.when(timed, F.coalesce("_uniq", F.lit(0))).otherwise(0).cast("bigint").alias("prior_unique_merchants"),
+        )
+
+    zero, null = F.lit(0).cast("bigint"), F.lit(None).cast("double")
+    return _per_key(txn, key, partitions, scan, window, {"prior_txn_count": zero, "prior_avg_amount": null, "prior_stddev_amount": null, "prior_fraud_count": zero, "prior_unique_merchants": zero})
+
+
+def _scanned_features(txn: DataFrame, key: str, ts: str, amount: str, label: str, distinct_of: str, partitions: int | None) -> DataFrame:
+    """``running_features`` by a scan over range partitions."""
     us = epoch_micros(ts)
     rows = txn.select(
         F.col(key).alias("_k"),
@@ -146,14 +204,28 @@ def trailing_count(
 ) -> DataFrame:
     """Number of earlier rows of the same key in the trailing window (row itself excluded).
 
-    The rows before a time, less the rows before the window's start: each row asks for both counts in one
-    scan, as itself and as a row of no weight at the window's start, so a window of any width and any number of rows is
-    two running counts. The two answers meet by row number.
+    The rows before a time, less the rows before the window's start: a window of any width and any number of rows is
+    two running counts.
+    """
+    def window(rows: DataFrame) -> DataFrame:
+        def before(end: int) -> Column:
+            return F.count(F.lit(1)).over(Window.partitionBy(key).orderBy("_us").rangeBetween(Window.unboundedPreceding, end))
+
+        dealt = rows.repartition(F.col(key)).withColumn("_us", epoch_micros(ts))
+        return dealt.select(*_columns(rows), F.when(F.col("_us").isNotNull(), before(-1) - before(-window_us - 1)).otherwise(0).cast("bigint").alias(name))
+
+    return _per_key(txn, key, partitions, lambda rows: _scanned_count(rows, key, ts, window_us, name, partitions), window, {name: F.lit(0).cast("bigint")})
+
+
+def _scanned_count(txn: DataFrame, key: str, ts: str, window_us: int, name: str, partitions: int | None) -> DataFrame:
+    """``trailing_count`` by a scan over range partitions.
+
+    Each row asks for both counts in one scan, as itself and as a row of no weight at the window's start. The two answers meet by row number.
     """
     us = epoch_micros(ts)
     base = txn.select(F.col(key).alias("_k"), us.alias("_us"), F.monotonically_increasing_id().alias("_u"), F.struct(*_columns(txn)).alias("_s"))
     both = F.array(
-        F.struct(F.col("_us"), F.lit(1).cast("bigint").alias("_n"), F.col("_s")),
+        F.struct(F.col("_us"), F.when(F.col("_us").isNotNull(), 1).otherwise(0).cast("bigint").alias("_n"), F.col("_s")),
         F.struct((F.col("_us") - F.lit(window_us)).alias("_us"), F.lit(0).cast("bigint").alias("_n"), F.when(F.lit(False), F.col("_s")).alias("_s")),
     )
     rows = ranged(base.select("_k", "_u", F.explode(both).alias("_x")).select("_k", "_u", "_x.*"), ["_k", "_us", "_u"], partitions)

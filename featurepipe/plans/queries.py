@@ -88,7 +88,7 @@ def q03(spark, sf):
 
 @register("q04_running_features")
 def q04(spark, sf):
-    out = asof.running_features(roles(spark, sf).transactions)
+    out = asof.running_features(roles(spark, sf).transactions.select("txn_id", "customer_id", "merchant_id", "amount", "ts", "is_fraud"))
     return flat(out.select("txn_id", "customer_id", "prior_txn_count", "prior_avg_amount", "prior_stddev_amount",
                            "prior_fraud_count", "prior_unique_merchants"))
 
@@ -96,7 +96,7 @@ def q04(spark, sf):
 @register("q04_running_features_lineitem")
 def q04l(spark, sf):
     """X1 on lineitem ⋈ orders: every time is midnight, so most rows tie with others of their day."""
-    out = asof.running_features(roles(spark, sf, "lineitem").transactions)
+    out = asof.running_features(roles(spark, sf, "lineitem").transactions.select("txn_id", "customer_id", "merchant_id", "amount", "ts", "is_fraud"))
     return flat(out.select("txn_id", "customer_id", "prior_txn_count", "prior_avg_amount", "prior_stddev_amount",
                            "prior_fraud_count", "prior_unique_merchants"))
 
@@ -403,14 +403,14 @@ def q23(spark, sf):
 
 @register("q24_velocity")
 def q24(spark, sf):
-    out = asof.trailing_count(roles(spark, sf).transactions)
+    out = asof.trailing_count(roles(spark, sf).transactions.select("txn_id", "customer_id", "ts"))
     return flat(out.select("txn_id", "customer_id", "txn_count_last_hour"))
 
 
 @register("q24_velocity_lineitem")
 def q24l(spark, sf):
     """X2 on lineitem ⋈ orders with a 2-day window (dates only): earlier rows within the window, same key."""
-    out = asof.trailing_count(roles(spark, sf, "lineitem").transactions, window_us=2 * asof.DAY_US, name="txn_count_last_2_days")
+    out = asof.trailing_count(roles(spark, sf, "lineitem").transactions.select("txn_id", "customer_id", "ts"), window_us=2 * asof.DAY_US, name="txn_count_last_2_days")
     return flat(out.select("txn_id", "customer_id", "txn_count_last_2_days"))
 
 

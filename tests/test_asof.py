@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import rows_by, timedelta, ts
+from helpers import plan_text, rows_by, timedelta, ts
 from pyspark.sql import functions as F
 
 from featurepipe.operators import asof
@@ -200,3 +200,26 @@ def test_location_jumps(spark):
     assert abs(out[2]["jump_km"] - 111.19492664455873) < 1e-6
     assert abs(out[2]["jump_kmh"] - 111.19492664455873) < 1e-6
     assert abs(out[3]["jump_km"] - 5 * 111.19492664455873) < 1e-3
+
+
+def _same_rows(a, b):
+    assert a.columns == b.columns and a.count() == b.count()
+    left, right = rows_by(a, "txn_id"), rows_by(b, "txn_id")
+    for i, r in left.items():
+        for c, v in r.items():
+            w = right[i][c]
+            assert (abs(v - w) < 1e-9 if isinstance(v, float) and w is not None else v == w), (i, c, v, w)
+
+
+@pytest.mark.parametrize("hot", [1 << 19, 600, 1])  # no heavy key, one, all
+def test_light_keys_by_windows_heavy_ones_by_scan(spark, monkeypatch, hot):
+    df = _hot(spark).withColumn("merchant_id", F.when(F.col("txn_id") % 11 != 0, F.col("merchant_id")))
+    monkeypatch.setattr(asof, "HOT_ROWS", hot)
+    _same_rows(asof.running_features(df), asof.running_features(df, partitions=5))
+    df = df.withColumn("ts", F.when(F.col("txn_id") % 31 != 0, F.col("ts")))
+    _same_rows(asof.trailing_count(df, window_us=9 * 24 * HOUR), asof.trailing_count(df, window_us=9 * 24 * HOUR, partitions=5))
+
+
+def test_rows_are_dealt_once_by_key(spark):
+    for out in (asof.running_features(_hot(spark)), asof.trailing_count(_hot(spark))):
+        assert plan_text(out, "simple").count("Exchange") == 1 and "Join" not in plan_text(out, "simple")
