@@ -2,8 +2,8 @@
 
 ``stratified_split`` and ``kfold`` give every row an exact rank within its
 label, ordered by a salted md5 of its id, without a window over a whole label:
-the rank is computed by ``bucketed_running_sum`` over 2^20 hash buckets, so a
-window task holds about n / 2^20 rows of one label.
+the rank is computed by ``bucketed_running_sum`` over 2^14 hash buckets, so a
+window holds about n / 2^14 rows of one label.
 Test rows are the first round(fraction * n_label) of each label, so label
 shares are kept exactly; folds are (rank - 1) % k on the train rows.
 """
@@ -48,7 +48,7 @@ def feature_matrix(df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS, label:
     return out.na.fill(0.0, list(cols))
 
 
-DEFAULT_HASH_BUCKETS = 1 << 20
+DEFAULT_HASH_BUCKETS = 1 << 14  # few enough that map tasks combine the rows of a bucket before they are counted
 
 
 def salted_rank(
@@ -61,15 +61,15 @@ def salted_rank(
 ) -> DataFrame:
     """Exact 1-based rank of each row within its label, ordered by (md5(id || salt), id); adds ``_n`` = label size.
 
-    The hash prefix fixes the bucket (2^20 by default, so a window task sees
-    about n / 2^20 rows of a label); bucket totals, their running offsets and
+    The hash prefix fixes the bucket (2^14 by default, so a window sees
+    about n / 2^14 rows of a label); bucket totals, their running offsets and
     the label sizes come from one small aggregate inside the same plan, so no
     count reaches the driver.
     """
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(salt)))
-    staged = df.withColumn("_h", h).withColumn("_hb", hash_bucket(F.col("_h"), n_buckets)).withColumn("_one", F.lit(1).cast("bigint"))
-    ranked = bucketed_running_sum(staged, [label], "_hb", [F.col("_h"), F.col(id_col)], ["_one"], prefix="_cum", with_totals="_n")
-    return ranked.withColumnRenamed("_cum_one", name).drop("_h", "_hb", "_one")
+    staged = df.withColumn("_hb", hash_bucket(h, n_buckets)).withColumn("_one", F.lit(1).cast("bigint"))
+    ranked = bucketed_running_sum(staged, [label], "_hb", [h, F.col(id_col)], ["_one"], prefix="_cum", with_totals="_n")
+    return ranked.withColumnRenamed("_cum_one", name).drop("_hb", "_one")
 
 
 def stratified_split(

@@ -21,7 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurepipe.functions.joins import join_null_safe
 from featurepipe.operators.scan import PID, ranged
 
 
@@ -50,15 +49,17 @@ def bucketed_running_sum(
     if with_totals:
         extra = [F.sum(sum_cols[0]).over(Window.partitionBy(*p)).alias(with_totals)]
     offsets = totals.select(
-        *p, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sum_cols], *extra
+        *p, bucket, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sum_cols], *extra, F.lit(False).alias("_in")
     )
-    upto = Window.partitionBy(*p, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = join_null_safe(df, offsets, [*p, bucket])
-    return joined.select(
+    # a bucket's offset is a row before its first, so rows are dealt once and null keys need no join; ``order`` is made after the dealing
+    rows = df.withColumn("_in", F.lit(True)).unionByName(offsets, allowMissingColumns=True).repartition(*p, bucket)
+    upto = Window.partitionBy(*p, bucket).orderBy("_in", *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        *[(F.col(f"_off_{c}") + F.sum(c).over(upto)).alias(prefix + c) for c in sum_cols],
-        *([F.col(with_totals)] if with_totals else []),
-    )
+        "_in",
+        *[F.sum(c).over(upto).alias(prefix + c) for c in sum_cols],
+        *([F.max(with_totals).over(upto).alias(with_totals)] if with_totals else []),
+    ).where("_in").drop("_in")
 
 
 def hash_bucket(key_hex: Column, n_buckets: int) -> Column:

@@ -69,3 +69,15 @@ def test_versioned_roundtrip(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exist"):
         dataset.write_versioned(df, str(tmp_path), "DS", "V1")
     dataset.write_versioned(df, str(tmp_path), "DS", "V1", overwrite=True)
+
+
+def test_ranked_rows_are_dealt_once_without_a_join(spark):
+    from helpers import plan_text
+
+    df = spark.range(50).select(F.col("id").alias("txn_id"), F.when(F.col("id") % 7 != 0, (F.col("id") % 3).cast("int")).alias("label"))
+    plan = plan_text(dataset.stratified_split(df), "simple")
+    assert "Join" not in plan
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(label" in line and "_hb" in line]
+    assert len(dealt) == 2  # the counts of the buckets, and the rows
+    got = dataset.stratified_split(df).groupBy("label", "split").count().collect()
+    assert sum(r["count"] for r in got) == 50 and {r.label for r in got} == {None, 0, 1, 2}
