@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -238,8 +239,12 @@ def q12(spark, sf):
     return flat(_split(spark, sf).select("txn_id", "label", "split"))
 
 
+def _train_folds(split: DataFrame) -> DataFrame:
+    return dataset.kfold(split.where(F.col("split") == "train"))
+
+
 def _folds(spark, sf):
-    return dataset.kfold(_split(spark, sf).where(F.col("split") == "train"))
+    return _train_folds(_split(spark, sf))
 
 
 @register("q13_kfold")
@@ -278,37 +283,48 @@ def _registry(spark, sf) -> str:
     return f"{work_dir(spark)}/registry-{hashlib.md5(sf.encode()).hexdigest()[:12]}"
 
 
-def _registered(spark, sf, name: str, make: Callable[[str], None]) -> str:
-    """The path of the artefact's first version; made, written and registered where there is none."""
+def _registered(spark, sf, makes: dict[str, Callable[[str], None]]) -> list[str]:
+    """The paths of the artefacts' first versions; those there are none of are made at the same time, then registered.
+
+    A fit is a chain of short jobs, which leaves most of the cluster idle. The manifest has one writer, so entries follow each other.
+    """
     root = _registry(spark, sf)
-    if registry.versions(spark, root).where(F.col("model") == name).isEmpty():
-        path = f"{root}/{name}/{uuid.uuid4().hex[:12]}"
-        make(path)
+    known = {r.model for r in registry.versions(spark, root).where(F.col("model").isin(*makes)).select("model").distinct().collect()}
+    paths = {name: f"{root}/{name}/{uuid.uuid4().hex[:12]}" for name in makes if name not in known}
+    with ThreadPoolExecutor(max_workers=len(makes)) as pool:
+        list(pool.map(lambda name: makes[name](paths[name]), paths))
+    for name, path in paths.items():
         registry.set_default(spark, root, name, registry.register(spark, root, name, path))
-    return registry.resolve(spark, root, name)[1]
+    return [registry.resolve(spark, root, name)[1] for name in makes]
 
 
-def _saved_model(spark, sf) -> str:
-    """M4 + M12: the model fitted on the train split, saved and registered."""
+def _fit_saved(split: DataFrame) -> Callable[[str], None]:
+    """M4 + M12: fits the model on the train rows and saves it."""
     def make(path: str) -> None:
-        fitted = model.fit_gbt(model.training_table(model.equal_rows(_split(spark, sf).where(F.col("split") == "train"))), count="_n")
+        fitted = model.fit_gbt(model.training_table(model.equal_rows(split.where(F.col("split") == "train"))), count="_n")
         model.save_model(fitted, path)
         # scores of the model as fitted, to compare with the saved one's
-        model.predict(fitted, _split(spark, sf).where(F.col("split") == "test")).write.parquet(_fitted_scores(path))
+        model.predict(fitted, split.where(F.col("split") == "test")).write.parquet(_fitted_scores(path))
 
-    return _registered(spark, sf, MODEL, make)
+    return make
+
+
+def _saved_model(spark, sf) -> str:
+    """M4 + M12: the model fitted on the train split, saved and registered."""
+    return _registered(spark, sf, {MODEL: lambda path: _fit_saved(_split(spark, sf))(path)})[0]
 
 
 def _fitted_scores(path: str) -> str:
     return path + "_FITTED_SCORES"
 
 
+def _write_cv_scores(folds: DataFrame) -> Callable[[str], None]:
+    return lambda path: model.cross_validate(folds, k=5, parallelism=5, keep=("txn_id",)).write.parquet(path)
+
+
 def _cv_scores(spark, sf) -> DataFrame:
     """M5: held-out scores of the train rows, computed once per data folder."""
-    def make(path: str) -> None:
-        model.cross_validate(_folds(spark, sf), k=5, parallelism=5, keep=("txn_id",)).write.parquet(path)
-
-    return spark.read.parquet(_registered(spark, sf, CV_SCORES, make))
+    return spark.read.parquet(_registered(spark, sf, {CV_SCORES: lambda path: _write_cv_scores(_folds(spark, sf))(path)})[0])
 
 
 @register("q15_gbt_fit_score")
@@ -352,10 +368,13 @@ def q17g(spark, sf):
 
     The learner's figures have no SQL form; the run, the hold-out size and that the gate follows the figures have.
     """
-    path = _saved_model(spark, sf)
-    test = model.predict(model.load_model(path), _split(spark, sf).where(F.col("split") == "test"), keep=("txn_id", "label"))
+    rows = _scratch(spark, "split")
+    _split(spark, sf).write.parquet(rows)  # read by the fit, the folds and both scorings of the test rows
+    split = spark.read.parquet(rows)
+    path, cv_path = _registered(spark, sf, {MODEL: _fit_saved(split), CV_SCORES: _write_cv_scores(_train_folds(split))})
+    test = model.predict(model.load_model(path), split.where(F.col("split") == "test"), keep=("txn_id", "label"))
     held = metrics.binary_metrics(test, score="p1", label="label")
-    cv = model.cv_summary(model.fold_metrics(_cv_scores(spark, sf))).first()
+    cv = model.cv_summary(model.fold_metrics(spark.read.parquet(cv_path))).first()
     held = held.withColumn("cv_auc_mean", F.lit(cv.cv_auc_mean)).withColumn("cv_auc_std", F.lit(cv.cv_auc_std))
     names = ["auc", "ap", "precision", "recall", "f1", "n", "positives", "cv_auc_mean", "cv_auc_std"]
     now = F.lit(HISTORY_AS_OF).cast("timestamp_ntz")

@@ -1,6 +1,9 @@
+import threading
+
 from pyspark.sql import functions as F
 
 from featurepipe.operators import dataset, model
+from featurepipe.plans import queries
 
 
 def _train(spark, n=200):
@@ -87,3 +90,33 @@ def test_folds_are_fitted_on_the_distinct_rows_of_the_others(spark, monkeypatch)
     for f in range(2):
         alone = model.predict(fit(folds.where(F.col("fold") != f), max_iter=2, max_depth=2), folds.where(F.col("fold") == f)).collect()
         assert all(abs(scored[r.txn_id] - r.p1) < 1e-9 for r in alone)
+
+
+def _tables(spark, folder):
+    i = F.col("id")
+    events = spark.range(240).select(
+        i.alias("event_id"), F.timestamp_seconds(1704067200 + i * 7200).cast("timestamp_ntz").alias("ts"), (i % 12).alias("user_id"),
+        F.when(i % 7 < 2, "error").otherwise("click").alias("event_type"), (i * 13 % 50).cast("double").alias("value"),
+        F.format_string('{"k": %d}', i % 3).alias("props"))
+    events.write.parquet(f"{folder}/events.parquet")
+    spark.range(12).select(i.alias("c_custkey"), (i * 100).cast("double").alias("c_acctbal")).write.parquet(f"{folder}/customer.parquet")
+    spark.range(3).select(i.alias("s_suppkey"), (i * 900).cast("double").alias("s_acctbal"), i.alias("s_nationkey")).write.parquet(f"{folder}/supplier.parquet")
+
+
+def test_the_model_gate_fits_the_model_and_its_folds_at_the_same_time(spark, tmp_path, monkeypatch):
+    _tables(spark, tmp_path)
+    fit, together, fits = model.fit_gbt, threading.Barrier(6, timeout=60), []
+
+    def short_fit(*args, count, **more):
+        together.wait()  # passed only by six fits at once
+        fits.append(count)
+        return fit(*args, count=count, max_iter=2, max_depth=2, **more)
+
+    monkeypatch.setattr(model, "fit_gbt", short_fit)
+    for _ in range(2):  # the second time, both are registered
+        row = queries.REGISTRY["q17_model_gate"](spark, str(tmp_path)).collect()[0]
+        assert row.n == 48 and row.gate_follows and row.cv_mean_known and row.cv_std_known
+    assert sorted(fits) == ["_n", "_n0", "_n1", "_n2", "_n3", "_n4"]
+    root = queries._registry(spark, str(tmp_path))
+    assert {(r.model, r.version) for r in queries.registry.versions(spark, root).collect()} == {(queries.MODEL, "V1"), (queries.CV_SCORES, "V1")}
+    assert sorted(r.event_id for r in queries.registry.versions(spark, root).collect()) == [1, 2]
